@@ -23,25 +23,33 @@ def _wrapped(text: Column) -> Column:
     )
 
 
-def document(text: Column) -> Column:
-    """The text as VARIANT if it is exactly one JSON value, else null."""
-    wrapped = _wrapped(text)
+def once(value: Column) -> Column:
+    """Keep a costly column from being worked out again wherever it is used.
+
+    The optimizer moves a filter below the projection it looks at, and copies the column's
+    expression into it — here the parsing of every document, several times over. It leaves
+    columns alone that depend on the task, so the column is made to; the value is the same.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
+def _single(wrapped: Column, text: Column) -> Column:
     whole = (
         F.try_variant_get(wrapped, "$[1]", "bigint") == F.xxhash64(text)
     ) & F.try_variant_get(wrapped, "$[2]", "variant").isNull()
     return F.when(whole, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
+def document(text: Column) -> Column:
+    """The text as VARIANT if it is exactly one JSON value, else null."""
+    return _single(_wrapped(text), text)
+
+
 def with_document(df: DataFrame, text: str, out: str = "doc") -> DataFrame:
-    """Add the parsed document in a projection of its own, so that it is parsed once per row."""
-    return df.withColumn("_wrapped", _wrapped(F.col(text))).select(
-        *[F.col(c) for c in df.columns if c != out],
-        F.when(
-            (F.try_variant_get("_wrapped", "$[1]", "bigint") == F.xxhash64(F.col(text)))
-            & F.try_variant_get("_wrapped", "$[2]", "variant").isNull(),
-            F.try_variant_get("_wrapped", "$[0]", "variant"),
-        ).alias(out),
-    )
+    """Add the parsed document, which is parsed once per row whatever is made of it."""
+    kept = [c for c in df.columns if c != out]
+    wrapped = df.select(*kept, once(_wrapped(F.col(text))).alias("_wrapped"))
+    return wrapped.select(*kept, once(_single(F.col("_wrapped"), F.col(text))).alias(out))
 
 
 def is_json(doc: Column) -> Column:

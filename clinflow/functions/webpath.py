@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.functions.jsonx import once
 from clinflow.schemas import WEB_PATH_FIELDS
 
 # The separator and the position of each part of a path.
@@ -13,32 +14,39 @@ STORE_PARTS = {"project": 2, "location": 4, "dataset": 6, "store_id": 8}
 SEARCH_PARTS = {"study_id": 2, "series_id": 4, "instance_id": 6}
 
 
-def _pieces(text: Column, separator: str) -> Column:
-    """Split on a literal; empty pieces at the end do not count."""
-    trimmed = F.regexp_replace(text, f"(?:{separator})+$", "")
-    return F.split(trimmed, separator)
+def _pieces(text: Column) -> Column:
+    """Split at slashes; empty pieces at the end do not count."""
+    return F.split(F.rtrim(text, F.lit("/")), "/")
 
 
-def web_path_struct(path: Column) -> Column:
-    """P5: a struct of the eight parts, or null for a path that does not hold them."""
-    halves = _pieces(path, SEPARATOR)
-    store_path = F.try_element_at(halves, F.lit(1))
-    store = _pieces(store_path, "/")
-    search = _pieces(F.try_element_at(halves, F.lit(2)), "/")
+def with_web_path(df: DataFrame, path: str = "path") -> DataFrame:
+    """P5: add the eight columns; all are null when the path does not hold them.
+
+    The path is split at its only separator, then each half at slashes. A separator at the end
+    separates nothing.
+    """
+    given = F.col(path)
+    ended = F.when(
+        given.endswith(SEPARATOR), F.regexp_replace(given, f"(?:{SEPARATOR})+$", "")
+    ).otherwise(given)
+    store_path = F.substring_index(ended, SEPARATOR, 1)
+    rest = F.substring(ended, F.length(store_path) + F.lit(len(SEPARATOR) + 1), F.length(ended))
+    halves = df.withColumn(
+        "_halves",
+        once(F.when(F.contains(ended, F.lit(SEPARATOR)), F.struct(store_path.alias("store"),
+                                                                  rest.alias("rest")))),
+    )
+    split = halves.withColumn("_store", once(_pieces(F.col("_halves.store")))).withColumn(
+        "_search", once(_pieces(F.col("_halves.rest")))
+    )
     valid = (
-        (F.size(halves) == 2)
-        & (F.size(store) >= max(STORE_PARTS.values()))
-        & (F.size(search) >= max(SEARCH_PARTS.values()))
+        (F.size("_store") >= max(STORE_PARTS.values()))
+        & (F.size("_search") >= max(SEARCH_PARTS.values()))
+        & ~F.contains(F.col("_halves.rest"), F.lit(SEPARATOR))
     )
-    parts = {name: F.try_element_at(store, F.lit(i)) for name, i in STORE_PARTS.items()}
-    parts["dicom_store_path"] = store_path
-    parts |= {name: F.try_element_at(search, F.lit(i)) for name, i in SEARCH_PARTS.items()}
-    return F.when(valid, F.struct(*[parts[name].alias(name) for name in WEB_PATH_FIELDS]))
-
-
-def with_web_path(df: DataFrame, path: str = "path") -> DataFrame:
-    """Add the eight columns; all are null when the path is invalid."""
-    parsed = df.withColumn("_web_path", web_path_struct(F.col(path)))
-    return parsed.select(
-        *df.columns, *[F.col(f"_web_path.{name}").alias(name) for name in WEB_PATH_FIELDS]
+    parts = {name: F.try_element_at("_store", F.lit(i)) for name, i in STORE_PARTS.items()}
+    parts["dicom_store_path"] = F.col("_halves.store")
+    parts |= {name: F.try_element_at("_search", F.lit(i)) for name, i in SEARCH_PARTS.items()}
+    return split.select(
+        *df.columns, *[F.when(valid, parts[name]).alias(name) for name in WEB_PATH_FIELDS]
     )

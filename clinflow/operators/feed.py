@@ -29,7 +29,7 @@ def route_by_type(df: DataFrame, value: str = "value") -> DataFrame:
     parsed = jsonx.with_document(df, value, "doc")
     typed = parsed.withColumn(
         "type",
-        F.when(jsonx.is_object(F.col(value), doc), jsonx.scalar_text(doc, "$.type")),
+        jsonx.once(F.when(jsonx.is_object(F.col(value), doc), jsonx.scalar_text(doc, "$.type"))),
     )
     merged = F.coalesce(F.col("type") == MERGED_TYPE, F.lit(False))
     looked = merged & jsonx.has_more_than_one(doc, "$.uris")

@@ -13,45 +13,39 @@ MAX_PINNED_GROUPS = 10_000
 _UNHASHED = (T.MapType, T.VariantType)
 
 
+def part_of(df: DataFrame, size: Column, limit: int = MAX_MEMBERS) -> Column:
+    """0 for rows of groups of up to ``limit``, else one of as many parts as the group needs.
+
+    A large group is spread by the content of its rows and by input task, so that equal rows do not
+    gather in one part either.
+    """
+    content = [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNHASHED)]
+    parts = F.ceil(size / limit).cast("int")
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *content), parts).cast("int")
+    return F.when(size > limit, spread).otherwise(F.lit(0))
+
+
 def with_parts(
     df: DataFrame, keys: list[str], limit: int = MAX_MEMBERS, **limits: int
 ) -> DataFrame:
-    """Add ``part``: 0 for groups of up to ``limit`` rows; larger groups get several parts.
+    """Add ``part`` to each row; see ``part_of``.
 
-    Row counts combine before their shuffle, and are taken now, as mostly no group is too large. A
-    large group is spread by the content of its rows and by input task, so that equal rows do not
-    gather in one part either.
+    Group sizes combine before their shuffle. They are taken now, as mostly no group is too large.
     """
     large = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > limit)
-        .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_parts"))
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
     )
     rows = large.limit(MAX_PINNED_GROUPS + 1).collect()
     if not rows:
         return df.withColumn("part", F.lit(0))
     if len(rows) <= MAX_PINNED_GROUPS:
         pinned = df.sparkSession.createDataFrame(rows, large.schema)
-        joined = df.join(F.broadcast(pinned), keys, "left")
+        sized = df.join(F.broadcast(pinned), keys, "left")
     else:
-        joined = lookup_join(df, large, keys, **limits)
-    content = [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNHASHED)]
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.col("_parts"))
-    return joined.withColumn("part", F.coalesce(spread.cast("int"), F.lit(0))).drop("_parts")
+        sized = lookup_join(df, large, keys, **limits)
+    return sized.withColumn("part", part_of(df, F.col("_n"), limit)).drop("_n")
 
 
-def collect_parts(
-    df: DataFrame,
-    keys: list[str],
-    member: Column,
-    out: str,
-    limit: int = MAX_MEMBERS,
-    **limits: int,
-) -> DataFrame:
+def collect_parts(df: DataFrame, keys: list[str], member: Column, out: str) -> DataFrame:
     """One sorted list of members per key and part. All members are kept; one list stays small."""
-    return (
-        with_parts(df, keys, limit, **limits)
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list(member)).alias(out))
-    )
+    return df.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(member)).alias(out))

@@ -1,12 +1,11 @@
 """User functions over batches of rows, with failures as rows.
 
 The function gets one pandas batch at a time, inside tasks; Spark partitions the work. A batch that
-fails as a whole is tried again row by row, so that one bad row rejects only itself.
+fails is halved and tried again until the bad rows stand alone, so that each rejects only itself.
 """
 
 import traceback
 from collections.abc import Callable, Iterator
-from typing import Any
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -78,23 +77,31 @@ def guarded_map(
 def _guard(
     fn: Callable[[pd.DataFrame], pd.DataFrame], batch: pd.DataFrame, names: list[str]
 ) -> pd.DataFrame:
-    try:
-        out = fn(batch)[names].reset_index(drop=True)
-        if len(out) != len(batch):
-            raise RuntimeError("one output row per input row is expected")
-        return batch.join(out).assign(error_class=None, error_message=None, stack_trace=None)
-    except Exception as e:  # noqa: BLE001 - the failure becomes a row
-        if len(batch) > 1:
-            parts = [_guard(fn, batch.iloc[[i]].reset_index(drop=True), names)
-                     for i in range(len(batch))]
-            return pd.concat(parts, ignore_index=True)
-        empty: dict[str, Any] = {name: None for name in names}
-        return batch.assign(
-            **empty,
-            error_class=type(e).__name__,
-            error_message=str(e),
-            stack_trace=traceback.format_exc(),
-        )
+    """Halve what fails until single rows are left, and keep the order of the rows."""
+    outputs: list[pd.DataFrame] = []
+    failures: dict[int, tuple[str, str, str]] = {}
+    ranges = [(0, len(batch))]
+    while ranges:
+        start, end = ranges.pop()
+        if start == end:
+            continue
+        try:
+            out = fn(batch.iloc[start:end].reset_index(drop=True))[names]
+            if len(out) != end - start:
+                raise RuntimeError("one output row per input row is expected")
+            outputs.append(out.set_axis(range(start, end), axis=0))
+        except Exception as e:  # noqa: BLE001 - the failure becomes a row
+            if end - start == 1:
+                failures[start] = (type(e).__name__, str(e), traceback.format_exc())
+            else:
+                middle = (start + end) // 2
+                ranges += [(middle, end), (start, middle)]
+    made = pd.concat(outputs) if outputs else pd.DataFrame(columns=names)
+    failed = pd.DataFrame.from_dict(
+        failures, orient="index", columns=[f.name for f in _RAW_ERROR.fields]
+    )
+    joined = batch.join(made).join(failed)
+    return joined.astype(object).where(joined.notna(), None) if failures else joined
 
 
 def row_function(

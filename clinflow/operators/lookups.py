@@ -80,17 +80,28 @@ def spread_join(
     return parted_left.drop("_hot_parts").join(parted_right, [*on, "_part"], how).drop("_part")
 
 
+def is_small(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> bool:
+    return measured_bytes(df, broadcast_bytes) is not None
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Equi join on a reference table with one row per key."""
-    if measured_bytes(right, broadcast_bytes) is not None:
+    """Equi join on a reference table with one row per key.
+
+    ``small`` tells what is known already about the size of ``right``. Finding hot keys reads the
+    keys of ``left`` once more; with ``hot_rows=None`` that is left to the adaptive skew join.
+    """
+    if is_small(right, broadcast_bytes) if small is None else small:
         return left.join(F.broadcast(right), on, how)
+    if hot_rows is None:
+        return left.join(right, on, how)
     return spread_join(left, right, on, how, hot_rows)
 
 

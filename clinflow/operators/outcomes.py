@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.functions.jsonx import once
 from clinflow.functions.times import iso_text
 from clinflow.schemas import ERROR_ENTRY
 
@@ -41,7 +42,7 @@ def error_entry(
 
 def checked(df: DataFrame, ok: Column, error: Column) -> DataFrame:
     """Add ``ok`` (never null) and ``error`` (null on good rows)."""
-    return df.withColumn("ok", F.coalesce(ok, F.lit(False))).withColumn(
+    return df.withColumn("ok", F.coalesce(once(ok), F.lit(False))).withColumn(
         "error", F.when(~F.col("ok"), error)
     )
 

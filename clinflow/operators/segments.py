@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.operators.grouping import MAX_MEMBERS, collect_parts
+from clinflow.operators.grouping import MAX_MEMBERS, collect_parts, with_parts
 from clinflow.schemas import PARSED_MESSAGE
 
 
@@ -45,7 +45,7 @@ def nest_segments(
         segment_id.alias("segmentId"),
         F.map_entries(fields).alias("fields"),
     )
-    grouped = collect_parts(df, keys, member, "_members", limit, **limits)
+    grouped = collect_parts(with_parts(df, keys, limit, **limits), keys, member, "_members")
     segments = F.transform(
         "_members",
         lambda m: F.struct(

@@ -6,44 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.functions.webpath import with_web_path
-from clinflow.operators.grouping import MAX_MEMBERS, collect_parts
-from clinflow.operators.lookups import lookup_join
+from clinflow.operators.grouping import MAX_MEMBERS, collect_parts, part_of
+from clinflow.operators.lookups import BROADCAST_BYTES, is_small, lookup_join
 from clinflow.operators.outcomes import checked, error_entry
+from clinflow.session import work_dir, written
 
 READ_STEP = "ReadStudyMetadata"
 STUDY_KEY = ["dicom_store_path", "study_id"]
 
 
-def study_documents(
-    instances: DataFrame, limit: int = MAX_MEMBERS, **limits: int
-) -> DataFrame:
-    """The JSON array of a study from its instances (``instance_id``, ``metadata`` text).
+def notified_studies(parsed: DataFrame) -> DataFrame:
+    """One row per study that valid paths name, with the number of its notifications."""
+    valid = parsed.filter(F.col("study_id").isNotNull())
+    return valid.groupBy(*STUDY_KEY).agg(F.count(F.lit(1)).alias("n_notifications"))
 
-    A study with more than ``limit`` instances comes as several arrays, numbered by ``part``.
-    """
-    listed = collect_parts(
-        instances.select(*STUDY_KEY, "instance_id", "metadata"),
-        STUDY_KEY,
-        F.struct("instance_id", "metadata"),
-        "_members",
-        limit,
-        **limits,
-    )
-    texts = F.transform("_members", lambda m: m["metadata"])
-    return listed.select(
-        *STUDY_KEY, "part", F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("study")
+
+def study_sizes(
+    wanted: DataFrame, instances: DataFrame, small: bool | None = None, **limits: int
+) -> DataFrame:
+    """The wanted studies the store knows, with their instance counts; reads only keys."""
+    return (
+        lookup_join(instances.select(*STUDY_KEY), wanted, STUDY_KEY, "inner", small=small, **limits)
+        .groupBy(*STUDY_KEY, "n_notifications")
+        .agg(F.count(F.lit(1)).alias("n_instances"))
     )
 
 
-def resolve_paths(paths: DataFrame, instances: DataFrame, **limits: int) -> DataFrame:
-    """Each notified path with its columns, and whether its study is known.
+def resolve_paths(
+    parsed: DataFrame, sizes: DataFrame, small: bool | None = None, **limits: int
+) -> DataFrame:
+    """Each notified path, and whether its study is known.
 
-    Rejected rows keep the path as error resource. No study is fetched here, so a path costs one
-    row no matter how large its study is.
+    Rejected rows keep the path as error resource. A path costs one row no matter how large its
+    study is.
     """
-    known = instances.select(*STUDY_KEY).distinct().withColumn("_known", F.lit(True))
-    parsed = with_web_path(paths)
-    found = lookup_join(parsed, known, STUDY_KEY, **limits)
+    known = sizes.select(*STUDY_KEY, F.lit(True).alias("_known"))
+    found = lookup_join(parsed, known, STUDY_KEY, small=small, **limits)
     message = F.when(F.col("study_id").isNull(), F.lit("Invalid DICOM web path")).otherwise(
         F.concat(F.lit("no metadata for study "), F.col("study_id"))
     )
@@ -51,22 +49,52 @@ def resolve_paths(paths: DataFrame, instances: DataFrame, **limits: int) -> Data
     return checked(found, F.col("_known"), entry).drop("_known")
 
 
-def notified_studies(good: DataFrame) -> DataFrame:
-    """One row per study with the number of its notifications."""
-    return good.groupBy(*STUDY_KEY).agg(F.count(F.lit(1)).alias("n_notifications"))
+def study_documents(
+    instances: DataFrame,
+    sizes: DataFrame,
+    limit: int = MAX_MEMBERS,
+    small: bool | None = None,
+    **limits: int,
+) -> DataFrame:
+    """The JSON array of each study in ``sizes``, from its instances' ``metadata`` text.
+
+    A study is read once however many of its instances were notified; the row says how many were.
+    One with more than ``limit`` instances comes as several arrays, numbered by ``part``.
+    """
+    chosen = lookup_join(instances, sizes, STUDY_KEY, "inner", small=small, **limits)
+    parted = chosen.withColumn("part", part_of(instances, F.col("n_instances"), limit))
+    listed = collect_parts(
+        parted, [*STUDY_KEY, "n_notifications"], F.struct("instance_id", "metadata"), "_members"
+    )
+    texts = F.transform("_members", lambda m: m["metadata"])
+    return listed.select(
+        *STUDY_KEY,
+        "part",
+        "n_notifications",
+        F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("study"),
+    )
 
 
 def read_studies(
-    good: DataFrame,
+    paths: DataFrame,
     instances: DataFrame,
     limit: int = MAX_MEMBERS,
+    scratch: str | None = None,
     **limits: int,
-) -> DataFrame:
-    """The metadata of the notified studies.
+) -> tuple[DataFrame, DataFrame]:
+    """S12 with its dead letter: the notified studies, and the paths with ``ok`` and ``error``.
 
-    A study is read once however many of its instances were notified; the row says how many were.
+    The keys of the notified studies, and then of those the store knows, are written to ``scratch``
+    first: both are used more than once, and their sizes decide how the rest is joined.
     """
-    wanted = notified_studies(good)
-    chosen = lookup_join(instances, wanted, STUDY_KEY, "left_semi", **limits)
-    studies = study_documents(chosen, limit, **limits)
-    return studies.join(wanted, STUDY_KEY)
+    base = work_dir(paths.sparkSession, "studies") if scratch is None else scratch
+    parsed = with_web_path(paths)
+    broadcast_bytes = limits.get("broadcast_bytes", BROADCAST_BYTES)
+    wanted = written(notified_studies(parsed), f"{base}/wanted")
+    sizes = written(
+        study_sizes(wanted, instances, is_small(wanted, broadcast_bytes), **limits),
+        f"{base}/sizes",
+    )
+    small = is_small(sizes, broadcast_bytes)
+    studies = study_documents(instances, sizes, limit, small, **limits)
+    return studies, resolve_paths(parsed, sizes, small, **limits)

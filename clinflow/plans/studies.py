@@ -10,7 +10,7 @@ from clinflow.functions.text import folder_glob
 from clinflow.functions.webpath import with_web_path
 from clinflow.operators.mapping import Mapping, const, copy
 from clinflow.operators.outcomes import split_ok
-from clinflow.operators.studies import read_studies, resolve_paths
+from clinflow.operators.studies import read_studies
 from clinflow.plans.inputs import INSTANCES_SQL, STORE_PATH, instance_metadata, notified_paths
 from clinflow.plans.registry import query
 from clinflow.session import table
@@ -57,8 +57,8 @@ resolved AS (
 
 @query("L3 S12", _RESOLVED_SQL + "SELECT path, study_id FROM resolved WHERE ok")
 def study_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = resolve_paths(notified_paths(spark, sf_dir), instance_metadata(spark, sf_dir))
-    return split_ok(found)[0].select("path", "study_id")
+    _, resolved = read_studies(notified_paths(spark, sf_dir), instance_metadata(spark, sf_dir))
+    return split_ok(resolved)[0].select("path", "study_id")
 
 
 @query(
@@ -68,8 +68,8 @@ def study_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ELSE 'no metadata for study ' || study_id END AS error_message FROM resolved WHERE NOT ok""",
 )
 def study_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = resolve_paths(notified_paths(spark, sf_dir), instance_metadata(spark, sf_dir))
-    _, bad = split_ok(found)
+    _, resolved = read_studies(notified_paths(spark, sf_dir), instance_metadata(spark, sf_dir))
+    _, bad = split_ok(resolved)
     return bad.select(F.col("error.error_resource").alias("path"), "error.error_message")
 
 
@@ -83,9 +83,8 @@ studies AS (
 
 
 def _studies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    instances = instance_metadata(spark, sf_dir)
-    good, _ = split_ok(resolve_paths(notified_paths(spark, sf_dir), instances))
-    return read_studies(good, instances)
+    studies, _ = read_studies(notified_paths(spark, sf_dir), instance_metadata(spark, sf_dir))
+    return studies
 
 
 @query(

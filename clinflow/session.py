@@ -33,6 +33,12 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{work_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write a table and read it back: worked out once, with a short lineage and a known size."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

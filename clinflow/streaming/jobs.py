@@ -19,7 +19,7 @@ from clinflow.functions import jsonx
 from clinflow.operators.feed import MAPPING, READ, WRITE, feed_outcomes, wrap_message
 from clinflow.operators.mapping import Mapping, bundle_stage, map_stage
 from clinflow.operators.outcomes import split_ok, to_error_rows
-from clinflow.operators.studies import read_studies, resolve_paths
+from clinflow.operators.studies import read_studies
 from clinflow.sinks.bundles import Client, failed_bodies, post_bundles, resource_rows
 from clinflow.sinks.errors import (
     IMAGING_FEED_SHARDS,
@@ -48,6 +48,7 @@ class FeedPaths:
     read_errors: str
     mapping_errors: str
     write_errors: str
+    scratch: str
     checkpoint: str
 
     @classmethod
@@ -146,32 +147,37 @@ def start_message_feed(
 
 
 def imaging_outcomes(
-    paths: DataFrame, instances: DataFrame, mapping: Mapping, url: str = IMAGING_URL, **limits: int
+    paths: DataFrame,
+    instances: DataFrame,
+    mapping: Mapping,
+    url: str = IMAGING_URL,
+    scratch: str | None = None,
+    **limits: int,
 ) -> DataFrame:
     """T8 for a batch of web paths: one row per rejected path and per study, with its outcome."""
-    good, bad = split_ok(resolve_paths(paths, instances, **limits))
-    studies = read_studies(good, instances, **limits)
-    wrapped = studies.withColumn("message", jsonx.array_wrap(F.col("study"), "study"))
+    studies, resolved = read_studies(paths, instances, scratch=scratch, **limits)
+    _, unread = split_ok(resolved)
+    rejected = unread.select(
+        F.col("path").alias("value"),
+        F.lit(None).cast("string").alias("output"),
+        F.lit(READ).alias("failed_stage"),
+        "error",
+    )
+    wrapped = studies.select(
+        F.col("study").alias("value"),
+        jsonx.array_wrap(F.col("study"), "study").alias("message"),
+    )
     mapped = map_stage(wrap_message(wrapped, "message", F.lit(None)), mapping)
-    mapped_good, mapped_bad = split_ok(mapped)
-    bundled = bundle_stage(mapped_good, "output", url)
-    bundled_good, bundled_bad = split_ok(bundled)
-
-    def rows(df: DataFrame, value: str, output: str | None, stage: str | None) -> DataFrame:
-        return df.select(
-            F.col(value).alias("value"),
-            (F.lit(None) if output is None else F.col(output)).cast("string").alias("output"),
-            F.lit(stage).cast("string").alias("failed_stage"),
-            (F.lit(None) if stage is None else F.col("error"))
-            .cast(bad.schema["error"].dataType)
-            .alias("error"),
+    staged = mapped.withColumnsRenamed({"ok": "_map_ok", "error": "_map_error"})
+    bundled = bundle_stage(staged, "output", url)
+    stage = F.when(~F.col("_map_ok"), MAPPING).when(~F.col("ok"), WRITE)
+    return rejected.unionByName(
+        bundled.select(
+            "value",
+            F.coalesce("bundle", "output").alias("output"),
+            stage.alias("failed_stage"),
+            F.coalesce("_map_error", "error").alias("error"),
         )
-
-    return (
-        rows(bad, "path", None, READ)
-        .unionByName(rows(mapped_bad, "study", None, MAPPING))
-        .unionByName(rows(bundled_bad, "study", "output", WRITE))
-        .unionByName(rows(bundled_good, "study", "bundle", None))
     )
 
 
@@ -190,12 +196,13 @@ def start_imaging_feed(
     def run(batch: DataFrame, batch_id: int) -> None:
         text = payload_text(batch, "value").select(F.col("value").alias("path"))
         notified = text.persist(StorageLevel.MEMORY_AND_DISK)
+        scratch = f"{paths.scratch}/batch_id={batch_id}"
         try:
-            notified.count()
-            outcomes = imaging_outcomes(notified, _now(instances), mapping)
+            outcomes = imaging_outcomes(notified, _now(instances), mapping, scratch=scratch)
             _write_outcomes(outcomes, paths, batch_id, shards, on_counts, client)
         finally:
             notified.unpersist()
+            remove_files(batch.sparkSession, scratch)
 
     return _start(notifications, run, paths.checkpoint, trigger)
 
