@@ -1,0 +1,285 @@
+import datetime as dt
+import itertools
+import json
+import os
+import sys
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from clinflow.operators.mapping import Mapping, const, copy, nest
+from clinflow.operators.metrics import observe_outcomes, timed
+from clinflow.operators.resources import current_resources, read_resource
+from clinflow.operators.segments import flatten_segments, nest_segments, parse_segments
+from clinflow.operators.outcomes import split_ok
+from clinflow.sources.exports import (
+    BUNDLE_PER_LINE,
+    export_lines,
+    export_range,
+    import_resources,
+    parse_messages,
+)
+from clinflow.sources.forms import QUESTIONS, form_payload
+from clinflow.sources.notifications import text_files
+from clinflow.streaming.jobs import (
+    FeedPaths,
+    read_export,
+    start_error_sink,
+    start_imaging_feed,
+    start_message_feed,
+)
+from clinflow.streaming.windows import closed_error_windows
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+TO_END = {"availableNow": True}
+
+MAPPING = Mapping(
+    [
+        nest("", "Resources", "r", is_array=True),
+        const("r", "resourceType", "Basic"),
+        copy("r", "id", "$.id"),
+        copy("r", "kind", "$.mergedEntityType"),
+    ],
+    post="transaction",
+)
+
+
+@pytest.fixture
+def types(rows):
+    return rows([("u/1", "HCP")], "uri string, entity_type string")
+
+
+CLOCK = itertools.count(1_700_000_000)
+
+
+def notify(folder, name, *values):
+    """One more file of notifications, newer than all before it."""
+    folder.mkdir(exist_ok=True)
+    lines = [v if isinstance(v, str) else json.dumps(v) for v in values]
+    draft = folder / f".{name}"
+    draft.write_text("".join(line + "\n" for line in lines))
+    now = next(CLOCK)
+    os.utime(draft, (now, now))
+    draft.rename(folder / name)
+
+
+def test_message_feed_over_batches_and_restart(spark, types, tmp_path):
+    source, paths = tmp_path / "in", FeedPaths.below(str(tmp_path / "out"))
+    seen = {}
+
+    def run():
+        start_message_feed(
+            text_files(spark, str(source), per_trigger=1), types, MAPPING, paths,
+            trigger=TO_END, on_counts=seen.__setitem__,
+        ).awaitTermination()
+
+    notify(source, "a", {"type": "X", "id": "1"}, "junk", {"id": "2"})
+    notify(
+        source, "b",
+        {"type": "ENTITIES_MERGED", "uris": ["u/1", "u/2"], "id": "3"},
+        {"type": "ENTITIES_MERGED", "uris": ["u/9", "u/2"], "id": "4"},
+        {"type": "ENTITIES_MERGED", "uris": ["u/1"], "id": "5"},
+        {"type": "ENTITIES_MERGED", "id": "6"},
+        {"type": "ENTITIES_MERGED", "uris": [{}, 1], "id": "7"},
+    )
+    run()
+    assert seen == {0: {"ok": 1, "read": 2}, 1: {"ok": 3, "read": 2}}
+    notify(source, "c", {"type": "Y", "id": "1"})
+    run()
+    assert seen[2] == {"ok": 1}
+    errors = sorted(r.value for r in spark.read.text(paths.read_errors).collect())
+    assert [e for e in errors if not e.startswith("{")] == ["junk"]
+    assert len(errors) == 4
+    log = spark.read.parquet(paths.resources).drop("batch_id")
+    kinds = {r.id: json.loads(r.body).get("kind", "-") for r in current_resources(log).collect()}
+    assert kinds == {"1": "-", "3": "HCP", "4": None, "5": "-"}
+    assert read_resource(log, "Basic", "1").first().version == 2
+    assert spark.read.parquet(paths.bundles).count() == 5
+
+
+def refuse_three():
+    def send(batch):
+        status = [422 if '"3"' in o else 200 for o in batch["output"]]
+        return batch.assign(status=status, reply="unprocessable")
+
+    return send
+
+
+def test_message_feed_with_a_client(spark, types, tmp_path):
+    paths = FeedPaths.below(str(tmp_path / "out"))
+    notify(tmp_path / "in", "a", {"type": "X", "id": "1"}, {"type": "X", "id": "3"}, "junk")
+    seen = {}
+    start_message_feed(
+        text_files(spark, str(tmp_path / "in")), types, MAPPING, paths, trigger=TO_END,
+        on_counts=seen.__setitem__, client=refuse_three,
+    ).awaitTermination()
+    assert seen == {0: {"ok": 1, "write": 1, "read": 1}}
+    (failed,) = [json.loads(r.value) for r in spark.read.text(paths.write_errors).collect()]
+    assert (failed["statusCode"], failed["message"]) == (422, "unprocessable")
+    assert spark.read.parquet(paths.resources).count() == 1
+
+
+def test_imaging_feed(spark, rows, tmp_path):
+    store = "p/a/l/b/d/c/s/d"
+    instances = rows(
+        [(store, "s1", str(i), json.dumps({"00080018": {"Value": [i]}})) for i in (2, 1)],
+        "dicom_store_path string, study_id string, instance_id string, metadata string",
+    )
+    mapping = Mapping(
+        [const("", "resourceType", "ImagingStudy"),
+         copy("", "first", "$.study[0]['00080018'].Value[0]")]
+    )
+    paths = FeedPaths.below(str(tmp_path / "out"))
+    one = f"{store}/dicomWeb/studies/s1/series/x/instances/"
+    notify(tmp_path / "in", "a", one + "1", one + "2", one.replace("s1", "s2") + "1", "foo")
+    stream = text_files(spark, str(tmp_path / "in")).select(F.encode("value", "UTF-8").alias("value"))
+    seen = {}
+    start_imaging_feed(
+        stream, lambda: instances, mapping, paths, trigger=TO_END, on_counts=seen.__setitem__
+    ).awaitTermination()
+    assert seen == {0: {"ok": 1, "read": 2}}
+    (bundle,) = [json.loads(r.bundle) for r in spark.read.parquet(paths.bundles).collect()]
+    assert bundle["entry"][0]["resource"] == {"resourceType": "ImagingStudy", "first": 1}
+    assert bundle["entry"][0]["request"] == {"method": "PUT", "url": "ImagingStudy"}
+    assert {r.value for r in spark.read.text(paths.read_errors).collect()} == {
+        "foo", one.replace("s1", "s2") + "1",
+    }
+    assert len(list((tmp_path / "out" / "read_errors").rglob("part-*.txt"))) == 1
+
+
+def test_error_sink_writes_new_rows_only(spark, tmp_path):
+    for name in "ab":
+        notify(tmp_path / "in", name, f"line {name}")
+        start_error_sink(
+            text_files(spark, str(tmp_path / "in")), str(tmp_path / "e"), str(tmp_path / "c"),
+            shards=2, trigger=TO_END,
+        ).awaitTermination()
+        got = spark.read.text(str(tmp_path / "e")).collect()
+    assert sorted((r.batch_id, r.value) for r in got) == [(0, "line a"), (1, "line b")]
+
+
+def test_the_default_trigger_fires_repeatedly(spark, tmp_path):
+    notify(tmp_path / "in", "a", "x")
+    q = start_error_sink(
+        text_files(spark, str(tmp_path / "in")), str(tmp_path / "e"), str(tmp_path / "c"), shards=1
+    )
+    try:
+        q.processAllAvailable()
+        notify(tmp_path / "in", "b", "y")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "e")).collect()) == ["x", "y"]
+
+
+def test_windows_close_and_late_rows_are_left_out(spark, tmp_path):
+    def put(name, *seconds):
+        start = dt.datetime(2024, 1, 1)
+        notify(tmp_path / "in", name,
+               *[(start + dt.timedelta(seconds=s)).isoformat() for s in seconds])
+    
+    def run():
+        lines = text_files(spark, str(tmp_path / "in"), per_trigger=1)
+        timed_lines = lines.select(F.col("value").cast("timestamp").alias("ts"),
+                                   F.lit("s").alias("step"))
+        closed_error_windows(timed_lines, "ts", "step").writeStream.format("parquet").option(
+            "path", str(tmp_path / "w")
+        ).option("checkpointLocation", str(tmp_path / "c")).trigger(**TO_END).start(
+        ).awaitTermination()
+        got = spark.read.parquet(str(tmp_path / "w")).collect()
+        return sorted((r.window_start.second, r.n_errors) for r in got)
+
+    put("a", 0, 1, 6, 11)
+    assert run() == [(0, 2), (5, 1)]
+    put("b", 2, 12, 16)
+    assert run() == [(0, 2), (5, 1), (10, 2)]
+
+
+def test_export_job_writes_both_outputs_then_removes_files(spark, tmp_path):
+    good = {"name": "n", "data": "d", "sendTime": "2024-01-02T00:00:00Z", "labels": {"a": "b"},
+            "createTime": "2024-01-01T00:00:00Z", "schematizedData": {"data": "s"}}
+    early = {**good, "sendTime": "2024-01-01T00:00:00Z"}
+    edge = {**good, "sendTime": "2024-01-03T00:00:00Z"}
+    broken = [{**good, "schematizedData": {"error": "e"}}, {"name": "x"}, "junk", [],
+              {**good, "schematizedData": None}]
+    notify(tmp_path / "x", "1", good, early, *broken)
+    notify(tmp_path / "x", "2", edge)
+    read_export(spark, f"{tmp_path}/x/", str(tmp_path / "m"), str(tmp_path / "r"),
+                "2024-01-02T00:00:00Z", "2024-01-03T00:00:00Z")
+    (r,) = spark.read.parquet(str(tmp_path / "m")).collect()
+    assert (r.name, r.data, r.schematized_data, r.labels) == ("n", "d", "s", {"a": "b"})
+    assert r.create_time == dt.datetime(2024, 1, 1)
+    assert spark.read.text(str(tmp_path / "r")).count() == 5
+    assert list((tmp_path / "x").iterdir()) == []
+
+
+def test_open_export_range(spark, rows, tmp_path):
+    notify(tmp_path / "x", "1", {"schematizedData": {}, "sendTime": "2024-01-01T00:00:00Z"})
+    parsed, _ = split_ok(parse_messages(export_lines(spark, str(tmp_path / "x"))))
+    assert export_range(parsed, "", None).count() == 1
+
+
+def test_import_structures(rows):
+    lines = ['{"resourceType":"A","id":"1"}', "{}", "junk"]
+    got = import_resources(rows(lines, "value string")).collect()
+    assert [(r.resource_type, r.ok) for r in got] == [("A", True), (None, False), (None, False)]
+    bundle = '{"entry":[{"resource":{"resourceType":"A","id":"1"}},{"resource":{"x":1}}]}'
+    got = import_resources(rows([bundle], "value string"), BUNDLE_PER_LINE).collect()
+    assert [(r.resource_type, r.ok) for r in got] == [("A", True), (None, False)]
+    with pytest.raises(ValueError, match="structure"):
+        import_resources(rows([bundle], "value string"), "X")
+
+
+def test_form_payload(rows):
+    answers = {q: [f"{k}1", "second"] for k, q in QUESTIONS.items()}
+    answers["Date of Birth (MM/DD/YYYY)"] = ["3/7/1980"]
+    del answers["Middle Name"]
+    answers["Sex"] = []
+    df = rows([(answers,)], "named_values map<string,array<string>>")
+    got = json.loads(form_payload(df).first().payload)
+    assert got["dob"] == "1980-03-07"
+    assert got["fname"] == "fname1"
+    assert set(QUESTIONS) - set(got) == {"mname", "sex"}
+    assert len(QUESTIONS) == 16
+
+
+@pytest.mark.parametrize("n", [0, 1, 4])
+def test_segments_round_trip(rows, n):
+    segments = [{"segmentId": f"S{i}", "fields": {str(f): f"v{f}" for f in range(i)}}
+                for i in range(n)]
+    text = json.dumps({"segments": segments})
+    df = rows([text], "t string")
+    again = df.select(F.to_json(parse_segments(F.col("t")))).first()[0]
+    assert json.loads(again) == json.loads(text)
+    assert flatten_segments(df, "t", []).count() == n
+
+
+def test_large_messages_come_in_parts(spark):
+    df = spark.range(0, 90, 1, 6).select(
+        F.when(F.col("id") < 60, 0).otherwise(1).alias("m"), F.col("id").alias("pos")
+    )
+    fields = F.create_map(F.lit("1"), F.col("pos").cast("string"))
+    nested = nest_segments(df, ["m"], ["pos"], F.lit("S"), fields, limit=20)
+    flat = flatten_segments(nested, "parsed", ["m", "part"])
+    assert sorted(int(r.fields["1"]) for r in flat.collect()) == list(range(90))
+    assert nested.filter("m = 0").count() > 1
+
+
+def test_observed_metrics(rows):
+    df = rows([(True, 5), (False, None), (True, 7)], "ok boolean, ms long")
+    observed, observation = observe_outcomes(df, "m", millis=F.col("ms"))
+    observed.collect()
+    assert observation.get == {
+        "n_ok": 2, "n_failed": 1, "n": 2, "sum_ms": 12, "min_ms": 5, "max_ms": 7,
+    }
+
+
+def test_timed():
+    taken = []
+    assert timed(lambda: "x", taken.append) == "x"
+    assert len(taken) == 1
+    with pytest.raises(ZeroDivisionError):
+        timed(lambda: 1 / 0, taken.append)
+    assert len(taken) == 1
