@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinflow.operators.lookups import lookup_join
+from clinflow.operators.lookups import sampled_counts
 
 MAX_MEMBERS = 10_000
 MAX_PINNED_GROUPS = 10_000
@@ -25,24 +27,42 @@ def part_of(df: DataFrame, size: Column, limit: int = MAX_MEMBERS) -> Column:
     return F.when(size > limit, spread).otherwise(F.lit(0))
 
 
-def with_parts(
-    df: DataFrame, keys: list[str], limit: int = MAX_MEMBERS, **limits: int
-) -> DataFrame:
-    """Add ``part`` to each row; see ``part_of``.
+def _same_keys(keys: list[str]) -> Column:
+    return reduce(Column.__and__, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+
 
-    Group sizes combine before their shuffle. They are taken now, as mostly no group is too large.
+def large_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
+    """The groups of more than ``limit`` rows, with their size ``_n``; None if there are none.
+
+    A sample names the candidates, which are few, and only their rows are counted exactly. So the
+    keys of the many small groups are not shuffled; where candidates are not few, all groups are
+    counted.
     """
-    large = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    )
-    rows = large.limit(MAX_PINNED_GROUPS + 1).collect()
+    sizes = F.count(F.lit(1)).alias("_n")
+    candidates = sampled_counts(df, keys, limit).filter(F.col("_n") > limit / 2).select(*keys)
+    rows = candidates.limit(MAX_PINNED_GROUPS + 1).collect()
     if not rows:
+        return None
+    if len(rows) > MAX_PINNED_GROUPS:
+        return df.groupBy(*keys).agg(sizes).filter(F.col("_n") > limit)
+    pinned = F.broadcast(df.sparkSession.createDataFrame(rows, candidates.schema))
+    chosen = df.select(*keys).alias("a").join(pinned.alias("b"), _same_keys(keys), "left_semi")
+    counted = chosen.groupBy(*keys).agg(sizes).filter(F.col("_n") > limit)
+    exact = counted.collect()
+    if not exact:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(exact, counted.schema))
+
+
+def with_parts(df: DataFrame, keys: list[str], limit: int = MAX_MEMBERS) -> DataFrame:
+    """Add ``part`` to each row; see ``part_of``. Large groups are found now; mostly there are none.
+
+    Rows without a key are a group as well.
+    """
+    large = large_groups(df, keys, limit)
+    if large is None:
         return df.withColumn("part", F.lit(0))
-    if len(rows) <= MAX_PINNED_GROUPS:
-        pinned = df.sparkSession.createDataFrame(rows, large.schema)
-        sized = df.join(F.broadcast(pinned), keys, "left")
-    else:
-        sized = lookup_join(df, large, keys, **limits)
+    sized = df.alias("a").join(large.alias("b"), _same_keys(keys), "left").select("a.*", "b._n")
     return sized.withColumn("part", part_of(df, F.col("_n"), limit)).drop("_n")
 
 

@@ -34,7 +34,6 @@ def nest_segments(
     segment_id: Column,
     fields: Column,
     limit: int = MAX_MEMBERS,
-    **limits: int,
 ) -> DataFrame:
     """Segments of a message back into its JSON form, in the given order.
 
@@ -45,7 +44,7 @@ def nest_segments(
         segment_id.alias("segmentId"),
         F.map_entries(fields).alias("fields"),
     )
-    grouped = collect_parts(with_parts(df, keys, limit, **limits), keys, member, "_members")
+    grouped = collect_parts(with_parts(df, keys, limit), keys, member, "_members")
     segments = F.transform(
         "_members",
         lambda m: F.struct(

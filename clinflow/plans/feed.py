@@ -20,7 +20,6 @@ from clinflow.operators.outcomes import checked, error_entry, split_ok
 from clinflow.plans.inputs import (
     NOTIFICATIONS_SQL,
     entity_type_table,
-    event_notifications,
     notifications,
 )
 from clinflow.plans.registry import query
@@ -30,7 +29,7 @@ from clinflow.session import table
 ROUTED_SQL = f"""
 WITH {NOTIFICATIONS_SQL},
 gated AS (
-  SELECT rid, value, CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END
+  SELECT source, rid, value, CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END
     AS is_object FROM notifications),
 typed AS (
   SELECT *, CASE WHEN is_object THEN json_extract_string(value, '$.type') END AS type,
@@ -155,17 +154,10 @@ def message_feed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     "A1",
     ROUTED_SQL
     + """
-SELECT CASE substr(rid, 1, 1) WHEN 'e' THEN 'events' ELSE 'documents' END AS step,
-       count(*) FILTER (ok) AS n_ok, count(*) FILTER (NOT ok) AS n_failed
-FROM routed GROUP BY 1
+SELECT source AS step, count(*) FILTER (ok) AS n_ok, count(*) FILTER (NOT ok) AS n_failed
+FROM routed GROUP BY source
 """,
 )
 def stage_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = route_by_type(notifications(spark, sf_dir))
-    step = F.when(F.col("rid").startswith("e"), "events").otherwise("documents")
-    return count_by_step(routed.withColumn("step", step))
-
-
-def feed_stream(events: DataFrame) -> DataFrame:
-    """The event notifications as the message feed reads them: one line of text each."""
-    return event_notifications(events).select("value")
+    return count_by_step(routed, step="source").withColumnRenamed("source", "step")

@@ -22,7 +22,7 @@ def text_of(*parts):
 
 NOTIFICATIONS_SQL = """
 notifications AS (
-  SELECT 'e' || event_id AS rid, CASE event_type
+  SELECT 'events' AS source, 'e' || event_id AS rid, CASE event_type
     WHEN 'signup' THEN '{"type":"ENTITIES_MERGED","id":' || event_id || ',"uris":["entities/' || user_id || '","entities/' || event_id || '"]}'
     WHEN 'view' THEN '{"type":"ENTITIES_MERGED","id":' || event_id || ',"uris":["entities/' || user_id || '"]}'
     WHEN 'click' THEN ' { "type" : "CLICK NOW" ,' || chr(10) || ' "id" : ' || event_id || ' , "props" : ' || props || ' } '
@@ -30,7 +30,7 @@ notifications AS (
     ELSE '{"type":null,"id":' || event_id || '}' END AS value
   FROM events
   UNION ALL
-  SELECT 'd' || doc_id, text FROM documents),
+  SELECT 'documents', 'd' || doc_id, text FROM documents),
 types AS (
   SELECT 'entities/' || c_custkey AS uri, c_mktsegment AS entity_type
   FROM customer WHERE c_acctbal >= 0)
@@ -62,9 +62,19 @@ def document_notifications(documents: DataFrame) -> DataFrame:
     return documents.select(text_of("d", F.col("doc_id")).alias("rid"), F.col("text").alias("value"))
 
 
+def united_notifications(events: DataFrame, documents: DataFrame) -> DataFrame:
+    return (
+        event_notifications(events)
+        .withColumn("source", F.lit("events"))
+        .unionByName(
+            document_notifications(documents).withColumn("source", F.lit("documents"))
+        )
+    )
+
+
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_notifications(table(spark, sf_dir, "events")).unionByName(
-        document_notifications(table(spark, sf_dir, "documents"))
+    return united_notifications(
+        table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clinflow.operators.lookups import entity_types
 from clinflow.operators.metrics import timed
 from clinflow.plans.errors import WINDOWS_SQL
-from clinflow.plans.feed import FEED_MAPPING, FEED_SQL, feed_stream
+from clinflow.plans.feed import FEED_MAPPING, FEED_SQL
 from clinflow.plans.inputs import (
     EXPORTED_SQL,
     MESSAGES_SQL,
@@ -17,6 +17,7 @@ from clinflow.plans.inputs import (
     instance_metadata,
     instance_paths,
     messages,
+    united_notifications,
 )
 from clinflow.plans.registry import query
 from clinflow.plans.studies import IMAGING_MAPPING, STUDIES_SQL
@@ -34,37 +35,36 @@ from clinflow.streaming.windows import closed_error_windows
 _TO_END = {"availableNow": True}
 
 
-@query(
-    "T7 S1 W4 W5 T2 T4 T6",
-    FEED_SQL + "SELECT output AS bundle FROM outcomes WHERE failed_stage IS NULL",
-)
-def stream_message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _run_message_feed(spark: SparkSession, sf_dir: str) -> FeedPaths:
     paths = FeedPaths.below(work_dir(spark, "message-feed"))
+    events, documents = (stream_table(spark, sf_dir, t) for t in ("events", "documents"))
     start_message_feed(
-        feed_stream(stream_table(spark, sf_dir, "events")),
+        united_notifications(events, documents).select("value"),
         entity_types(entity_type_table(spark, sf_dir)),
         FEED_MAPPING,
         paths,
         trigger=_TO_END,
     ).awaitTermination()
+    return paths
+
+
+@query(
+    "T7 S1 W4 W5 T2 T4 T6",
+    FEED_SQL + "SELECT output AS bundle FROM outcomes WHERE failed_stage IS NULL",
+)
+def stream_message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _run_message_feed(spark, sf_dir)
     return spark.read.parquet(paths.bundles).select("bundle")
 
 
 @query(
     "T7 W6 W9 T4",
-    FEED_SQL
-    + "SELECT trim(value) AS value FROM routed WHERE NOT ok AND rid LIKE 'e%'",
+    FEED_SQL + "SELECT unnest(string_split(value, chr(10))) AS value FROM routed WHERE NOT ok",
 )
 def stream_read_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = FeedPaths.below(work_dir(spark, "message-errors"))
-    start_message_feed(
-        feed_stream(stream_table(spark, sf_dir, "events")),
-        entity_types(entity_type_table(spark, sf_dir)),
-        FEED_MAPPING,
-        paths,
-        trigger=_TO_END,
-    ).awaitTermination()
-    return spark.read.text(paths.read_errors).select("value")
+    """The raw texts, line by line, as a text that has several lines fills several in the file."""
+    paths = _run_message_feed(spark, sf_dir)
+    return spark.read.option("lineSep", "\n").text(paths.read_errors).select("value")
 
 
 @query(

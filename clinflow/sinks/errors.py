@@ -14,25 +14,28 @@ IMAGING_FEED_SHARDS = 1
 WRITE_STEP = "WriteErrors"
 
 MAX_ROWS_PER_SHARD = 1_000_000
+MAX_BYTES_PER_SHARD = 256 * 1024 * 1024
 
 
-def shard_count(rows: int, shards: int) -> int:
-    """As many shards as asked for, and more once one would hold too many rows."""
+def shard_count(rows: int, size: int, shards: int) -> int:
+    """As many shards as asked for, and more once one would hold too many rows or bytes."""
     if shards < 1:
         raise ValueError("at least one shard is needed")
-    return max(shards, -(-rows // MAX_ROWS_PER_SHARD))
+    return max(shards, -(-rows // MAX_ROWS_PER_SHARD), -(-size // MAX_BYTES_PER_SHARD))
 
 
 def json_lines(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_text_shards(
-    lines: DataFrame, path: str, batch_id: int, shards: int, rows: int | None = None
-) -> None:
+def write_text_shards(lines: DataFrame, path: str, batch_id: int, shards: int) -> None:
     """One batch of error lines in ``shards`` files; a repeated batch replaces itself."""
-    n = shard_count(lines.count() if rows is None else rows, shards)
-    lines.repartition(n).write.mode("overwrite").text(batch_path(path, batch_id))
+    held = lines.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length(lines.columns[0])), F.lit(0)).alias("size"),
+    ).first()
+    spread = lines.repartition(shard_count(held["rows"], held["size"], shards))
+    spread.write.mode("overwrite").text(batch_path(path, batch_id))
 
 
 def write_error_entries(

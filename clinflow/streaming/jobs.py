@@ -115,7 +115,8 @@ def _write_outcomes(
             (WRITE, paths.write_errors, json_lines(failed_bodies(failed[WRITE], status=status))),
         )
         for stage, path, lines in dead_letters:
-            write_text_shards(lines, path, batch_id, shards, counts.get(stage, 0))
+            if counts.get(stage):
+                write_text_shards(lines, path, batch_id, shards)
         if on_counts is not None:
             on_counts(batch_id, counts)
     finally:
@@ -217,7 +218,11 @@ def start_error_sink(
     """A stream of error lines (``value``) as text shards, new rows only."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_text_shards(batch.select("value"), path, batch_id, shards)
+        kept = batch.select("value").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_text_shards(kept, path, batch_id, shards)
+        finally:
+            kept.unpersist()
 
     return _start(lines, run, checkpoint, trigger)
 
@@ -232,7 +237,11 @@ def start_ingest(
     """A stream of messages into a store, the rejected ones beside it."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_batch(ingest_messages(batch, store, batch_id), rejects, batch_id)
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(ingest_messages(kept, store, batch_id), rejects, batch_id)
+        finally:
+            kept.unpersist()
 
     return _start(messages, run, checkpoint, trigger)
 

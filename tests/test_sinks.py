@@ -11,6 +11,7 @@ from clinflow.schemas import IO_ERROR_ROW
 from clinflow.sinks.bundles import check_bundles, execute_bundles, post_bundles, resource_rows
 from clinflow.sinks.errors import (
     IMAGING_FEED_SHARDS,
+    MAX_BYTES_PER_SHARD,
     MAX_ROWS_PER_SHARD,
     MESSAGE_FEED_SHARDS,
     shard_count,
@@ -30,11 +31,12 @@ def files(path):
 
 def test_shard_defaults_and_growth():
     assert (MESSAGE_FEED_SHARDS, IMAGING_FEED_SHARDS) == (10, 1)
-    assert shard_count(0, 1) == 1
-    assert shard_count(5, 10) == 10
-    assert shard_count(3 * MAX_ROWS_PER_SHARD + 1, 1) == 4
+    assert shard_count(0, 0, 1) == 1
+    assert shard_count(5, 50, 10) == 10
+    assert shard_count(3 * MAX_ROWS_PER_SHARD + 1, 0, 1) == 4
+    assert shard_count(3, 7 * MAX_BYTES_PER_SHARD, 2) == 7
     with pytest.raises(ValueError, match="shard"):
-        shard_count(1, 0)
+        shard_count(1, 1, 0)
 
 
 def test_shards_and_repeated_batches(spark, tmp_path):
