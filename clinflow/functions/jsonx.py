@@ -14,7 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_STRING_OR_SPACE = r'("(?:[^"\\]|\\.)*+")|\s+'
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+_STRING_OR_SPACE = rf"({_STRING})|\s+"
+# A null member after another one, null members at the start of an object, or a string to keep.
+_NULL_MEMBER_OR_STRING = (
+    rf",{_STRING}:null(?=[,}}])|(?<=\{{)(?:{_STRING}:null(?:,|(?=\}})))++|({_STRING})"
+)
 
 
 def _wrapped(text: Column) -> Column:
@@ -73,6 +78,14 @@ def compact(text: Column) -> Column:
     ).otherwise(text)
 
 
+def without_nulls(text: Column) -> Column:
+    """Compact text without the object members that are null; nulls in arrays stay."""
+    return F.when(
+        F.contains(text, F.lit(":null")),
+        F.regexp_replace(text, F.lit(_NULL_MEMBER_OR_STRING), F.lit("$1")),
+    ).otherwise(text)
+
+
 def quoted(text: Column) -> Column:
     """The text as a JSON string literal, or the literal ``null``."""
     listed = F.to_json(F.array(text))
@@ -137,8 +150,8 @@ def set_field(text: Column, doc: Column, key: str, value: Column) -> Column:
 
 
 def array_wrap(text: Column, key: str) -> Column:
-    """``{"key":[…]}`` around a checked array text."""
-    return F.concat(F.lit(f'{{"{key}":'), compact(text), F.lit("}"))
+    """``{"key":[…]}`` around a checked array text; null members are dropped."""
+    return F.concat(F.lit(f'{{"{key}":'), without_nulls(compact(text)), F.lit("}"))
 
 
 def parse_error_text(doc: Column) -> Column:

@@ -109,11 +109,12 @@ def lookup_join(
     """Equi join on a reference table with one row per key.
 
     ``small`` tells what is known already about the size of ``right``. Finding hot keys reads the
-    keys of ``left`` once more, now; with ``hot_rows=None`` that is left to the adaptive skew join.
+    keys of ``left`` once more, now; with ``hot_rows=None``, and on streams outside of a
+    ``foreachBatch``, that is left to Spark.
     """
     if is_small(right, broadcast_bytes) if small is None else small:
         return left.join(F.broadcast(right), on, how)
-    if hot_rows is None:
+    if hot_rows is None or left.isStreaming:
         return left.join(right, on, how)
     return spread_join(left, right, on, how, hot_rows)
 

@@ -231,8 +231,9 @@ def bundle_text(kind: str, entries: list[Column]) -> Column:
 
 
 def batch_bundle(resource: Column, url: Column | str) -> Column:
-    """A checked resource text as a batch bundle with one PUT entry."""
-    return bundle_text("batch", [bundle_entry(jsonx.compact(resource), url)])
+    """A checked resource text as a batch bundle with one PUT entry; null members are dropped."""
+    text = jsonx.without_nulls(jsonx.compact(resource))
+    return bundle_text("batch", [bundle_entry(text, url)])
 
 
 def bundle_stage(df: DataFrame, resource: str, url: str, step: str = "CreateBundle") -> DataFrame:

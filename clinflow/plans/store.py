@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinflow.functions.times import earliest_default, latest_default
 from clinflow.operators.lookups import fetch_by_id
+from clinflow.operators.metrics import count_by_step
 from clinflow.operators.outcomes import split_ok, to_io_error_rows
 from clinflow.operators.resources import current_messages
 from clinflow.operators.store import (
@@ -420,6 +423,29 @@ def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select("dataElement", "message", "statusCode")
 
 
+@query(
+    "A1 P13",
+    f"""{_PARSED_SQL},
+{_FETCH_SQL.strip().removeprefix("WITH ")},
+{_INGEST_SQL.strip().removeprefix("WITH ")}
+SELECT 'ParseMessage' AS step, count(*) FILTER (event_type IN ('click', 'view', 'purchase')) AS n_ok,
+       count(*) FILTER (event_type IS NULL OR event_type IN ('signup', 'error')) AS n_failed FROM lines
+UNION ALL
+SELECT 'FetchMessage', count(*) FILTER (found), count(*) FILTER (NOT found) FROM fetched
+UNION ALL
+SELECT 'IngestMessages', count(*) FILTER (data <> ''), count(*) FILTER (data = '') FROM sent""",
+)
+def feed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that passed and failed, for each stage that reads or writes them."""
+    stages = {
+        "ParseMessage": parse_messages(export_values(spark, sf_dir)),
+        "FetchMessage": _parts_by_line(spark, sf_dir).withColumnRenamed("found", "ok"),
+        "IngestMessages": ingest_checked(_sent_messages(spark, sf_dir)),
+    }
+    named = [df.select("ok", F.lit(step).alias("step")) for step, df in stages.items()]
+    return count_by_step(reduce(DataFrame.unionByName, named))
+
+
 @query(
     "W2 S7",
     f"""{_WITH} SELECT store, name, data, schematized_data, '{{"user":"' || user_label || '"}}' AS labels

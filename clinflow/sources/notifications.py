@@ -10,11 +10,25 @@ from pyspark.sql import functions as F
 from clinflow.functions.text import utf8_text
 
 
-def text_files(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
-    """One notification per line of the files that arrive in a folder."""
+def text_files(
+    spark: SparkSession,
+    path: str,
+    per_trigger: int | None = None,
+    done: str | None = None,
+    archive: str | None = None,
+) -> DataFrame:
+    """One notification per line of the files that arrive in a folder.
+
+    ``done`` says what becomes of a file once its batch is complete: ``delete``, or ``archive`` to
+    move it below ``archive``.
+    """
     reader = spark.readStream.format("text")
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
+    if done is not None:
+        reader = reader.option("cleanSource", done)
+    if archive is not None:
+        reader = reader.option("sourceArchiveDir", archive)
     return reader.load(path).select("value")
 
 

@@ -125,3 +125,21 @@ def test_study_wrap_golden(rows):
     df = rows([f"[{first},{second}]\n"], "s string")
     got = df.select(jsonx.array_wrap(F.col("s"), "study")).first()[0]
     assert got == f'{{"study":[{first},{second}]}}'
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ('{"a":null}', "{}"),
+        ('{"a":null,"b":null,"c":1}', '{"c":1}'),
+        ('{"c":1,"a":null,"b":null}', '{"c":1}'),
+        ('{"a":null,"c":{"x":null,"y":[null,{"z":null}]},"b":null}', '{"c":{"y":[null,{}]}}'),
+        ('{"a,":":null,","b":null}', '{"a,":":null,"}'),
+        ('{"a":"{\\"b\\":null}","c":"x\\\\"}', '{"a":"{\\"b\\":null}","c":"x\\\\"}'),
+        ('[null,{"k\\":null":null}]', "[null,{}]"),
+        ('{"a":"null","b":nullx}', '{"a":"null","b":nullx}'),
+    ],
+)
+def test_without_nulls(rows, text, expected):
+    got = rows([text], "s string").select(jsonx.without_nulls(F.col("s"))).first()[0]
+    assert got == expected

@@ -8,6 +8,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from clinflow.operators.feed import enrich_merged, route_by_type
 from clinflow.operators.mapping import Mapping, const, copy, nest
 from clinflow.operators.metrics import observe_outcomes, timed
 from clinflow.operators.resources import current_resources, read_resource
@@ -283,3 +284,41 @@ def test_timed():
     with pytest.raises(ZeroDivisionError):
         timed(lambda: 1 / 0, taken.append)
     assert len(taken) == 1
+
+
+def test_routing_and_lookup_on_a_stream(spark, types, tmp_path):
+    """The operators work on a stream itself too, not only inside a batch function."""
+    notify(
+        tmp_path / "in", "a",
+        {"type": "ENTITIES_MERGED", "uris": ["u/1", "u/2"]}, {"type": "X"}, "junk",
+    )
+    routed = route_by_type(text_files(spark, str(tmp_path / "in")))
+    enriched = enrich_merged(routed, types).select("ok", "message")
+    enriched.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "c")
+    ).trigger(**TO_END).start().awaitTermination()
+    got = {(r.ok, r.message) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {
+        (True, '{"type":"ENTITIES_MERGED","uris":["u/1","u/2"],"mergedEntityType":"HCP"}'),
+        (True, '{"type": "X"}'),
+        (False, "junk"),
+    }
+
+
+@pytest.mark.parametrize("done", ["delete", "archive"])
+def test_files_are_cleaned_once_their_batch_is_complete(spark, tmp_path, done):
+    spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
+    try:
+        for name in "abc":
+            notify(tmp_path / "in", name, name)
+        archive = str(tmp_path / "old") if done == "archive" else None
+        lines = text_files(spark, str(tmp_path / "in"), 1, done, archive)
+        start_error_sink(
+            lines, str(tmp_path / "e"), str(tmp_path / "c"), shards=1, trigger=TO_END
+        ).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.fileSource.cleaner.numThreads")
+    left = {p.name for p in (tmp_path / "in").iterdir() if not p.name.startswith(".")}
+    assert "a" not in left
+    assert spark.read.text(str(tmp_path / "e")).count() == 3
+    assert (tmp_path / "old").exists() == (done == "archive")
