@@ -38,23 +38,18 @@ def once(value: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, value)
 
 
-def _single(wrapped: Column, text: Column) -> Column:
-    whole = (
-        F.try_variant_get(wrapped, "$[1]", "bigint") == F.xxhash64(text)
-    ) & F.try_variant_get(wrapped, "$[2]", "variant").isNull()
-    return F.when(whole, F.try_variant_get(wrapped, "$[0]", "variant"))
-
-
-def document(text: Column) -> Column:
-    """The text as VARIANT if it is exactly one JSON value, else null."""
-    return _single(_wrapped(text), text)
-
-
 def with_document(df: DataFrame, text: str, out: str = "doc") -> DataFrame:
-    """Add the parsed document, which is parsed once per row whatever is made of it."""
+    """Add the text as VARIANT if it is exactly one JSON value, else null.
+
+    It is parsed once per row whatever is made of it.
+    """
     kept = [c for c in df.columns if c != out]
     wrapped = df.select(*kept, once(_wrapped(F.col(text))).alias("_wrapped"))
-    return wrapped.select(*kept, once(_single(F.col("_wrapped"), F.col(text))).alias(out))
+    whole = (
+        F.try_variant_get("_wrapped", "$[1]", "bigint") == F.xxhash64(F.col(text))
+    ) & F.try_variant_get("_wrapped", "$[2]", "variant").isNull()
+    first = F.when(whole, F.try_variant_get("_wrapped", "$[0]", "variant"))
+    return wrapped.select(*kept, once(first).alias(out))
 
 
 def is_json(doc: Column) -> Column:

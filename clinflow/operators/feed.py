@@ -83,9 +83,9 @@ def feed_outcomes(
     """
     routed = enrich_merged(route_by_type(notifications, value), types, value, **limits)
     looked = F.col("ok") & F.col("uri").isNotNull()
-    current = routed.withColumn(
-        "doc", F.when(looked, jsonx.document(F.col("message"))).otherwise(F.col("doc"))
-    ).withColumnsRenamed({"ok": "_read_ok", "error": "_read_error"})
+    # An enriched text was made here from a checked one, so it needs no gate.
+    reparsed = F.when(looked, F.try_parse_json("message")).otherwise(F.col("doc"))
+    current = routed.withColumn("doc", jsonx.once(reparsed)).withColumnsRenamed({"ok": "_read_ok", "error": "_read_error"})
     mapped = map_stage(wrap_message(current, "message"), mapping, doc="doc")
     staged = mapped.withColumnsRenamed({"ok": "_map_ok", "error": "_map_error"})
     stage = F.when(~F.col("_read_ok"), READ).when(~F.col("_map_ok"), MAPPING)

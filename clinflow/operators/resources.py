@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.functions.jsonx import once
+
 _FIELD = re.compile(r"[A-Za-z_][\w-]*(\.[A-Za-z_][\w-]*|\[\d+\])*")
 
 
@@ -44,7 +46,7 @@ def search_resources(
     for field in parameters:
         if not _FIELD.fullmatch(field):
             raise ValueError(f"bad search field {field!r}")
-    parsed = found.withColumn("_doc", F.try_parse_json("body"))
+    parsed = found.withColumn("_doc", once(F.try_parse_json("body")))
     for field, value in parameters.items():
         parsed = parsed.filter(F.try_variant_get("_doc", f"$.{field}", "string") == value)
     return parsed.drop("_doc")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinflow.functions.text import utf8_text
@@ -38,18 +38,23 @@ def topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     Needs Spark's Kafka package on the class path.
     """
     raw = spark.readStream.format("kafka").options(includeHeaders="true", **options).load()
-    entries = F.transform(
-        F.coalesce("headers", F.array()),
-        lambda h: F.struct(h["key"].alias("key"), utf8_text(h["value"]).alias("value")),
-    )
-    last = F.aggregate(
-        entries,
-        F.create_map().cast("map<string,string>"),
-        lambda m, e: F.map_concat(
-            F.map_filter(m, lambda k, _: k != e["key"]), F.create_map(e["key"], e["value"])
+    return raw.select("value", attributes(F.col("headers")).alias("attributes"))
+
+
+def attributes(headers: Column) -> Column:
+    """Message headers, an array of key and binary value, as a map; of equal keys the last holds."""
+    given = F.coalesce(headers, F.array().cast("array<struct<key:string,value:binary>>"))
+    keys = F.transform(given, lambda h: h["key"])
+    latest = F.transform(
+        F.array_distinct(keys),
+        lambda k: F.struct(
+            k.alias("key"),
+            utf8_text(F.element_at(F.filter(given, lambda h: h["key"] == k), -1)["value"]).alias(
+                "value"
+            ),
         ),
     )
-    return raw.select("value", last.alias("attributes"))
+    return F.map_from_entries(latest)
 
 
 def payload_text(df: DataFrame, payload: str = "value", out: str = "value") -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clinflow.functions import text, times
 from clinflow.functions.webpath import with_web_path
-from clinflow.sources.notifications import payload_text
+from clinflow.sources.notifications import attributes, payload_text
 
 GOLDEN = (
     "projects/foo/location/earth/datasets/bar/dicomStores/fee/dicomWeb/"
@@ -85,3 +85,10 @@ def test_text(rows):
     )
     assert r.g == "a/b/*"
     assert r.b == "w6nDqcOp" * 33 + "w6k="
+
+
+def test_headers_become_attributes(rows):
+    pairs = [("a", bytearray(b"1")), ("b", bytearray(b"2")), ("a", bytearray(b"3"))]
+    df = rows([(pairs,), (None,)], "headers array<struct<key:string,value:binary>>")
+    got = [r.m for r in df.select(attributes(F.col("headers")).alias("m")).collect()]
+    assert got == [{"a": "3", "b": "2"}, {}]
