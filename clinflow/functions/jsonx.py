@@ -11,11 +11,15 @@ inside it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# White space of JSON; other white space outside strings is an error.
+_SPACES = " \n\r\t"
 _STRING = r'"(?:[^"\\]|\\.)*+"'
-_STRING_OR_SPACE = rf"({_STRING})|\s+"
+_STRING_OR_SPACE = rf"({_STRING})|[{_SPACES}]+"
 # A null member after another one, null members at the start of an object, or a string to keep.
 _NULL_MEMBER_OR_STRING = (
     rf",{_STRING}:null(?=[,}}])|(?<=\{{)(?:{_STRING}:null(?:,|(?=\}})))++|({_STRING})"
@@ -59,17 +63,22 @@ def is_json(doc: Column) -> Column:
 
 def is_object(text: Column, doc: Column) -> Column:
     """A valid document whose text opens an object; the text decides, so nothing is walked."""
-    return doc.isNotNull() & F.coalesce(text.rlike(r"^\s*\{"), F.lit(False))
+    return doc.isNotNull() & _opens(text, "{")
 
 
 def is_array(text: Column, doc: Column) -> Column:
-    return doc.isNotNull() & F.coalesce(text.rlike(r"^\s*\["), F.lit(False))
+    return doc.isNotNull() & _opens(text, "[")
+
+
+def _opens(text: Column, bracket: str) -> Column:
+    return F.coalesce(F.ltrim(text, F.lit(_SPACES)).startswith(bracket), F.lit(False))
 
 
 def compact(text: Column) -> Column:
     """Drop white space outside strings; keys keep their order and numbers their text."""
+    spaced = reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in _SPACES])
     return F.when(
-        text.rlike(r"\s"), F.regexp_replace(text, F.lit(_STRING_OR_SPACE), F.lit("$1"))
+        spaced, F.regexp_replace(text, F.lit(_STRING_OR_SPACE), F.lit("$1"))
     ).otherwise(text)
 
 

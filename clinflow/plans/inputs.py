@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinflow.operators.lookups import lookup_join
-from clinflow.session import table
+from clinflow.session import spread_table, table
 
 
 def text_of(*parts):
@@ -74,7 +74,7 @@ def united_notifications(events: DataFrame, documents: DataFrame) -> DataFrame:
 
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return united_notifications(
-        table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
+        spread_table(spark, sf_dir, "events"), spread_table(spark, sf_dir, "documents")
     )
 
 
@@ -190,7 +190,7 @@ def instance_paths(lineitem: DataFrame) -> DataFrame:
 def notified_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A path per line, and every page address as a path that is none."""
     pages = table(spark, sf_dir, "pages").select(F.col("url").alias("path"))
-    return instance_paths(table(spark, sf_dir, "lineitem")).unionByName(pages)
+    return instance_paths(spread_table(spark, sf_dir, "lineitem")).unionByName(pages)
 
 
 def instance_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +200,7 @@ def instance_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter("o_orderstatus <> 'P'")
         .select(F.col("o_orderkey").alias("l_orderkey"))
     )
-    lines = lookup_join(table(spark, sf_dir, "lineitem"), stored, ["l_orderkey"], "left_semi")
+    lines = lookup_join(spread_table(spark, sf_dir, "lineitem"), stored, ["l_orderkey"], "left_semi")
     metadata = text_of(
         '{"0020000D":{"vr":"UI","Value":["',
         F.col("l_orderkey"),
@@ -302,6 +302,6 @@ def export_rows(events: DataFrame) -> DataFrame:
 
 
 def export_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export_rows(table(spark, sf_dir, "events")).unionByName(
-        document_notifications(table(spark, sf_dir, "documents"))
+    return export_rows(spread_table(spark, sf_dir, "events")).unionByName(
+        document_notifications(spread_table(spark, sf_dir, "documents"))
     )

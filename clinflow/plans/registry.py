@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +29,14 @@ def query(covers: str, oracle: str | None = None) -> Callable[[Build], Build]:
         name = build.__name__
         if name in REGISTRY:
             raise ValueError(f"two queries named {name}")
-        REGISTRY[name] = Query(name, tuple(covers.split()), build, oracle)
+
+        @wraps(build)
+        def build_in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            """The times of the tables have no zone; they are taken as UTC."""
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return build(spark, sf_dir)
+
+        REGISTRY[name] = Query(name, tuple(covers.split()), build_in_utc, oracle)
         return build
 
     return register

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clinflow.operators.segments import flatten_segments, nest_segments
 from clinflow.plans.registry import query
-from clinflow.session import table
+from clinflow.session import spread_table
 
 _ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -29,7 +29,7 @@ def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").cast("string"),
     )
     segment_id = F.concat("l_returnflag", "l_linestatus")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
     return nest_segments(lines, ["l_orderkey"], _ORDER, segment_id, fields)
 
 

@@ -10,7 +10,7 @@ from clinflow.functions.times import us_date_to_iso
 from clinflow.operators.lookups import lookup_join
 from clinflow.operators.tables import run_queries, to_json_rows
 from clinflow.plans.registry import query
-from clinflow.session import table
+from clinflow.session import spread_table, table
 from clinflow.sources.forms import QUESTIONS, form_payload
 
 
@@ -68,7 +68,7 @@ def _form_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_nationkey"
     )
-    orders = lookup_join(table(spark, sf_dir, "orders"), customers, ["o_custkey"], "inner")
+    orders = lookup_join(spread_table(spark, sf_dir, "orders"), customers, ["o_custkey"], "inner")
     answers = {
         "fname": F.col("c_mktsegment"),
         "mname": F.col("o_orderpriority"),
@@ -98,7 +98,7 @@ def form_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("F7", "SELECT doc_id, base64(encode(text)) AS data FROM documents")
 def document_base64(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents")
     return documents.select("doc_id", base64_text(F.col("text")).alias("data"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from clinflow.operators.guarded import guarded_map, row_function
 from clinflow.operators.outcomes import split_ok
 from clinflow.plans.registry import query
-from clinflow.session import table
+from clinflow.session import spread_table
 
 _LENGTH = T.StructType([T.StructField("n_letters", T.LongType())])
 
@@ -29,7 +29,7 @@ def _make_counter():
 
 
 def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents = spread_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return guarded_map(
         documents, _make_counter, _LENGTH, "CountLetters", resource="text", sources="doc_id"
     )
@@ -69,4 +69,4 @@ def _composed(values: pd.Series) -> pd.Series:
 @query("U2", "SELECT doc_id, nfc_normalize(text) AS composed FROM documents")
 def plain_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     compose = row_function(_composed, "string")
-    return table(spark, sf_dir, "documents").select("doc_id", compose("text").alias("composed"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", compose("text").alias("composed"))

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+MIN_SPREAD_BYTES = 1024 * 1024
+
 _local_bases: dict[str, str] = {}
 
 
@@ -43,6 +45,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows that come in fewer partitions than there are cores, over all cores; else as they are.
+
+    For costly row work on input from few files. Input from many files is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for costly row work; a very small one stays as it is."""
+    df = table(spark, sf_dir, name)
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return spread(df) if size >= MIN_SPREAD_BYTES else df
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a stream, be it one file or a folder of files."""
     path = f"{sf_dir}/{name}.parquet"

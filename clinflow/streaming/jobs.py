@@ -20,6 +20,7 @@ from clinflow.operators.feed import MAPPING, READ, WRITE, feed_outcomes, wrap_me
 from clinflow.operators.mapping import Mapping, bundle_stage, map_stage
 from clinflow.operators.outcomes import split_ok, to_error_rows
 from clinflow.operators.studies import read_studies
+from clinflow.session import spread
 from clinflow.sinks.bundles import Client, failed_bodies, post_bundles, resource_rows
 from clinflow.sinks.errors import (
     IMAGING_FEED_SHARDS,
@@ -133,7 +134,7 @@ def start_message_feed(
     on_counts: Counts | None = None,
     client: Client | None = None,
 ) -> StreamingQuery:
-    """Text notifications to bundles and resources.
+    """Text notifications to bundles and resources.
 
     ``types`` is the entity type table, or a function that reads it anew for each batch. ``on_counts``
     gets the number of rows per stage that rejected them, and of good rows, after each batch.
@@ -141,7 +142,7 @@ def start_message_feed(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        outcomes = feed_outcomes(batch.select("value"), _now(types), mapping)
+        outcomes = feed_outcomes(spread(batch.select("value")), _now(types), mapping)
         _write_outcomes(outcomes, paths, batch_id, shards, on_counts, client)
 
     return _start(notifications, run, paths.checkpoint, trigger)
@@ -196,7 +197,7 @@ def start_imaging_feed(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         text = payload_text(batch, "value").select(F.col("value").alias("path"))
-        notified = text.persist(StorageLevel.MEMORY_AND_DISK)
+        notified = spread(text).persist(StorageLevel.MEMORY_AND_DISK)
         scratch = f"{paths.scratch}/batch_id={batch_id}"
         try:
             outcomes = imaging_outcomes(notified, _now(instances), mapping, scratch=scratch)
