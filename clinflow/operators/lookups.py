@@ -18,6 +18,9 @@ MEASURE_BYTES = 1024 * 1024 * 1024
 HOT_ROWS = 500_000
 MAX_HOT_KEYS = 1000
 SAMPLE_ROWS = 5_000
+MAX_WANTED_KEYS = 50_000
+# Spark gives inputs of unknown size, such as a micro-batch, one far beyond any real size.
+UNKNOWN_BYTES = 2**60
 
 
 def measured_bytes(df: DataFrame, limit: int = BROADCAST_BYTES) -> int | None:
@@ -27,14 +30,19 @@ def measured_bytes(df: DataFrame, limit: int = BROADCAST_BYTES) -> int | None:
     joins far too high. Measuring reads the inputs once, so only inputs up to ``MEASURE_BYTES`` are
     measured.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    if sum(leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())) > MEASURE_BYTES:
+    if sum(_leaf_bytes(df)) > MEASURE_BYTES:
         return None
     row = df.agg(F.sum(_row_bytes(df)).alias("n")).first()
     size = int(row["n"] or 0)
     return size if size <= limit else None
 
 
+def _leaf_bytes(df: DataFrame) -> list[int]:
+    """The sizes of the inputs of a plan, as far as Spark knows them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
+
+
 def _row_bytes(df: DataFrame) -> Column:
     size = F.lit(16 + 8 * len(df.columns))
     for field in df.schema.fields:
@@ -93,6 +101,23 @@ def spread_join(
     return parted_left.drop("_hot_parts").join(parted_right, [*on, "_part"], how).drop("_part")
 
 
+def wanted_keys(left: DataFrame, on: list[str]) -> DataFrame | None:
+    """The distinct keys of ``left``, pinned, if they are few; None otherwise.
+
+    Inputs that are known to be large are not looked at.
+    """
+    sizes = _leaf_bytes(left)
+    if any(MEASURE_BYTES < size < UNKNOWN_BYTES for size in sizes):
+        return None
+    keys = left.select(*on).dropna()
+    if keys.agg(F.approx_count_distinct(F.struct(*on)).alias("n")).first()["n"] > MAX_WANTED_KEYS:
+        return None
+    rows = keys.distinct().limit(2 * MAX_WANTED_KEYS).collect()
+    if len(rows) == 2 * MAX_WANTED_KEYS:
+        return None
+    return left.sparkSession.createDataFrame(rows, keys.schema)
+
+
 def is_small(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df, broadcast_bytes) is not None
 
@@ -108,14 +133,19 @@ def lookup_join(
 ) -> DataFrame:
     """Equi join on a reference table with one row per key.
 
-    ``small`` tells what is known already about the size of ``right``. Finding hot keys reads the
-    keys of ``left`` once more, now; with ``hot_rows=None``, and on streams outside of a
-    ``foreachBatch``, that is left to Spark.
+    A small reference table is broadcast. Of a large one only the wanted rows are shuffled, if the
+    wanted keys are few — as those of a micro-batch are — and the heavy keys of ``left`` are spread.
+    ``small`` tells what is known already about the size of ``right``. Finding out about the keys of
+    ``left`` reads them, now; with ``hot_rows=None``, and on streams outside of a ``foreachBatch``,
+    the join is left to Spark.
     """
     if is_small(right, broadcast_bytes) if small is None else small:
         return left.join(F.broadcast(right), on, how)
     if hot_rows is None or left.isStreaming:
         return left.join(right, on, how)
+    wanted = wanted_keys(left, on)
+    if wanted is not None:
+        right = right.join(F.broadcast(wanted), on, "left_semi")
     return spread_join(left, right, on, how, hot_rows)
 
 

@@ -45,10 +45,16 @@ def ingest_messages(
 
 
 def create_messages(df: DataFrame, store: str, batch_id: int) -> None:
-    """Append messages with all their fields, in folders by day of sending."""
+    """Append messages with all their fields, in folders by day of sending.
+
+    They are written in ranges of time: each task writes to few days, a busy day is shared by
+    several tasks, and files hold short spans, which readers skip by their bounds.
+    """
     fields = [F.col(f.name).cast(f.dataType) for f in MESSAGE.fields]
     dated = df.select(*fields).withColumn("send_date", F.to_date("send_time"))
-    write_batch(dated, store, batch_id, ("send_date",))
+    ranged = dated.repartitionByRange("send_date", "send_time", "name")
+    ordered = ranged.sortWithinPartitions("send_date", "send_time")
+    write_batch(ordered, store, batch_id, ("send_date",))
 
 
 def delete_messages(names: DataFrame, tombstones: str, batch_id: int) -> None:

@@ -107,7 +107,8 @@ def _write_outcomes(
         entries = resource_rows(
             versioned.withColumn("seq", F.xxhash64("bundle")), "bundle", "version", "seq"
         )
-        write_batch(entries, paths.resources, batch_id)
+        ordered = entries.sortWithinPartitions("resource_type", "id")
+        write_batch(ordered, paths.resources, batch_id)
         failed = {s: kept.filter(F.col("failed_stage") == s) for s in (READ, MAPPING, WRITE)}
         status = None if client is None else F.col("status")
         dead_letters = (

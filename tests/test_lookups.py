@@ -8,6 +8,7 @@ from clinflow.operators.lookups import (
     lookup_join,
     measured_bytes,
     spread_join,
+    wanted_keys,
 )
 
 
@@ -110,3 +111,30 @@ def test_many_large_groups_use_a_join(spark, monkeypatch):
     lists = collect_parts(with_parts(df, ["k"], 20), ["k"], F.col("v"), "vs").collect()
     assert sorted(v for r in lists for v in r.vs) == list(range(400))
     assert len(lists) > 4
+
+
+def test_few_wanted_keys_cut_a_large_table_down(spark, tmp_path, skewed, reference):
+    path = str(tmp_path / "reference")
+    reference.write.parquet(path)
+    stored = spark.read.parquet(path)
+    joined = lookup_join(skewed, stored, ["k"], small=False, hot_rows=50)
+    assert counted(joined) == counted(skewed.join(reference, "k", "left"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi, BuildRight" in plan
+
+
+def test_many_wanted_keys_are_not_pinned(spark, monkeypatch, skewed, reference):
+    assert wanted_keys(skewed, ["k"]).count() == 51
+    monkeypatch.setattr("clinflow.operators.lookups.MAX_WANTED_KEYS", 20)
+    assert wanted_keys(skewed, ["k"]) is None
+    joined = lookup_join(skewed, reference, ["k"], small=False, hot_rows=50)
+    assert counted(joined) == counted(skewed.join(reference, "k", "left"))
+
+
+def test_large_inputs_are_not_looked_at(spark, monkeypatch, tmp_path, skewed):
+    skewed.write.parquet(str(tmp_path / "left"))
+    stored = spark.read.parquet(str(tmp_path / "left"))
+    assert wanted_keys(stored, ["k"]) is not None
+    monkeypatch.setattr("clinflow.operators.lookups.MEASURE_BYTES", 10)
+    assert wanted_keys(stored, ["k"]) is None
+    assert measured_bytes(stored) is None
