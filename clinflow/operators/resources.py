@@ -17,8 +17,8 @@ _FIELD = re.compile(r"[A-Za-z_][\w-]*(\.[A-Za-z_][\w-]*|\[\d+\])*")
 
 
 def current_resources(log: DataFrame) -> DataFrame:
-    """The newest version of each resource; equal versions are decided by ``seq``."""
-    newest = F.max_by(F.struct("version", "seq", "body"), F.struct("version", "seq"))
+    """The newest version of each resource; equal ones are decided by ``seq``, then by text."""
+    newest = F.max(F.struct("version", "seq", "body"))
     return (
         log.groupBy("resource_type", "id")
         .agg(newest.alias("_r"))

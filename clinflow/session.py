@@ -45,20 +45,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows that come in fewer partitions than there are cores, over all cores; else as they are.
+def spread(df: DataFrame, size: int | None = None) -> DataFrame:
+    """Rows that come in fewer partitions than there are cores, over more of them.
 
-    For costly row work on input from few files. Input from many files is not shuffled.
+    For costly row work on input from few files; with ``size`` in bytes, small input takes few
+    cores. Input from many files is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = cores if size is None else min(cores, size // MIN_SPREAD_BYTES)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for costly row work; a very small one stays as it is."""
     df = table(spark, sf_dir, name)
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return spread(df) if size >= MIN_SPREAD_BYTES else df
+    return spread(df, df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,8 +7,10 @@ repeated after a failure has no double effect.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.storagelevel import StorageLevel
 from clinflow.functions import jsonx
 from clinflow.operators.feed import MAPPING, READ, WRITE, feed_outcomes, wrap_message
 from clinflow.operators.mapping import Mapping, bundle_stage, map_stage
+from clinflow.operators.metrics import distribution, timed
 from clinflow.operators.outcomes import split_ok, to_error_rows
 from clinflow.operators.studies import read_studies
 from clinflow.session import spread
@@ -37,7 +40,20 @@ from clinflow.streaming.windows import ERROR_TRIGGER
 IMAGING_URL = "ImagingStudy"
 
 Table = DataFrame | Callable[[], DataFrame]
-Counts = Callable[[int, dict[str, int]], None]
+
+
+@dataclass(frozen=True)
+class Reports:
+    """What a feed tells and whom it calls, after each batch.
+
+    ``on_counts`` gets the batch and the number of good rows (``ok``) and of rows per stage that
+    rejected them. ``on_metrics`` gets how long mapping and writing took, and the latency since the
+    source time. ``client`` opens a client that sends bundles elsewhere; see ``post_bundles``.
+    """
+
+    on_counts: Callable[[int, dict[str, int]], None] | None = None
+    on_metrics: Callable[[int, dict[str, int | None]], None] | None = None
+    client: Client | None = None
 
 
 @dataclass(frozen=True)
@@ -88,41 +104,60 @@ def _posted(outcomes: DataFrame, client: Client) -> DataFrame:
     )
 
 
+def _commit_latency(good: DataFrame, finished: int) -> dict[str, int | None]:
+    """A2: milliseconds from each row's source time until its batch was written."""
+    millis = F.lit(finished) - F.unix_millis("source_time")
+    return good.agg(*distribution(millis)).first().asDict()
+
+
 def _write_outcomes(
-    outcomes: DataFrame,
-    paths: FeedPaths,
-    batch_id: int,
-    shards: int,
-    on_counts: Counts | None,
-    client: Client | None,
+    outcomes: DataFrame, paths: FeedPaths, batch_id: int, shards: int, report: Reports
 ) -> None:
     """Bundles, resources and the three dead letters of one batch."""
-    posted = outcomes if client is None else _posted(outcomes, client)
-    kept = posted.persist(StorageLevel.MEMORY_AND_DISK)
+    mapped = outcomes.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = mapped
+    metrics: dict[str, int | None] = {}
     try:
-        counts = _stage_counts(kept)
-        good = kept.filter(F.col("failed_stage").isNull()).select(F.col("output").alias("bundle"))
-        write_batch(good, paths.bundles, batch_id)
-        versioned = good.select("bundle", F.lit(batch_id).cast("long").alias("version"))
-        entries = resource_rows(
-            versioned.withColumn("seq", F.xxhash64("bundle")), "bundle", "version", "seq"
-        )
-        ordered = entries.sortWithinPartitions("resource_type", "id")
-        write_batch(ordered, paths.resources, batch_id)
-        failed = {s: kept.filter(F.col("failed_stage") == s) for s in (READ, MAPPING, WRITE)}
-        status = None if client is None else F.col("status")
-        dead_letters = (
-            (READ, paths.read_errors, failed[READ].select(F.coalesce("value", F.lit("")))),
-            (MAPPING, paths.mapping_errors, json_lines(to_error_rows(failed[MAPPING]))),
-            (WRITE, paths.write_errors, json_lines(failed_bodies(failed[WRITE], status=status))),
+        counts = timed(lambda: _stage_counts(mapped), partial(metrics.__setitem__, "transform_ms"))
+        if report.client is not None:
+            kept = _posted(mapped, report.client).persist(StorageLevel.MEMORY_AND_DISK)
+            counts = _stage_counts(kept)
+        timed(
+            lambda: _write_all(kept, counts, paths, batch_id, shards),
+            partial(metrics.__setitem__, "write_ms"),
         )
-        for stage, path, lines in dead_letters:
-            if counts.get(stage):
-                write_text_shards(lines, path, batch_id, shards)
-        if on_counts is not None:
-            on_counts(batch_id, counts)
+        if report.on_metrics is not None:
+            if "source_time" in kept.columns:
+                good = kept.filter(F.col("failed_stage").isNull())
+                metrics |= _commit_latency(good, int(time.time() * 1000))
+            report.on_metrics(batch_id, metrics)
+        if report.on_counts is not None:
+            report.on_counts(batch_id, counts)
     finally:
         kept.unpersist()
+        mapped.unpersist()
+
+
+def _write_all(
+    kept: DataFrame, counts: dict[str, int], paths: FeedPaths, batch_id: int, shards: int
+) -> None:
+    good = kept.filter(F.col("failed_stage").isNull()).select(F.col("output").alias("bundle"))
+    write_batch(good, paths.bundles, batch_id)
+    versioned = good.select("bundle", F.lit(batch_id).cast("long").alias("version"))
+    entries = resource_rows(
+        versioned.withColumn("seq", F.xxhash64("bundle")), "bundle", "version", "seq"
+    )
+    write_batch(entries.sortWithinPartitions("resource_type", "id"), paths.resources, batch_id)
+    failed = {s: kept.filter(F.col("failed_stage") == s) for s in (READ, MAPPING, WRITE)}
+    status = F.col("status") if "status" in kept.columns else None
+    dead_letters = (
+        (READ, paths.read_errors, failed[READ].select(F.coalesce("value", F.lit("")))),
+        (MAPPING, paths.mapping_errors, json_lines(to_error_rows(failed[MAPPING]))),
+        (WRITE, paths.write_errors, json_lines(failed_bodies(failed[WRITE], status=status))),
+    )
+    for stage, path, lines in dead_letters:
+        if counts.get(stage):
+            write_text_shards(lines, path, batch_id, shards)
 
 
 def start_message_feed(
@@ -132,19 +167,18 @@ def start_message_feed(
     paths: FeedPaths,
     shards: int = MESSAGE_FEED_SHARDS,
     trigger: dict = ERROR_TRIGGER,
-    on_counts: Counts | None = None,
-    client: Client | None = None,
+    report: Reports = Reports(),
 ) -> StreamingQuery:
     """Text notifications to bundles and resources.
 
-    ``types`` is the entity type table, or a function that reads it anew for each batch. ``on_counts``
-    gets the number of rows per stage that rejected them, and of good rows, after each batch.
-    ``client`` opens a client that sends bundles elsewhere; see ``post_bundles``.
+    ``types`` is the entity type table, or a function that reads it anew for each batch. Rows with a
+    ``source_time`` are samples of the latency until their batch is written; a missing time is none.
     """
+    kept = [c for c in ("value", "source_time") if c in notifications.columns]
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        outcomes = feed_outcomes(spread(batch.select("value")), _now(types), mapping)
-        _write_outcomes(outcomes, paths, batch_id, shards, on_counts, client)
+        outcomes = feed_outcomes(spread(batch.select(*kept)), _now(types), mapping)
+        _write_outcomes(outcomes, paths, batch_id, shards, report)
 
     return _start(notifications, run, paths.checkpoint, trigger)
 
@@ -191,8 +225,7 @@ def start_imaging_feed(
     paths: FeedPaths,
     shards: int = IMAGING_FEED_SHARDS,
     trigger: dict = ERROR_TRIGGER,
-    on_counts: Counts | None = None,
-    client: Client | None = None,
+    report: Reports = Reports(),
 ) -> StreamingQuery:
     """Binary notifications with a web path to one bundle per study."""
 
@@ -202,7 +235,7 @@ def start_imaging_feed(
         scratch = f"{paths.scratch}/batch_id={batch_id}"
         try:
             outcomes = imaging_outcomes(notified, _now(instances), mapping, scratch=scratch)
-            _write_outcomes(outcomes, paths, batch_id, shards, on_counts, client)
+            _write_outcomes(outcomes, paths, batch_id, shards, report)
         finally:
             notified.unpersist()
             remove_files(batch.sparkSession, scratch)

@@ -25,6 +25,7 @@ from clinflow.sources.forms import QUESTIONS, form_payload
 from clinflow.sources.notifications import text_files
 from clinflow.streaming.jobs import (
     FeedPaths,
+    Reports,
     read_export,
     start_error_sink,
     start_imaging_feed,
@@ -73,7 +74,7 @@ def test_message_feed_over_batches_and_restart(spark, types, tmp_path):
     def run():
         start_message_feed(
             text_files(spark, str(source), per_trigger=1), types, MAPPING, paths,
-            trigger=TO_END, on_counts=seen.__setitem__,
+            trigger=TO_END, report=Reports(seen.__setitem__),
         ).awaitTermination()
 
     notify(source, "a", {"type": "X", "id": "1"}, "junk", {"id": "2"})
@@ -114,7 +115,7 @@ def test_message_feed_with_a_client(spark, types, tmp_path):
     seen = {}
     start_message_feed(
         text_files(spark, str(tmp_path / "in")), types, MAPPING, paths, trigger=TO_END,
-        on_counts=seen.__setitem__, client=refuse_three,
+        report=Reports(seen.__setitem__, client=refuse_three),
     ).awaitTermination()
     assert seen == {0: {"ok": 1, "write": 1, "read": 1}}
     (failed,) = [json.loads(r.value) for r in spark.read.text(paths.write_errors).collect()]
@@ -138,7 +139,7 @@ def test_imaging_feed(spark, rows, tmp_path):
     stream = text_files(spark, str(tmp_path / "in")).select(F.encode("value", "UTF-8").alias("value"))
     seen = {}
     start_imaging_feed(
-        stream, lambda: instances, mapping, paths, trigger=TO_END, on_counts=seen.__setitem__
+        stream, lambda: instances, mapping, paths, trigger=TO_END, report=Reports(seen.__setitem__)
     ).awaitTermination()
     assert seen == {0: {"ok": 1, "read": 2}}
     (bundle,) = [json.loads(r.bundle) for r in spark.read.parquet(paths.bundles).collect()]
@@ -322,3 +323,20 @@ def test_files_are_cleaned_once_their_batch_is_complete(spark, tmp_path, done):
     assert "a" not in left
     assert spark.read.text(str(tmp_path / "e")).count() == 3
     assert (tmp_path / "old").exists() == (done == "archive")
+
+
+def test_latency_since_the_source_time(spark, types, tmp_path):
+    notify(tmp_path / "in", "a", {"type": "X", "id": "1"}, {"type": "Y", "id": "2"}, "junk")
+    lines = text_files(spark, str(tmp_path / "in"))
+    dated = lines.withColumn(
+        "source_time",
+        F.when(F.col("value").contains("X"), F.current_timestamp() - F.expr("INTERVAL 1 HOUR")),
+    )
+    paths, seen = FeedPaths.below(str(tmp_path / "out")), {}
+    start_message_feed(
+        dated, types, MAPPING, paths, trigger=TO_END, report=Reports(on_metrics=seen.__setitem__)
+    ).awaitTermination()
+    (metrics,) = seen.values()
+    assert metrics["n"] == 1
+    assert 3_600_000 <= metrics["min_ms"] == metrics["max_ms"] == metrics["sum_ms"] < 4_200_000
+    assert metrics["transform_ms"] >= 0 and metrics["write_ms"] >= 0
