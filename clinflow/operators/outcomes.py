@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from clinflow.functions.jsonx import once
 from clinflow.functions.times import iso_text
@@ -102,6 +103,10 @@ def report_then_fail(
     rejected: DataFrame, fatal: Column, write: Callable[[DataFrame], None]
 ) -> None:
     """E2, policy *report and rethrow*: write every rejected row, then stop if one was fatal."""
-    write(rejected)
-    if not rejected.filter(fatal).isEmpty():
-        raise StageFailure("rows that cannot be recovered were reported")
+    kept = rejected.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write(kept)
+        if not kept.filter(fatal).isEmpty():
+            raise StageFailure("rows that cannot be recovered were reported")
+    finally:
+        kept.unpersist()

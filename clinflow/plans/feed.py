@@ -15,7 +15,7 @@ from clinflow.operators.feed import (
 )
 from clinflow.operators.lookups import entity_types
 from clinflow.operators.mapping import Mapping, const, copy, nest
-from clinflow.operators.metrics import count_by_step
+from clinflow.operators.metrics import count_by_step, observe_outcomes
 from clinflow.operators.outcomes import checked, error_entry, split_ok
 from clinflow.plans.inputs import (
     NOTIFICATIONS_SQL,
@@ -161,3 +161,13 @@ FROM routed GROUP BY source
 def stage_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = route_by_type(notifications(spark, sf_dir))
     return count_by_step(routed, step="source").withColumnRenamed("source", "step")
+
+
+@query("A1", ROUTED_SQL + "SELECT count(*) FILTER (ok) AS n_ok, count(*) FILTER (NOT ok) AS n_failed"
+       " FROM routed")
+def observed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counters, taken while another job, here a write to nowhere, reads the rows."""
+    routed = route_by_type(notifications(spark, sf_dir))
+    observed, observation = observe_outcomes(routed, "routed")
+    observed.select("rid", "type", "ok").write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([observation.get], "n_ok long, n_failed long")

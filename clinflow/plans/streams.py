@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clinflow.operators.lookups import entity_types
 from clinflow.operators.metrics import timed
+from clinflow.operators.outcomes import split_ok
 from clinflow.plans.errors import WINDOWS_SQL
 from clinflow.plans.feed import FEED_MAPPING, FEED_SQL
 from clinflow.plans.inputs import (
@@ -22,6 +23,8 @@ from clinflow.plans.inputs import (
 from clinflow.plans.registry import query
 from clinflow.plans.studies import IMAGING_MAPPING, STUDIES_SQL
 from clinflow.session import stream_table, table, work_dir
+from clinflow.sources.exports import parse_messages
+from clinflow.sources.notifications import text_files
 from clinflow.streaming.jobs import (
     FeedPaths,
     read_export,
@@ -144,6 +147,24 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("data", F.to_json("labels").alias("labels"))
 
 
+@query(
+    "S1 S11 W11 T10",
+    f"""WITH {EXPORTED_SQL}
+SELECT event_type || '/' || event_id AS name, epoch_us(ts) // 1000 AS send_ms FROM lines
+WHERE event_type IN ('click', 'view', 'purchase')""",
+)
+def stream_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported lines as a stream of text files, which are removed once they are read."""
+    base = work_dir(spark, "cleanup")
+    export_rows(table(spark, sf_dir, "events")).select("value").write.text(f"{base}/files")
+    good, _ = split_ok(parse_messages(text_files(spark, f"{base}/files", done="delete")))
+    good.select("name", "send_time").writeStream.format("parquet").option(
+        "path", f"{base}/messages"
+    ).option("checkpointLocation", f"{base}/checkpoint").trigger(**_TO_END).start().awaitTermination()
+    parsed = spark.read.parquet(f"{base}/messages")
+    return parsed.select("name", F.unix_millis("send_time").alias("send_ms"))
+
+
 @query(
     "T10 S10 S11 W11 T6 F5",
     f"""WITH {EXPORTED_SQL}

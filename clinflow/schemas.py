@@ -67,16 +67,6 @@ WEB_PATH_FIELDS = (
     "instance_id",
 )
 
-RESOURCE_LOG = T.StructType(
-    [
-        T.StructField("resource_type", T.StringType()),
-        T.StructField("id", T.StringType()),
-        T.StructField("version", T.LongType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("body", T.StringType()),
-    ]
-)
-
 MAPPING_RULE = T.StructType(
     [
         T.StructField("output", T.StringType()),
