@@ -110,7 +110,10 @@ def wanted_keys(left: DataFrame, on: list[str]) -> DataFrame | None:
     if any(MEASURE_BYTES < size < UNKNOWN_BYTES for size in sizes):
         return None
     keys = left.select(*on).dropna()
-    if keys.agg(F.approx_count_distinct(F.struct(*on)).alias("n")).first()["n"] > MAX_WANTED_KEYS:
+    seen = keys.agg(
+        F.approx_count_distinct(F.struct(*on)).alias("n"), F.max(_row_bytes(keys)).alias("widest")
+    ).first()
+    if seen["n"] > MAX_WANTED_KEYS or seen["n"] * (seen["widest"] or 0) > BROADCAST_BYTES:
         return None
     rows = keys.distinct().limit(2 * MAX_WANTED_KEYS).collect()
     if len(rows) == 2 * MAX_WANTED_KEYS:

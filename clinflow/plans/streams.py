@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clinflow.operators.lookups import entity_types
 from clinflow.operators.metrics import timed
 from clinflow.operators.outcomes import split_ok
+from clinflow.operators.resources import current_resources
 from clinflow.plans.errors import WINDOWS_SQL
 from clinflow.plans.feed import FEED_MAPPING, FEED_SQL
 from clinflow.plans.inputs import (
@@ -36,11 +37,13 @@ from clinflow.streaming.jobs import (
 from clinflow.streaming.windows import closed_error_windows
 
 _TO_END = {"availableNow": True}
+# A feed takes a large table in batches of this many files, so that what it keeps stays small.
+_FILES = 1000
 
 
 def _run_message_feed(spark: SparkSession, sf_dir: str) -> FeedPaths:
     paths = FeedPaths.below(work_dir(spark, "message-feed"))
-    events, documents = (stream_table(spark, sf_dir, t) for t in ("events", "documents"))
+    events, documents = (stream_table(spark, sf_dir, t, _FILES) for t in ("events", "documents"))
     start_message_feed(
         united_notifications(events, documents).select("value"),
         entity_types(entity_type_table(spark, sf_dir)),
@@ -82,6 +85,7 @@ FROM studies
 )
 def stream_imaging(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = FeedPaths.below(work_dir(spark, "imaging-feed"))
+    # Every batch searches the store, so the table is taken in one.
     notified = instance_paths(stream_table(spark, sf_dir, "lineitem"))
     start_imaging_feed(
         notified.select(F.encode("path", "UTF-8").alias("value")),
@@ -90,7 +94,8 @@ def stream_imaging(spark: SparkSession, sf_dir: str) -> DataFrame:
         paths,
         trigger=_TO_END,
     ).awaitTermination()
-    return spark.read.parquet(paths.resources).select("resource_type", "body")
+    log = spark.read.parquet(paths.resources)
+    return current_resources(log).select("resource_type", "body")
 
 
 @query("W6 W9 T2 T4", "SELECT props AS value FROM events WHERE event_type = 'error'")
@@ -137,7 +142,7 @@ SELECT data, '{{"user":"' || user_label || '"}}' AS labels FROM messages""",
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "ingest-feed")
     start_ingest(
-        messages(stream_table(spark, sf_dir, "events")),
+        messages(stream_table(spark, sf_dir, "events", _FILES)),
         f"{base}/store",
         f"{base}/rejects",
         f"{base}/checkpoint",

@@ -61,10 +61,17 @@ def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df, df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a stream, be it one file or a folder of files."""
+def stream_table(
+    spark: SparkSession, sf_dir: str, name: str, per_trigger: int | None = None
+) -> DataFrame:
+    """The same table as a stream, be it one file or a folder of files.
+
+    ``per_trigger`` is how many files a micro-batch takes at most; without it, it takes all.
+    """
     path = f"{sf_dir}/{name}.parquet"
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.getFileStatus(hadoop_path).isDirectory():
