@@ -16,7 +16,8 @@ SEARCH_PARTS = {"study_id": 2, "series_id": 4, "instance_id": 6}
 
 def _pieces(text: Column) -> Column:
     """Split at slashes; empty pieces at the end do not count."""
-    return F.split(F.rtrim(text, F.lit("/")), "/")
+    slash = F.lit("/")
+    return F.split(F.when(F.endswith(text, slash), F.rtrim(text, slash)).otherwise(text), "/")
 
 
 def with_web_path(df: DataFrame, path: str = "path") -> DataFrame:
@@ -30,14 +31,19 @@ def with_web_path(df: DataFrame, path: str = "path") -> DataFrame:
         given.endswith(SEPARATOR), F.regexp_replace(given, f"(?:{SEPARATOR})+$", "")
     ).otherwise(given)
     store_path = F.substring_index(ended, SEPARATOR, 1)
-    rest = F.substring(ended, F.length(store_path) + F.lit(len(SEPARATOR) + 1), F.length(ended))
-    halves = df.withColumn(
-        "_halves",
-        once(F.when(F.contains(ended, F.lit(SEPARATOR)), F.struct(store_path.alias("store"),
-                                                                  rest.alias("rest")))),
-    )
-    split = halves.withColumn("_store", once(_pieces(F.col("_halves.store")))).withColumn(
-        "_search", once(_pieces(F.col("_halves.rest")))
+    # What follows the first separator; if that is the last one too, it is found without counting.
+    tail = F.substring_index(ended, SEPARATOR, -1)
+    only_one = F.octet_length(store_path) + F.octet_length(tail) + len(
+        SEPARATOR
+    ) == F.octet_length(ended)
+    skipped = F.length(store_path) + F.lit(len(SEPARATOR) + 1)
+    rest = F.when(only_one, tail).otherwise(F.substring(ended, skipped, F.length(ended)))
+    halves = F.struct(store_path.alias("store"), rest.alias("rest"))
+    found = F.contains(ended, F.lit(SEPARATOR))
+    split = (
+        df.withColumn("_halves", once(F.when(found, halves)))
+        .withColumn("_store", once(_pieces(F.col("_halves.store"))))
+        .withColumn("_search", once(_pieces(F.col("_halves.rest"))))
     )
     valid = (
         (F.size("_store") >= max(STORE_PARTS.values()))

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +93,36 @@ def test_headers_become_attributes(rows):
     df = rows([(pairs,), (None,)], "headers array<struct<key:string,value:binary>>")
     got = [r.m for r in df.select(attributes(F.col("headers")).alias("m")).collect()]
     assert got == [{"a": "3", "b": "2"}, {}]
+
+
+def split_dropping_empty_ends(text, separator):
+    pieces = text.split(separator)
+    while len(pieces) > 1 and pieces[-1] == "":
+        pieces.pop()
+    return pieces
+
+
+def web_path_by_hand(path):
+    halves = split_dropping_empty_ends(path, "/dicomWeb/")
+    if len(halves) != 2:
+        return None
+    store, search = (split_dropping_empty_ends(h, "/") for h in halves)
+    if len(store) < 8 or len(search) < 6:
+        return None
+    return (*store[1:8:2], halves[0], *search[1:6:2])
+
+
+def test_web_paths_equal_those_split_by_hand(rows):
+    """Random paths, many of them nearly valid: too short, with empty pieces, more separators."""
+    rng = random.Random(7)
+
+    def pieces(n):
+        return "/".join(rng.choice(["", "a", "b", "dicomWeb", "c" * 3]) if rng.random() < 0.3
+                        else f"x{rng.randrange(9)}" for _ in range(n))
+
+    paths = {"/dicomWeb/".join(pieces(rng.randrange(4, 11)) for _ in range(rng.choice([1, 2, 2, 3])))
+             + rng.choice(["", "", "", "/", "//", "/dicomWeb/", "/dicomWeb"]) for _ in range(3000)}
+    got = {tuple(r)[0]: tuple(r)[1:] for r in with_web_path(rows(sorted(paths), "path string")).collect()}
+    for path in paths:
+        assert got[path] == (web_path_by_hand(path) or (None,) * 8), path
+    assert sum(v[0] is not None for v in got.values()) > 100

@@ -121,6 +121,9 @@ def test_few_wanted_keys_cut_a_large_table_down(spark, tmp_path, skewed, referen
     assert counted(joined) == counted(skewed.join(reference, "k", "left"))
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi, BuildRight" in plan
+    assert "GreaterThanOrEqual(k,hot)" in plan
+    nothing = lookup_join(skewed.filter("k IS NULL"), stored, ["k"], small=False)
+    assert nothing.filter("w IS NULL").count() == 300
 
 
 def test_many_wanted_keys_are_not_pinned(spark, monkeypatch, skewed, reference):
