@@ -38,8 +38,13 @@ def duck():
     return connection
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def assert_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
+    assert not re.search("CartesianProduct|NestedLoopJoin", plan_of(df))
     cursor = duck.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     types = {d[0]: str(d[1]) for d in cursor.description}
@@ -89,3 +94,25 @@ def test_queries_read_whole_tables():
     """No query thins out its tables to make the check cheap."""
     for q in REGISTRY.values():
         assert not re.search(r"\b(tablesample|sample|limit \d{2,})\b", q.oracle or "", re.I), q.name
+
+
+@pytest.mark.parametrize(
+    ("name", "exchanges"),
+    [("json_gate", 0), ("route_types", 0), ("mapping_rejects", 0), ("resource_current", 1),
+     ("message_delete", 1), ("segments_nested", 1), ("error_window_counts", 1),
+     ("fetched_messages", 0), ("store_read", 0)],
+)
+def test_plans_shuffle_no_more_than_needed(spark, name, exchanges):
+    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    assert plan.count("Exchange hashpartitioning") == exchanges
+    assert plan.count("Exchange ") - plan.count("BroadcastExchange ") == exchanges
+    assert "Window" not in plan.replace("window", "")
+    assert plan.count("parseJson") <= 1
+
+
+def test_filters_and_columns_reach_the_reader(spark):
+    df = entry.queries()["send_time_range"](spark, SF_DIR)
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(ts,2024-01-05T06:00)" in text
+    assert "LessThan(ts,2024-01-20T00:00)" in text
+    assert "user_id" not in text
