@@ -36,14 +36,14 @@ def guarded_map(
     step: str,
     resource: str | None = None,
     sources: str | None = None,
-    recoverable: tuple[str, ...] = ("RuntimeError", "ValueError"),
+    recoverable: tuple[str, ...] = ("RuntimeError",),
 ) -> DataFrame:
     """Apply a user function and keep its failures.
 
     ``make`` is called once per task and returns the function, so that a client is opened once for
     many batches. The function returns one row of ``schema`` per input row. The result has the input
-    columns, the output columns, ``ok``, ``error`` and ``fatal`` — true when the exception class
-    is not in ``recoverable``.
+    columns, the output columns, ``ok``, ``error`` and ``fatal`` — true when the exception is of
+    none of the ``recoverable`` classes, subclasses not included. ``report_then_fail`` acts on it.
     """
     names = [f.name for f in schema.fields]
     clash = set(names) & set(df.columns)

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.functions.webpath import with_web_path
-from clinflow.operators.grouping import MAX_MEMBERS, collect_parts, part_of
+from clinflow.operators.grouping import collect_parts, part_of
 from clinflow.operators.lookups import BROADCAST_BYTES, is_small, lookup_join
 from clinflow.operators.outcomes import checked, error_entry
 from clinflow.session import work_dir, written
 
 READ_STEP = "ReadStudyMetadata"
+# The metadata of one instance has tens of kilobytes, so an array stays well under 200 MB.
+MAX_INSTANCES = 2_000
 STUDY_KEY = ["dicom_store_path", "study_id"]
 
 
@@ -52,7 +54,7 @@ def resolve_paths(
 def study_documents(
     instances: DataFrame,
     sizes: DataFrame,
-    limit: int = MAX_MEMBERS,
+    limit: int = MAX_INSTANCES,
     small: bool | None = None,
     **limits: int,
 ) -> DataFrame:
@@ -78,7 +80,7 @@ def study_documents(
 def read_studies(
     paths: DataFrame,
     instances: DataFrame,
-    limit: int = MAX_MEMBERS,
+    limit: int = MAX_INSTANCES,
     scratch: str | None = None,
     **limits: int,
 ) -> tuple[DataFrame, DataFrame]:

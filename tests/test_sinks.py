@@ -158,6 +158,7 @@ def test_guarded_map_rejects_only_bad_rows(spark):
         "Halve",
         resource="v",
         sources="v",
+        recoverable=("ValueError",),
     )
     collected = out.collect()
     assert sorted(r.v for r in collected) == list(range(1, 101))

@@ -6,6 +6,7 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from clinflow.operators.feed import enrich_merged, route_by_type
@@ -340,3 +341,27 @@ def test_latency_since_the_source_time(spark, types, tmp_path):
     assert metrics["n"] == 1
     assert 3_600_000 <= metrics["min_ms"] == metrics["max_ms"] == metrics["sum_ms"] < 4_200_000
     assert metrics["transform_ms"] >= 0 and metrics["write_ms"] >= 0
+
+
+def test_a_batch_that_fails_after_its_writes_has_no_double_effect(spark, types, tmp_path):
+    notify(tmp_path / "in", "a", {"type": "X", "id": "1"}, {"type": "Y", "id": "2"}, "junk")
+    paths, attempts = FeedPaths.below(str(tmp_path / "out")), []
+
+    def fail_once(batch_id, counts):
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise OSError("the driver went away")
+
+    def run():
+        start_message_feed(
+            text_files(spark, str(tmp_path / "in")), types, MAPPING, paths, trigger=TO_END,
+            report=Reports(fail_once),
+        ).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    run()
+    assert attempts == [0, 0]
+    assert spark.read.parquet(paths.bundles).count() == 2
+    assert spark.read.parquet(paths.resources).count() == 2
+    assert [r.value for r in spark.read.text(paths.read_errors).collect()] == ["junk"]
