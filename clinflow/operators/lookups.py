@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,20 +64,19 @@ def sampled_counts(df: DataFrame, keys: list[str], size: int) -> DataFrame:
     return sample.groupBy(*keys).agg((F.count(F.lit(1)) / share).alias("_n"))
 
 
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> list[Row]:
     """The heaviest keys, of ``hot_rows`` rows or more, and into how many parts to spread each.
 
-    They are found now and pinned, as both sides of a join have to see the same list. The list is
-    bounded; keys beyond it are joined unspread, none is lost.
+    They are found now, as both sides of a join have to see the same list. It is bounded; keys
+    beyond it are joined unspread, none is lost. A missing key can be among them.
     """
     heavy = (
-        sampled_counts(df.dropna(subset=on), on, hot_rows)
+        sampled_counts(df, on, hot_rows)
         .filter(F.col("_n") >= hot_rows)
         .orderBy(F.col("_n").desc())
         .limit(MAX_HOT_KEYS)
-        .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_hot_parts"))
     )
-    return df.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+    return heavy.select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_hot_parts")).collect()
 
 
 def spread_join(
@@ -85,10 +84,19 @@ def spread_join(
 ) -> DataFrame:
     """Shuffled join with hot left keys spread; ``right`` holds one row per key.
 
-    The part of a row is that of its input task: the same on a retry, and different for equal rows.
-    Rows without a key match nothing, so they are spread as well.
+    Without hot keys it is a plain join, so tables that are bucketed by the key need no shuffle.
+    Else the part of a row is that of its input task: the same on a retry, and different for equal
+    rows. Rows without a key match nothing, so they are spread as well.
     """
-    hot = F.broadcast(hot_keys(left, on, hot_rows))
+    rows = hot_keys(left, on, hot_rows)
+    if not rows:
+        return left.join(right, on, how)
+    schema = T.StructType(
+        [T.StructField(c, left.schema[c].dataType) for c in on]
+        + [T.StructField("_hot_parts", T.IntegerType())]
+    )
+    given = [r for r in rows if None not in tuple(r)]
+    hot = F.broadcast(left.sparkSession.createDataFrame(given, schema))
     no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
     part = F.when(no_key, F.spark_partition_id()).when(
         F.col("_hot_parts").isNotNull(), F.pmod(F.spark_partition_id(), F.col("_hot_parts"))
