@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflow.llm import curriculum, host_rules, token_files
+from clinflow.llm import curriculum, decontaminate, host_rules, jaccard, token_files
 from clinflow.session import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"), encoding)
 
 
+@query()
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), percent=90)
+
+
 @query()
 def op9_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the order in which the run first takes them; those it never takes come last."""
@@ -103,3 +108,51 @@ def op9_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
         .repartitionByRange("first_taken", "doc_id")
         .sortWithinPartitions("first_taken", "doc_id")
     )
+
+
+@query(
+    """
+WITH items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+    FROM benchmark),
+  docs AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+    FROM documents),
+  wanted AS (
+    SELECT DISTINCT item, size, array_to_string(w[i : i + size - 1], ' ') AS g
+    FROM (SELECT item, w, least(len(w), 13) AS size, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i
+          FROM items WHERE len(w) > 0)),
+  sizes AS (SELECT DISTINCT size FROM wanted),
+  places AS (
+    SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS g
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes
+          WHERE len(w) >= size)),
+  hits AS (SELECT doc_id, size, i, item FROM places JOIN wanted USING (size, g)),
+  covered AS (
+    SELECT doc_id, count(DISTINCT k) AS n
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM hits) GROUP BY doc_id),
+  named AS (
+    SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS names
+    FROM hits GROUP BY doc_id)
+SELECT docs.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(named.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered ON docs.doc_id = covered.doc_id LEFT JOIN named ON docs.doc_id = named.doc_id
+"""
+)
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+    )
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
