@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflow.llm import curriculum, decontaminate, host_rules, jaccard, token_files
+from clinflow.llm import curriculum, decontaminate, host_rules, jaccard, pii, token_counts, token_files
 from clinflow.session import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,13 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@query()
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_counts.read_pieces(vocabulary("byte_bpe_50k.json"))
+    found = token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces, keep=["doc_id"])
+    return found.select("row.doc_id", "n_words", "n_tokens", "n_unknown")
+
+
 WORDS_SQL = """
   words AS (
     SELECT doc_id, text, source,
@@ -156,3 +163,21 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def span_list(spans):
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+    each = lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])
+    return F.array_join(F.transform(spans, each), ",")
+
+
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
+    return found.select(
+        "row.doc_id",
+        *[count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)],
+        F.sha2(span_list("base").cast("binary"), 256).alias("base_sha256"),
+        span_list("spans").alias("spans"),
+    )
