@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflow.llm import curriculum, decontaminate, host_rules, jaccard, pii, token_counts, token_files
+from clinflow.llm import (
+    chat,
+    curriculum,
+    decontaminate,
+    host_rules,
+    jaccard,
+    licenses,
+    pii,
+    token_counts,
+    token_files,
+)
+from clinflow.llm.common import scratch
 from clinflow.session import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -181,3 +192,59 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(span_list("base").cast("binary"), 256).alias("base_sha256"),
         span_list("spans").alias("spans"),
     )
+
+
+@query()
+def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts look like the template's markers."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    rows = [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
+    both = said.unionByName(spark.createDataFrame(rows, said.schema))
+    return chat.read_back(scratch(chat.format_windows(both), "windows"))
+
+
+def license_sql() -> str:
+    plain = "coalesce(text, '')"
+    for pattern, becomes in licenses.CUTS:
+        plain = f"regexp_replace({plain}, '{pattern}', '{becomes.replace('$1', chr(92) + '1')}', 'g')"
+    known = ", ".join(f"({i}, '{s}')" for i, s in licenses.SENTENCES.items())
+    rules = ", ".join(
+        f"('{name}', '{license}', ',{','.join(map(str, ids))},')"
+        for name, (license, ids) in licenses.RULES.items()
+    )
+    return f"""
+WITH known(id, sentence) AS (VALUES {known}),
+  rules(rule, license, ids) AS (VALUES {rules}),
+  cut AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower({plain}), ' ?\\x01[ \\x01]*'),
+                               lambda s: trim(s) <> '') AS s
+    FROM documents),
+  placed AS (SELECT doc_id, unnest(s) AS sentence, unnest(range(len(s))) AS i FROM cut),
+  hits AS (
+    SELECT doc_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY i) AS identifiers
+    FROM placed JOIN known ON trim(placed.sentence) = known.sentence GROUP BY doc_id),
+  matched AS (SELECT * FROM hits JOIN rules ON contains(',' || identifiers || ',', ids)),
+  longest AS (
+    SELECT * FROM matched m WHERE NOT EXISTS (
+      SELECT 1 FROM matched o WHERE o.doc_id = m.doc_id AND o.ids <> m.ids AND contains(o.ids, m.ids))),
+  named AS (
+    SELECT doc_id, string_agg(rule, ',' ORDER BY rule) AS rules,
+           string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
+    FROM longest GROUP BY doc_id)
+SELECT cut.doc_id, CAST(len(s) AS BIGINT) AS n_sentences, coalesce(identifiers, '') AS identifiers,
+       coalesce(rules, '') AS rules, coalesce(licenses, '') AS licenses
+FROM cut LEFT JOIN hits ON cut.doc_id = hits.doc_id LEFT JOIN named ON cut.doc_id = named.doc_id
+"""
+
+
+@query(license_sql())
+def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_rules(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        "n_sentences",
+        F.array_join(F.col("identifiers").cast("array<string>"), ",").alias("identifiers"),
+        F.array_join("rules", ",").alias("rules"),
+        F.array_join("licenses", ",").alias("licenses"),
+    )
