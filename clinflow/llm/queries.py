@@ -15,6 +15,7 @@ from clinflow.llm import (
     jaccard,
     licenses,
     pii,
+    substrings,
     token_counts,
     token_files,
 )
@@ -248,3 +249,10 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("rules", ",").alias("rules"),
         F.array_join("licenses", ",").alias("licenses"),
     )
+
+
+@query()
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    kept = F.sha2(F.col("kept").cast("binary"), 256)
+    return found.select("row.doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))

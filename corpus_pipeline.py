@@ -4,18 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinflow.llm import host_rules
+from clinflow.llm import curriculum, decontaminate, host_rules, jaccard, token_files
 from clinflow.llm.common import scratch
+from clinflow.llm.queries import vocabulary
 from clinflow.session import table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules and come from no rejected host."""
     return host_rules.kept_rows(docs)
 
 
-STAGES = [("quality", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones."""
+    return jaccard.representatives(docs, percent=90)
 
-#: SQL has no tokenizer; the stages are tested one by one.
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by benchmark items, unchanged."""
+    return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks for, in the order of the training run."""
+    return curriculum.training_order(curriculum.assign(docs))
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of what is left; a row per document in them."""
+    return token_files.token_digests(docs, token_files.Encoding(vocabulary("byte_bpe_50k.json")))
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("token_output", token_output),
+]
+
+#: SQL has no tokenizer; the stages are tested against plain versions of them instead.
 ORACLE_SQL = None
 
 
