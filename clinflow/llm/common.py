@@ -1,4 +1,4 @@
-"""What the text operators share: words, rows kept whole beside derived columns, measured joins."""
+"""What the text operators share: words, whole rows beside derived columns, measured joins."""
 
 from __future__ import annotations
 
@@ -19,13 +19,10 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
 
 
-def packed(docs: DataFrame, *names: str) -> DataFrame:
-    """The whole row as struct ``row`` beside copies of some columns.
-
-    Columns that an operator derives then never clash with those of the input. A name that the
-    input lacks is an error; one that it has twice is Spark's own ambiguity error.
-    """
-    return docs.select(F.struct(*docs.columns).alias("row"), *[F.col(n) for n in names])
+def whole_row(docs: DataFrame, keep: list[str] | None = None) -> Column:
+    """Struct ``row`` of the columns in ``keep``, or all: what an operator adds beside it can't clash
+    with a column of the input, whatever that is called."""
+    return F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
 
 
 def scratch(df: DataFrame, label: str) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import scratch, small_join, words_of
+from clinflow.llm.common import scratch, small_join, whole_row, words_of
 
 Knots = Sequence[tuple[float, float]]
 
@@ -144,7 +144,7 @@ def assign(docs: DataFrame, mix: Mix = Mix(), keep: list[str] | None = None) ->
     rows can stand for each other. An empty table gives an empty one. A null source is a source.
     """
     rows = docs.select(
-        F.struct(*(keep or docs.columns)).alias("row"),
+        whole_row(docs, keep),
         F.col("source").cast("string").alias("source"),
         F.size(words_of(F.col("text"))).cast("long").alias("size"),
         F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).alias("key"),

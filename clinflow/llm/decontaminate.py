@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.llm.automata import SuffixAutomaton
-from clinflow.llm.common import scratch
+from clinflow.llm.common import scratch, whole_row
 
 #: Capital letters to small ones, everything but letters, digits and non-ASCII bytes to a space.
 FOLD = bytes(
@@ -157,7 +157,7 @@ def find_items(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), kee
     results of four passes are written before the next.
     """
     df = docs.select(
-        F.struct(*(keep or docs.columns)).alias("row"),
+        whole_row(docs, keep),
         "text",
         F.lit(0).cast("long").alias("n_words"),
         F.lit(None).cast(SPAN).alias("spans"),

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import scratch, small_join, words_of
+from clinflow.llm.common import scratch, small_join, whole_row, words_of
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
@@ -142,7 +142,7 @@ def host_rules(docs: DataFrame, host: Column | str = "source", rules: Rules = Ru
     """
     host = F.col(host) if isinstance(host, str) else host
     rows = docs.select(
-        F.struct(*(keep or docs.columns)).alias("row"), host.cast("string").alias("host"), F.col("text")
+        whole_row(docs, keep), host.cast("string").alias("host"), F.col("text")
     )
     judged = rule_features(rows).withColumn("base_failed", fails(rules)).drop("text")
     judged = scratch(judged, "judged")

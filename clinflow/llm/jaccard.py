@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import scratch, small_join
+from clinflow.llm.common import scratch, small_join, whole_row
 from clinflow.llm.components import components
 from clinflow.llm.shingles import PartEnum, set_key, shingle_set, sketch, sketches
 
@@ -264,6 +264,6 @@ def representatives(docs: DataFrame, percent: int = 90) -> DataFrame:
     if several.isEmpty():
         return single
     rows = small_join(docs, listed(several), ["doc_id"], "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    numbered = rows.select(F.struct(*docs.columns).alias("row"), F.row_number().over(first).alias("place"))
-    return single.unionByName(numbered.filter("place = 1").select("row.*").select(docs.columns))
+    first = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(whole_row(docs)))
+    numbered = rows.select(whole_row(docs), F.row_number().over(first).alias("place"))
+    return single.unionByName(numbered.filter("place = 1").select("row.*"))

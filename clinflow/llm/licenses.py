@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.llm.common import whole_row
+
 # Sentences of public licences and of usual notices, in plain form, by number.
 SENTENCES = {
     1: "released under the mit license",
@@ -130,7 +132,7 @@ def license_rules(docs: DataFrame, rules: dict = RULES, known: dict = SENTENCES,
             for name, (license, ids) in sorted(rules.items())
         ]
     )
-    rows = docs.select(F.struct(*(keep or docs.columns)).alias("row"), sentences(F.col("text")).alias("sentences"))
+    rows = docs.select(whole_row(docs, keep), sentences(F.col("text")).alias("sentences"))
     found = rows.select(
         "row",
         F.size("sentences").cast("long").alias("n_sentences"),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinflow.llm.common import scratch
+from clinflow.llm.common import scratch, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -134,7 +134,7 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
 def described(docs: DataFrame, keep: list[str] | None) -> DataFrame:
     """Every row with ``base`` spans and ``mentions``, and ``key``, equal for equal texts only."""
     rows = docs.select(
-        F.struct(*(keep or docs.columns)).alias("row"),
+        whole_row(docs, keep),
         F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("key"),
         "text",
     )

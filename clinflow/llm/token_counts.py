@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.llm.automata import LongestMatch
+from clinflow.llm.common import whole_row
 
 #: Words whose counts a worker remembers at most; then it forgets them all.
 REMEMBERED = 1_000_000
@@ -71,7 +72,7 @@ def count_tokens(docs: DataFrame, pieces: list[bytes], mark: bytes = b" ", keep:
     if len(pieces) > MAX_PIECES:
         raise ValueError(f"a vocabulary of {len(pieces)} pieces is over {MAX_PIECES}")
     sent = docs.sparkSession.sparkContext.broadcast(LongestMatch(pieces))
-    rows = docs.select(F.struct(*(keep or docs.columns)).alias("row"), "text")
+    rows = docs.select(whole_row(docs, keep), "text")
     schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(COUNTS).fields])
     name = uuid.uuid4().hex
 
