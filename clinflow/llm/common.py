@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from typing import Any
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import clinflow
 from clinflow.session import work_dir, written
 
+# Functions of this package travel to the workers by value, so it need not be installed there.
+cloudpickle.register_pickle_by_value(clinflow)
+
 #: White space between words: the code points x20 and x09 to x0D.
 GAP = "[\\x20\\x09-\\x0D]+"
 
@@ -30,6 +37,15 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     return written(df, work_dir(df.sparkSession, label))
 
 
+def sent(df: DataFrame, value: Any) -> Broadcast:
+    """An object for every executor; a task gets it with :func:`received`. Its class goes along."""
+    return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(broadcast: Broadcast) -> Any:
+    return cloudpickle.loads(broadcast.value)
+
+
 def small_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join with a written table ``right``, unique by ``on``, that may or may not be small.
 

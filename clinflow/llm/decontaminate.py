@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.llm.automata import SuffixAutomaton
-from clinflow.llm.common import scratch, whole_row
+from clinflow.llm.common import received, scratch, sent, whole_row
 
 #: Capital letters to small ones, everything but letters, digits and non-ASCII bytes to a space.
 FOLD = bytes(
@@ -117,10 +117,10 @@ def shards(items: DataFrame, limits: Limits) -> Iterator[ItemAutomaton]:
 
 def scanned(df: DataFrame, shard: ItemAutomaton) -> DataFrame:
     """Columns ``n_words``, ``spans`` and ``items`` with what one more shard finds."""
-    sent = df.sparkSession.sparkContext.broadcast(shard)
+    shared = sent(df, shard)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = sent.value
+        automaton = received(shared)
         for batch in batches:
             counts, spans, items = [], [], []
             before = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinflow.llm.common import scratch, whole_row
+from clinflow.llm.common import received, scratch, sent, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -162,10 +162,10 @@ def slots(docs: DataFrame, patterns: DataFrame, trust: Trust) -> DataFrame:
     names = (r[0] for r in patterns.select("pattern").toLocalIterator())
     total = None
     while held := frozenset(islice(names, trust.shard)):
-        sent = docs.sparkSession.sparkContext.broadcast(held)
+        shared = sent(docs, held)
 
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            split = [p.split(" ") for p in sent.value]
+        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            split = [p.split(" ") for p in received(shared)]
             before = {(a, b) for k, a, b in split if k == "before"}
             around = {(a, b) for k, a, b in split if k == "around"}
             first = {a for a, _ in before | around}

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import xxhash
 
 SIZE = 3
-#: Words whose hashes a worker remembers at most; then it forgets them all.
+#: Words whose hashes a task remembers at most; then it forgets them all.
 REMEMBERED = 1_000_000
 #: Counters of a sketch.
 CELLS = 64
@@ -82,6 +81,7 @@ class PartEnum:
 
     def __init__(self, percent: int, errors: int = 1, spare: int = 2) -> None:
         self.percent, self.errors, self.spare = percent, errors, spare
+        self.plans: dict[int, tuple[int, int, list[tuple[int, ...]]]] = {}
 
     def alike(self, common: int, a: int, b: int) -> bool:
         return 100 * common >= self.percent * (a + b - common)
@@ -90,7 +90,6 @@ class PartEnum:
         """How many members similar sets of these sizes differ by, at most."""
         return (100 - self.percent) * (a + b) // (100 + self.percent)
 
-    @lru_cache(maxsize=4096)
     def band(self, size: int) -> tuple[int, int, int]:
         """The band of a size: its number, the largest size in it and in the one above."""
         number, low = 0, 1
@@ -98,13 +97,16 @@ class PartEnum:
             number, low = number + 1, high + 1
         return number, high, 100 * (high + 1) // self.percent
 
-    @lru_cache(maxsize=4096)
     def plan(self, largest: int) -> tuple[int, int, list[tuple[int, ...]]]:
-        differ = self.most_apart(largest, largest)
-        first = -(-(differ + 1) // (self.errors + 1))
-        left = differ // first
-        parts = left + self.spare if left else 1
-        return first, parts, list(combinations(range(parts), parts - left))
+        """Partitions, parts of each, and the choices of parts, for sets up to a size. There are few
+        such sizes, one to a band."""
+        if largest not in self.plans:
+            differ = self.most_apart(largest, largest)
+            first = -(-(differ + 1) // (self.errors + 1))
+            left = differ // first
+            parts = left + self.spare if left else 1
+            self.plans[largest] = first, parts, list(combinations(range(parts), parts - left))
+        return self.plans[largest]
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         if not len(s):

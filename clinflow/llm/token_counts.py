@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import json
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.llm.automata import LongestMatch
-from clinflow.llm.common import whole_row
+from clinflow.llm.common import received, sent, whole_row
 
-#: Words whose counts a worker remembers at most; then it forgets them all.
+#: Words whose counts a task remembers at most; then it forgets them all.
 REMEMBERED = 1_000_000
 #: Largest vocabulary, in pieces, that is sent to every executor.
 MAX_PIECES = 1_000_000
@@ -57,9 +56,6 @@ class Counts(dict):
         return n
 
 
-_counts: dict[str, Counts] = {}
-
-
 def count_tokens(docs: DataFrame, pieces: list[bytes], mark: bytes = b" ", keep: list[str] | None = None) -> DataFrame:  # noqa: E501
     """Every row as struct ``row`` (the columns in ``keep``, or all), with ``n_words`` (runs without
     the white space x20, x09 to x0D), ``n_tokens`` and ``n_unknown``.
@@ -71,16 +67,12 @@ def count_tokens(docs: DataFrame, pieces: list[bytes], mark: bytes = b" ", keep:
     """
     if len(pieces) > MAX_PIECES:
         raise ValueError(f"a vocabulary of {len(pieces)} pieces is over {MAX_PIECES}")
-    sent = docs.sparkSession.sparkContext.broadcast(LongestMatch(pieces))
+    shared = sent(docs, LongestMatch(pieces))
     rows = docs.select(whole_row(docs, keep), "text")
     schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(COUNTS).fields])
-    name = uuid.uuid4().hex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _counts:  # a worker keeps what it has learnt about one vocabulary
-            _counts.clear()
-            _counts[name] = Counts(sent.value, mark)
-        known = _counts[name]
+        known = Counts(received(shared), mark)
         for batch in batches:
             words, tokens, unknown = [], [], []
             for text in batch.column("text").to_pylist():

@@ -26,7 +26,7 @@ from clinflow.session import work_dir
 
 PART = "part int, file string, n_docs long, n_tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
-#: Pieces of text whose ids a worker remembers at most; then it forgets them all.
+#: Pieces of text whose ids a task remembers at most; then it forgets them all.
 REMEMBERED = 1_000_000
 #: Bytes of text to a part.
 PART_BYTES = 48 * 1024 * 1024
@@ -81,16 +81,6 @@ class Ids(dict):
         return b"".join(map(self.__getitem__, [first, *pieces] if first else pieces))
 
 
-_ids: dict[str, Ids] = {}
-
-
-def ids_of(path: str) -> Ids:
-    """A worker process keeps what it has learnt for its later tasks."""
-    if path not in _ids:
-        _ids[path] = Ids(path)
-    return _ids[path]
-
-
 def storage(folder: str):
     """The file system of a folder and the path in it; any that Arrow knows, local ones included."""
     from pyarrow import fs
@@ -117,7 +107,7 @@ def mapped(files, path: str, dtype: str) -> np.ndarray:
 
 def write_part(folder: str, encoding: Encoding):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, (files, top) = ids_of(encoding.path), storage(folder)
+        ids, (files, top) = Ids(encoding.path), storage(folder)
         end = np.array([encoding.end], ids.dtype).tobytes()
         part = TaskContext.get().partitionId()
         # An attempt that is repeated writes under another name; the manifest names the one that counts.
