@@ -1,7 +1,7 @@
 """JSON documents as columns.
 
-``try_parse_json`` accepts text after the first value, so the text is parsed as the first element of
-an array whose second element is a hash of that same text. Anything that ends the array early, or
+The parser accepts text after the first value, so the text is parsed as the first element of an
+array whose second element is a hash of that same text. Anything that ends the array early, or
 adds elements to it, fails the comparison with the hash.
 
 VARIANT sorts object keys and normalises number scale. Where a stage hands a document on, the
@@ -26,12 +26,30 @@ _NULL_MEMBER_OR_STRING = (
 )
 
 
+# Strict JSON, with strings of any length; ``try_parse_json`` stops at 20 million characters.
+_STRICT = {
+    "maxStringLen": "2147483647",
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+#: Bytes of text from which a parsed document may outgrow what a VARIANT holds, 128 MiB.
+LARGE_DOCUMENT = 120 * 1024 * 1024
+
+
 def _wrapped(text: Column) -> Column:
-    return F.try_parse_json(
-        F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
+    return F.from_json(
+        F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]")),
+        "variant",
+        _STRICT,
     )
 
 
+def not_parsed(text: Column, doc: Column, message: str) -> Column:
+    """Why a row was rejected: the message, or that its text is too large to be parsed."""
+    large = doc.isNull() & (F.octet_length(text) > LARGE_DOCUMENT)
+    return F.when(large, F.lit("the document is too large")).otherwise(F.lit(message))
+
+
 def once(value: Column) -> Column:
     """Keep a costly column from being worked out again wherever it is used.
 

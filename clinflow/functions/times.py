@@ -36,3 +36,9 @@ def latest_default(text: Column) -> Column:
 def us_date_to_iso(text: Column) -> Column:
     """``MM/DD/YYYY`` as ``YYYY-MM-DD``, zero padded; null when it is no such date."""
     return F.date_format(F.try_to_timestamp(text, F.lit("M/d/yyyy")), "yyyy-MM-dd")
+
+
+def utc_day(at: Column) -> Column:
+    """The day of an instant in UTC, whatever the session's time zone."""
+    days = F.floor(F.unix_seconds(at) / 86_400).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)

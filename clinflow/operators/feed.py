@@ -76,12 +76,25 @@ def feed_outcomes(
     value: str = "value",
     **limits: int,
 ) -> DataFrame:
-    """T7 for a batch: the input columns, ``output``, ``failed_stage`` and ``error`` of every row.
+    """T7 for a batch: the input columns, ``output``, ``failed_stage`` and ``error`` of every row."""
+    routed = route_by_type(notifications, value)
+    return routed_outcomes(routed, notifications.columns, types, mapping, value, **limits)
+
+
+def routed_outcomes(
+    routed: DataFrame,
+    keep: list[str],
+    types: DataFrame,
+    mapping: Mapping,
+    value: str = "value",
+    **limits: int,
+) -> DataFrame:
+    """T7 from the lookup on, for the rows of ``route_by_type``, of which ``keep`` names columns.
 
     Each row keeps its place through all stages: the stage that rejected it is named, and null for
     rows whose bundle can be written. A text is parsed once, and again only if it was enriched.
     """
-    routed = enrich_merged(route_by_type(notifications, value), types, value, **limits)
+    routed = enrich_merged(routed, types, value, **limits)
     looked = F.col("ok") & F.col("uri").isNotNull()
     # An enriched text was made here from a checked one, so it needs no gate.
     reparsed = F.when(looked, F.try_parse_json("message")).otherwise(F.col("doc"))
@@ -90,7 +103,7 @@ def feed_outcomes(
     staged = mapped.withColumnsRenamed({"ok": "_map_ok", "error": "_map_error"})
     stage = F.when(~F.col("_read_ok"), READ).when(~F.col("_map_ok"), MAPPING)
     return staged.select(
-        *notifications.columns,
+        *keep,
         F.when(F.col("_read_ok") & F.col("_map_ok"), F.col("output")).alias("output"),
         stage.alias("failed_stage"),
         F.coalesce("_read_error", F.when(F.col("_read_ok"), F.col("_map_error")))

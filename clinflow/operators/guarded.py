@@ -2,16 +2,20 @@
 
 The function gets one pandas batch at a time, inside tasks; Spark partitions the work. A batch that
 fails is halved and tried again until the bad rows stand alone, so that each rejects only itself.
+Input columns pass by as they are, and integers come in a type that has a missing value, so that
+they stay exact beside one.
 """
 
 import traceback
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 import clinflow
 from clinflow.operators.outcomes import error_entry
@@ -20,6 +24,14 @@ from clinflow.schemas import ERROR_ENTRY
 # Functions of this package travel to the workers by value, so it need not be installed there.
 cloudpickle.register_pickle_by_value(clinflow)
 
+_EXACT = {
+    pa.int8(): pd.Int8Dtype(),
+    pa.int16(): pd.Int16Dtype(),
+    pa.int32(): pd.Int32Dtype(),
+    pa.int64(): pd.Int64Dtype(),
+    pa.bool_(): pd.BooleanDtype(),
+}
+
 _RAW_ERROR = T.StructType(
     [
         T.StructField("error_class", T.StringType()),
@@ -37,6 +49,7 @@ def guarded_map(
     resource: str | None = None,
     sources: str | None = None,
     recoverable: tuple[str, ...] = ("RuntimeError",),
+    one_by_one: bool = False,
 ) -> DataFrame:
     """Apply a user function and keep its failures.
 
@@ -44,19 +57,24 @@ def guarded_map(
     many batches. The function returns one row of ``schema`` per input row. The result has the input
     columns, the output columns, ``ok``, ``error`` and ``fatal`` — true when the exception is of
     none of the ``recoverable`` classes, subclasses not included. ``report_then_fail`` acts on it.
+    With ``one_by_one`` the function gets single rows, each once per task: for calls that have an
+    effect and must not be repeated for the sake of other rows.
     """
     names = [f.name for f in schema.fields]
     clash = set(names) & set(df.columns)
     if clash:
         raise ValueError(f"output columns {sorted(clash)} are input columns already")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out_schema = T.StructType(df.schema.fields + schema.fields + _RAW_ERROR.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
+        kinds = {f.name: to_arrow_type(f.dataType) for f in schema.fields}
         for batch in batches:
-            yield _guard(fn, batch.reset_index(drop=True), names)
+            made = _guard(fn, batch.to_pandas(types_mapper=_EXACT.get), kinds, one_by_one)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=out_schema.names)
 
-    out_schema = T.StructType(df.schema.fields + schema.fields + _RAW_ERROR.fields)
-    mapped = df.mapInPandas(run, out_schema)
+    mapped = df.mapInArrow(run, out_schema)
     failed = F.col("error_class").isNotNull()
     entry = error_entry(
         F.col("error_message"),
@@ -75,33 +93,38 @@ def guarded_map(
 
 
 def _guard(
-    fn: Callable[[pd.DataFrame], pd.DataFrame], batch: pd.DataFrame, names: list[str]
-) -> pd.DataFrame:
-    """Halve what fails until single rows are left, and keep the order of the rows."""
-    outputs: list[pd.DataFrame] = []
-    failures: dict[int, tuple[str, str, str]] = {}
-    ranges = [(0, len(batch))]
+    fn: Callable[[pd.DataFrame], pd.DataFrame],
+    batch: pd.DataFrame,
+    kinds: dict[str, pa.DataType],
+    one_by_one: bool,
+) -> list[pa.Array]:
+    """The output columns and those of the failures, in the order of the rows.
+
+    What fails is halved until single rows are left.
+    """
+    parts: list[list[pa.Array]] = [[pa.array([], k) for k in kinds.values()]]
+    failures: list[tuple[str, str, str] | None] = []
+    step = 1 if one_by_one else max(1, len(batch))
+    ranges = [(at, min(at + step, len(batch))) for at in range(0, len(batch), step)][::-1]
     while ranges:
         start, end = ranges.pop()
-        if start == end:
-            continue
         try:
-            out = fn(batch.iloc[start:end].reset_index(drop=True))[names]
+            out = fn(batch.iloc[start:end].reset_index(drop=True))
             if len(out) != end - start:
                 raise RuntimeError("one output row per input row is expected")
-            outputs.append(out.set_axis(range(start, end), axis=0))
+            made = [pa.Array.from_pandas(out[name], type=kind) for name, kind in kinds.items()]
+            parts.append([m.combine_chunks() if isinstance(m, pa.ChunkedArray) else m for m in made])
+            failures += [None] * (end - start)
         except Exception as e:  # noqa: BLE001 - the failure becomes a row
             if end - start == 1:
-                failures[start] = (type(e).__name__, str(e), traceback.format_exc())
+                parts.append([pa.nulls(1, kind) for kind in kinds.values()])
+                failures.append((type(e).__name__, str(e), traceback.format_exc()))
             else:
                 middle = (start + end) // 2
                 ranges += [(middle, end), (start, middle)]
-    made = pd.concat(outputs) if outputs else pd.DataFrame(columns=names)
-    failed = pd.DataFrame.from_dict(
-        failures, orient="index", columns=[f.name for f in _RAW_ERROR.fields]
-    )
-    joined = batch.join(made).join(failed)
-    return joined.astype(object).where(joined.notna(), None) if failures else joined
+    columns = [pa.concat_arrays(column) for column in zip(*parts)]
+    causes = [pa.array([f and f[i] for f in failures], pa.string()) for i in range(3)]
+    return columns + causes
 
 
 def row_function(

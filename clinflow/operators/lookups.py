@@ -129,15 +129,20 @@ def wanted_keys(left: DataFrame, on: list[str]) -> DataFrame | None:
     return left.sparkSession.createDataFrame(rows, keys.schema)
 
 
-def only_wanted(right: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
-    """The rows of ``right`` whose keys are wanted. The span of the keys reaches the file reader,
-    which skips what lies outside of it if the table is sorted by key."""
+def within_span(right: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of ``right`` between the least and the largest of the wanted keys. The bounds reach
+    the file reader, which skips what lies outside of them if the table is sorted by key."""
     ends = [f(c).alias(f"{i}{c}") for c in on for i, f in enumerate((F.min, F.max))]
     span = wanted.agg(*ends).first()
     for c in on:
         low, high = span[f"0{c}"], span[f"1{c}"]
         right = right.filter(F.lit(False) if low is None else F.col(c).between(low, high))
-    return right.join(F.broadcast(wanted), on, "left_semi")
+    return right
+
+
+def only_wanted(right: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of ``right`` whose keys are wanted."""
+    return within_span(right, wanted, on).join(F.broadcast(wanted), on, "left_semi")
 
 
 def is_small(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> bool:

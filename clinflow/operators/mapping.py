@@ -15,18 +15,17 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.functions import jsonx
-from clinflow.operators.outcomes import checked, error_entry
+from clinflow.operators.outcomes import checked, error_entry, split_ok
 
 KINDS = ("copy", "const", "root", "nest")
 ROOT_OUTPUT = ""
-MAX_RULES = 10_000
 MAPPING_STEP = "MapMessages"
 
 _PATH = re.compile(r"\$(\.[A-Za-z_][\w-]*|\[\d+\]|\['[^']+'\])*")
@@ -90,10 +89,8 @@ class Mapping:
 
     @classmethod
     def from_table(cls, df: DataFrame, post: str | None = None) -> Mapping:
-        """Rules of a table shaped like ``schemas.MAPPING_RULE``; a definition is small."""
-        rows = df.limit(MAX_RULES + 1).collect()
-        if len(rows) > MAX_RULES:
-            raise MappingError(f"more than {MAX_RULES} rules")
+        """Rules of a table shaped like ``schemas.MAPPING_RULE``, a definition written by hand."""
+        rows = df.toLocalIterator()
         return cls([Rule(**{**r.asDict(), "is_array": bool(r["is_array"])}) for r in rows], post)
 
     def to_text(self) -> str:
@@ -135,25 +132,22 @@ class Mapping:
                 self._check_cycles(r.const_value, (*above, output))
 
     def _object(self, output: str, doc: Column) -> Column:
-        fields = []
-        for r in self._of(output):
-            value = self._value(r, doc)
-            if r.is_array:
-                value = F.when(value.isNotNull(), F.array(value))
-            fields.append(value.alias(r.target_path))
+        fields = [self._value(r, doc).alias(r.target_path) for r in self._of(output)]
         return F.struct(*fields)
 
     def _value(self, rule: Rule, doc: Column) -> Column:
+        """The value of a rule, in a list if it asks for one; null if its source is missing."""
+        made = (lambda v: F.array(v)) if rule.is_array else (lambda v: v)
         if rule.kind == "const":
-            return F.lit(rule.const_value)
+            return made(F.lit(rule.const_value))
         if rule.kind == "root":
-            return doc
+            return made(doc)
+        if rule.kind == "nest" and rule.source_path == "$":
+            return made(self._object(rule.const_value, doc))
+        source = F.try_variant_get(doc, rule.source_path, "variant")
         if rule.kind == "copy":
-            return F.try_variant_get(doc, rule.source_path, "variant")
-        if rule.source_path == "$":
-            return self._object(rule.const_value, doc)
-        inner = F.try_variant_get(doc, rule.source_path, "variant")
-        return F.when(inner.isNotNull(), self._object(rule.const_value, inner))
+            return _given(source, made) if rule.is_array else source
+        return _given(source, lambda v: made(self._object(rule.const_value, v)))
 
     def column(self, doc: Column) -> Column:
         """The result object as a struct column."""
@@ -183,6 +177,12 @@ class Mapping:
         return entries
 
 
+def _given(value: Column, made: Callable[[Column], Column]) -> Column:
+    """What is made of a value, null if it is null. The value is worked out once and named: put in
+    wherever it is used, nested lists would double their plans at every level."""
+    return F.get(F.transform(F.array(value), lambda v: F.when(v.isNotNull(), made(v))), 0)
+
+
 def map_stage(
     df: DataFrame,
     mapping: Mapping,
@@ -200,7 +200,7 @@ def map_stage(
     value = F.col("_doc" if doc is None else doc)
     ok = jsonx.is_json(value)
     entry = error_entry(
-        "the input is not valid JSON",
+        jsonx.not_parsed(F.col(data), value, "the input is not valid JSON"),
         MAPPING_STEP,
         sources=F.array(F.col(source_id).cast("string")),
     )
@@ -240,23 +240,54 @@ def bundle_stage(df: DataFrame, resource: str, url: str, step: str = "CreateBund
     """J10 with its gate: the resource has to be a JSON object."""
     parsed = jsonx.with_document(df, resource, "_doc")
     ok = jsonx.is_object(F.col(resource), F.col("_doc"))
-    out = parsed.withColumn("bundle", F.when(ok, batch_bundle(F.col(resource), url))).drop("_doc")
-    entry = error_entry("the resource is not a JSON object", step, resource=F.col(resource))
-    return checked(out, F.col("bundle").isNotNull(), entry)
+    out = parsed.withColumn("bundle", F.when(ok, batch_bundle(F.col(resource), url)))
+    message = jsonx.not_parsed(F.col(resource), F.col("_doc"), "the resource is not a JSON object")
+    entry = error_entry(message, step, resource=F.col(resource))
+    return checked(out, F.col("bundle").isNotNull(), entry).drop("_doc")
 
 
-def bundle_entries(df: DataFrame, bundle: str, keep: list[str]) -> DataFrame:
-    """The inverse of J7 and J10: one row per entry of a bundle text."""
+def checked_entries(
+    df: DataFrame, bundle: str, keep: list[str], step: str = "ReadBundle"
+) -> DataFrame:
+    """The inverse of J7 and J10: a row per entry of a bundle text, with ``ok`` and ``error``.
+
+    A text that is no JSON, or has no list of entries, is one rejected row whose ``body`` is the
+    text. A bundle with an empty list has no rows.
+    """
     parsed = jsonx.with_document(df.select(*keep, bundle), bundle, "_doc")
     entries = F.try_variant_get("_doc", "$.entry", "array<variant>")
-    one = parsed.select(*keep, F.posexplode(entries).alias("position", "_entry"))
+    listed = parsed.withColumn("_entries", jsonx.once(entries))
+    message = F.when(
+        F.col("_doc").isNull(),
+        jsonx.not_parsed(F.col(bundle), F.col("_doc"), "the bundle is not valid JSON"),
+    ).otherwise(F.lit("the bundle has no list of entries"))
+    one = listed.select(
+        *keep,
+        F.when(F.col("_entries").isNull(), F.coalesce(bundle, F.lit(""))).alias("_text"),
+        F.when(F.col("_entries").isNull(), message).alias("_message"),
+        F.posexplode_outer("_entries").alias("position", "_entry"),
+    ).filter(F.col("_message").isNotNull() | F.col("position").isNotNull())
     resource = F.try_variant_get("_entry", "$.resource", "variant")
-    return one.select(
+    rows = one.select(
         *keep,
         "position",
         F.try_variant_get("_entry", "$.request.method", "string").alias("method"),
         F.try_variant_get("_entry", "$.request.url", "string").alias("url"),
         F.try_variant_get(resource, "$.resourceType", "string").alias("resource_type"),
         F.try_variant_get(resource, "$.id", "string").alias("id"),
-        F.to_json(resource).alias("body"),
+        F.coalesce("_text", F.to_json(resource)).alias("body"),
+        "_message",
     )
+    entry = error_entry(F.col("_message"), step, resource=F.col("body"))
+    return checked(rows, F.col("_message").isNull(), entry).drop("_message")
+
+
+def bundle_entries(df: DataFrame, bundle: str, keep: list[str]) -> DataFrame:
+    """The entries of the bundles that can be read."""
+    return split_ok(checked_entries(df, bundle, keep))[0]
+
+
+def mappable(messages: DataFrame, create_time: bool = True) -> DataFrame:
+    """A stored message as input of ``map_stage``: its name, its parsed form, its create time."""
+    time = [F.col("create_time")] if create_time else []
+    return messages.select(F.col("name").alias("id"), F.col("schematized_data").alias("data"), *time)

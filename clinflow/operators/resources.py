@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.functions.jsonx import once
+from clinflow.operators.lookups import lookup_join
 
 _FIELD = re.compile(r"[A-Za-z_][\w-]*(\.[A-Za-z_][\w-]*|\[\d+\])*")
 
@@ -55,19 +56,10 @@ def search_resources(
 def current_messages(messages: DataFrame, tombstones: DataFrame) -> DataFrame:
     """Messages by name without the deleted ones.
 
-    ``messages`` and ``tombstones`` carry ``name`` and ``seq``; a tombstone removes what was written
-    before it. One aggregate over both replaces a join.
+    ``messages`` has one row per name and write; ``tombstones`` carry ``name`` and ``seq``, and one
+    removes what was written before it. Few tombstones are broadcast, so that the store is not
+    shuffled for them.
     """
-    payload = [c for c in messages.columns if c != "name"]
-    live = messages.select(
-        "name", "seq", F.lit(False).alias("_gone"), F.struct(*payload).alias("_m")
-    )
-    gone = tombstones.select("name", "seq", F.lit(True).alias("_gone"))
-    latest = F.max_by(F.struct("_gone", "_m"), F.struct("seq", "_gone"))
-    return (
-        live.unionByName(gone, allowMissingColumns=True)
-        .groupBy("name")
-        .agg(latest.alias("_l"))
-        .filter(~F.col("_l._gone"))
-        .select("name", *[F.col(f"_l._m.{c}").alias(c) for c in payload])
-    )
+    newest = tombstones.groupBy("name").agg(F.max("seq").alias("_gone"))
+    found = lookup_join(messages, newest, ["name"])
+    return found.filter("_gone IS NULL OR seq > _gone").drop("_gone")

@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinflow.functions.times import utc_day
+from clinflow.operators.lookups import is_small
+from clinflow.session import work_dir, written
+
 # The default slice, and the shortest slice there may be.
 DEFAULT_SLICE = dt.timedelta(days=1)
 MIN_SLICE = dt.timedelta(hours=1)
 
-MAX_STORES = 10_000
-
 
 def _literal(df: DataFrame, column: str, at: dt.datetime | str) -> Column:
     """The instant in the column's own type, so that the comparison reaches the file reader."""
@@ -23,6 +25,13 @@ def _literal(df: DataFrame, column: str, at: dt.datetime | str) -> Column:
     return F.lit(value).cast(df.schema[column].dataType)
 
 
+def _day(df: DataFrame, column: str, at: dt.datetime | str) -> Column:
+    """The folder of an instant; of a column without a time zone, simply its day."""
+    value = _literal(df, column, at)
+    zoned = isinstance(df.schema[column].dataType, T.TimestampType)
+    return utc_day(value) if zoned else value.cast("date")
+
+
 def read_stores(df: DataFrame, stores: str | Iterable[str], column: str = "store") -> DataFrame:
     """All messages of one store or of several, from one table."""
     wanted = [stores] if isinstance(stores, str) else list(stores)
@@ -46,17 +55,17 @@ def scan(
     """``start <= send_time < end`` and a predicate; each may be left out.
 
     The predicate holds whether or not bounds are given. Where the table is partitioned by
-    ``send_date`` its folders are pruned too.
+    ``send_date`` its folders, of days in UTC, are pruned too.
     """
     dated = send_date in df.columns
     if start is not None:
         df = df.filter(F.col(send_time) >= _literal(df, send_time, start))
         if dated:
-            df = df.filter(F.col(send_date) >= _literal(df, send_time, start).cast("date"))
+            df = df.filter(F.col(send_date) >= _day(df, send_time, start))
     if end is not None:
         df = df.filter(F.col(send_time) < _literal(df, send_time, end))
         if dated:
-            df = df.filter(F.col(send_date) <= _literal(df, send_time, end).cast("date"))
+            df = df.filter(F.col(send_date) <= _day(df, send_time, end))
     if where is not None:
         df = df.filter(F.expr(where) if isinstance(where, str) else where)
     return df
@@ -117,18 +126,17 @@ def send_bounds(df: DataFrame, by: list[str], send_time: str = "send_time") -> D
 
 
 def pinned_bounds(df: DataFrame, by: list[str], send_time: str = "send_time") -> DataFrame:
-    """A3, computed now: one row per store, read once and used to plan the scan.
+    """The span ``[from_ms, to_ms)`` that is cut into slices, per store; written, as it is used to
+    plan the scan and to carry it out.
 
-    A scan names its stores, so there are few; more than ``MAX_STORES`` is an error.
+    Messages without a send time do not stretch it. A store that has no other has ``[0, 1)``.
     """
-    rows = send_bounds(df, by, send_time).limit(MAX_STORES + 1).collect()
-    if len(rows) > MAX_STORES:
-        raise ValueError(f"a scan of more than {MAX_STORES} stores; choose stores first")
-    schema = T.StructType(
-        [df.schema[c] for c in by]
-        + [T.StructField("from_ms", T.LongType()), T.StructField("to_ms", T.LongType())]
+    millis = F.unix_millis(F.col(send_time).cast("timestamp"))
+    spans = df.groupBy(*by).agg(
+        F.coalesce(F.min(millis), F.lit(0).cast("long")).alias("from_ms"),
+        (F.coalesce(F.max(millis), F.lit(0).cast("long")) + 1).alias("to_ms"),
     )
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+    return written(spans, work_dir(df.sparkSession, "bounds"))
 
 
 def required_bounds(df: DataFrame, send_time: str = "send_time") -> DataFrame:
@@ -186,15 +194,25 @@ def with_slice(
     width: dt.timedelta = DEFAULT_SLICE,
     shortest: dt.timedelta = MIN_SLICE,
 ) -> DataFrame:
-    """L4: the slice of each message, by arithmetic. ``bounds`` comes from ``pinned_bounds``, which
-    proves it small, and is broadcast."""
-    numbered = bounds.withColumn("_n", _slice_count(width, shortest))
+    """L4: the slice of each message, by arithmetic on ``pinned_bounds``.
+
+    Messages without a send time are in the first slice of their store; those without a store are a
+    store of their own. The bounds are broadcast if they are small.
+    """
+    named = [f"_{c}" for c in by]
+    numbered = bounds.withColumn("_n", _slice_count(width, shortest)).withColumnsRenamed(
+        dict(zip(by, named))
+    )
+    if is_small(numbered):
+        numbered = F.broadcast(numbered)
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, named)])
     millis = F.unix_millis(F.col(send_time).cast("timestamp"))
-    slot = F.floor((millis - F.col("from_ms")) / _millis(width))
+    slot = F.least(F.floor((millis - F.col("from_ms")) / _millis(width)), F.col("_n") - 1)
+    first = F.lit(0).cast("long")
     return (
-        df.join(F.broadcast(numbered), by)
-        .withColumn("slice_id", F.least(slot, F.col("_n") - 1))
-        .drop("_n", "from_ms", "to_ms")
+        df.join(numbered, same)
+        .withColumn("slice_id", F.when(millis.isNull(), first).otherwise(slot))
+        .drop("_n", "from_ms", "to_ms", *named)
     )
 
 

@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.functions.webpath import with_web_path
-from clinflow.operators.grouping import collect_parts, part_of
-from clinflow.operators.lookups import BROADCAST_BYTES, is_small, lookup_join
+from clinflow.operators.lookups import lookup_join, within_span
 from clinflow.operators.outcomes import checked, error_entry
 from clinflow.session import work_dir, written
 
 READ_STEP = "ReadStudyMetadata"
-# The metadata of one instance has tens of kilobytes, so an array stays well under 200 MB.
-MAX_INSTANCES = 2_000
 STUDY_KEY = ["dicom_store_path", "study_id"]
 
 
@@ -23,27 +20,14 @@ def notified_studies(parsed: DataFrame) -> DataFrame:
     return valid.groupBy(*STUDY_KEY).agg(F.count(F.lit(1)).alias("n_notifications"))
 
 
-def study_sizes(
-    wanted: DataFrame, instances: DataFrame, small: bool | None = None, **limits: int
-) -> DataFrame:
-    """The wanted studies the store knows, with their instance counts; reads only keys."""
-    return (
-        lookup_join(instances.select(*STUDY_KEY), wanted, STUDY_KEY, "inner", small=small, **limits)
-        .groupBy(*STUDY_KEY, "n_notifications")
-        .agg(F.count(F.lit(1)).alias("n_instances"))
-    )
-
-
-def resolve_paths(
-    parsed: DataFrame, sizes: DataFrame, small: bool | None = None, **limits: int
-) -> DataFrame:
+def resolve_paths(parsed: DataFrame, known: DataFrame, **limits: int) -> DataFrame:
     """Each notified path, and whether its study is known.
 
     Rejected rows keep the path as error resource. A path costs one row no matter how large its
     study is.
     """
-    known = sizes.select(*STUDY_KEY, F.lit(True).alias("_known"))
-    found = lookup_join(parsed, known, STUDY_KEY, small=small, **limits)
+    keys = known.select(*STUDY_KEY, F.lit(True).alias("_known"))
+    found = lookup_join(parsed, keys, STUDY_KEY, **limits)
     message = F.when(F.col("study_id").isNull(), F.lit("Invalid DICOM web path")).otherwise(
         F.concat(F.lit("no metadata for study "), F.col("study_id"))
     )
@@ -51,52 +35,38 @@ def resolve_paths(
     return checked(found, F.col("_known"), entry).drop("_known")
 
 
-def study_documents(
-    instances: DataFrame,
-    sizes: DataFrame,
-    limit: int = MAX_INSTANCES,
-    small: bool | None = None,
-    **limits: int,
-) -> DataFrame:
-    """The JSON array of each study in ``sizes``, from its instances' ``metadata`` text.
+def study_documents(instances: DataFrame, wanted: DataFrame, **limits: int) -> DataFrame:
+    """The JSON array of each wanted study the store knows, from its instances' ``metadata``.
 
-    A study is read once however many of its instances were notified; the row says how many were.
-    One with more than ``limit`` instances comes as several arrays, numbered by ``part``.
+    A study is one array, in order of ``instance_id``, read once however many of its instances were
+    notified; the row says how many were. The span of the wanted keys reaches the reader of the
+    store, so a store sorted by study is read where the wanted ones lie.
     """
-    chosen = lookup_join(instances, sizes, STUDY_KEY, "inner", small=small, **limits)
-    parted = chosen.withColumn("part", part_of(instances, F.col("n_instances"), limit))
-    listed = collect_parts(
-        parted, [*STUDY_KEY, "n_notifications"], F.struct("instance_id", "metadata"), "_members"
+    span = within_span(instances, wanted, STUDY_KEY)
+    chosen = lookup_join(span, wanted, STUDY_KEY, "inner", **limits)
+    member = F.struct("instance_id", "metadata")
+    listed = chosen.groupBy(*STUDY_KEY, "n_notifications").agg(
+        F.sort_array(F.collect_list(member)).alias("_members")
     )
     texts = F.transform("_members", lambda m: m["metadata"])
     return listed.select(
         *STUDY_KEY,
-        "part",
         "n_notifications",
+        F.size("_members").cast("long").alias("n_instances"),
         F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("study"),
     )
 
 
 def read_studies(
-    paths: DataFrame,
-    instances: DataFrame,
-    limit: int = MAX_INSTANCES,
-    scratch: str | None = None,
-    **limits: int,
+    paths: DataFrame, instances: DataFrame, scratch: str | None = None, **limits: int
 ) -> tuple[DataFrame, DataFrame]:
     """S12 with its dead letter: the notified studies, and the paths with ``ok`` and ``error``.
 
-    The keys of the notified studies, and then of those the store knows, are written to ``scratch``
-    first: both are used more than once, and their sizes decide how the rest is joined.
+    The keys of the notified studies, and then the studies found, are written to ``scratch`` first:
+    both are used more than once, and the store is read once.
     """
     base = work_dir(paths.sparkSession, "studies") if scratch is None else scratch
     parsed = with_web_path(paths)
-    broadcast_bytes = limits.get("broadcast_bytes", BROADCAST_BYTES)
     wanted = written(notified_studies(parsed), f"{base}/wanted")
-    sizes = written(
-        study_sizes(wanted, instances, is_small(wanted, broadcast_bytes), **limits),
-        f"{base}/sizes",
-    )
-    small = is_small(sizes, broadcast_bytes)
-    studies = study_documents(instances, sizes, limit, small, **limits)
-    return studies, resolve_paths(parsed, sizes, small, **limits)
+    studies = written(study_documents(instances, wanted, **limits), f"{base}/studies")
+    return studies, resolve_paths(parsed, studies, **limits)

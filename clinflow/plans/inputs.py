@@ -6,7 +6,7 @@ function beside it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinflow.operators.lookups import lookup_join
@@ -37,8 +37,8 @@ types AS (
 """
 
 
-def event_notifications(events: DataFrame) -> DataFrame:
-    """``rid`` and ``value`` for each event; works on streams as well."""
+def event_notifications(events: DataFrame, *more: Column) -> DataFrame:
+    """``rid`` and ``value`` for each event, and what else is asked for; works on streams as well."""
     event_id, user, props = F.col("event_id"), F.col("user_id"), F.col("props")
     kind = F.col("event_type")
     merged = '{"type":"ENTITIES_MERGED","id":'
@@ -55,7 +55,7 @@ def event_notifications(events: DataFrame) -> DataFrame:
         .when(kind == "purchase", text_of('{"type":5,"id":', event_id, ',"props":', props, "}"))
         .otherwise(text_of('{"type":null,"id":', event_id, "}"))
     )
-    return events.select(text_of("e", event_id).alias("rid"), value.alias("value"))
+    return events.select(text_of("e", event_id).alias("rid"), value.alias("value"), *more)
 
 
 def document_notifications(documents: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflow.operators.segments import flatten_segments, nest_segments
+from clinflow.operators.outcomes import split_ok
+from clinflow.operators.segments import flatten_segments, nest_segments, parsed_messages
 from clinflow.plans.registry import query
-from clinflow.session import spread_table
+from clinflow.session import spread_table, table
 
 _ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -37,7 +38,7 @@ def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     "J12",
     _NESTED_SQL
     + """
-SELECT l_orderkey, 0 AS part, '{"segments":[' || string_agg(segment, ','
+SELECT l_orderkey, '{"segments":[' || string_agg(segment, ','
   ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag || l_linestatus, l_quantity) || ']}'
   AS parsed
 FROM segments GROUP BY l_orderkey
@@ -68,3 +69,18 @@ def segments_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("fields")["2"].alias("supplier_key"),
         F.col("fields")["3"].alias("quantity"),
     )
+
+
+@query(
+    "J12 P13",
+    """
+SELECT 'd' || doc_id AS rid, false AS ok, text AS error_resource FROM documents
+UNION ALL SELECT 'o' || l_orderkey, true, NULL FROM lineitem GROUP BY l_orderkey
+""",
+)
+def segments_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages, and document texts as texts that are none; what can't be parsed is rejected."""
+    messages = _nested(spark, sf_dir).selectExpr("concat('o', l_orderkey) AS rid", "parsed")
+    texts = table(spark, sf_dir, "documents").selectExpr("concat('d', doc_id)", "text")
+    checked = parsed_messages(messages.union(texts), "parsed", ["rid"])
+    return checked.select("rid", "ok", "error.error_resource")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clinflow.functions.times import earliest_default, latest_default
 from clinflow.operators.lookups import fetch_by_id
+from clinflow.operators.mapping import Mapping, const, copy, map_stage, mappable
 from clinflow.operators.metrics import count_by_step
 from clinflow.operators.outcomes import split_ok, to_io_error_rows
 from clinflow.operators.resources import current_messages
@@ -233,15 +234,16 @@ def bound_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "P6 J11",
-    f"{_WITH} SELECT name AS id, schematized_data AS data, epoch_us(send_time) // 1000 AS created_ms"
-    " FROM messages",
+    f"""{_WITH} SELECT name AS id, '{{"kind":"Message","body":' || replace(data, ' ', '') || '}}' AS output,
+epoch_us(send_time) // 1000 AS created_ms FROM messages""",
 )
 def mappable_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return message_store(spark, sf_dir).select(
-        F.col("name").alias("id"),
-        F.col("schematized_data").alias("data"),
-        F.unix_millis(F.col("create_time").cast("timestamp")).alias("created_ms"),
-    )
+    """Stored messages, with their create times, through a mapping."""
+    mapping = Mapping([const("", "kind", "Message"), copy("", "body", "$.data")])
+    given = mappable(message_store(spark, sf_dir))
+    good, _ = split_ok(map_stage(given, mapping, source_time="create_time"))
+    created = F.unix_millis(F.col("source_time").cast("timestamp"))
+    return good.select("id", "output", created.alias("created_ms"))
 
 
 @query(
@@ -378,10 +380,13 @@ def bulk_import_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "S17 J10",
-    f"WITH {PATIENTS_SQL} SELECT 'Patient' AS resource_type, id, true AS ok FROM patients",
+    f"""WITH {PATIENTS_SQL} SELECT 'Patient' AS resource_type, id, true AS ok FROM patients
+UNION ALL SELECT NULL, NULL, false FROM documents""",
 )
 def bulk_import_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = patient_transactions(spark, sf_dir).select(F.col("output").alias("value"))
+    """Bundles, and document texts as lines that are none."""
+    bundles = patient_transactions(spark, sf_dir).select(F.col("output").alias("value"))
+    lines = bundles.unionByName(table(spark, sf_dir, "documents").select(F.col("text").alias("value")))
     return import_resources(lines, BUNDLE_PER_LINE).select("resource_type", "id", "ok")
 
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinflow.operators.lookups import entity_types
-from clinflow.operators.metrics import timed
-from clinflow.operators.outcomes import split_ok
 from clinflow.operators.resources import current_resources
 from clinflow.plans.errors import WINDOWS_SQL
 from clinflow.plans.feed import FEED_MAPPING, FEED_SQL
@@ -15,6 +14,7 @@ from clinflow.plans.inputs import (
     EXPORTED_SQL,
     MESSAGES_SQL,
     entity_type_table,
+    event_notifications,
     export_rows,
     instance_metadata,
     instance_paths,
@@ -23,13 +23,15 @@ from clinflow.plans.inputs import (
 )
 from clinflow.plans.registry import query
 from clinflow.plans.studies import IMAGING_MAPPING, STUDIES_SQL
+from clinflow.schemas import ERROR_ROW, IO_ERROR_ROW
 from clinflow.session import stream_table, table, work_dir
-from clinflow.sources.exports import parse_messages
 from clinflow.sources.notifications import text_files
 from clinflow.streaming.jobs import (
     FeedPaths,
+    Reports,
     read_export,
     start_error_sink,
+    start_export_feed,
     start_imaging_feed,
     start_ingest,
     start_message_feed,
@@ -152,6 +154,20 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("data", F.to_json("labels").alias("labels"))
 
 
+def _run_export_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Exported lines as a stream of text files, which are removed once they are read."""
+    base = work_dir(spark, "cleanup")
+    export_rows(table(spark, sf_dir, "events")).select("value").write.text(f"{base}/files")
+    start_export_feed(
+        text_files(spark, f"{base}/files", done="delete"),
+        f"{base}/messages",
+        f"{base}/rejects",
+        f"{base}/checkpoint",
+        trigger=_TO_END,
+    ).awaitTermination()
+    return base
+
+
 @query(
     "S1 S11 W11 T10",
     f"""WITH {EXPORTED_SQL}
@@ -159,17 +175,82 @@ SELECT event_type || '/' || event_id AS name, epoch_us(ts) // 1000 AS send_ms FR
 WHERE event_type IN ('click', 'view', 'purchase')""",
 )
 def stream_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exported lines as a stream of text files, which are removed once they are read."""
-    base = work_dir(spark, "cleanup")
-    export_rows(table(spark, sf_dir, "events")).select("value").write.text(f"{base}/files")
-    good, _ = split_ok(parse_messages(text_files(spark, f"{base}/files", done="delete")))
-    good.select("name", "send_time").writeStream.format("parquet").option(
-        "path", f"{base}/messages"
-    ).option("checkpointLocation", f"{base}/checkpoint").trigger(**_TO_END).start().awaitTermination()
-    parsed = spark.read.parquet(f"{base}/messages")
+    parsed = spark.read.parquet(f"{_run_export_feed(spark, sf_dir)}/messages")
     return parsed.select("name", F.unix_millis("send_time").alias("send_ms"))
 
 
+@query(
+    "S11 W11 T10 E5",
+    f"""WITH {EXPORTED_SQL}
+SELECT CASE event_type WHEN 'signup' THEN 'the message has no schematized data'
+  ELSE 'the input message is invalid' END AS error_message, 'ParseMessage' AS step
+FROM lines WHERE event_type IN ('signup', 'error')""",
+)
+def stream_cleanup_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{_run_export_feed(spark, sf_dir)}/rejects")
+    return rows.select("error_message", "step")
+
+
+def _json_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
+def _refusing_odd():
+    """A client that refuses events with an odd number, as a store might."""
+
+    def send(batch):
+        odd = batch["output"].str.extract(r'"id":(\d+)', expand=False).astype(int) % 2 == 1
+        status = odd.map({True: 422, False: 200}).astype("int32")
+        return batch.assign(status=status, reply=odd.map({True: "refused", False: "stored"}))
+
+    return send
+
+
+@query(
+    "T7 W4 W8 W9 E6 P11",
+    FEED_SQL
+    + """SELECT output AS "dataElement", 'refused' AS message, 422 AS "statusCode" FROM outcomes
+WHERE failed_stage IS NULL
+  AND CAST(json_extract_string(output, '$.entry[0].resource.id') AS BIGINT) % 2 = 1""",
+)
+def stream_write_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The write branch of the message feed: bundles that a client refuses."""
+    paths = FeedPaths.below(work_dir(spark, "write-errors"))
+    start_message_feed(
+        event_notifications(stream_table(spark, sf_dir, "events", _FILES)).select("value"),
+        entity_types(entity_type_table(spark, sf_dir)),
+        FEED_MAPPING,
+        paths,
+        trigger=_TO_END,
+        report=Reports(client=_refusing_odd),
+    ).awaitTermination()
+    rows = _json_rows(spark, paths.write_errors, IO_ERROR_ROW)
+    return rows.select("dataElement", "message", "statusCode")
+
+
+@query(
+    "T8 W6 W9 E5",
+    STUDIES_SQL
+    + """
+SELECT 'the input is not valid JSON' AS error_message, 'MapMessages' AS step FROM studies
+WHERE CAST(study_id AS BIGINT) % 7 = 0""",
+)
+def stream_imaging_mapping_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping branch of the imaging feed: every seventh study has metadata that is no JSON."""
+    paths = FeedPaths.below(work_dir(spark, "mapping-errors"))
+    broken = F.when(F.col("study_id").cast("long") % 7 == 0, "{").otherwise(F.col("metadata"))
+    start_imaging_feed(
+        instance_paths(stream_table(spark, sf_dir, "lineitem")).select(
+            F.encode("path", "UTF-8").alias("value")
+        ),
+        instance_metadata(spark, sf_dir).withColumn("metadata", broken),
+        IMAGING_MAPPING,
+        paths,
+        trigger=_TO_END,
+    ).awaitTermination()
+    return _json_rows(spark, paths.mapping_errors, ERROR_ROW).select("error_message", "step")
+
+
 @query(
     "T10 S10 S11 W11 T6 F5",
     f"""WITH {EXPORTED_SQL}
@@ -193,16 +274,24 @@ def export_read_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "U4 A2 F10",
-    "SELECT event_type, count(*) AS n_events, true AS measured FROM events GROUP BY event_type",
+    "U4 A2 T7",
+    """SELECT count(*) AS n, epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000 AS spread_ms,
+true AS timed FROM events WHERE event_type IN ('signup', 'view', 'click', 'purchase')""",
 )
-def timed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A write whose duration is recorded; the duration itself differs from run to run."""
-    path = work_dir(spark, "timed")
-    taken: list[int] = []
-    events = table(spark, sf_dir, "events")
-    timed(lambda: events.select("event_id", "event_type").write.parquet(path), taken.append)
-    counts = spark.read.parquet(path).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n_events")
-    )
-    return counts.withColumn("measured", F.lit(len(taken) == 1 and taken[0] >= 0))
+def stream_feed_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the source time of the events until their batch is written; the latency itself depends
+    on when this runs, the difference between the slowest and the fastest event does not."""
+    seen: dict[int, dict[str, int | None]] = {}
+    events = stream_table(spark, sf_dir, "events")
+    start_message_feed(
+        event_notifications(events, F.col("ts").cast("timestamp").alias("source_time")),
+        entity_types(entity_type_table(spark, sf_dir)),
+        FEED_MAPPING,
+        FeedPaths.below(work_dir(spark, "latency")),
+        trigger=_TO_END,
+        report=Reports(on_metrics=seen.__setitem__),
+    ).awaitTermination()
+    (m,) = seen.values()
+    timed = m["transform_ms"] > 0 and m["write_ms"] > 0 and m["sum_ms"] >= m["n"] * m["min_ms"]
+    rows = [(m["n"], m["max_ms"] - m["min_ms"], timed)]
+    return spark.createDataFrame(rows, "n long, spread_ms long, timed boolean")

@@ -89,10 +89,10 @@ def _studies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "S12",
-    STUDIES_SQL + "SELECT study_id, 0 AS part, study, n_notifications FROM studies",
+    STUDIES_SQL + "SELECT study_id, study, n_notifications FROM studies",
 )
 def study_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _studies(spark, sf_dir).select("study_id", "part", "study", "n_notifications")
+    return _studies(spark, sf_dir).select("study_id", "study", "n_notifications")
 
 
 @query(

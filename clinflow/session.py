@@ -8,16 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 MIN_SPREAD_BYTES = 1024 * 1024
+#: Inputs over this size are read as they are split.
+MAX_SPREAD_BYTES = 256 * 1024 * 1024
 
-_local_bases: dict[str, str] = {}
+_local_bases: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def work_base(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session that leaves it unset
-    gets a folder of its own; a cluster without the setting is an error, because a folder on one
-    machine is lost with that machine.
+    gets a folder of its own, which goes with the process; a cluster without the setting is an
+    error, because a folder on one machine is lost with that machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -26,13 +28,22 @@ def work_base(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_bases:
-        _local_bases[app] = tempfile.mkdtemp(prefix="clinflow-")
-    return _local_bases[app]
+        _local_bases[app] = tempfile.TemporaryDirectory(prefix="clinflow-", ignore_cleanup_errors=True)
+    return _local_bases[app].name
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The one folder below :func:`work_base` that holds all working data of this application.
+
+    Results are read from it as long as they are used; whoever runs the application removes it at
+    the end.
+    """
+    return f"{work_base(spark)}/clinflow-{spark.sparkContext.applicationId}"
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below :func:`work_base`; never reused between runs."""
-    return f"{work_base(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below :func:`work_folder`; never reused between runs."""
+    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
@@ -58,7 +69,8 @@ def spread(df: DataFrame, size: int | None = None) -> DataFrame:
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = table(spark, sf_dir, name)
-    return spread(df, df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return spread(df, size) if size <= MAX_SPREAD_BYTES else df
 
 
 def stream_table(

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
+#: Calls to the file system that run at a time.
+_CALLS = 32
+
 
 def batch_path(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/batch_id={batch_id}"
@@ -16,12 +21,28 @@ def write_batch(
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(batch_path(path, batch_id))
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder now; nothing if there is no such folder."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*")
+    fs = glob.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().toString() for status in fs.globStatus(glob) or []]
+
+
+def remove_listed(spark: SparkSession, files: list[str]) -> None:
+    """Delete files or folders, many at a time; a missing one is no error."""
+    conf = spark._jsc.hadoopConfiguration()
+
+    def remove(name: str) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+    with ThreadPoolExecutor(_CALLS) as pool:
+        for _ in pool.map(remove, files):
+            pass
+
+
 def remove_files(spark: SparkSession, path: str) -> int:
     """Delete what lies in a folder; a missing folder or file is no error."""
-    jvm = spark._jvm
-    glob = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*")
-    fs = glob.getFileSystem(spark._jsc.hadoopConfiguration())
-    statuses = fs.globStatus(glob) or []
-    for status in statuses:
-        fs.delete(status.getPath(), True)
-    return len(statuses)
+    files = list_files(spark, path)
+    remove_listed(spark, files)
+    return len(files)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.functions.times import utc_day
 from clinflow.operators.outcomes import checked, error_entry, split_ok, to_io_error_rows
 from clinflow.schemas import MESSAGE
 from clinflow.sinks.files import write_batch
@@ -45,13 +46,13 @@ def ingest_messages(
 
 
 def create_messages(df: DataFrame, store: str, batch_id: int) -> None:
-    """Append messages with all their fields, in folders by day of sending.
+    """Append messages with all their fields, in folders by day of sending, in UTC.
 
     They are written in ranges of time: each task writes to few days, a busy day is shared by
     several tasks, and files hold short spans, which readers skip by their bounds.
     """
     fields = [F.col(f.name).cast(f.dataType) for f in MESSAGE.fields]
-    dated = df.select(*fields).withColumn("send_date", F.to_date("send_time"))
+    dated = df.select(*fields).withColumn("send_date", utc_day(F.col("send_time")))
     ranged = dated.repartitionByRange("send_date", "send_time", "name")
     ordered = ranged.sortWithinPartitions("send_date", "send_time")
     write_batch(ordered, store, batch_id, ("send_date",))

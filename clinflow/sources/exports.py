@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clinflow.functions import jsonx
 from clinflow.functions.times import instant
-from clinflow.operators.mapping import bundle_entries
+from clinflow.operators.mapping import checked_entries
 from clinflow.operators.outcomes import checked, error_entry
 from clinflow.operators.store import scan
 
@@ -18,9 +18,12 @@ RESOURCE_PER_LINE = "RESOURCE"
 BUNDLE_PER_LINE = "BUNDLE"
 
 
-def export_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of every file in the export folder; the folder may end in slashes."""
-    return spark.read.text(f"{path.rstrip('/')}/*")
+def export_lines(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+    """The lines of every file in the export folder, or of the ``files`` listed before; the
+    folder may end in slashes."""
+    if files is None:
+        return spark.read.text(f"{path.rstrip('/')}/*")
+    return spark.read.text(files) if files else spark.createDataFrame([], "value string")
 
 
 def parse_messages(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -31,11 +34,13 @@ def parse_messages(lines: DataFrame, value: str = "value") -> DataFrame:
     """
     doc = F.col("_doc")
     parsed = jsonx.with_document(lines, value, "_doc")
+    unread = jsonx.not_parsed(F.col(value), doc, "the line is not a JSON object")
     fields = parsed.select(
         *lines.columns,
         jsonx.is_object(F.col(value), doc).alias("_object"),
         _object_at(doc, "$.schematizedData").alias("_schematized"),
         jsonx.parse_error_text(doc).alias("_parse_error"),
+        unread.alias("_unread"),
         F.try_variant_get(doc, "$.name", "string").alias("name"),
         F.try_variant_get(doc, "$.data", "string").alias("data"),
         F.try_variant_get(doc, "$.schematizedData.data", "string").alias("schematized_data"),
@@ -44,13 +49,13 @@ def parse_messages(lines: DataFrame, value: str = "value") -> DataFrame:
         instant(F.try_variant_get(doc, "$.sendTime", "string")).alias("send_time"),
     )
     message = (
-        F.when(~F.col("_object"), "the line is not a JSON object")
+        F.when(~F.col("_object"), F.col("_unread"))
         .when(~F.col("_schematized"), "the message has no schematized data")
         .otherwise("the input message is invalid")
     )
     ok = F.col("_object") & F.col("_schematized") & (F.col("_parse_error") == "")
     entry = error_entry(message, PARSE_STEP, resource=F.col(value))
-    return checked(fields, ok, entry).drop("_object", "_schematized", "_parse_error")
+    return checked(fields, ok, entry).drop("_object", "_schematized", "_parse_error", "_unread")
 
 
 def _object_at(doc: Column, path: str) -> Column:
@@ -66,13 +71,19 @@ def export_range(messages: DataFrame, start: str | None, end: str | None) -> Dat
 def import_resources(
     lines: DataFrame, structure: str = RESOURCE_PER_LINE, value: str = "value"
 ) -> DataFrame:
-    """Resources of a bulk file, each with ``ok`` and ``error``."""
+    """Resources of a bulk file, each with ``ok`` and ``error``.
+
+    With a bundle per line, a line that is no bundle is one rejected row.
+    """
     if structure == BUNDLE_PER_LINE:
-        entries = bundle_entries(lines, value, [])
+        entries = checked_entries(lines, value, [], "ImportResources").withColumnsRenamed(
+            {"ok": "_read", "error": "_unread"}
+        )
         entry = error_entry("the entry has no resource type", "ImportResources",
                             resource=F.coalesce("body", F.lit("")))
-        rows = entries.select("resource_type", "id", "body")
-        return checked(rows, F.col("resource_type").isNotNull(), entry)
+        ok = F.col("_read") & F.col("resource_type").isNotNull()
+        rows = checked(entries, ok, F.coalesce("_unread", entry))
+        return rows.select("resource_type", "id", "body", "ok", "error")
     if structure != RESOURCE_PER_LINE:
         raise ValueError(f"unknown content structure {structure!r}")
     parsed = jsonx.with_document(lines.select(value), value, "_doc")

@@ -1,15 +1,17 @@
 """The feeds as streaming queries.
 
 Every micro-batch is worked out once and kept while its outputs are written. Each output goes to a
-folder named after the batch and replaces what an earlier attempt left there, so a batch that is
-repeated after a failure has no double effect.
+folder named after the run — a checkpoint has one, for good — and the batch, and replaces what an
+earlier attempt left there. So a batch that is repeated after a failure has no double effect, and a
+feed that starts anew with another checkpoint leaves the old output alone.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,26 +20,36 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from clinflow.functions import jsonx
-from clinflow.operators.feed import MAPPING, READ, WRITE, feed_outcomes, wrap_message
+from clinflow.operators.feed import (
+    MAPPING,
+    READ,
+    WRITE,
+    route_by_type,
+    routed_outcomes,
+    wrap_message,
+)
+from clinflow.operators.lookups import is_small
 from clinflow.operators.mapping import Mapping, bundle_stage, map_stage
 from clinflow.operators.metrics import distribution, timed
 from clinflow.operators.outcomes import split_ok, to_error_rows
 from clinflow.operators.studies import read_studies
-from clinflow.session import spread
-from clinflow.sinks.bundles import Client, failed_bodies, post_bundles, resource_rows
+from clinflow.session import spread, work_dir, written
+from clinflow.sinks.bundles import Client, checked_resources, failed_bodies, post_bundles
 from clinflow.sinks.errors import (
     IMAGING_FEED_SHARDS,
     MESSAGE_FEED_SHARDS,
     json_lines,
     write_text_shards,
 )
-from clinflow.sinks.files import remove_files, write_batch
+from clinflow.sinks.files import list_files, remove_listed, write_batch
 from clinflow.sinks.messages import ingest_messages
 from clinflow.sources.exports import export_lines, export_range, parse_messages
 from clinflow.sources.notifications import payload_text
 from clinflow.streaming.windows import ERROR_TRIGGER
 
 IMAGING_URL = "ImagingStudy"
+#: Where a row came in, in its batch.
+PLACE = "_place"
 
 Table = DataFrame | Callable[[], DataFrame]
 
@@ -72,6 +84,17 @@ class FeedPaths:
     def below(cls, base: str) -> FeedPaths:
         return cls(**{f: f"{base}/{f}" for f in cls.__dataclass_fields__})
 
+    def of_run(self, spark: SparkSession) -> FeedPaths:
+        outputs = [f for f in self.__dataclass_fields__ if f != "checkpoint"]
+        run = run_folder(spark, self.checkpoint)
+        return replace(self, **{f: f"{getattr(self, f)}/{run}" for f in outputs})
+
+
+def run_folder(spark: SparkSession, checkpoint: str) -> str:
+    """A folder name for what the query with this checkpoint writes, the same after a restart."""
+    kept = spark.read.text(f"{checkpoint}/metadata").first()
+    return f"run={json.loads(kept['value'])['id']}"
+
 
 def _now(table: Table) -> DataFrame:
     return table() if callable(table) else table
@@ -93,15 +116,23 @@ def _stage_counts(outcomes: DataFrame) -> dict[str, int]:
     return {r["failed_stage"] or "ok": r["count"] for r in rows}
 
 
-def _posted(outcomes: DataFrame, client: Client) -> DataFrame:
-    """Good rows are sent; those the client refuses move to the write stage."""
+def _posted(outcomes: DataFrame, client: Client, scratch: str) -> DataFrame:
+    """Good rows are sent; those the client refuses move to the write stage.
+
+    The replies are written before they are used, and a repeated batch uses them again, so that
+    nothing is sent twice once they are there.
+    """
+    spark = outcomes.sparkSession
     good = outcomes.filter(F.col("failed_stage").isNull()).drop("error", "failed_stage")
     rest = outcomes.filter(F.col("failed_stage").isNotNull())
     sent = post_bundles(good, client, "output", tuple(c for c in good.columns if c != "output"))
     moved = sent.withColumn("failed_stage", F.when(~F.col("ok"), WRITE))
-    return rest.withColumn("status", F.lit(None).cast("int")).unionByName(
+    kept = rest.withColumn("status", F.lit(None).cast("int")).unionByName(
         moved.drop("ok", "reply")
     )
+    if any(name.endswith("/_SUCCESS") for name in list_files(spark, scratch)):
+        return spark.read.schema(kept.schema).parquet(scratch)
+    return written(kept, scratch)
 
 
 def _commit_latency(good: DataFrame, finished: int) -> dict[str, int | None]:
@@ -114,13 +145,14 @@ def _write_outcomes(
     outcomes: DataFrame, paths: FeedPaths, batch_id: int, shards: int, report: Reports
 ) -> None:
     """Bundles, resources and the three dead letters of one batch."""
+    replies = f"{paths.scratch}/replies-{batch_id}"
     mapped = outcomes.persist(StorageLevel.MEMORY_AND_DISK)
     kept = mapped
     metrics: dict[str, int | None] = {}
     try:
         counts = timed(lambda: _stage_counts(mapped), partial(metrics.__setitem__, "transform_ms"))
         if report.client is not None:
-            kept = _posted(mapped, report.client).persist(StorageLevel.MEMORY_AND_DISK)
+            kept = _posted(mapped, report.client, replies)
             counts = _stage_counts(kept)
         timed(
             lambda: _write_all(kept, counts, paths, batch_id, shards),
@@ -133,30 +165,41 @@ def _write_outcomes(
             report.on_metrics(batch_id, metrics)
         if report.on_counts is not None:
             report.on_counts(batch_id, counts)
+        if report.client is not None:
+            remove_listed(mapped.sparkSession, [replies])
     finally:
-        kept.unpersist()
         mapped.unpersist()
 
 
 def _write_all(
     kept: DataFrame, counts: dict[str, int], paths: FeedPaths, batch_id: int, shards: int
 ) -> None:
-    good = kept.filter(F.col("failed_stage").isNull()).select(F.col("output").alias("bundle"))
-    write_batch(good, paths.bundles, batch_id)
-    versioned = good.select("bundle", F.lit(batch_id).cast("long").alias("version"))
-    entries = resource_rows(
-        versioned.withColumn("seq", F.xxhash64("bundle")), "bundle", "version", "seq"
+    good = kept.filter(F.col("failed_stage").isNull())
+    write_batch(good.select(F.col("output").alias("bundle")), paths.bundles, batch_id)
+    # A later source time is a newer version; without one, a later batch is, and in a batch what
+    # came in later.
+    now = F.lit(int(time.time() * 1000)).cast("long")
+    given = F.unix_millis("source_time") if "source_time" in kept.columns else F.lit(None)
+    place = F.col(PLACE) if PLACE in kept.columns else F.lit(0)
+    versioned = good.select(
+        F.col("output").alias("bundle"),
+        F.coalesce(given, now).alias("version"),
+        place.cast("long").alias("seq"),
     )
+    entries, refused = split_ok(checked_resources(versioned, "bundle", "version", "seq"))
     write_batch(entries.sortWithinPartitions("resource_type", "id"), paths.resources, batch_id)
     failed = {s: kept.filter(F.col("failed_stage") == s) for s in (READ, MAPPING, WRITE)}
     status = F.col("status") if "status" in kept.columns else None
+    unwritten = failed_bodies(failed[WRITE], status=status).unionByName(
+        failed_bodies(refused, "body")
+    )
     dead_letters = (
         (READ, paths.read_errors, failed[READ].select(F.coalesce("value", F.lit("")))),
         (MAPPING, paths.mapping_errors, json_lines(to_error_rows(failed[MAPPING]))),
-        (WRITE, paths.write_errors, json_lines(failed_bodies(failed[WRITE], status=status))),
+        (WRITE, paths.write_errors, json_lines(unwritten)),
     )
     for stage, path, lines in dead_letters:
-        if counts.get(stage):
+        if counts.get(stage) or (stage == WRITE and not refused.isEmpty()):
             write_text_shards(lines, path, batch_id, shards)
 
 
@@ -175,10 +218,20 @@ def start_message_feed(
     ``source_time`` are samples of the latency until their batch is written; a missing time is none.
     """
     kept = [c for c in ("value", "source_time") if c in notifications.columns]
+    fixed_small = None if callable(types) else is_small(types)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        outcomes = feed_outcomes(spread(batch.select(*kept)), _now(types), mapping)
-        _write_outcomes(outcomes, paths, batch_id, shards, report)
+        table = _now(types)
+        small = is_small(table) if fixed_small is None else fixed_small
+        rows = batch.select(*kept, F.monotonically_increasing_id().alias(PLACE))
+        routed = route_by_type(spread(rows))
+        if not small:  # the lookup then looks at the keys first
+            routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            outcomes = routed_outcomes(routed, rows.columns, table, mapping, small=small)
+            _write_outcomes(outcomes, paths.of_run(batch.sparkSession), batch_id, shards, report)
+        finally:
+            routed.unpersist()
 
     return _start(notifications, run, paths.checkpoint, trigger)
 
@@ -232,13 +285,14 @@ def start_imaging_feed(
     def run(batch: DataFrame, batch_id: int) -> None:
         text = payload_text(batch, "value").select(F.col("value").alias("path"))
         notified = spread(text).persist(StorageLevel.MEMORY_AND_DISK)
-        scratch = f"{paths.scratch}/batch_id={batch_id}"
+        here = paths.of_run(batch.sparkSession)
+        scratch = f"{here.scratch}/batch_id={batch_id}"
         try:
             outcomes = imaging_outcomes(notified, _now(instances), mapping, scratch=scratch)
-            _write_outcomes(outcomes, paths, batch_id, shards, report)
+            _write_outcomes(outcomes, here, batch_id, shards, report)
         finally:
             notified.unpersist()
-            remove_files(batch.sparkSession, scratch)
+            remove_listed(batch.sparkSession, [scratch])
 
     return _start(notifications, run, paths.checkpoint, trigger)
 
@@ -254,8 +308,9 @@ def start_error_sink(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         kept = batch.select("value").persist(StorageLevel.MEMORY_AND_DISK)
+        folder = f"{path}/{run_folder(batch.sparkSession, checkpoint)}"
         try:
-            write_text_shards(kept, path, batch_id, shards)
+            write_text_shards(kept, folder, batch_id, shards)
         finally:
             kept.unpersist()
 
@@ -273,14 +328,35 @@ def start_ingest(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        folder = run_folder(batch.sparkSession, checkpoint)
         try:
-            write_batch(ingest_messages(kept, store, batch_id), rejects, batch_id)
+            rejected = ingest_messages(kept, f"{store}/{folder}", batch_id)
+            write_batch(rejected, f"{rejects}/{folder}", batch_id)
         finally:
             kept.unpersist()
 
     return _start(messages, run, checkpoint, trigger)
 
 
+def start_export_feed(
+    lines: DataFrame, messages: str, rejects: str, checkpoint: str, trigger: dict = ERROR_TRIGGER
+) -> StreamingQuery:
+    """T10 as a stream: exported lines to messages and error rows, both written before a source that
+    removes its files takes the batch for done."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_messages(batch.select("value")).persist(StorageLevel.MEMORY_AND_DISK)
+        folder = run_folder(batch.sparkSession, checkpoint)
+        try:
+            good, bad = split_ok(parsed)
+            write_batch(good.drop("value"), f"{messages}/{folder}", batch_id)
+            write_batch(to_error_rows(bad), f"{rejects}/{folder}", batch_id)
+        finally:
+            parsed.unpersist()
+
+    return _start(lines, run, checkpoint, trigger)
+
+
 def read_export(
     spark: SparkSession,
     lines_path: str,
@@ -289,9 +365,13 @@ def read_export(
     start: str | None = None,
     end: str | None = None,
 ) -> None:
-    """Parse exported files, write both outputs, and only then remove the files."""
-    parsed = parse_messages(export_lines(spark, lines_path))
-    good, bad = split_ok(parsed)
+    """Parse exported files, write both outputs, and only then remove the files.
+
+    The files are listed once: those are read, by one pass, and those are removed.
+    """
+    files = list_files(spark, lines_path)
+    scratch = work_dir(spark, "export")
+    good, bad = split_ok(written(parse_messages(export_lines(spark, lines_path, files)), scratch))
     export_range(good.drop("value"), start, end).write.mode("overwrite").parquet(messages)
     json_lines(to_error_rows(bad)).write.mode("overwrite").text(rejects)
-    remove_files(spark, lines_path)
+    remove_listed(spark, [*files, scratch])

@@ -116,7 +116,7 @@ def test_array_size_and_more_than_one(rows):
 def test_a_filter_on_the_outcome_does_not_parse_again(rows):
     df = jsonx.with_document(rows(WHOLE, "s string"), "s").filter("doc IS NOT NULL")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parseJson") == 1
+    assert plan.count("from_json(") == 1
 
 
 def test_study_wrap_golden(rows):

@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clinflow.operators.grouping import collect_parts, with_parts
 from clinflow.operators.lookups import (
     fetch_by_id,
     hot_keys,
@@ -116,28 +115,6 @@ def test_fetch_keeps_misses(rows):
     assert got == [("", False, None), ("a", True, "x"), ("a", True, "x"), ("b", False, None)]
 
 
-def test_large_groups_come_in_parts_and_stay_whole(spark):
-    """A third of all rows are copies of one row; they may not gather in one list."""
-    df = spark.range(0, 3000, 1, 30).select(
-        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 100 + 2).alias("k"),
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("v"),
-    )
-    lists = collect_parts(with_parts(df, ["k"], 100), ["k"], F.col("v"), "vs").collect()
-    assert sum(len(r.vs) for r in lists) == 3000
-    assert max(len(r.vs) for r in lists) < 500
-    small = [r for r in lists if r.k != 1]
-    assert all(r.part == 0 and r.vs == sorted(r.vs) for r in small)
-    assert len({r.part for r in lists if r.k == 1}) > 3
-
-
-def test_many_large_groups_use_a_join(spark, monkeypatch):
-    monkeypatch.setattr("clinflow.operators.grouping.MAX_PINNED_GROUPS", 1)
-    df = spark.range(0, 400, 1, 8).select((F.col("id") % 4).alias("k"), F.col("id").alias("v"))
-    lists = collect_parts(with_parts(df, ["k"], 20), ["k"], F.col("v"), "vs").collect()
-    assert sorted(v for r in lists for v in r.vs) == list(range(400))
-    assert len(lists) > 4
-
-
 def test_few_wanted_keys_cut_a_large_table_down(spark, tmp_path, skewed, reference):
     path = str(tmp_path / "reference")
     reference.write.parquet(path)

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +154,19 @@ def test_source_time_goes_along(rows):
     out = map_stage(df, Mapping([const("", "a", "b")]), source_time="t")
     assert out.first().source_time is None
     assert out.first().ok is True
+
+
+def test_deep_mappings_stay_small(rows):
+    depth = 14
+    rules = [nest("", "n", "o0", "$.n", is_array=True)]
+    for i in range(depth):
+        rules += [nest(f"o{i}", "n", f"o{i + 1}", "$.n", is_array=True), copy(f"o{i}", "v", "$.v")]
+    rules.append(copy(f"o{depth}", "v", "$.v"))
+    doc, expected = {"v": depth}, {"v": depth}
+    for i in range(depth)[::-1]:
+        doc, expected = {"v": i, "n": doc}, {"n": [expected], "v": i}
+    text = json.dumps({"n": doc})
+    start = time.monotonic()
+    out = map_stage(rows([("i", text)], "id string, data string"), Mapping(rules)).first().output
+    assert json.loads(out) == {"n": [expected]}
+    assert time.monotonic() - start < 10

@@ -1,6 +1,7 @@
 import json
 import sys
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -8,7 +9,13 @@ from pyspark.sql import functions as F
 from clinflow.operators.guarded import guarded_map
 from clinflow.operators.outcomes import checked, error_entry, split_ok, to_io_error_rows
 from clinflow.schemas import IO_ERROR_ROW
-from clinflow.sinks.bundles import check_bundles, execute_bundles, post_bundles, resource_rows
+from clinflow.sinks.bundles import (
+    check_bundles,
+    checked_resources,
+    execute_bundles,
+    post_bundles,
+    resource_rows,
+)
 from clinflow.sinks.errors import (
     IMAGING_FEED_SHARDS,
     MAX_BYTES_PER_SHARD,
@@ -20,7 +27,7 @@ from clinflow.sinks.errors import (
     write_io_errors,
     write_text_shards,
 )
-from clinflow.sinks.files import remove_files, write_batch
+from clinflow.sinks.files import list_files, remove_files, remove_listed, write_batch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -85,6 +92,15 @@ def test_dead_letter_table_is_partitioned_by_day(spark, rows, tmp_path):
     assert spark.read.parquet(str(tmp_path / "d")).count() == 4
 
 
+def test_only_listed_files_are_removed(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / name).write_text("1")
+    files = list_files(spark, str(tmp_path))
+    (tmp_path / "c").write_text("1")
+    remove_listed(spark, [*files, str(tmp_path / "nowhere")])
+    assert [p.name for p in tmp_path.iterdir()] == ["c"]
+
+
 def test_remove_files(spark, tmp_path):
     (tmp_path / "x").write_text("1")
     (tmp_path / "y").mkdir()
@@ -109,8 +125,35 @@ def test_resource_rows(rows):
     without_id = '{"entry":[{"resource":{"a":1},"request":{"method":"PUT","url":"B/x"}}]}'
     other = '{"entry":[{"resource":{"a":1},"request":{"method":"DELETE","url":"B/x"}}]}'
     df = rows([(b, 1, 2) for b in (BUNDLE, without_id, other)], "b string, v long, s long")
-    got = sorted((r.resource_type, len(r.id)) for r in resource_rows(df, "b", "v", "s").collect())
-    assert got == [("A", 1), ("B", 64)]
+    got = sorted((r.resource_type, r.id) for r in resource_rows(df, "b", "v", "s").collect())
+    assert got == [("A", "1"), ("B", "x")]
+
+
+def test_the_url_names_a_resource_first(rows):
+    def entry(resource, url):
+        return json.dumps({"entry": [{"resource": resource, "request": {"method": "PUT", "url": url}}]})
+
+    bundles = [entry({"resourceType": "A", "id": "1"}, "A/2"), entry({"resourceType": "A", "id": "1"}, "A"),
+               entry({"a": 1}, "B"), entry({"resourceType": "C"}, "/C/9/_history/1")]
+    df = rows([(b, 1, 2) for b in bundles], "b string, v long, s long")
+    got = sorted((r.resource_type, r.id) for r in resource_rows(df, "b", "v", "s").collect())
+    assert [g for g in got if g[0] != "B"] == [("A", "1"), ("A", "2"), ("C", "9")]
+    assert len(got[2][1]) == 64
+
+
+def test_entries_that_can_not_be_written_are_rejected(rows):
+    post = '{"entry":[{"resource":{"a":1},"request":{"method":"POST","url":"B"}}]}'
+    bare = '{"entry":[{"resource":{"resourceType":"A"}}]}'
+    empty = '{"entry":[{"request":{"method":"PUT","url":"A/1"}}]}'
+    bundles = [BUNDLE, post, bare, empty, "{", "{}", '{"entry":5}', None, '{"entry":[]}']
+    df = rows([(b, 1, 2) for b in bundles], "b string, v long, s long")
+    good, bad = split_ok(checked_resources(df, "b", "v", "s"))
+    assert good.count() == 1
+    causes = sorted(r.error.error_message for r in bad.collect())
+    assert causes == sorted(
+        ["the entry is not a PUT"] * 2 + ["the entry has no resource"]
+        + ["the bundle is not valid JSON"] * 2 + ["the bundle has no list of entries"] * 2
+    )
 
 
 def client():
@@ -134,6 +177,24 @@ def test_post_bundles(rows):
     }
 
 
+def test_nothing_is_sent_twice(spark, rows, tmp_path):
+    def make():
+        def send(batch):
+            (body,) = batch["output"]
+            with open(tmp_path / "sent", "a") as file:
+                file.write(f"{body}\n")
+            if body.startswith("bad"):
+                raise OSError("no")
+            return batch.assign(status=200, reply="r")
+
+        return send
+
+    bodies = [f"bad{i}" if i % 5 == 0 else f"b{i}" for i in range(30)]
+    sent = post_bundles(rows(bodies, "output string").coalesce(1), make)
+    assert sent.filter("ok").count() == 24
+    assert sorted((tmp_path / "sent").read_text().split()) == sorted(bodies)
+
+
 def test_check_bundles(rows):
     got = check_bundles(rows(["{}", "5", "{", None], "output string")).collect()
     assert [r.ok for r in got] == [True, True, False, False]
@@ -173,6 +234,24 @@ def test_guarded_map_rejects_only_bad_rows(spark):
             assert (r.ok, r.h, r.error) == (True, r.v / 2, None)
 
 
+def test_large_integers_beside_missing_ones_stay_exact(rows):
+    large = 2**53 + 1
+
+    def make():
+        def run(batch):
+            if (batch["k"] == 3).any():
+                raise ValueError("three")
+            return pd.DataFrame({"out": batch["v"].fillna(large)})
+
+        return run
+
+    df = rows([(1, large), (2, None), (3, large), (4, large)], "k int, v long").coalesce(1)
+    out = guarded_map(df, make, df.selectExpr("v AS out").schema, "s").collect()
+    assert [(r.k, r.v, r.out) for r in out] == [
+        (1, large, large), (2, None, large), (3, large, None), (4, large, large)
+    ]
+
+
 def test_guarded_map_needs_new_columns(spark):
     with pytest.raises(ValueError, match="input columns"):
         guarded_map(spark.range(1), halver, spark.range(1).schema, "s")

@@ -77,11 +77,45 @@ def test_a_scan_without_messages_has_no_bounds(rows):
         required_bounds(store).collect()
 
 
-def test_too_many_stores(rows, monkeypatch):
-    monkeypatch.setattr("clinflow.operators.store.MAX_STORES", 1)
-    df = rows([("a", None), ("b", None)], "store string, send_time timestamp")
-    with pytest.raises(ValueError, match="choose stores"):
-        pinned_bounds(df, ["store"])
+def test_missing_stores_and_times_have_a_slice(rows):
+    """They don't stretch the slices of others, and no row is lost."""
+    day = [dt.datetime(2024, 1, d) for d in (1, 2, 4)]
+    made = [("a", "m0", day[0]), ("a", "m1", None), ("a", "m2", day[2]), (None, "m3", day[1]), ("b", "m4", None)]
+    df = rows(made, "store string, name string, send_time timestamp")
+    bounds = pinned_bounds(df, ["store"])
+    assert time_slices(bounds, ["store"]).count() == 5
+    got = {r.name: (r.store, r.slice_id) for r in with_slice(df, bounds, ["store"]).collect()}
+    assert got == {"m0": ("a", 0), "m1": ("a", 0), "m2": ("a", 2), "m3": (None, 0), "m4": ("b", 0)}
+    assert store_scan(df).count() == 5
+
+
+def test_many_stores_are_joined_by_shuffle(rows, monkeypatch):
+    df = rows([(f"s{i}", f"m{i}", dt.datetime(2024, 1, 1)) for i in range(50)],
+              "store string, name string, send_time timestamp")
+    monkeypatch.setattr("clinflow.operators.store.is_small", lambda df: False)
+    assert store_scan(df).filter("slice_id = 0").count() == 50
+
+
+@pytest.mark.parametrize("writer", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+@pytest.mark.parametrize("reader", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_days_are_pruned_alike_in_every_zone(spark, tmp_path, writer, reader):
+    path = str(tmp_path / "store")
+    hours = spark.range(72).selectExpr(
+        "'s' AS store", "concat('m', id) AS name", "'d' AS data", "'{}' AS schematized_data",
+        "map('a', 'b') AS labels", "timestamp_seconds(1704067200 + 3600 * id) AS create_time",
+        "timestamp_seconds(1704067200 + 3600 * id) AS send_time",
+    )
+    try:
+        spark.conf.set("spark.sql.session.timeZone", writer)
+        create_messages(hours, path, 0)
+        spark.conf.set("spark.sql.session.timeZone", reader)
+        stored = spark.read.parquet(path)
+        bounds = ("2024-01-02T00:00:00", "2024-01-03T00:00:00")
+        pruned = {r.name for r in scan(stored, *bounds).select("name").collect()}
+        assert pruned == {r.name for r in scan(stored.drop("send_date"), *bounds).select("name").collect()}
+        assert len(pruned) > 15
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_predicate_holds_without_bounds(rows):

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import itertools
 import json
@@ -10,10 +11,16 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from clinflow.operators.feed import enrich_merged, route_by_type
-from clinflow.operators.mapping import Mapping, const, copy, nest
+from clinflow.operators.mapping import Mapping, const, copy, map_stage, nest
 from clinflow.operators.metrics import observe_outcomes, timed
 from clinflow.operators.resources import current_resources, read_resource
-from clinflow.operators.segments import flatten_segments, nest_segments, parse_segments
+from clinflow.operators.segments import (
+    flatten_segments,
+    nest_segments,
+    parse_segments,
+    parsed_messages,
+)
+from clinflow.operators.studies import read_studies, study_documents
 from clinflow.operators.outcomes import split_ok
 from clinflow.sources.exports import (
     BUNDLE_PER_LINE,
@@ -24,9 +31,11 @@ from clinflow.sources.exports import (
 )
 from clinflow.sources.forms import QUESTIONS, form_payload
 from clinflow.sources.notifications import text_files
+from clinflow.streaming import jobs
 from clinflow.streaming.jobs import (
     FeedPaths,
     Reports,
+    imaging_outcomes,
     read_export,
     start_error_sink,
     start_imaging_feed,
@@ -95,10 +104,11 @@ def test_message_feed_over_batches_and_restart(spark, types, tmp_path):
     errors = sorted(r.value for r in spark.read.text(paths.read_errors).collect())
     assert [e for e in errors if not e.startswith("{")] == ["junk"]
     assert len(errors) == 4
-    log = spark.read.parquet(paths.resources).drop("batch_id")
+    log = spark.read.parquet(paths.resources).drop("batch_id", "run")
     kinds = {r.id: json.loads(r.body).get("kind", "-") for r in current_resources(log).collect()}
     assert kinds == {"1": "-", "3": "HCP", "4": None, "5": "-"}
-    assert read_resource(log, "Basic", "1").first().version == 2
+    versions = sorted(r.version for r in log.filter("id = '1'").collect())
+    assert len(set(versions)) == 2 and read_resource(log, "Basic", "1").first().version == versions[1]
     assert spark.read.parquet(paths.bundles).count() == 5
 
 
@@ -231,6 +241,9 @@ def test_import_structures(rows):
     bundle = '{"entry":[{"resource":{"resourceType":"A","id":"1"}},{"resource":{"x":1}}]}'
     got = import_resources(rows([bundle], "value string"), BUNDLE_PER_LINE).collect()
     assert [(r.resource_type, r.ok) for r in got] == [("A", True), (None, False)]
+    lines = [bundle, "{", "{}", '{"entry":[]}', None]
+    got = import_resources(rows(lines, "value string"), BUNDLE_PER_LINE).filter("NOT ok").collect()
+    assert sorted(r.error.error_resource for r in got) == sorted(["", "{", "{}", '{"x":1}'])
     with pytest.raises(ValueError, match="structure"):
         import_resources(rows([bundle], "value string"), "X")
 
@@ -259,15 +272,118 @@ def test_segments_round_trip(rows, n):
     assert flatten_segments(df, "t", []).count() == n
 
 
-def test_large_messages_come_in_parts(spark):
-    df = spark.range(0, 90, 1, 6).select(
-        F.when(F.col("id") < 60, 0).otherwise(1).alias("m"), F.col("id").alias("pos")
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_a_message_keeps_its_order_whatever_its_size(spark, partitions):
+    df = spark.range(0, 30_000, 1, partitions).select(
+        F.when(F.col("id") < 29_000, 0).otherwise(F.col("id") % 50 + 1).alias("m"),
+        (30_000 - F.col("id")).alias("pos"),
     )
     fields = F.create_map(F.lit("1"), F.col("pos").cast("string"))
-    nested = nest_segments(df, ["m"], ["pos"], F.lit("S"), fields, limit=20)
-    flat = flatten_segments(nested, "parsed", ["m", "part"])
-    assert sorted(int(r.fields["1"]) for r in flat.collect()) == list(range(90))
-    assert nested.filter("m = 0").count() > 1
+    nested = nest_segments(df, ["m"], ["pos"], F.lit("S"), fields)
+    assert nested.count() == 51
+    flat = flatten_segments(nested.filter("m = 0"), "parsed", ["m"]).orderBy("position").collect()
+    assert [int(r.fields["1"]) for r in flat] == list(range(1001, 30_001))
+
+
+def test_texts_that_are_no_message_are_rejected(rows):
+    texts = ['{"segments":[]}', "{", "{}", "[]", '{"segments":null}', None, "", '{"segments":[{"segmentId":"S"}]}']
+    checked = parsed_messages(rows(texts, "t string"), "t", ["t"])
+    good, bad = split_ok(checked)
+    assert good.count() == 2 and bad.count() == 6
+    assert sorted(r.error.error_resource for r in bad.collect()) == sorted(t or "" for t in texts[1:7])
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_a_large_study_is_one_document(spark, rows, partitions):
+    store = "p/a/l/b/d/c/s/d"
+    instances = spark.range(0, 5000, 1, partitions).select(
+        F.lit(store).alias("dicom_store_path"),
+        F.when(F.col("id") < 4000, "s1").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("study_id"),
+        F.format_string("%05d", 5000 - F.col("id")).alias("instance_id"),
+        F.format_string('{"n":%d}', 5000 - F.col("id")).alias("metadata"),
+    )
+    one = f"{store}/dicomWeb/studies/%s/series/x/instances/1"
+    paths = rows([one % "s1", one % "s1", one % "t4500", one % "none", "foo"], "path string")
+    studies, resolved = read_studies(paths, instances)
+    got = {r.study_id: r for r in studies.collect()}
+    assert set(got) == {"s1", "t4500"} and got["s1"].n_notifications == 2
+    assert [m["n"] for m in json.loads(got["s1"].study)] == list(range(1001, 5001))
+    assert resolved.filter("ok").count() == 3 and resolved.filter("NOT ok").count() == 2
+    mapping = Mapping([copy("", "last", "$.study[3999].n")])
+    outcomes = imaging_outcomes(paths, instances, mapping)
+    assert outcomes.filter("failed_stage IS NULL AND output LIKE '%5000%'").count() == 1
+
+
+def test_the_store_is_read_within_the_span_of_the_wanted_studies(spark, rows, tmp_path):
+    store = "p/a/l/b/d/c/s/d"
+    made = [(store, f"s{i:03}", "1", "{}") for i in range(500)]
+    kinds = "dicom_store_path string, study_id string, instance_id string, metadata string"
+    rows(made, kinds).sort("study_id").write.parquet(str(tmp_path / "i"))
+    wanted = rows([(store, "s100", 1), (store, "s102", 2)], "dicom_store_path string, study_id string, n_notifications long")
+    found = study_documents(spark.read.parquet(str(tmp_path / "i")), wanted)
+    assert found.count() == 2
+    plan = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(study_id,s100)" in plan and "LessThanOrEqual(study_id,s102)" in plan
+    assert plan.count("\nBatched: true") == 1
+
+
+def test_the_later_version_of_one_batch_wins(spark, types, tmp_path):
+    """In order of the source time where there is one, else as they came in."""
+    for name, texts in (("a", ["one", "two", "three"]), ("b", ["three", "one", "two"])):
+        notify(tmp_path / name, "x", *[{"type": "X", "id": "1", "mergedEntityType": t} for t in texts])
+    dated = F.when(F.col("value").contains("two"), F.current_timestamp()).otherwise(
+        F.current_timestamp() - F.expr("INTERVAL 1 HOUR")
+    )
+    for name, expected in (("a", "three"), ("b", "two"), ("dated", "two")):
+        lines = text_files(spark, str(tmp_path / ("a" if name == "dated" else name)))
+        lines = lines.withColumn("source_time", dated) if name == "dated" else lines
+        paths = FeedPaths.below(str(tmp_path / f"out-{name}"))
+        start_message_feed(lines, types, MAPPING, paths, trigger=TO_END).awaitTermination()
+        (r,) = current_resources(spark.read.parquet(paths.resources)).collect()
+        assert json.loads(r.body)["kind"] == expected
+
+
+def test_a_new_checkpoint_leaves_old_output_alone(spark, types, tmp_path):
+    notify(tmp_path / "in", "x", {"type": "X", "id": "1"})
+    paths = FeedPaths.below(str(tmp_path / "out"))
+    for name in ("1", "2"):
+        again = dataclasses.replace(paths, checkpoint=str(tmp_path / f"c{name}"))
+        start_message_feed(
+            text_files(spark, str(tmp_path / "in")), types, MAPPING, again, trigger=TO_END
+        ).awaitTermination()
+        notify(tmp_path / "in", "y", {"type": "X", "id": "2"})
+    log = spark.read.parquet(paths.resources)
+    assert sorted(r.id for r in log.collect()) == ["1", "1", "2"]
+    assert sorted(r.id for r in current_resources(log).collect()) == ["1", "2"]
+
+
+def test_an_export_that_grows_while_it_is_read(spark, tmp_path, monkeypatch):
+    good = {"name": "n", "data": "d", "sendTime": "2024-01-02T00:00:00Z", "schematizedData": {"data": "s"}}
+    notify(tmp_path / "x", "1", good, "junk")
+    list_now = jobs.list_files
+
+    def and_add(spark, path):
+        files = list_now(spark, path)
+        notify(tmp_path / "x", "2", good, "more junk")
+        return files
+
+    monkeypatch.setattr(jobs, "list_files", and_add)
+    read_export(spark, f"{tmp_path}/x", str(tmp_path / "m"), str(tmp_path / "r"))
+    assert [p.name for p in (tmp_path / "x").iterdir()] == ["2"]
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 1
+    assert spark.read.text(str(tmp_path / "r")).count() == 1
+
+
+def test_large_documents(spark):
+    """A long value is read; what is too large is said to be."""
+    value = F.format_string('{"resourceType":"A","id":"%s"}', F.repeat(F.lit("x"), F.col("n").cast("int")))
+    one = import_resources(spark.createDataFrame([(25_000_000,)], "n long").select(value.alias("value")))
+    (r,) = one.select("ok", F.length("id").alias("n")).collect()
+    assert (r.ok, r.n) == (True, 25_000_000)
+    many = F.concat(F.lit("["), F.repeat(F.lit('{"a":"bcdefghijk"},'), F.col("n").cast("int")), F.lit("0]"))
+    large = spark.createDataFrame([(7_800_000,)], "n long").select(F.lit("i").alias("id"), many.alias("data"))
+    (r,) = map_stage(large, Mapping([const("", "a", "b")])).select("ok", "error.error_message").collect()
+    assert (r.ok, r.error_message) == (False, "the document is too large")
 
 
 def test_observed_metrics(rows):
