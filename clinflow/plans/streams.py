@@ -36,7 +36,7 @@ from clinflow.streaming.jobs import (
     start_ingest,
     start_message_feed,
 )
-from clinflow.streaming.windows import closed_error_windows
+from clinflow.streaming.windows import closed_error_windows, windows_to_the_end
 
 _TO_END = {"availableNow": True}
 # A feed takes a large table in batches of this many files, so that what it keeps stays small.
@@ -115,19 +115,19 @@ def stream_error_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "T1 T3 T4",
-    f"""SELECT * FROM ({WINDOWS_SQL}) WHERE window_end <= (SELECT max(ts) FROM events)""",
+    WINDOWS_SQL,
 )
 def stream_error_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "error-windows")
-    events = stream_table(spark, sf_dir, "events").select(
-        F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("step")
-    )
+    steps = (F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("step"))
+    events = stream_table(spark, sf_dir, "events").select(*steps)
     closed_error_windows(events, "ts", "step").writeStream.format("parquet").outputMode(
         "append"
     ).option("path", f"{base}/windows").option("checkpointLocation", f"{base}/checkpoint").trigger(
         **_TO_END
     ).start().awaitTermination()
-    counted = spark.read.parquet(f"{base}/windows")
+    rows = table(spark, sf_dir, "events").select(*steps)
+    counted = windows_to_the_end(spark.read.parquet(f"{base}/windows"), rows, "ts", "step")
     return counted.select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"),

@@ -28,3 +28,11 @@ def closed_error_windows(
 ) -> DataFrame:
     """Each window once, after the watermark has passed its end."""
     return error_windows(stream.withWatermark(ts, lateness), ts, step)
+
+
+def windows_to_the_end(closed: DataFrame, rows: DataFrame, ts: str, step: str) -> DataFrame:
+    """T3 once the input has ended: the windows that were closed, and those the watermark has not
+    passed, counted from the rows since the last closed one."""
+    last = closed.agg(F.max("window_end")).first()[0]
+    still_open = rows if last is None else rows.filter(F.col(ts) >= F.lit(last))
+    return closed.unionByName(error_windows(still_open, ts, step))

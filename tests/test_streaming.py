@@ -41,7 +41,7 @@ from clinflow.streaming.jobs import (
     start_imaging_feed,
     start_message_feed,
 )
-from clinflow.streaming.windows import closed_error_windows
+from clinflow.streaming.windows import closed_error_windows, windows_to_the_end
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -208,6 +208,14 @@ def test_windows_close_and_late_rows_are_left_out(spark, tmp_path):
     assert run() == [(0, 2), (5, 1)]
     put("b", 2, 12, 16)
     assert run() == [(0, 2), (5, 1), (10, 2)]
+    closed = spark.read.parquet(str(tmp_path / "w"))
+    rows = spark.read.text(str(tmp_path / "in")).select(
+        F.col("value").cast("timestamp").alias("ts"), F.lit("s").alias("step")
+    )
+    whole = windows_to_the_end(closed, rows, "ts", "step").collect()
+    assert sorted((r.window_start.second, r.n_errors) for r in whole) == [(0, 2), (5, 1), (10, 2), (15, 1)]
+    nothing = windows_to_the_end(closed.filter("false"), rows, "ts", "step")
+    assert nothing.agg(F.sum("n_errors")).first()[0] == 7
 
 
 def test_export_job_writes_both_outputs_then_removes_files(spark, tmp_path):
