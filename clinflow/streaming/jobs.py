@@ -30,7 +30,7 @@ from clinflow.operators.feed import (
 )
 from clinflow.operators.lookups import is_small
 from clinflow.operators.mapping import Mapping, bundle_stage, map_stage
-from clinflow.operators.metrics import distribution, timed
+from clinflow.operators.metrics import distribution, observe_outcomes, timed
 from clinflow.operators.outcomes import split_ok, to_error_rows
 from clinflow.operators.studies import read_studies
 from clinflow.session import spread, work_dir, written
@@ -186,8 +186,12 @@ def _write_all(
         F.coalesce(given, now).alias("version"),
         place.cast("long").alias("seq"),
     )
-    entries, refused = split_ok(checked_resources(versioned, "bundle", "version", "seq"))
-    write_batch(entries.sortWithinPartitions("resource_type", "id"), paths.resources, batch_id)
+    entries = checked_resources(versioned, "bundle", "version", "seq")
+    observed, seen = observe_outcomes(entries, "resources")
+    accepted, _ = split_ok(observed)
+    write_batch(accepted.sortWithinPartitions("resource_type", "id"), paths.resources, batch_id)
+    _, refused = split_ok(entries)
+    any_refused = bool(counts.get("ok")) and seen.get["n_failed"] > 0
     failed = {s: kept.filter(F.col("failed_stage") == s) for s in (READ, MAPPING, WRITE)}
     status = F.col("status") if "status" in kept.columns else None
     unwritten = failed_bodies(failed[WRITE], status=status).unionByName(
@@ -199,7 +203,7 @@ def _write_all(
         (WRITE, paths.write_errors, json_lines(unwritten)),
     )
     for stage, path, lines in dead_letters:
-        if counts.get(stage) or (stage == WRITE and not refused.isEmpty()):
+        if counts.get(stage) or (stage == WRITE and any_refused):
             write_text_shards(lines, path, batch_id, shards)
 
 
