@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +48,13 @@ def received(broadcast: Broadcast) -> Any:
     return cloudpickle.loads(broadcast.value)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: Python objects are made for few rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def small_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join with a written table ``right``, unique by ``on``, that may or may not be small.
 

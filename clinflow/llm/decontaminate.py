@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.llm.automata import SuffixAutomaton
-from clinflow.llm.common import received, scratch, sent, whole_row
+from clinflow.llm.common import received, scratch, sent, slices, whole_row
 
 #: Capital letters to small ones, everything but letters, digits and non-ASCII bytes to a space.
 FOLD = bytes(
@@ -121,7 +121,7 @@ def scanned(df: DataFrame, shard: ItemAutomaton) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = received(shared)
-        for batch in batches:
+        for batch in slices(batches):
             counts, spans, items = [], [], []
             before = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())
             for text, (old_spans, old_items) in zip(batch.column("text").to_pylist(), before):

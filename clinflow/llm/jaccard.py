@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import scratch, small_join, whole_row
+from clinflow.llm.common import scratch, slices, small_join, whole_row
 from clinflow.llm.components import components
 from clinflow.llm.shingles import PartEnum, set_key, shingle_set, sketch, sketches
 
@@ -31,7 +31,7 @@ def described(docs: DataFrame, method: PartEnum) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
-        for batch in batches:
+        for batch in slices(batches):
             sizes, keys, counts, signatures = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingle_set(text)
@@ -106,7 +106,7 @@ def linked(pairs: DataFrame, docs: DataFrame, method: PartEnum) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for a, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b"))):
                 if (a, text_a) != last:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinflow.llm.common import received, scratch, sent, whole_row
+from clinflow.llm.common import received, scratch, sent, slices, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -145,7 +145,7 @@ def described(docs: DataFrame, keep: list[str] | None) -> DataFrame:
         from pyspark.sql.pandas.types import to_arrow_type
 
         kinds = [to_arrow_type(f.dataType) for f in added.fields]
-        for batch in batches:
+        for batch in slices(batches):
             bases, found = [], []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text or "")
@@ -169,7 +169,7 @@ def slots(docs: DataFrame, patterns: DataFrame, trust: Trust) -> DataFrame:
             before = {(a, b) for k, a, b in split if k == "before"}
             around = {(a, b) for k, a, b in split if k == "around"}
             first = {a for a, _ in before | around}
-            for batch in batches:
+            for batch in slices(batches, 10_000):
                 found: Counter = Counter()
                 for text in batch.column("text").to_pylist():
                     words = (text or "").lower().split()

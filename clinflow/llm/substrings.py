@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.llm.automata import SuffixAutomaton
-from clinflow.llm.common import scratch, small_join, whole_row
+from clinflow.llm.common import scratch, slices, small_join, whole_row
 from clinflow.llm.shingles import mixed, word_hashes
 
 ANCHORS = "doc long, text_hash long, start int, size int, anchor long, context long"
@@ -117,7 +117,7 @@ def find_anchors(docs: DataFrame, passage: Passage) -> DataFrame:
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list, list]]:
         keys, hashes, words, size = [], [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "text_hash", "text"))):
                 split = (text or "").encode().split()
                 if len(split) >= passage.window:
@@ -161,7 +161,7 @@ def fetch_contexts(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     names = "anchor long, context long, times long, many boolean, words string"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
                 split = text.encode().split()
@@ -227,7 +227,7 @@ def repeats_by_counts(contexts: DataFrame, passage: Passage) -> DataFrame:
     context is a row, and equal ones are counted."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             columns = (batch.column(c).to_pylist() for c in ("anchor", "context", "times", "words"))
             for anchor, context, times, words in zip(*columns):
@@ -295,7 +295,7 @@ def without_repeats(docs: DataFrame, passage: Passage = Passage(), keep: list[st
     schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL("n_words long, n_removed long, kept string")])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts, removed, kept = [], [], []
             for text, hits in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist()):
                 words = (text or "").encode().split()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.llm.automata import LongestMatch
-from clinflow.llm.common import received, sent, whole_row
+from clinflow.llm.common import received, sent, slices, whole_row
 
 #: Words whose counts a task remembers at most; then it forgets them all.
 REMEMBERED = 1_000_000
@@ -73,7 +73,7 @@ def count_tokens(docs: DataFrame, pieces: list[bytes], mark: bytes = b" ", keep:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Counts(received(shared), mark)
-        for batch in batches:
+        for batch in slices(batches):
             words, tokens, unknown = [], [], []
             for text in batch.column("text").to_pylist():
                 split = (text or "").encode().split()
