@@ -168,26 +168,61 @@ def untested(groups: DataFrame, labels: DataFrame, sets: DataFrame, tested: Data
     )
     key = ["sig", "i", "j"]
 
-    def pairs_of(group: pa.Table) -> pa.RecordBatch:
+    def near_pairs(label: np.ndarray, size: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Members of different classes that may be similar, each pair once, and how far apart their
+        sketches are. Sums of counters bound the distance first, at an eighth of the work."""
+        coarse = counts.reshape(len(counts), 8, -1).sum(2)
+        left, right = [], []
+        for at in range(0, len(size), 128):
+            some = slice(at, at + 128)
+            most = method.most_apart(size[some, None], size)
+            fits = np.abs(coarse[some, None] - coarse).sum(2) <= most
+            fits &= label[some, None] != label
+            x, y = np.nonzero(np.triu(fits, at + 1))
+            left.append(x + at)
+            right.append(y)
+        x, y = np.concatenate(left), np.concatenate(right)
+        apart = np.abs(counts[x] - counts[y]).sum(1)
+        fits = apart <= method.most_apart(size[x], size[y])
+        fits &= 100 * np.minimum(size[x], size[y]) >= method.percent * np.maximum(size[x], size[y])
+        return x[fits], y[fits], apart[fits]
+
+    def pairs_of(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         group = group.combine_chunks()
         doc, label, size = (group.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
-        counts = sketches(group.column("sketch"))
-        done = [set(x or ()) for x in group.column("done").to_pylist()]
-        found = []
-        for x in range(len(doc)):
-            apart = np.abs(counts - counts[x]).sum(1)
-            fits = (label != label[x]) & (apart <= method.most_apart(size, size[x]))
-            fits &= 100 * np.minimum(size, size[x]) >= method.percent * np.maximum(size, size[x])
-            best: dict[int, int] = {}
-            for y in sorted(np.flatnonzero(fits).tolist(), key=lambda y: (apart[y], doc[y])):
-                lo, hi = (x, y) if doc[x] < doc[y] else (y, x)
-                if doc[lo] not in done[hi] and label[y] not in best:
-                    best[label[y]] = y
-                    found.append((doc[lo], doc[hi]))
-        a, b = zip(*found) if found else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        x, y, apart = near_pairs(label, size, sketches(group.column("sketch")))
+        x, y = np.where(doc[x] < doc[y], (x, y), (y, x))
+        if len(x):
+            done = [set(d or ()) for d in group.column("done").to_pylist()]
+            new = [doc[i] not in done[j] for i, j in zip(x.tolist(), y.tolist())]
+            x, y, apart = x[new], y[new], apart[new]
+        chosen = np.zeros(len(x), bool)
+        for member, other in ((x, y), (y, x)):
+            order = np.lexsort((doc[other], apart, label[other], member))
+            m, c = member[order], label[other[order]]
+            first = np.concatenate(([True], (m[1:] != m[:-1]) | (c[1:] != c[:-1])))[: len(m)]
+            chosen[order[first]] = True
+        return doc[x[chosen]], doc[y[chosen]]
 
     def by_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in together(runs(batches)):
+            columns = [np.concatenate(side) for side in zip(*found)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    def together(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[list]:
+        """Most groups have no pair or a few: they are handed on many at a time."""
+        held, size = [], 0
+        for pair in found:
+            if len(pair[0]):
+                held.append(pair)
+                size += len(pair[0])
+            if size > 10_000:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
