@@ -7,11 +7,12 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import clinflow
 from clinflow.session import work_dir, written
+from clinflow.sinks.files import remove_listed
 
 # Functions of this package travel to the workers by value, so it need not be installed there.
 cloudpickle.register_pickle_by_value(clinflow)
@@ -34,9 +35,35 @@ def whole_row(docs: DataFrame, keep: list[str] | None = None) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
 
 
+_written: dict[str, list[str]] = {}
+
+
+def made(spark: SparkSession) -> list[str]:
+    """The working tables of this application that are still there, in the order they were made."""
+    return _written.setdefault(spark.sparkContext.applicationId, [])
+
+
 def scratch(df: DataFrame, label: str) -> DataFrame:
     """Written to the shared folder and read back: worked out once, survives a lost executor."""
-    return written(df, work_dir(df.sparkSession, label))
+    path = work_dir(df.sparkSession, label)
+    made(df.sparkSession).append(path)
+    return written(df, path)
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Remove working tables; what was returned from them has to be written elsewhere by then."""
+    remove_listed(spark, paths)
+    left = [p for p in made(spark) if p not in set(paths)]
+    made(spark)[:] = left
+
+
+def settled(df: DataFrame, label: str, since: int) -> DataFrame:
+    """A result of which nothing but itself is kept: written, and what it was made from removed."""
+    path = work_dir(df.sparkSession, label)
+    result = written(df, path)
+    drop_scratch(df.sparkSession, made(df.sparkSession)[since:])
+    made(df.sparkSession).append(path)
+    return result
 
 
 def sent(df: DataFrame, value: Any) -> Broadcast:

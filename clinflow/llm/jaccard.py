@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import scratch, slices, small_join, whole_row
+from clinflow.llm.common import made, scratch, settled, slices, small_join, whole_row
 from clinflow.llm.components import components
 from clinflow.llm.shingles import PartEnum, set_key, shingle_set, sketch, sketches
 
@@ -253,6 +253,7 @@ def similar_documents(docs: DataFrame, percent: int = 90) -> DataFrame:
     one, and other columns are not read.
     """
     method = PartEnum(percent)
+    since = len(made(docs.sparkSession))
     sets = scratch(described(docs, method), "sets")
     nodes = sets.filter("doc_id IS NOT NULL AND n_shingles > 0")
     signatures = nodes.select("doc_id", F.explode("signatures").alias("sig"))
@@ -281,7 +282,8 @@ def similar_documents(docs: DataFrame, percent: int = 90) -> DataFrame:
             labels = scratch(components(links), "labels")
         pairs = scratch(untested(groups, labels, about, tested, bound), "pairs")
     rows = sets.select("doc_id", "n_shingles").join(labels, F.col("doc_id") == F.col("node"), "left")
-    return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    classes = rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return settled(classes, "classes", since)
 
 
 def representatives(docs: DataFrame, percent: int = 90) -> DataFrame:
@@ -289,7 +291,7 @@ def representatives(docs: DataFrame, percent: int = 90) -> DataFrame:
 
     Of rows with one id the one with the smallest text stays; rows without an id all stay.
     """
-    classes = scratch(similar_documents(docs, percent), "classes").filter("doc_id IS NOT NULL")
+    classes = similar_documents(docs, percent).filter("doc_id IS NOT NULL")
     once = classes.groupBy("doc_id").agg(F.count("*").alias("n"), F.first("component_id").alias("c"))
     ids = scratch(once.filter("n > 1 OR doc_id <> c").select("doc_id", "n", "c"), "redundant")
     id_type = docs.schema["doc_id"].dataType

@@ -9,8 +9,8 @@ import plain
 import pytest
 
 import corpus_pipeline
-from clinflow.llm.common import scratch
 from clinflow.llm.queries import ORACLE, QUERIES, vocabulary
+from clinflow.session import work_dir, written
 
 SF = "/root/testdata/sf0.001"
 
@@ -122,27 +122,28 @@ def test_mixture(spark, documents):
 
 def test_each_stage_works_on_what_the_one_before_kept(spark, documents, tables):
     stages = dict(corpus_pipeline.STAGES)
+    kept = lambda df, name: written(df, work_dir(spark, name))
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(d[0], d[1]) for d in documents]
 
-    docs = scratch(stages["quality"](spark, docs, SF), "quality")
+    docs = kept(stages["quality"](spark, docs, SF), "quality")
     verdicts = {r.doc_id: r.kept for r in result(spark, "op2_host_rules")}
     rows = [r for r in rows if verdicts[r[0]]]
     assert Counter(map(tuple, docs.select("doc_id", "text").collect())) == Counter(rows)
 
-    docs = scratch(stages["near_duplicates"](spark, docs, SF), "near")
+    docs = kept(stages["near_duplicates"](spark, docs, SF), "near")
     first = {i for i, _, c in plain.similar(rows) if i == c}
     rows = [r for r in rows if r[0] in first]
     assert Counter(map(tuple, docs.select("doc_id", "text").collect())) == Counter(rows)
 
-    docs = scratch(stages["decontamination"](spark, docs, SF), "clean")
+    docs = kept(stages["decontamination"](spark, docs, SF), "clean")
     items = tables.sql("SELECT item_id, text FROM benchmark").fetchall()
     checked = [(r, plain.contamination(r[1], items)) for r in rows]
     rows = [r for r, (n, hit, _) in checked if not (hit > 0 and 20 * hit >= n)]
     assert Counter(map(tuple, docs.select("doc_id", "text").collect())) == Counter(rows)
     assert docs.columns == spark.read.parquet(f"{SF}/documents.parquet").columns
 
-    mixed = scratch(stages["mixing"](spark, docs, SF), "mixed")
+    mixed = kept(stages["mixing"](spark, docs, SF), "mixed")
     assert mixed.columns == docs.columns
     source = {d[0]: d[2] for d in documents}
     size = {r[0]: len(plain.words(r[1])) for r in rows}
