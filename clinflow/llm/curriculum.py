@@ -130,6 +130,13 @@ def prefix_sums(sized: DataFrame, buckets: int) -> DataFrame:
     )
 
 
+def by_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """The rows with the figures of their source, which may be null."""
+    name = F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("none"))
+    figures = sources.withColumn("at", name).drop("source")
+    return small_join(rows.withColumn("at", name), figures, ["at"], "inner").drop("at")
+
+
 def assign(docs: DataFrame, mix: Mix = Mix(), keep: list[str] | None = None) -> DataFrame:
     """Every row with how often it is taken, and when.
 
@@ -137,11 +144,12 @@ def assign(docs: DataFrame, mix: Mix = Mix(), keep: list[str] | None = None) ->
     source's ``source_size`` and ``target``, ``copies``, ``taken`` (words), and ``times``: the place
     of each copy in the run, in [0, 1).
 
-    A source is gone through in the order of a hash of document and text, whole as often as its
-    target holds it, then as far as the rest goes: the document in which the target falls is taken
-    if at least half of it is needed. Documents without words are taken as often as their
-    neighbours. Rows that are equal in id and text are taken one by one; reruns agree, for equal
-    rows can stand for each other. An empty table gives an empty one. A null source is a source.
+    A source is gone through in the order of a hash of document and text: whole as often as its
+    target holds it, then as far as the rest goes, and of the documents beyond, the one whose size
+    comes nearest to what is still missing is taken if that helps. Documents without words are taken
+    as often as their neighbours. Rows that are equal in id and text are taken one by one; reruns
+    agree, for equal rows can stand for each other. An empty table gives an empty one. A null source
+    is a source.
     """
     rows = docs.select(
         whole_row(docs, keep),
@@ -149,40 +157,50 @@ def assign(docs: DataFrame, mix: Mix = Mix(), keep: list[str] | None = None) ->
         F.size(words_of(F.col("text"))).cast("long").alias("size"),
         F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).alias("key"),
         F.struct(F.col("doc_id").cast("string"), F.xxhash64(F.lit(1), "text")).alias("tie"),
+        F.monotonically_increasing_id().alias("rid"),
     )
     sized = scratch(rows, "sized")
     targets = scratch(source_targets(sized.select("source", "size"), mix), "targets")
     largest = targets.agg(F.max("source_docs")).first()[0] or 0
-    placed = prefix_sums(sized, max(256, -(-largest // mix.bucket_docs)))
-    null_safe = lambda df: df.withColumn("at", F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("none")))
-    joined = small_join(
-        null_safe(placed), null_safe(targets).drop("source"), ["at"], "inner"
-    ).drop("at")
+    slim = sized.select("rid", "source", "size", "key", "tie")
+    placed = by_source(prefix_sums(slim, max(256, -(-largest // mix.bucket_docs))), targets)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    part = F.col("target") - F.col("whole") * F.col("source_size")
-    last = F.col("before") + F.col("size") / 2 <= F.col("part")
+    placed = placed.withColumn("whole", whole.cast("long")).withColumn(
+        "part", F.col("target") - F.col("whole") * F.col("source_size")
+    )
+    end = F.col("before") + F.col("size")
+    inside = (F.col("part") > 0) & (end <= F.col("part"))
+    placed = scratch(placed.withColumn("inside", inside), "placed")
+
+    reached = placed.groupBy("source").agg(F.coalesce(F.max(F.when(F.col("inside"), end)), F.lit(0)).alias("reached"))
+    missing = F.col("part") - F.col("reached")
+    beyond = by_source(placed.filter("NOT inside"), scratch(reached, "reached")).withColumn(
+        "off", F.abs(missing - F.col("size"))
+    )
+    nearest = F.min_by(F.struct("rid", "reached"), F.struct("off", "key", "tie")).alias("best")
+    extra = beyond.filter(F.col("off") < missing).groupBy("source").agg(nearest)
+    extra = scratch(extra.select("best.rid", F.col("best.reached").alias("instead")), "extra")
+
+    decided = small_join(placed, extra, ["rid"])
+    copies = F.col("whole") + (F.col("inside") | F.col("instead").isNotNull()).cast("long")
+    at = lambda i: F.when(
+        i < F.col("whole"), i * F.col("source_size") + F.col("before")
+    ).otherwise(F.col("whole") * F.col("source_size") + F.coalesce("instead", "before"))
     share = lambda i: F.when(
         F.col("target") > 0,
-        F.least(
-            F.lit(1.0 - 1e-12),
-            (i * F.col("source_size") + F.col("before") + F.col("size") / 2) / F.col("target"),
-        ),
+        F.least(F.lit(1.0 - 1e-12), (at(i) + F.col("size") / 2) / F.col("target")),
     ).otherwise(0.0)
-    counted = (
-        joined.withColumn("whole", whole.cast("long"))
-        .withColumn("part", part)
-        .withColumn(
-            "copies",
-            F.least(
-                F.lit(mix.max_repeats).cast("long"),
-                F.col("whole") + F.when((F.col("part") > 0) & last, 1).otherwise(0),
-            ),
-        )
-    )
     turns = F.when(F.col("copies") > 0, F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).otherwise(
         F.array().cast("array<bigint>")
     )
-    return counted.select(
+    decisions = decided.withColumn("copies", copies).select(
+        "rid",
+        "source_size",
+        "target",
+        "copies",
+        F.transform(turns, lambda i: time_of(share(i), F.col("rank"), mix)).alias("times"),
+    )
+    return sized.join(scratch(decisions, "decisions"), "rid").select(
         "row",
         "size",
         "source",
@@ -190,7 +208,7 @@ def assign(docs: DataFrame, mix: Mix = Mix(), keep: list[str] | None = None) ->
         "target",
         "copies",
         (F.col("size") * F.col("copies")).alias("taken"),
-        F.transform(turns, lambda i: time_of(share(i), F.col("rank"), mix)).alias("times"),
+        "times",
     )
 
 
