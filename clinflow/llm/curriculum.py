@@ -200,7 +200,8 @@ def assign(docs: DataFrame, mix: Mix = Mix(), keep: list[str] | None = None) ->
         "copies",
         F.transform(turns, lambda i: time_of(share(i), F.col("rank"), mix)).alias("times"),
     )
-    return sized.join(scratch(decisions, "decisions"), "rid").select(
+    # Every row has a decision, so that this side is never a small one: the same plan at every size.
+    return sized.join(scratch(decisions, "decisions").hint("merge"), "rid").select(
         "row",
         "size",
         "source",
