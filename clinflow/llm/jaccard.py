@@ -27,18 +27,24 @@ BLOCK = 1024
 
 
 def described(docs: DataFrame, method: PartEnum) -> DataFrame:
-    """Each document's set: size, key, sketch, and its signatures unless the task has met it before."""
+    """Each document's set: size, key, sketch, and its signatures unless the task has met it before.
+
+    Rows without an id have no links, so no signatures either, and leave theirs to the next copy.
+    """
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
         for batch in slices(batches):
             sizes, keys, counts, signatures = [], [], [], []
-            for text in batch.column("text").to_pylist():
+            for doc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
                 s = shingle_set(text)
                 key = set_key(s)
                 sizes.append(len(s))
                 keys.append(key)
                 counts.append(sketch(s))
+                if doc is None:
+                    signatures.append(None)
+                    continue
                 signatures.append(None if key in met or not len(s) else method.signatures(s))
                 if len(met) >= REMEMBERED:
                     met.clear()

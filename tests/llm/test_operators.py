@@ -300,6 +300,16 @@ def test_missing_ids_and_empty_tables(odd_docs, no_docs, clashing):
     assert jaccard.representatives(no_docs).count() == 0
 
 
+def test_rows_without_ids_take_no_links_from_their_copies(spark):
+    text = " ".join(f"w{k}" for k in range(200))
+    near = text.replace("w50 ", "x50 ").replace("w100 ", "x100 ").replace("w150 ", "x150 ")
+    rows = [(None, text), (8, text), (10, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = jaccard.similar_documents(docs)
+    assert got(found, "doc_id", "n_shingles", "component_id") == Counter([(None, 198, None), (8, 198, 8), (10, 198, 8)])
+    assert got(jaccard.representatives(docs), "doc_id") == Counter([(None,), (8,)])
+
+
 def test_one_of_each_group_stays(odd_docs, odd_rows, clashing):
     classes = {(i, c) for i, _, c in plain.similar([(r[0], r[1]) for r in odd_rows if r[0] is not None])}
     kept = jaccard.representatives(clashing)
