@@ -35,7 +35,7 @@ MAYBE_IP = re.compile(r"[0-9]+(?:\.[0-9]+){2,}")
 DIGIT = re.compile("[0-9]")
 
 SPANS = "array<struct<kind:int,start:int,end:int>>"
-MENTIONS = "array<struct<start:int,end:int,seed:boolean,kinds:array<int>,instance:bigint,patterns:array<string>>>"
+MENTIONS = "array<struct<start:int,end:int,seed:boolean,wide:boolean,kinds:array<int>,instance:bigint,patterns:array<string>>>"
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,8 @@ def patterns_at(text: str, start: int, end: int) -> list[str]:
 
 
 def mentions(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    out = []
+    """What stands in a slot of some pattern; ``wide`` if it has several words, once for each place."""
+    out, wide = [], set()
     spans = [(s, e, [k], True) for k, s, e in base]
     if "@" in text or DIGIT.search(text):
         taken = bytearray(len(text))
@@ -125,8 +126,10 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     for s, e, kinds, seed in spans:
         if found := patterns_at(text, s, e):
             name = xxhash.xxh64_intdigest(text[s:e].lower().encode()) - (1 << 63)
+            new = " " in text[s:e] and (s, e) not in wide
+            wide |= {(s, e)} if new else set()
             out.append(
-                {"start": s, "end": e, "seed": seed, "kinds": kinds, "instance": name, "patterns": found}
+                {"start": s, "end": e, "seed": seed, "wide": new, "kinds": kinds, "instance": name, "patterns": found}
             )
     return out
 
@@ -158,7 +161,7 @@ def described(docs: DataFrame, keep: list[str] | None) -> DataFrame:
 
 
 def slots(docs: DataFrame, patterns: DataFrame, trust: Trust) -> DataFrame:
-    """How many slots each pattern has in all texts, whatever fills them."""
+    """How many slots each pattern has in all texts, whatever fills them; around a slot, one word only."""
     names = (r[0] for r in patterns.select("pattern").toLocalIterator())
     total = None
     while held := frozenset(islice(names, trust.shard)):
@@ -204,9 +207,13 @@ def trusted_patterns(found: DataFrame, docs: DataFrame, trust: Trust) -> DataFra
         "edges",
     )
     counted = edges.groupBy("pattern").agg(F.count("*").alias("c")).filter(F.col("c") >= trust.support)
-    totals = slots(docs, scratch(counted, "patterns"), trust)
+    patterns = scratch(counted, "patterns")
+    totals = slots(docs, patterns, trust)
     if totals is None:
         return None
+    wide = each.filter("wide").select(F.explode("patterns").alias("pattern")).filter("pattern LIKE 'around %'")
+    wide = wide.groupBy("pattern").agg(F.count("*").alias("slots")).join(patterns, "pattern", "left_semi")
+    totals = scratch(totals.unionByName(wide).groupBy("pattern").agg(F.sum("slots").alias("slots")), "totals")
     seeds = edges.filter("seed").select("kind", "instance").distinct().withColumn("score", F.lit(1.0))
     scores = scratch(seeds, "scores")
     for _ in range(trust.rounds):

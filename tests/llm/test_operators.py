@@ -274,6 +274,21 @@ def test_contexts_find_unseen_identifiers(spark):
     assert masked[101] == "please call: my phone [phone] today and so on" and masked[400] is None
 
 
+def test_identifiers_of_several_words_fill_slots_too(spark):
+    """No two rows share the words before; 20 of 25 slots are seeds, and 5 of 15."""
+    rows = [(i, f"a{i} phone +1 (499) 555-{1000 + i} today") for i in range(20)]
+    rows += [(100 + i, f"b{i} phone 499 555 {2000 + i} today") for i in range(5)]
+    rows += [(200 + i, f"c{i} code +1 (499) 555-{3000 + i} here") for i in range(5)]
+    rows += [(300 + i, f"d{i} code word{i} here") for i in range(9)] + [(400, "e code 499 555 4000 here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.base, r.spans) for r in pii.find_pii(docs).select("row.doc_id", "base", "spans").collect()}
+    for i, text in rows:
+        base, spans = found[i]
+        assert len(base) == (i < 20 or 200 <= i < 205)
+        learnt = [text[s.start : s.end] for s in spans if s not in base]
+        assert learnt == ([f"499 555 {2000 + i - 100}"] if 100 <= i < 105 else [])
+
+
 def test_many_patterns_are_counted_in_shards(spark):
     rows = [(i, f"please call: my phone +1 (499) 555-{1000 + i} today, bye") for i in range(20)]
     rows += [(100, "please call: my phone 499-555-2000 today")]
