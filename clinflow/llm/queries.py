@@ -14,12 +14,13 @@ from clinflow.llm import (
     host_rules,
     jaccard,
     licenses,
+    periodic,
     pii,
     substrings,
     token_counts,
     token_files,
 )
-from clinflow.llm.common import scratch
+from clinflow.llm.common import scratch, words_of
 from clinflow.session import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -256,3 +257,40 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
     kept = F.sha2(F.col("kept").cast("binary"), 256)
     return found.select("row.doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The documents as the contract of op11 takes them: in one of ten, chosen by a checksum of its
+    id, the words from some place on repeat the first of them over and over."""
+    words = words_of(F.col("text"))
+    n = F.greatest(F.size(words), F.lit(1))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    whole = F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a))
+    repeats = (h % 10 == 0) & (F.size(words) > 0)
+    return docs.withColumn("text", F.when(repeats, F.array_join(whole, " ")).otherwise(F.col("text")))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.find_runs(with_periods(docs), keep=["doc_id"])
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))
+    order = lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))
+    first = F.array_max(F.transform("runs", order))
+    length, start, period = (first[name] for name in "lsp")
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-start).alias("start"),
+        length.alias("length"),
+        (-period).alias("period"),
+        F.floor(1000 * length / -period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
