@@ -19,6 +19,7 @@ from clinflow.llm import (
     substrings,
     token_counts,
     token_files,
+    whitening,
 )
 from clinflow.llm.common import scratch, words_of
 from clinflow.session import table
@@ -294,3 +295,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding", 16, keep=["vec_id"])
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "of")
+    return found.select("row.vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        "deviation",
+        "of.whitened",
+        "of.explained",
+        "identity_error",
+    )
