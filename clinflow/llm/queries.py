@@ -19,6 +19,7 @@ from clinflow.llm import (
     substrings,
     token_counts,
     token_files,
+    toxicity,
     whitening,
 )
 from clinflow.llm.common import scratch, words_of
@@ -310,3 +311,15 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "of.explained",
         "identity_error",
     )
+
+
+@query()
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows with a checksum of 2 modulo 4 are held out: their labels are not read."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    held_out = F.coalesce(checksum % 4 == 2, F.lit(False))
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    machine = toxicity.learn(docs, labels, ~held_out)
+    scored = toxicity.score_texts(docs.withColumn("held_out", held_out), machine)
+    return scored.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

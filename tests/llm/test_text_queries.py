@@ -43,7 +43,7 @@ def test_query_agrees_with_sql(spark, tables, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
 
 
 def test_token_counts(spark, documents):
