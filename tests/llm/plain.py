@@ -132,3 +132,26 @@ def targets(sizes, most=3, weights=(5, 2, 1)):
         if not over:
             return {s: share.get(s, most * totals[s]) for s in names}
         full |= over
+
+
+def runs(x, least=6, times=4):
+    """Maximal stretches with a smallest period q, of max(least, times * q) words or more, as
+    (start, length, q)."""
+    best = {}
+    for q in range(1, len(x) // times + 1):
+        i = 0
+        while i < len(x) - q:
+            if x[i] != x[i + q]:
+                i += 1
+                continue
+            start = i
+            while i < len(x) - q and x[i] == x[i + q]:
+                i += 1
+            if i + q - start >= max(least, times * q):
+                best.setdefault((start, i + q - start), q)
+    return sorted(((s, n, q) for (s, n), q in best.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(x, found):
+    gone = {i for start, length, period in found for i in range(start + period, start + length)}
+    return [w for i, w in enumerate(x) if i not in gone]
