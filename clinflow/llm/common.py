@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Any
 
 import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import clinflow
 from clinflow.session import work_dir, written
@@ -35,34 +38,39 @@ def whole_row(docs: DataFrame, keep: list[str] | None = None) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
 
 
-_written: dict[str, list[str]] = {}
+_own: ContextVar[list[str] | None] = ContextVar("tables of the call", default=None)
 
 
-def made(spark: SparkSession) -> list[str]:
-    """The working tables of this application that are still there, in the order they were made."""
-    return _written.setdefault(spark.sparkContext.applicationId, [])
+@contextmanager
+def own_tables() -> Iterator[list[str]]:
+    """The working tables that this thread makes inside, for whoever wants to remove them after.
+
+    Tables that nobody lists stay until the application's folder is removed.
+    """
+    paths: list[str] = []
+    token = _own.set(paths)
+    try:
+        yield paths
+    finally:
+        _own.reset(token)
 
 
 def scratch(df: DataFrame, label: str) -> DataFrame:
     """Written to the shared folder and read back: worked out once, survives a lost executor."""
     path = work_dir(df.sparkSession, label)
-    made(df.sparkSession).append(path)
+    if (paths := _own.get()) is not None:
+        paths.append(path)
     return written(df, path)
 
 
-def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
-    """Remove working tables; what was returned from them has to be written elsewhere by then."""
+def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``build`` returns, written; the working tables that it made on the way are removed."""
+    with own_tables() as paths:
+        path = work_dir(spark, label)
+        result = written(build(), path)
     remove_listed(spark, paths)
-    left = [p for p in made(spark) if p not in set(paths)]
-    made(spark)[:] = left
-
-
-def settled(df: DataFrame, label: str, since: int) -> DataFrame:
-    """A result of which nothing but itself is kept: written, and what it was made from removed."""
-    path = work_dir(df.sparkSession, label)
-    result = written(df, path)
-    drop_scratch(df.sparkSession, made(df.sparkSession)[since:])
-    made(df.sparkSession).append(path)
+    if (outer := _own.get()) is not None:
+        outer.append(path)
     return result
 
 
@@ -85,10 +93,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
 def small_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join with a written table ``right``, unique by ``on``, that may or may not be small.
 
-    Its rows are counted and their text is measured first. Up to :data:`BROADCAST_BYTES` it is
-    broadcast; beyond, the join is shuffled, and adaptive execution splits the hot keys of ``left``.
+    Its rows are counted and all their fields of varying length, nested ones too, are measured first.
+    Up to :data:`BROADCAST_BYTES` it is broadcast; beyond, the join is shuffled, and adaptive
+    execution splits the hot keys of ``left``.
     """
-    texts = [n for n, kind in right.dtypes if kind in ("string", "binary")]
-    length = sum((F.coalesce(F.octet_length(n), F.lit(0)) for n in texts), F.lit(48))
-    size = right.agg(F.sum(length.cast("long"))).first()[0] or 0
+    size = right.agg(F.sum(row_bytes(right))).first()[0] or 0
     return left.join(F.broadcast(right) if size <= BROADCAST_BYTES else right, on, how)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: a fixed part, and the length of what has no fixed one."""
+    size = F.lit(32 + 16 * len(df.columns))
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return size.cast("long")

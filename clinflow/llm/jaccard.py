@@ -1,9 +1,10 @@
 """Similarity join of documents on the Jaccard similarity of their word shingles, by PartEnum.
 
-Documents that share a signature meet. Whatever is similar enough shares one, so that the pairs that
-meet hold all links; what else they hold is dropped by a bound from sketches and, at last, by
-comparing the sets themselves. Only the classes that links form are asked for, so that pairs within
-a class already found are not looked at again.
+Sets that share a signature meet. Whatever is similar enough shares one, so that the pairs that meet
+hold all links; what else they hold is dropped by a bound from sketches and, at last, by comparing
+the sets themselves. Only the classes that links form are asked for. So every set is compared with
+the first one of its signatures; then the members of groups that are not one class yet are compared
+with each other, inside the tasks that hold the groups, which hand on links that join classes only.
 """
 
 from __future__ import annotations
@@ -15,21 +16,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import made, scratch, settled, slices, small_join, whole_row
+from clinflow.llm.common import scratch, settled, slices, small_join, whole_row
 from clinflow.llm.components import components
 from clinflow.llm.shingles import PartEnum, set_key, shingle_set, sketch, sketches
 
-SETS = "doc_id long, n_shingles long, set_key binary, sketch binary, signatures array<long>"
+SETS = "node long, doc_id long, n_shingles long, set_key binary, sketch binary, signatures array<long>"
 #: Sets a task remembers, to give signatures once only to copies that it meets.
 REMEMBERED = 200_000
-#: Members of a group that are compared with each other by one task at a time, at most.
-BLOCK = 1024
+#: Members of a group, and members of their sets, that a task compares with others at a time, about.
+BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
 
 
 def described(docs: DataFrame, method: PartEnum) -> DataFrame:
     """Each document's set: size, key, sketch, and its signatures unless the task has met it before.
 
-    Rows without an id have no links, so no signatures either, and leave theirs to the next copy.
+    A row is a ``node``, numbered when the table is written, so repeated ids are no trouble. Rows without an id have no links, so no signatures either, and leave theirs to the next copy.
     """
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,39 +52,58 @@ def described(docs: DataFrame, method: PartEnum) -> DataFrame:
                 met.add(key)
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("node"),
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(counts, pa.binary()),
                     pa.array(signatures, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "sketch", "signatures"],
+                names=["node", "doc_id", "n_shingles", "set_key", "sketch", "signatures"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(describe, SETS)
+    rows = docs.select(F.monotonically_increasing_id().alias("node"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(describe, SETS)
+
+
+def signed(live: DataFrame) -> DataFrame:
+    """``node``, ``sig``: the signatures of each different set, from one of its nodes."""
+    carriers = live.filter("signatures IS NOT NULL")
+    several = carriers.groupBy("set_key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    again = small_join(carriers.select("set_key", "node"), scratch(several, "several"), ["set_key"], "inner")
+    others = scratch(again.filter("node <> first").select("node"), "again")
+    once = small_join(carriers.select("node", "signatures"), others, ["node"], "left_anti")
+    return once.select("node", F.explode("signatures").alias("sig"))
 
 
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by signature and document: every document but the first of a signature,
-    with that first one, the centre."""
-    last_sig, last_centre, last_doc = None, 0, 0
+    """From rows sorted by signature and node: every node but the first of a signature, with that
+    first one, the centre."""
+    last_sig, last_centre, last_node = None, 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, doc = batch.column("sig").to_numpy(), batch.column("doc_id").to_numpy()
+        sig, node = batch.column("sig").to_numpy(), batch.column("node").to_numpy()
         new = np.concatenate(([sig[0] != last_sig], sig[1:] != sig[:-1]))
         start = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
-        centre = np.where(start < 0, last_centre, doc[np.maximum(start, 0)])
-        before = np.concatenate(([last_doc], doc[:-1]))
-        keep = ~new & (doc != before)
-        last_sig, last_centre, last_doc = sig[-1], centre[-1], doc[-1]
+        centre = np.where(start < 0, last_centre, node[np.maximum(start, 0)])
+        before = np.concatenate(([last_node], node[:-1]))
+        keep = ~new & (node != before)
+        last_sig, last_centre, last_node = sig[-1], centre[-1], node[-1]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[keep]) for x in (sig, centre, doc)], names=["sig", "centre", "doc_id"]
+            [pa.array(x[keep]) for x in (sig, centre, node)], names=["sig", "centre", "node"]
         )
 
 
+def same(live: DataFrame, key: str) -> DataFrame:
+    """Links ``a``, ``b`` from the first node with a key to the others with it."""
+    first = live.groupBy(key).agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    found = small_join(live.select(key, F.col("node").alias("b")), scratch(first, "first"), [key], "inner")
+    return found.filter("a <> b").select("a", "b")
+
+
 def possible(pairs: DataFrame, sets: DataFrame, method: PartEnum) -> DataFrame:
-    """Pairs ``a``, ``b`` that sizes and sketches don't rule out; ``same`` if the sets are equal."""
+    """Pairs ``a``, ``b`` that sizes and sketches don't rule out."""
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,203 +113,239 @@ def possible(pairs: DataFrame, sets: DataFrame, method: PartEnum) -> DataFrame:
             apart = np.abs(sketches(batch.column("sketch_a")) - sketches(batch.column("sketch_b"))).sum(1)
             fits = apart <= method.most_apart(n_a, n_b)
             fits &= 100 * np.minimum(n_a, n_b) >= method.percent * np.maximum(n_a, n_b)
-            yield batch.select(["a", "b", "same"]).filter(pa.array(fits))
+            yield batch.select(["a", "b"]).filter(pa.array(fits))
 
     about = lambda side: sets.select(
-        F.col("doc_id").alias(side),
-        F.col("n_shingles").alias(f"n_{side}"),
-        F.col("set_key").alias(f"key_{side}"),
-        F.col("sketch").alias(f"sketch_{side}"),
+        F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")
     )
     joined = pairs.join(about("b"), "b").join(about("a"), "a")
-    return joined.select(
-        "a", "b", (F.col("key_a") == F.col("key_b")).alias("same"), "n_a", "n_b", "sketch_a", "sketch_b"
-    ).mapInArrow(bound, "a long, b long, same boolean")
+    return joined.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(bound, "a long, b long")
+
+
+def whole_sets(docs: DataFrame, live: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and ``members``, the set itself, for the nodes in ``wanted``, which have different sets."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            columns = [[set_key(s) for s in found], [s.tobytes() for s in found]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["set_key", "members"])
+
+    about = small_join(live.select("node", "doc_id", "set_key"), scratch(wanted.select("node").distinct(), "wanted"), ["node"], "left_semi")
+    about = scratch(about, "about")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    some = small_join(texts, scratch(about.select("doc_id").distinct(), "ids"), ["doc_id"], "left_semi")
+    each = some.select("text").mapInArrow(sets, "set_key binary, members binary")
+    named = small_join(each, about.select("set_key", "node"), ["set_key"], "inner")
+    return scratch(named.select("node", "members").dropDuplicates(["node"]), "members")
+
+
+def members_of(value: bytes) -> np.ndarray:
+    return np.frombuffer(value, np.uint64)
 
 
-def linked(pairs: DataFrame, docs: DataFrame, method: PartEnum) -> DataFrame:
+def linked(pairs: DataFrame, members: DataFrame, method: PartEnum) -> DataFrame:
     """Those of the pairs whose sets are similar enough, found by comparing them in full."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
         for batch in slices(batches):
             keep = []
-            for a, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b"))):
-                if (a, text_a) != last:
-                    last, held = (a, text_a), shingle_set(text_a)
-                other = shingle_set(text_b)
-                common = len(np.intersect1d(held, other, assume_unique=True))
-                keep.append(method.alike(common, len(held), len(other)))
+            for x, y in zip(*(map(members_of, batch.column(c).to_pylist()) for c in ("members_a", "members_b"))):
+                keep.append(method.alike(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = small_join(docs.select(F.col("doc_id").cast("long"), "text"), scratch(ids, "ids"), ["doc_id"], "left_semi")
-    texts = scratch(texts, "texts")
-    side = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
+    side = lambda s: members.select(F.col("node").alias(s), F.col("members").alias(f"members_{s}"))
     both = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a")
-    return both.select("a", "text_a", "b", "text_b").mapInArrow(compare, "a long, b long")
+    return both.select("a", "members_a", "b", "members_b").mapInArrow(compare, "a long, b long")
 
 
 def groups_of(meetings: DataFrame) -> DataFrame:
-    """``sig``, ``doc_id``: the groups of three documents or more, each set of members once.
+    """``sig``, ``node``, ``centre``, ``n``: groups of three and more, each set of members once.
 
     A group of two is its centre and one other, which are compared anyway.
     """
-    members = meetings.select("sig", "doc_id").union(meetings.select("sig", "centre").distinct())
-    digest = [F.bit_xor(F.xxhash64(F.lit(seed), "doc_id")).alias(f"x{seed}") for seed in (0, 1)]
+    members = meetings.select("sig", "node", "centre").union(meetings.select("sig", "centre", "centre").distinct())
+    digest = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"x{seed}") for seed in (0, 1)]
     groups = members.groupBy("sig").agg(F.count("*").alias("n"), *digest).filter("n > 2")
     chosen = groups.groupBy("n", "x0", "x1").agg(F.min("sig").alias("sig"))
     return members.join(chosen.select("sig", "n"), "sig")
 
 
-def untested(groups: DataFrame, labels: DataFrame, sets: DataFrame, tested: DataFrame, method: PartEnum) -> DataFrame:
-    """Pairs of different classes that meet in some group, were not compared yet, and may be similar.
+CELL = ["sig", "i", "j"]
 
-    Of a document's partners in one other class, the one with the nearest sketch is given; the
-    others are, in a later round, unless the classes have become one by then. Groups are cut into
-    blocks, and every two blocks are compared by a task.
-    """
-    named = groups.join(labels, groups.doc_id == labels.node, "left").select(
-        "sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")
+
+def open_cells(groups: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of the groups that hold several classes, dealt into cells: a group is cut into blocks,
+    and every two blocks of it are a cell. ``mine`` has the open groups that a node is in."""
+    named = groups.join(labels.select("node", "component"), "node", "left")
+    named = named.withColumn("component", F.coalesce("component", "node"))
+    sized = named.join(sets.select("node", "n_shingles", "sketch"), "node")
+    classes = sized.groupBy("sig").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n_shingles").alias("total")
     )
-    mixed = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_groups = named.join(mixed.filter("lo < hi").select("sig"), "sig")
-    partners = tested.groupBy(F.col("b").alias("doc_id")).agg(F.collect_set("a").alias("done"))
-    rows = (
-        open_groups.join(sets.select("doc_id", "n_shingles", "sketch"), "doc_id")
-        .join(partners, "doc_id", "left")
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    rows = scratch(sized.join(classes.filter("lo < hi").select("sig", "total"), "sig").withColumn("blocks", blocks), "open")
+    mine = rows.groupBy("node").agg(F.sort_array(F.collect_set("sig")).alias("mine"))
+    return (
+        rows.join(mine, "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "sig",
             F.least("block", "other").alias("i"),
             F.greatest("block", "other").alias("j"),
-            "doc_id",
+            "block",
+            "node",
+            (F.col("node") == F.col("centre")).alias("central"),
             "component",
             "n_shingles",
             "sketch",
-            "done",
+            "mine",
         )
     )
-    key = ["sig", "i", "j"]
-
-    def near_pairs(label: np.ndarray, size: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Members of different classes that may be similar, each pair once, and how far apart their
-        sketches are. Sums of counters bound the distance first, at an eighth of the work."""
-        coarse = counts.reshape(len(counts), 8, -1).sum(2)
-        left, right = [], []
-        for at in range(0, len(size), 128):
-            some = slice(at, at + 128)
-            most = method.most_apart(size[some, None], size)
-            fits = np.abs(coarse[some, None] - coarse).sum(2) <= most
-            fits &= label[some, None] != label
-            x, y = np.nonzero(np.triu(fits, at + 1))
-            left.append(x + at)
-            right.append(y)
-        x, y = np.concatenate(left), np.concatenate(right)
-        apart = np.abs(counts[x] - counts[y]).sum(1)
-        fits = apart <= method.most_apart(size[x], size[y])
-        fits &= 100 * np.minimum(size[x], size[y]) >= method.percent * np.maximum(size[x], size[y])
-        return x[fits], y[fits], apart[fits]
-
-    def pairs_of(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        group = group.combine_chunks()
-        doc, label, size = (group.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
-        x, y, apart = near_pairs(label, size, sketches(group.column("sketch")))
-        x, y = np.where(doc[x] < doc[y], (x, y), (y, x))
-        if len(x):
-            done = [set(d or ()) for d in group.column("done").to_pylist()]
-            new = [doc[i] not in done[j] for i, j in zip(x.tolist(), y.tolist())]
-            x, y, apart = x[new], y[new], apart[new]
-        chosen = np.zeros(len(x), bool)
-        for member, other in ((x, y), (y, x)):
-            order = np.lexsort((doc[other], apart, label[other], member))
-            m, c = member[order], label[other[order]]
-            first = np.concatenate(([True], (m[1:] != m[:-1]) | (c[1:] != c[:-1])))[: len(m)]
-            chosen[order[first]] = True
-        return doc[x[chosen]], doc[y[chosen]]
-
-    def by_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in together(runs(batches)):
-            columns = [np.concatenate(side) for side in zip(*found)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
-
-    def together(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[list]:
-        """Most groups have no pair or a few: they are handed on many at a time."""
-        held, size = [], 0
-        for pair in found:
-            if len(pair[0]):
-                held.append(pair)
-                size += len(pair[0])
-            if size > 10_000:
-                yield held
-                held, size = [], 0
+
+
+def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by cell, a cell at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in CELL])
+        cuts = (np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()
+        at = 0
+        if held and [c[0].as_py() for c in (held[0].column(k) for k in CELL)] != keys[:, 0].tolist():
+            cuts.insert(0, 0)
+        for cut in cuts:
+            held.append(batch.slice(at, cut - at))
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, at = [], cut
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def near_pairs(cell: pa.Table, method: PartEnum) -> tuple[np.ndarray, ...]:
+    """Pairs of a cell that are to be compared here: of different classes, not ruled out by sizes and
+    sketches, not compared with the centre before, and met in no group before this one. In order of
+    the distance of their sketches. Sums of counters bound it first, at an eighth of the work."""
+    label, size, block = (cell.column(c).to_numpy() for c in ("component", "n_shingles", "block"))
+    central = cell.column("central").to_numpy(zero_copy_only=False)
+    counts = sketches(cell.column("sketch"))
+    across = cell.column("i")[0].as_py() != cell.column("j")[0].as_py()
+    coarse = counts.reshape(len(counts), 8, -1).sum(2)
+    left, right = [], []
+    for at in range(0, len(size), 128):
+        some = slice(at, at + 128)
+        fits = np.abs(coarse[some, None] - coarse).sum(2) <= method.most_apart(size[some, None], size)
+        fits &= (label[some, None] != label) & ~(central[some, None] | central)
+        if across:
+            fits &= block[some, None] != block
+        x, y = np.nonzero(np.triu(fits, at + 1))
+        left.append(x + at)
+        right.append(y)
+    x, y = np.concatenate(left), np.concatenate(right)
+    apart = np.abs(counts[x] - counts[y]).sum(1)
+    fits = apart <= method.most_apart(size[x], size[y])
+    fits &= 100 * np.minimum(size[x], size[y]) >= method.percent * np.maximum(size[x], size[y])
+    x, y, apart = x[fits], y[fits], apart[fits]
+    if len(x):
+        sig, mine = cell.column("sig")[0].as_py(), cell.column("mine")
+        before = {k: {s for s in mine[k].as_py() if s < sig} for k in np.union1d(x, y).tolist()}
+        own = np.array([before[i].isdisjoint(before[j]) for i, j in zip(x.tolist(), y.tolist())])
+        x, y, apart = x[own], y[own], apart[own]
+    order = np.argsort(apart, kind="stable")
+    return x[order], y[order]
+
+
+def with_near(rows: DataFrame, method: PartEnum) -> DataFrame:
+    """The rows of cells that have a pair to be compared there."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for cell in cells(batches):
+            x, y = near_pairs(cell, method)
+            if len(x):
+                held.append(cell.take(np.union1d(x, y)))
+            if sum(t.num_rows for t in held) > 10_000:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held = []
         if held:
-            yield held
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(keep, rows.schema)
+
+
+def joining_links(rows: DataFrame, members: DataFrame, method: PartEnum) -> DataFrame:
+    """Links ``a``, ``b`` of each cell that join its classes: of n classes, n - 1 at most. Nearest
+    pairs first; pairs whose classes a link of the cell has joined are not compared any more."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in cells(batches):
+            found = forest(cell)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+    def forest(cell: pa.Table) -> list[tuple[int, int]]:
+        label, node, sets = cell.column("component").to_pylist(), cell.column("node").to_pylist(), cell.column("members")
+        above = {c: c for c in label}
+
+        def root(c: int) -> int:
+            while above[c] != c:
+                above[c] = c = above[above[c]]
+            return c
+
+        found = []
+        for x, y in zip(*(side.tolist() for side in near_pairs(cell, method))):
+            a, b = root(label[x]), root(label[y])
+            if a == b:
                 continue
-            keys = np.stack([batch.column(c).to_numpy() for c in key])
-            cuts = (np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()
-            at = 0
-            if held and [c[0].as_py() for c in (held[0].column(k) for k in key)] != keys[:, 0].tolist():
-                cuts.insert(0, 0)
-            for cut in cuts:
-                held.append(batch.slice(at, cut - at))
-                yield pairs_of(pa.Table.from_batches(held))
-                held, at = [], cut
-            held.append(batch.slice(at))
-        if held:
-            yield pairs_of(pa.Table.from_batches(held))
+            s, t = members_of(sets[x].as_py()), members_of(sets[y].as_py())
+            if method.alike(len(np.intersect1d(s, t, assume_unique=True)), len(s), len(t)):
+                above[max(a, b)] = min(a, b)
+                found.append((node[x], node[y]))
+        return found
 
-    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(by_run, "a long, b long").distinct()
+    both = rows.join(members, "node")
+    return both.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(compare, "a long, b long")
 
 
 def similar_documents(docs: DataFrame, percent: int = 90) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, and ``component_id``, the smallest id it is linked with
     over any number of links, its own included.
 
-    Texts without words, null ones too, have no shingles and no links. Rows with one id are one
-    node: what one is linked with, all are. Rows without an id have no links and no component.
-    Copies are one set; their signatures are written once per task. An empty table gives an empty
-    one, and other columns are not read.
+    Texts without words, null ones too, have no shingles and no links. Rows with one id are linked:
+    what one is linked with, all are. Rows without an id have no links and no component. Copies are
+    one set. An empty table gives an empty one, texts may be of any length, and other columns are
+    not read.
     """
     method = PartEnum(percent)
-    since = len(made(docs.sparkSession))
+    return settled(docs.sparkSession, lambda: classes(docs, method), "classes")
+
+
+def classes(docs: DataFrame, method: PartEnum) -> DataFrame:
     sets = scratch(described(docs, method), "sets")
-    nodes = sets.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    signatures = nodes.select("doc_id", F.explode("signatures").alias("sig"))
-    order = signatures.repartition("sig").sortWithinPartitions("sig", "doc_id")
-    meetings = scratch(order.mapInArrow(meet, "sig long, centre long, doc_id long"), "meetings")
-    copies = nodes.groupBy("set_key").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    links = nodes.join(copies, "set_key").select("a", F.col("doc_id").alias("b"))
-
-    one = nodes.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in ("n_shingles", "set_key", "sketch")])
-    repeated = nodes.count() > one.count()
-    about = scratch(one, "about") if repeated else nodes.select("doc_id", "n_shingles", "set_key", "sketch")
-    # Of rows that share an id only one is described here; all their texts are compared.
-    bound = PartEnum(0) if repeated else method
-    pairs = meetings.select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    groups = scratch(groups_of(meetings), "groups")
-    tested = labels = None
-    while True:
-        near = scratch(possible(pairs, about, bound), "near")
-        if labels is not None and near.isEmpty():
-            break
-        tested = near.select("a", "b") if tested is None else tested.union(near.select("a", "b"))
-        found = linked(near.filter("NOT same"), docs, method).union(near.filter("same").select("a", "b"))
-        found = scratch(found, "found")
-        if labels is None or not found.isEmpty():
-            links = links.union(found)
-            labels = scratch(components(links), "labels")
-        pairs = scratch(untested(groups, labels, about, tested, bound), "pairs")
-    rows = sets.select("doc_id", "n_shingles").join(labels, F.col("doc_id") == F.col("node"), "left")
-    classes = rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return settled(classes, "classes", since)
+    live = sets.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    order = signed(live).repartition("sig").sortWithinPartitions("sig", "node")
+    meetings = scratch(order.mapInArrow(meet, "sig long, centre long, node long"), "meetings")
+    links = scratch(same(live, "set_key").union(same(live, "doc_id")), "links")
+
+    pairs = meetings.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    near = scratch(possible(pairs, live, method), "near")
+    members = whole_sets(docs, live, near.select(F.explode(F.array("a", "b")).alias("node")))
+    links = scratch(links.union(linked(near, members, method)), "links")
+    labels = scratch(components(links), "labels")
+
+    rows = scratch(with_near(open_cells(groups_of(meetings), labels, live), method), "cells")
+    found = scratch(joining_links(rows, whole_sets(docs, live, rows), method), "found")
+    if not found.isEmpty():
+        labels = scratch(components(links.union(found)), "labels")
+
+    ids = live.select("node", "doc_id").join(labels, "node")
+    least = scratch(ids.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
+    named = scratch(small_join(labels, least, ["component"], "inner").select("node", "component_id"), "named")
+    rows = small_join(sets.select("node", "doc_id", "n_shingles"), named, ["node"])
+    return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def representatives(docs: DataFrame, percent: int = 90) -> DataFrame:

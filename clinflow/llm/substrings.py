@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.llm.automata import SuffixAutomaton
-from clinflow.llm.common import made, scratch, settled, slices, small_join, whole_row
+from clinflow.llm.common import scratch, settled, slices, small_join, whole_row
 from clinflow.llm.shingles import mixed, word_hashes
 
 ANCHORS = "doc long, text_hash long, start int, size int, anchor long, context long"
@@ -288,8 +288,7 @@ def without_repeats(docs: DataFrame, passage: Passage = Passage(), keep: list[st
     """
     if not 1 <= passage.gram <= passage.window <= 35 or passage.window + passage.reach > 63:
         raise ValueError("a context has 62 words at most")
-    since = len(made(docs.sparkSession))
-    lists = settled(repeated_words(docs, passage), "hits", since)
+    lists = settled(docs.sparkSession, lambda: repeated_words(docs, passage), "hits")
     rows = keyed(docs, whole_row(docs, keep))
     some, others = with_lists(rows, lists)
     none = others.withColumn("hits", F.array().cast(lists.schema["hits"].dataType))
