@@ -3,62 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from clinflow.llm import curriculum, decontaminate, host_rules, jaccard, token_files
-from clinflow.llm.common import drop_scratch, made
+from clinflow.llm.common import own_tables
 from clinflow.llm.queries import vocabulary
 from clinflow.session import table, work_dir, written
+from clinflow.sinks.files import remove_listed
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-#: Working tables that the last stage's result is read from, by application.
-_last: dict[str, list[str]] = {}
-
-
-def after_the_last(stage: Stage) -> Stage:
-    """A stage gets its documents written; the working tables they came from are removed first."""
-
-    @wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        application = spark.sparkContext.applicationId
-        drop_scratch(spark, _last.pop(application, []))
-        since = len(made(spark))
-        result = stage(spark, docs, sf_dir)
-        _last[application] = made(spark)[since:]
-        return result
-
-    return run_stage
-
-
-@after_the_last
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules and come from no rejected host."""
     return host_rules.kept_rows(docs)
 
 
-@after_the_last
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones."""
     return jaccard.representatives(docs, percent=90)
 
 
-@after_the_last
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items, unchanged."""
     return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
-@after_the_last
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for, in the order of the training run."""
     return curriculum.training_order(curriculum.assign(docs))
 
 
-@after_the_last
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of what is left; a row per document in them."""
     return token_files.token_digests(docs, token_files.Encoding(vocabulary("byte_bpe_50k.json")))
@@ -77,7 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other. Each one's documents are written, and the working tables they
+    were made from removed; those of the last one stay, as its result is read from them."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), work_dir(spark, name))
+        with own_tables() as paths:
+            docs = written(stage(spark, docs, sf_dir), work_dir(spark, name))
+        remove_listed(spark, paths)
     return STAGES[-1][1](spark, docs, sf_dir)
