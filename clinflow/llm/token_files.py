@@ -9,15 +9,19 @@ place in the whole corpus is the part's base plus the place in the part.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from urllib.parse import urlsplit
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,8 +30,10 @@ from clinflow.session import work_dir
 
 PART = "part int, file string, n_docs long, n_tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
-#: Pieces of text whose ids a task remembers at most; then it forgets them all.
-REMEMBERED = 1_000_000
+#: Bytes of texts that a task encodes together, each different word once; a longer text is alone.
+CHUNK_BYTES = 48 * 1024 * 1024
+#: Words that the tokenizer gets at a time.
+TOGETHER = 50_000
 #: Bytes of text to a part.
 PART_BYTES = 48 * 1024 * 1024
 
@@ -41,44 +47,100 @@ class Encoding:
     end: int = 0
 
 
-class Ids(dict):
-    """Text to its ids as bytes; texts are cut where no token can span the cut.
+class Encoder:
+    """Ids of many texts at once: each different word of them is encoded once.
 
-    The pre-tokenizer takes white space only at the start of a token. So a cut between a visible
-    character and white space after it separates tokens, as does one between letters and the
-    full stops or commas that follow.
+    The pre-tokenizer takes white space only at the start of a token, so that a cut between a visible
+    character and white space after it separates tokens. Words with the space before them can
+    therefore be encoded in rows, and the bytes of the tokens tell which belong to which word. Texts
+    with other white space before a space, or a space at the end, are cut and encoded piece by piece.
     """
 
     cut = re.compile(r"(?<=\S)(?=\s)")
-    stop = re.compile(r"(\s?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]+)")
-    odd = re.compile(r"\s ")
+    #: White space by anyone's definition before a space, or a space at the end.
+    odd = (
+        "[\\s\\v\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
+        "\\x{202f}\\x{205f}\\x{3000}] | $"
+    )
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, encoding: Encoding) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(parts := self.cut.split(piece)) > 1:
-            return b"".join(map(self.__getitem__, parts))  # rarely seen again as a whole
-        if halves := self.stop.fullmatch(piece):
-            self[piece] = ids = self[halves[1]] + self[halves[2]]
-        else:
-            coded = self.tokenizer.encode(piece, add_special_tokens=False).ids
-            self[piece] = ids = np.array(coded, self.dtype).tobytes()
-        return ids
-
-    def of(self, text: str) -> bytes:
-        if self.odd.search(text):
-            return b"".join(map(self.__getitem__, self.cut.split(text)))
-        first, *rest = text.split(" ")
-        pieces = [" " + p for p in rest]
-        return b"".join(map(self.__getitem__, [first, *pieces] if first else pieces))
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tokenizer = Tokenizer.from_file(encoding.path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.end = encoding.end
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if max(size, encoding.end + 1) <= 1 << 16 else "<u4")
+        self.length = np.zeros(size, np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.length[i] = len(token)  # of a byte-level vocabulary, whose characters are bytes
+
+    def each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and how many each has."""
+        flat, sizes = [np.empty(0, self.dtype)], []
+        for at in range(0, len(pieces), TOGETHER):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[at : at + TOGETHER], add_special_tokens=False)]
+            flat.append(np.fromiter(chain.from_iterable(found), self.dtype))
+            sizes.extend(map(len, found))
+        return np.concatenate(flat), np.array(sizes, np.int64)
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words, each with a space before it."""
+        flat, sizes = [np.empty(0, self.dtype)], [np.empty(0, np.int64)]
+        for at in range(0, len(words), TOGETHER):
+            some = [" " + w for w in words[at : at + TOGETHER].to_pylist()]
+            rows = ["".join(some[i : i + 500]) for i in range(0, len(some), 500)]
+            ids, _ = self.each(rows)
+            ends = np.cumsum(self.length[ids])
+            wanted = np.cumsum(np.array(pc.binary_length(words[at : at + TOGETHER]), np.int64) + 1)
+            upto = np.searchsorted(ends, wanted, "right")
+            if len(ends) and ends[-1] == wanted[-1] and (ends[upto - 1] == wanted).all():
+                counts = np.diff(upto, prepend=0)
+            else:  # a vocabulary that is not byte-level
+                ids, counts = self.each(some)
+            flat.append(ids)
+            sizes.append(counts)
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of some texts (null: empty) at a time: all ids in a row, the end after each text, and how
+        many each text has with it."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
+        plain = pc.if_else(pc.match_substring_regex(texts, self.odd), "", texts) if len(odd) else texts
+        split = pc.split_pattern(plain, " ")
+        starts = np.asarray(split.offsets)[: len(texts) + 1]
+        coded = split.flatten().dictionary_encode()
+        # Entries of the table of pieces: the words, the texts' first words, pieces of odd texts, the end.
+        place = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        firsts = coded.dictionary.take(pa.array(place[starts[:-1]])).to_pylist() if len(texts) else []
+        pieces = {i: self.cut.split(texts[i].as_py()) for i in odd.tolist()}
+        flat, sizes = self.words(coded.dictionary)
+        more, more_sizes = self.each(firsts + [p for i in odd.tolist() for p in pieces[i]])
+        flat = np.concatenate((flat, more, np.array([self.end], self.dtype)))
+        sizes = np.concatenate((sizes, more_sizes, [1]))
+        place[starts[:-1]] = len(coded.dictionary) + np.arange(len(texts))
+        order, ends = np.insert(place, starts[1:], len(sizes) - 1), starts[1:] + np.arange(1, len(texts) + 1)
+        if len(odd):
+            # The first piece of an odd text, which is empty so far, makes room for all of its pieces.
+            lots = np.array([len(pieces[i]) for i in odd.tolist()])
+            at = np.concatenate(([0], ends[:-1]))[odd]
+            new = len(coded.dictionary) + len(texts) + np.arange(lots.sum())
+            order = np.insert(order, np.repeat(at + 1, lots), new)
+            grown = np.zeros(len(texts), np.int64)
+            grown[odd] = lots
+            ends = ends + np.cumsum(grown)
+        before = np.cumsum(sizes) - sizes
+        lower = 0
+        for text in range(0, len(texts), 1000):
+            last = min(text + 1000, len(texts))
+            some = order[lower : ends[last - 1]]
+            n = sizes[some]
+            total = np.cumsum(n)
+            ids = flat[np.arange(total[-1]) + np.repeat(before[some] - total + n, n)]
+            yield ids, np.diff(total[ends[text:last] - lower - 1], prepend=0)
+            lower = ends[last - 1]
 
 
 def storage(folder: str):
@@ -105,30 +167,42 @@ def mapped(files, path: str, dtype: str) -> np.ndarray:
         return np.frombuffer(file.read_buffer(), dtype)
 
 
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The same rows, about :data:`CHUNK_BYTES` of them at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        rows = max(1, batch.num_rows * CHUNK_BYTES // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, rows):
+            held.append(batch.slice(at, rows))
+            if sum(b.nbytes for b in held) >= CHUNK_BYTES:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def write_part(folder: str, encoding: Encoding):
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, (files, top) = Ids(encoding.path), storage(folder)
-        end = np.array([encoding.end], ids.dtype).tobytes()
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, (files, top) = Encoder(encoding), storage(folder)
         part = TaskContext.get().partitionId()
         # An attempt that is repeated writes under another name; the manifest names the one that counts.
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
-        lengths, docs, nils = [], [], []
+        lengths, docs, nils = ([np.empty(0, np.int64)] for _ in range(3))
         with files.open_output_stream(f"{top}/{name}.bin") as out:
-            for batch in batches:
-                for doc, text in zip(batch["doc_id"], batch["text"]):
-                    coded = ids.of(text) if isinstance(text, str) else b""
-                    out.write(coded + end)
-                    lengths.append(len(coded) // ids.dtype.itemsize + 1)
-                    nils.append(pd.isna(doc))
-                    docs.append(0 if nils[-1] else int(doc))
-        offsets = np.zeros(len(lengths) + 1, "<u8")
-        np.cumsum(lengths, out=offsets[1:])
+            for rows in chunks(batches):
+                ids = rows.column("doc_id").combine_chunks()
+                nils.append(ids.is_null().to_numpy(zero_copy_only=False))
+                docs.append(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False))
+                for coded, sizes in encoder.encode(pa.concat_arrays(rows.column("text").chunks)):
+                    out.write(coded.tobytes())
+                    lengths.append(sizes)
+        offsets = np.concatenate(([0], np.cumsum(np.concatenate(lengths)))).astype("<u8")
         put(files, f"{top}/{name}.off", offsets)
-        put(files, f"{top}/{name}.doc", np.array(docs, "<i8"))
-        put(files, f"{top}/{name}.nil", np.array(nils, "u1"))
-        yield pd.DataFrame(
-            {"part": [part], "file": [f"{name}:{ids.dtype.str}"], "n_docs": [len(docs)], "n_tokens": [int(offsets[-1])]}
-        )
+        put(files, f"{top}/{name}.doc", np.concatenate(docs).astype("<i8"))
+        put(files, f"{top}/{name}.nil", np.concatenate(nils).astype("u1"))
+        found = {"part": part, "file": f"{name}:{encoder.dtype.str}", "n_docs": len(offsets) - 1, "n_tokens": int(offsets[-1])}
+        schema = pa.schema({"part": pa.int32(), "file": pa.string(), "n_docs": pa.int64(), "n_tokens": pa.int64()})
+        yield pa.RecordBatch.from_pylist([found], schema)
 
     return write
 
@@ -148,7 +222,7 @@ def write_token_files(docs: DataFrame, encoding: Encoding, folder: str, parts: i
     order = [F.col("doc_id").asc_nulls_first(), "text"]
     ranges = rows.repartitionByRange(parts, order[0]).sortWithinPartitions(*order)
     written = f"{folder}/written"
-    ranges.mapInPandas(write_part(folder, encoding), PART).write.parquet(written)
+    ranges.mapInArrow(write_part(folder, encoding), PART).write.parquet(written)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = docs.sparkSession.read.schema(PART).parquet(written)
     for name in ("n_docs", "n_tokens"):

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,8 +203,13 @@ def test_cut_texts_encode_like_whole_ones():
         "a  b", " a", "a ", "  ", "\n", "a\n\n b", "it's we'll a.b, c... d", "x\x1c y", "x  y", " a  ", "1,2. 3.",
         "é à. ü,", "a\t b", "don 't", "a <|endoftext|> b", "😀 😀.", "A..,. b", "　a", "a\x85 b", "ﬁ. x",
     ]
-    ids = token_files.Ids(vocabulary("byte_bpe_50k.json"))
-    assert [np.frombuffer(ids.of(t), ids.dtype).tolist() + [0] for t in texts] == encoded(texts)
+    texts += ["", None, "x" * 3000, "日本語 テキスト です", *texts]
+    encoder = token_files.Encoder(token_files.Encoding(vocabulary("byte_bpe_50k.json")))
+    for some in (texts, texts[:1], [None], [], ["a b"] * 2500):
+        parts = list(encoder.encode(pa.array(some, pa.string())))
+        ids = [i for part, _ in parts for i in part.tolist()]
+        ends = np.cumsum([n for _, sizes in parts for n in sizes.tolist()])
+        assert [ids[a:b] for a, b in zip([0, *ends[:-1]], ends)] == encoded(some)
 
 
 # -- decontamination -------------------------------------------------------------------------------
