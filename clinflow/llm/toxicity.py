@@ -38,7 +38,7 @@ class Settings:
 
     inputs: int = 4096
     least: float = 20.0
-    sample: int = 50_000
+    sample: int = 20_000
     factors: int = 4
     rounds: int = 20
     rate: float = 0.1
