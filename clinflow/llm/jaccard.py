@@ -25,6 +25,8 @@ SETS = "node long, doc_id long, n_shingles long, set_key binary, sketch binary,
 REMEMBERED = 200_000
 #: Members of a group, and members of their sets, that a task compares with others at a time, about.
 BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
+#: Members whose distances to all others of a cell are worked out at a time.
+STRIP = 32
 
 
 def described(docs: DataFrame, method: PartEnum) -> DataFrame:
@@ -234,21 +236,21 @@ def near_pairs(cell: pa.Table, method: PartEnum) -> tuple[np.ndarray, ...]:
     counts = sketches(cell.column("sketch"))
     across = cell.column("i")[0].as_py() != cell.column("j")[0].as_py()
     coarse = counts.reshape(len(counts), 8, -1).sum(2)
-    left, right = [], []
-    for at in range(0, len(size), 128):
-        some = slice(at, at + 128)
+    none = np.empty(0, np.int64)
+    found = [(none, none, none)]
+    for at in range(0, len(size), STRIP):
+        some = slice(at, at + STRIP)
         fits = np.abs(coarse[some, None] - coarse).sum(2) <= method.most_apart(size[some, None], size)
         fits &= (label[some, None] != label) & ~(central[some, None] | central)
         if across:
             fits &= block[some, None] != block
         x, y = np.nonzero(np.triu(fits, at + 1))
-        left.append(x + at)
-        right.append(y)
-    x, y = np.concatenate(left), np.concatenate(right)
-    apart = np.abs(counts[x] - counts[y]).sum(1)
-    fits = apart <= method.most_apart(size[x], size[y])
-    fits &= 100 * np.minimum(size[x], size[y]) >= method.percent * np.maximum(size[x], size[y])
-    x, y, apart = x[fits], y[fits], apart[fits]
+        x += at
+        apart = np.abs(counts[x] - counts[y]).sum(1)
+        fits = apart <= method.most_apart(size[x], size[y])
+        fits &= 100 * np.minimum(size[x], size[y]) >= method.percent * np.maximum(size[x], size[y])
+        found.append((x[fits], y[fits], apart[fits]))
+    x, y, apart = (np.concatenate(c) for c in zip(*found))
     if len(x):
         sig, mine = cell.column("sig")[0].as_py(), cell.column("mine")
         before = {k: {s for s in mine[k].as_py() if s < sig} for k in np.union1d(x, y).tolist()}
