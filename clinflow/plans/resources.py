@@ -11,6 +11,7 @@ from clinflow.plans.mapping import patient_transactions
 from clinflow.plans.registry import query
 from clinflow.session import work_dir
 from clinflow.sinks.bundles import execute_bundles, resource_rows
+from clinflow.sinks.current_view import CurrentView
 
 _WITH = f"WITH {RESOURCES_SQL}"
 _SELECT = "SELECT resource_type, id, version, seq, body FROM current_log"
@@ -54,3 +55,28 @@ def executed_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     current = current_resources(resource_rows(written, "bundle", "version", "seq"))
     return current.select("resource_type", "id", "version")
+
+
+_BATCHES = 4
+
+
+def _view_of_batches(spark: SparkSession, sf_dir: str) -> CurrentView:
+    """The resource log in four batches, by a checksum of the row: versions come in any order. The
+    runs are merged after the third, so that a reader finds a base and a run."""
+    log = resource_log(spark, sf_dir).withColumn("_batch", F.crc32(F.col("seq").cast("string").cast("binary")) % _BATCHES)
+    view = CurrentView(spark, work_dir(spark, "view"), buckets=16)
+    for batch in range(_BATCHES):
+        view.append(log.filter(F.col("_batch") == batch).drop("_batch"), batch)
+        if batch == _BATCHES - 2:
+            view.compact()
+    return view
+
+
+@query("W5", f"{_WITH} {_SELECT}")
+def resource_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view_of_batches(spark, sf_dir).read()
+
+
+@query("S13", f"{_WITH} {_SELECT} WHERE id = '71'")
+def resource_view_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view_of_batches(spark, sf_dir).lookup("Encounter", "71")

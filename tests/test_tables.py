@@ -3,7 +3,7 @@ import pytest
 from clinflow.operators.feed import feed_outcomes, route_by_type, wrap_message
 from clinflow.operators.mapping import Mapping, root
 from clinflow.operators.tables import run_queries, to_json_rows
-from clinflow.session import stream_table, work_base, work_dir, written
+from clinflow.session import stream_table, work_base, work_dir, work_folder, written
 
 
 def test_row_golden(rows):
@@ -69,7 +69,8 @@ def test_work_folders_are_fresh_and_shared(spark):
     if base:
         assert work_base(spark) == base.rstrip("/")
     assert work_dir(spark, "x") != work_dir(spark, "x")
-    assert work_dir(spark, "x").startswith(f"{work_base(spark)}/x-")
+    assert work_dir(spark, "x").startswith(f"{work_folder(spark)}/x-")
+    assert work_folder(spark).startswith(f"{work_base(spark)}/")
 
 
 def test_written_tables_are_read_back(spark, tmp_path):
