@@ -9,9 +9,9 @@ from clinflow.functions.webpath import with_web_path
 from clinflow.operators.lookups import lookup_join, within_span
 from clinflow.operators.outcomes import checked, error_entry
 from clinflow.session import work_dir, written
+from clinflow.sinks.study_store import STUDY_KEY, StudyStore
 
 READ_STEP = "ReadStudyMetadata"
-STUDY_KEY = ["dicom_store_path", "study_id"]
 
 
 def notified_studies(parsed: DataFrame) -> DataFrame:
@@ -35,15 +35,21 @@ def resolve_paths(parsed: DataFrame, known: DataFrame, **limits: int) -> DataFra
     return checked(found, F.col("_known"), entry).drop("_known")
 
 
-def study_documents(instances: DataFrame, wanted: DataFrame, **limits: int) -> DataFrame:
+def study_documents(
+    instances: DataFrame | StudyStore, wanted: DataFrame, **limits: int
+) -> DataFrame:
     """The JSON array of each wanted study the store knows, from its instances' ``metadata``.
 
     A study is one array, in order of ``instance_id``, read once however many of its instances were
-    notified; the row says how many were. The span of the wanted keys reaches the reader of the
-    store, so a store sorted by study is read where the wanted ones lie.
+    notified; the row says how many were. Of a ``StudyStore`` the buckets of the wanted studies are
+    read. Of a table the span of the wanted keys reaches the reader, so one that is sorted by study
+    is read between the first and the last of them.
     """
-    span = within_span(instances, wanted, STUDY_KEY)
-    chosen = lookup_join(span, wanted, STUDY_KEY, "inner", **limits)
+    if isinstance(instances, StudyStore):
+        chosen = instances.of(wanted, **limits)
+    else:
+        span = within_span(instances, wanted, STUDY_KEY)
+        chosen = lookup_join(span, wanted, STUDY_KEY, "inner", **limits)
     member = F.struct("instance_id", "metadata")
     listed = chosen.groupBy(*STUDY_KEY, "n_notifications").agg(
         F.sort_array(F.collect_list(member)).alias("_members")
@@ -58,7 +64,7 @@ def study_documents(instances: DataFrame, wanted: DataFrame, **limits: int) -> D
 
 
 def read_studies(
-    paths: DataFrame, instances: DataFrame, scratch: str | None = None, **limits: int
+    paths: DataFrame, instances: DataFrame | StudyStore, scratch: str | None = None, **limits: int
 ) -> tuple[DataFrame, DataFrame]:
     """S12 with its dead letter: the notified studies, and the paths with ``ok`` and ``error``.
 

@@ -11,9 +11,16 @@ from clinflow.functions.webpath import with_web_path
 from clinflow.operators.mapping import Mapping, const, copy
 from clinflow.operators.outcomes import split_ok
 from clinflow.operators.studies import read_studies
-from clinflow.plans.inputs import INSTANCES_SQL, STORE_PATH, instance_metadata, notified_paths
+from clinflow.plans.inputs import (
+    INSTANCES_SQL,
+    STORE_PATH,
+    instance_metadata,
+    notified_paths,
+    text_of,
+)
 from clinflow.plans.registry import query
-from clinflow.session import table
+from clinflow.session import table, work_dir
+from clinflow.sinks.study_store import StudyStore
 from clinflow.sources.notifications import payload_text
 from clinflow.streaming.jobs import imaging_outcomes
 
@@ -128,3 +135,36 @@ def imaging_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("F5", "SELECT page_id, regexp_replace(url, '/+$', '') || '/*' AS glob FROM pages")
 def glob_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", folder_glob(F.col("url")).alias("glob"))
+
+
+def study_store(spark: SparkSession, sf_dir: str) -> StudyStore:
+    """All instances in a store by key, from two batches."""
+    store = StudyStore(spark, work_dir(spark, "study-store"), buckets=64)
+    instances = instance_metadata(spark, sf_dir)
+    late = F.col("instance_id") > "3"
+    for batch, chosen in enumerate((~late, late)):
+        store.append(instances.filter(chosen), batch)
+    return store
+
+
+def _paths_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A path per event: the study that has the user's number, all over the store."""
+    return table(spark, sf_dir, "events").select(
+        text_of(
+            STORE_PATH, "/dicomWeb/studies/", F.col("user_id"), "/series/1/instances/", F.col("event_id")
+        ).alias("path")
+    )
+
+
+@query(
+    "S12 L3",
+    f"""{_WITH},
+wanted AS (SELECT CAST(user_id AS VARCHAR) AS study_id, count(*) AS n_notifications FROM events GROUP BY ALL)
+SELECT study_id, '[' || string_agg(metadata, ',' ORDER BY instance_id, metadata) || ']' AS study,
+       any_value(n_notifications) AS n_notifications
+FROM instances JOIN wanted USING (study_id) GROUP BY study_id""",
+)
+def stored_study_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scattered studies from a store that is read by key."""
+    studies, _ = read_studies(_paths_of_users(spark, sf_dir), study_store(spark, sf_dir))
+    return studies.select("study_id", "study", "n_notifications")

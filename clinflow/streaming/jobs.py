@@ -43,6 +43,7 @@ from clinflow.sinks.errors import (
 )
 from clinflow.sinks.files import list_files, remove_listed, write_batch
 from clinflow.sinks.messages import ingest_messages
+from clinflow.sinks.study_store import StudyStore
 from clinflow.sources.exports import export_lines, export_range, parse_messages
 from clinflow.sources.notifications import payload_text
 from clinflow.streaming.windows import ERROR_TRIGGER
@@ -52,6 +53,7 @@ IMAGING_URL = "ImagingStudy"
 PLACE = "_place"
 
 Table = DataFrame | Callable[[], DataFrame]
+Studies = Table | StudyStore
 
 
 @dataclass(frozen=True)
@@ -242,7 +244,7 @@ def start_message_feed(
 
 def imaging_outcomes(
     paths: DataFrame,
-    instances: DataFrame,
+    instances: DataFrame | StudyStore,
     mapping: Mapping,
     url: str = IMAGING_URL,
     scratch: str | None = None,
@@ -277,14 +279,18 @@ def imaging_outcomes(
 
 def start_imaging_feed(
     notifications: DataFrame,
-    instances: Table,
+    instances: Studies,
     mapping: Mapping,
     paths: FeedPaths,
     shards: int = IMAGING_FEED_SHARDS,
     trigger: dict = ERROR_TRIGGER,
     report: Reports = Reports(),
 ) -> StreamingQuery:
-    """Binary notifications with a web path to one bundle per study."""
+    """Binary notifications with a web path to one bundle per study.
+
+    ``instances`` is a table, a function that reads it anew for each batch, or a ``StudyStore``, of
+    which a batch reads the buckets that its studies are in.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         text = payload_text(batch, "value").select(F.col("value").alias("path"))
