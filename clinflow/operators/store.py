@@ -6,11 +6,12 @@ import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.functions.times import utc_day
+from clinflow.operators.intervals import interval_join
 from clinflow.operators.lookups import is_small
 from clinflow.session import work_dir, written
 
@@ -231,3 +232,112 @@ def store_scan(
     return sorted_ranges(
         with_slice(chosen, bounds, [by], send_time, width), send_time, tie, partitions
     )
+
+
+# -- slices by density -----------------------------------------------------------------------------
+
+
+def hour_counts(
+    df: DataFrame,
+    by: list[str],
+    send_time: str = "send_time",
+    shortest: dt.timedelta = MIN_SLICE,
+) -> DataFrame:
+    """Messages per store and ``hour``, a whole number of shortest slices since the epoch.
+
+    Counts of several parts of a store can be added up. Messages without a send time are not counted.
+    """
+    millis = F.unix_millis(F.col(send_time).cast("timestamp"))
+    counted = df.select(*by, F.floor(millis / _millis(shortest)).alias("hour"), millis.alias("_ms"))
+    return (
+        counted.filter("hour IS NOT NULL")
+        .groupBy(*by, "hour")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("_ms").alias("first_ms"), F.max("_ms").alias("last_ms"))
+    )
+
+
+def density_slices(
+    hours: DataFrame,
+    by: list[str],
+    messages: int | None = None,
+    longest: dt.timedelta | None = None,
+    shortest: dt.timedelta = MIN_SLICE,
+) -> DataFrame:
+    """Uneven slices ``[slice_from, slice_to)`` in milliseconds, from ``hour_counts``, each with
+    ``n_messages``.
+
+    A slice ends with the hour in which it gets to ``messages``; the default is what a default slice
+    would have if the store were even. So a dense day is cut down, to the shortest slice at the
+    least, and thin days share one. With ``longest``, a slice also ends where a span of that length
+    since the epoch does. Slices cover a store from its first message to its last without gaps. A
+    store's hours are one task's work, however many messages they have.
+    """
+    order = Window.partitionBy(*by).orderBy("hour")
+    whole = Window.partitionBy(*by)
+    width = _millis(shortest)
+    even = F.sum("n").over(whole) / F.greatest(
+        F.ceil((F.max("hour").over(whole) - F.min("hour").over(whole) + 1) * width / _millis(DEFAULT_SLICE)),
+        F.lit(1),
+    )
+    limit = even if messages is None else F.lit(messages)
+    before = F.sum("n").over(order) - F.col("n")
+    cut = [F.floor(before / limit)]
+    if longest is not None:
+        cut.append(F.floor(F.col("hour") * width / _millis(longest)))
+    part = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cut)])
+    grouped = hours.withColumn("_part", part).groupBy(*by, "_part")
+    sized = grouped.agg(
+        F.min("hour").alias("_hour"),
+        F.min("first_ms").alias("_first"),
+        F.max("last_ms").alias("_last"),
+        F.sum("n").alias("n_messages"),
+    )
+    by_hour = Window.partitionBy(*by).orderBy("_hour")
+    place = F.row_number().over(by_hour) - 1
+    start = F.when(place == 0, F.col("_first")).otherwise(F.col("_hour") * width)
+    return sized.select(
+        *by,
+        place.cast("long").alias("slice_id"),
+        start.alias("slice_from"),
+        F.coalesce(F.lead("_hour").over(by_hour) * width, F.col("_last") + 1).alias("slice_to"),
+        "n_messages",
+    )
+
+
+def with_density_slice(
+    df: DataFrame, slices: DataFrame, by: list[str], send_time: str = "send_time"
+) -> DataFrame:
+    """L4: the slice of each message, by a join with ``density_slices``.
+
+    Messages without a send time are in the first slice of their store, if it has any.
+    """
+    millis = F.unix_millis(F.col(send_time).cast("timestamp"))
+    timed = interval_join(
+        df.filter(F.col(send_time).isNotNull()),
+        slices.select(*by, "slice_id", "slice_from", "slice_to"),
+        millis,
+        "slice_from",
+        "slice_to",
+        _millis(DEFAULT_SLICE),
+        by,
+    )
+    untimed = df.filter(F.col(send_time).isNull()).withColumn("slice_id", F.lit(0).cast("long"))
+    return timed.drop("slice_from", "slice_to").unionByName(untimed)
+
+
+def density_scan(
+    df: DataFrame,
+    by: str = "store",
+    where: str | Column | None = None,
+    send_time: str = "send_time",
+    tie: str = "name",
+    messages: int | None = None,
+) -> DataFrame:
+    """A scan in slices by density: rows by ranges of store, slice and send time, each sorted, so
+    that a dense hour, too, can be spread."""
+    chosen = scan(df, where=where, send_time=send_time)
+    slices = density_slices(hour_counts(chosen, [by], send_time), [by], messages)
+    pinned = written(slices, work_dir(df.sparkSession, "slices"))
+    sliced = with_density_slice(chosen, pinned, [by], send_time)
+    order = [by, "slice_id", send_time, tie]
+    return sliced.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -14,7 +14,10 @@ from clinflow.operators.metrics import count_by_step
 from clinflow.operators.outcomes import split_ok, to_io_error_rows
 from clinflow.operators.resources import current_messages
 from clinflow.operators.store import (
+    density_scan,
+    density_slices,
     first_by_time,
+    hour_counts,
     ordered,
     pinned_bounds,
     read_stores,
@@ -212,6 +215,48 @@ def store_scan_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_scan(message_store(spark, sf_dir)).select(*_COLUMNS, "slice_id")
 
 
+_DENSITY_SQL = f"""
+hours AS (
+  SELECT store, epoch_us(send_time) // 1000 // {_HOUR} AS hour, count(*) AS n,
+         min(epoch_us(send_time) // 1000) AS first_ms, max(epoch_us(send_time) // 1000) AS last_ms
+  FROM messages GROUP BY ALL),
+parted AS (
+  SELECT *, floor((sum(n) OVER (PARTITION BY store ORDER BY hour) - n)
+    / (sum(n) OVER (PARTITION BY store) / ceil((max(hour) OVER (PARTITION BY store)
+       - min(hour) OVER (PARTITION BY store) + 1) * {_HOUR} / {_DAY}))) AS part
+  FROM hours),
+grouped AS (
+  SELECT store, part, min(hour) AS hour, min(first_ms) AS first_ms, max(last_ms) AS last_ms,
+         CAST(sum(n) AS BIGINT) AS n_messages
+  FROM parted GROUP BY store, part),
+density AS (
+  SELECT store, row_number() OVER w - 1 AS slice_id, n_messages,
+         CASE WHEN row_number() OVER w = 1 THEN first_ms ELSE hour * {_HOUR} END AS slice_from,
+         coalesce(lead(hour) OVER w * {_HOUR}, last_ms + 1) AS slice_to
+  FROM grouped WINDOW w AS (PARTITION BY store ORDER BY hour))
+"""
+
+
+@query(
+    "S9",
+    f"{_WITH}, {_DENSITY_SQL} SELECT store, slice_id, slice_from, slice_to, n_messages FROM density",
+)
+def dense_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices by density: about as many messages in each, none shorter than an hour."""
+    return density_slices(hour_counts(message_store(spark, sf_dir), ["store"]), ["store"])
+
+
+@query(
+    "T9 S8 S9 L4",
+    f"""{_WITH}, {_DENSITY_SQL}
+SELECT m.store, m.name, m.data, m.send_time, d.slice_id FROM messages m JOIN density d
+  ON m.store = d.store AND epoch_us(m.send_time) // 1000 >= d.slice_from
+ AND epoch_us(m.send_time) // 1000 < d.slice_to""",
+)
+def dense_scan_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density_scan(message_store(spark, sf_dir)).select(*_COLUMNS, "slice_id")
+
+
 @query(
     "P12 F8",
     """

@@ -36,6 +36,7 @@ from clinflow.streaming.jobs import (
     start_ingest,
     start_message_feed,
 )
+from clinflow.streaming.panes import PANE_TRIGGER, counted_panes, start_pane_sink, until_panes_closed
 from clinflow.streaming.windows import closed_error_windows, windows_to_the_end
 
 _TO_END = {"availableNow": True}
@@ -136,6 +137,42 @@ def stream_error_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("T1 T2 T3 T4", WINDOWS_SQL)
+def stream_error_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows from the panes that timers close, to the last one."""
+    base = work_dir(spark, "error-panes")
+    events = stream_table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("step"))
+    panes = counted_panes(events, "ts", "step").writeStream.format("parquet").outputMode("append")
+    until_panes_closed(
+        panes.option("path", f"{base}/panes")
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(**PANE_TRIGGER)
+        .start()
+    )
+    closed = spark.read.parquet(f"{base}/panes").groupBy("window_start", "step")
+    start = F.col("window_start").cast("timestamp_ntz")
+    return closed.agg(F.sum("n_errors").alias("n_errors")).select(
+        start.alias("window_start"),
+        (start + F.expr("INTERVAL 5 SECONDS")).alias("window_end"),
+        "step",
+        "n_errors",
+    )
+
+
+@query(
+    "W6 T2 T4",
+    """SELECT strftime(to_timestamp(epoch_us(ts) // 5000000 * 5) AT TIME ZONE 'UTC', '%Y-%m-%dT%H-%M-%S') AS "window",
+       props AS value FROM events WHERE event_type = 'error'""",
+)
+def stream_pane_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error lines in folders of their windows."""
+    base = work_dir(spark, "pane-sink")
+    errors = stream_table(spark, sf_dir, "events").filter("event_type = 'error'")
+    lines = errors.select("ts", F.col("props").alias("value"))
+    until_panes_closed(start_pane_sink(lines, f"{base}/errors", f"{base}/checkpoint"))
+    return spark.read.text(f"{base}/errors").select(F.col("window").cast("string").alias("window"), "value")
+
+
 @query(
     "W1 P7 S1",
     f"""WITH {MESSAGES_SQL}
