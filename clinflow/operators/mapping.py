@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -131,27 +131,31 @@ class Mapping:
             if r.kind == "nest":
                 self._check_cycles(r.const_value, (*above, output))
 
-    def _object(self, output: str, doc: Column) -> Column:
-        fields = [self._value(r, doc).alias(r.target_path) for r in self._of(output)]
+    def _object(self, output: str, doc: Column, at: str) -> Column:
+        fields = [self._value(r, doc, at).alias(r.target_path) for r in self._of(output)]
         return F.struct(*fields)
 
-    def _value(self, rule: Rule, doc: Column) -> Column:
-        """The value of a rule, in a list if it asks for one; null if its source is missing."""
+    def _value(self, rule: Rule, doc: Column, at: str) -> Column:
+        """The value of a rule, in a list if it asks for one; null if its source is missing.
+
+        ``at`` is where in the document the output was given its own. Paths are put together, so
+        that each value is one look into the document, however deep the outputs are nested.
+        """
         made = (lambda v: F.array(v)) if rule.is_array else (lambda v: v)
         if rule.kind == "const":
             return made(F.lit(rule.const_value))
-        if rule.kind == "root":
-            return made(doc)
-        if rule.kind == "nest" and rule.source_path == "$":
-            return made(self._object(rule.const_value, doc))
-        source = F.try_variant_get(doc, rule.source_path, "variant")
-        if rule.kind == "copy":
-            return _given(source, made) if rule.is_array else source
-        return _given(source, lambda v: made(self._object(rule.const_value, v)))
+        path = at if rule.kind == "root" else at + rule.source_path[1:]
+        source = _look(doc, path)
+        if rule.kind == "nest":
+            inner = made(self._object(rule.const_value, doc, path))
+            return inner if rule.source_path == "$" else F.when(source.isNotNull(), inner)
+        if rule.kind == "root" or not rule.is_array:
+            return made(source)
+        return F.when(source.isNotNull(), made(source))
 
     def column(self, doc: Column) -> Column:
         """The result object as a struct column."""
-        return self._object(ROOT_OUTPUT, doc)
+        return self._object(ROOT_OUTPUT, doc, "$")
 
     def text(self, doc: Column) -> Column:
         """The result object as JSON text; missing fields are left out, JSON nulls kept."""
@@ -163,24 +167,20 @@ class Mapping:
         """Every resource of the result as an entry, PUT under its type and id."""
         entries = []
         for r in self._of(ROOT_OUTPUT):
-            given = doc if r.source_path == "$" else F.try_variant_get(
-                doc, r.source_path, "variant"
-            )
             named = {
-                f.target_path: self._value(f, given).cast("string")
+                f.target_path: self._value(f, doc, r.source_path).cast("string")
                 for f in self._of(r.const_value)
                 if f.target_path in ("resourceType", "id")
             }
             url = F.concat_ws("/", *[named[k] for k in ("resourceType", "id") if k in named])
-            entry = bundle_entry(F.to_json(self._object(r.const_value, given)), url)
-            entries.append(F.when(given.isNotNull(), entry))
+            resource = F.to_json(self._object(r.const_value, doc, r.source_path))
+            entries.append(F.when(_look(doc, r.source_path).isNotNull(), bundle_entry(resource, url)))
         return entries
 
 
-def _given(value: Column, made: Callable[[Column], Column]) -> Column:
-    """What is made of a value, null if it is null. The value is worked out once and named: put in
-    wherever it is used, nested lists would double their plans at every level."""
-    return F.get(F.transform(F.array(value), lambda v: F.when(v.isNotNull(), made(v))), 0)
+def _look(doc: Column, path: str) -> Column:
+    """The value at a path, with its type; null where there is none."""
+    return doc if path == "$" else F.try_variant_get(doc, path, "variant")
 
 
 def map_stage(
