@@ -42,12 +42,17 @@ def search_resources(
     Without parameters every resource of the type is returned.
     """
     found = current_resources(log.filter(F.col("resource_type") == resource_type))
-    if not parameters:
-        return found
+    return with_fields(found, parameters or {})
+
+
+def with_fields(resources: DataFrame, parameters: dict[str, str]) -> DataFrame:
+    """Resources whose bodies have all the given values, compared as text."""
     for field in parameters:
         if not _FIELD.fullmatch(field):
             raise ValueError(f"bad search field {field!r}")
-    parsed = found.withColumn("_doc", once(F.try_parse_json("body")))
+    if not parameters:
+        return resources
+    parsed = resources.withColumn("_doc", once(F.try_parse_json("body")))
     for field, value in parameters.items():
         parsed = parsed.filter(F.try_variant_get("_doc", f"$.{field}", "string") == value)
     return parsed.drop("_doc")

@@ -12,6 +12,7 @@ from clinflow.plans.registry import query
 from clinflow.session import work_dir
 from clinflow.sinks.bundles import execute_bundles, resource_rows
 from clinflow.sinks.current_view import CurrentView
+from clinflow.sinks.field_index import IndexedView
 
 _WITH = f"WITH {RESOURCES_SQL}"
 _SELECT = "SELECT resource_type, id, version, seq, body FROM current_log"
@@ -60,13 +61,18 @@ def executed_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BATCHES = 4
 
 
+def _batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The resource log by a checksum of the row, so that versions come in any order."""
+    log = resource_log(spark, sf_dir)
+    number = F.crc32(F.col("seq").cast("string").cast("binary")) % _BATCHES
+    return [log.filter(number == batch) for batch in range(_BATCHES)]
+
+
 def _view_of_batches(spark: SparkSession, sf_dir: str) -> CurrentView:
-    """The resource log in four batches, by a checksum of the row: versions come in any order. The
-    runs are merged after the third, so that a reader finds a base and a run."""
-    log = resource_log(spark, sf_dir).withColumn("_batch", F.crc32(F.col("seq").cast("string").cast("binary")) % _BATCHES)
+    """The runs are merged after the last but one, so that a reader finds a base and a run."""
     view = CurrentView(spark, work_dir(spark, "view"), buckets=16)
-    for batch in range(_BATCHES):
-        view.append(log.filter(F.col("_batch") == batch).drop("_batch"), batch)
+    for batch, rows in enumerate(_batches(spark, sf_dir)):
+        view.append(rows, batch)
         if batch == _BATCHES - 2:
             view.compact()
     return view
@@ -80,3 +86,16 @@ def resource_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("S13", f"{_WITH} {_SELECT} WHERE id = '71'")
 def resource_view_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view_of_batches(spark, sf_dir).lookup("Encounter", "71")
+
+
+@query(
+    "S14",
+    f"""{_WITH} {_SELECT} WHERE json_extract_string(body, '$.status') = 'P'
+AND json_extract_string(body, '$.priority') = '2-HIGH'""",
+)
+def resource_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fields, one of them with an index; many resources had the value in older versions only."""
+    view = IndexedView(spark, work_dir(spark, "indexed"), ["status"])
+    for batch, rows in enumerate(_batches(spark, sf_dir)):
+        view.append(rows, batch)
+    return view.search("Encounter", {"status": "P", "priority": "2-HIGH"})

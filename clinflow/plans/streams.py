@@ -25,7 +25,7 @@ from clinflow.plans.registry import query
 from clinflow.plans.studies import IMAGING_MAPPING, STUDIES_SQL
 from clinflow.schemas import ERROR_ROW, IO_ERROR_ROW
 from clinflow.session import stream_table, table, work_dir
-from clinflow.sources.notifications import text_files
+from clinflow.sources.notifications import delivered_once, text_files
 from clinflow.streaming.jobs import (
     FeedPaths,
     Reports,
@@ -332,3 +332,22 @@ def stream_feed_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = m["transform_ms"] > 0 and m["write_ms"] > 0 and m["sum_ms"] >= m["n"] * m["min_ms"]
     rows = [(m["n"], m["max_ms"] - m["min_ms"], timed)]
     return spark.createDataFrame(rows, "n long, spread_ms long, timed boolean")
+
+
+@query(
+    "S1 S2 T7",
+    f"""WITH {MESSAGES_SQL} SELECT name, data FROM messages""",
+)
+def stream_delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message comes three times, twice in the same batch."""
+    base = work_dir(spark, "once")
+    sent = messages(table(spark, sf_dir, "events")).select("name", "data")
+    for folder, times in (("a", 2), ("b", 1)):
+        sent.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("_n").coalesce(1).write.parquet(
+            f"{base}/in/{folder}"
+        )
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1)
+    given = stream.option("recursiveFileLookup", "true").parquet(f"{base}/in")
+    once = delivered_once(given, "name").writeStream.format("parquet").option("path", f"{base}/out")
+    once.option("checkpointLocation", f"{base}/checkpoint").trigger(**_TO_END).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")

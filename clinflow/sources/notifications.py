@@ -65,3 +65,20 @@ def payload_text(df: DataFrame, payload: str = "value", out: str = "value") -> D
 def parameters(spark: SparkSession, values: Iterable[str], column: str = "value") -> DataFrame:
     """A few values given by the caller, as rows."""
     return spark.createDataFrame([(v,) for v in values], f"{column} string")
+
+
+# Fixed value: how long after a message its repeats may come.
+REDELIVERY = "10 minutes"
+
+
+def delivered_once(stream: DataFrame, message_id: str, within: str = REDELIVERY) -> DataFrame:
+    """A stream without the repeats of a message, known by its id.
+
+    What comes with the same id at most ``within`` after the first is a repeat; the time is that of
+    arrival, so that a message that was sent long ago is not late. Ids are forgotten after that, so
+    that state is what came in lately. Rows without an id are all kept.
+    """
+    marked = stream.withColumns(
+        {"_id": F.coalesce(F.col(message_id).cast("string"), F.uuid()), "_came": F.current_timestamp()}
+    )
+    return marked.withWatermark("_came", within).dropDuplicatesWithinWatermark(["_id"]).drop("_id", "_came")
