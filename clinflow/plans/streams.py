@@ -25,11 +25,13 @@ from clinflow.plans.registry import query
 from clinflow.plans.studies import IMAGING_MAPPING, STUDIES_SQL
 from clinflow.schemas import ERROR_ROW, IO_ERROR_ROW
 from clinflow.session import stream_table, table, work_dir
+from clinflow.sinks.commits import append_committed, read_committed
 from clinflow.sources.notifications import delivered_once, text_files
 from clinflow.streaming.jobs import (
     FeedPaths,
     Reports,
     read_export,
+    run_folder,
     start_error_sink,
     start_export_feed,
     start_imaging_feed,
@@ -191,6 +193,23 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("data", F.to_json("labels").alias("labels"))
 
 
+@query(
+    "W1 W2 T6 T4",
+    f"""WITH {MESSAGES_SQL}
+SELECT data, '{{"user":"' || user_label || '"}}' AS labels FROM messages""",
+)
+def stream_ingest_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a table whose readers see committed batches only."""
+    base = work_dir(spark, "committed-feed")
+    stream = messages(stream_table(spark, sf_dir, "events", _FILES))
+    start_ingest(
+        stream, f"{base}/store", f"{base}/rejects", f"{base}/checkpoint", _TO_END, append_committed
+    ).awaitTermination()
+    store = f"{base}/store/{run_folder(spark, f'{base}/checkpoint')}"
+    stored = read_committed(spark, store, stream.select("data", "labels").schema)
+    return stored.select("data", F.to_json("labels").alias("labels"))
+
+
 def _run_export_feed(spark: SparkSession, sf_dir: str) -> str:
     """Exported lines as a stream of text files, which are removed once they are read."""
     base = work_dir(spark, "cleanup")

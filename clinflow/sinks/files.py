@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Writes the rows of a batch to a table, given its path and the batch's number.
+Writer = Callable[..., None]
 #: Calls to the file system that run at a time.
 _CALLS = 32
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clinflow.functions.times import utc_day
 from clinflow.operators.outcomes import checked, error_entry, split_ok, to_io_error_rows
 from clinflow.schemas import MESSAGE
-from clinflow.sinks.files import write_batch
+from clinflow.sinks.files import Writer, write_batch
 
 INGEST = "INGEST"
 BATCH_IMPORT = "BATCH_IMPORT"
@@ -36,16 +36,20 @@ def ingest_messages(
     batch_id: int,
     method: str = INGEST,
     valid: Column | None = None,
+    write: Writer = write_batch,
 ) -> DataFrame:
-    """Append the accepted messages to the store; the result is the rejected ones, as E6 rows."""
+    """Append the accepted messages to the store; the result is the rejected ones, as E6 rows.
+
+    With ``append_committed`` as ``write`` readers see whole batches only.
+    """
     if method == BATCH_IMPORT:
         raise NotImplementedError("batch import is not available")
     good, bad = split_ok(ingest_checked(df, valid))
-    write_batch(ingest_projection(good), store, batch_id)
+    write(ingest_projection(good), store, batch_id)
     return to_io_error_rows(bad, F.col("data"), F.col("error.error_message"))
 
 
-def create_messages(df: DataFrame, store: str, batch_id: int) -> None:
+def create_messages(df: DataFrame, store: str, batch_id: int, write: Writer = write_batch) -> None:
     """Append messages with all their fields, in folders by day of sending, in UTC.
 
     They are written in ranges of time: each task writes to few days, a busy day is shared by
@@ -55,7 +59,7 @@ def create_messages(df: DataFrame, store: str, batch_id: int) -> None:
     dated = df.select(*fields).withColumn("send_date", utc_day(F.col("send_time")))
     ranged = dated.repartitionByRange("send_date", "send_time", "name")
     ordered = ranged.sortWithinPartitions("send_date", "send_time")
-    write_batch(ordered, store, batch_id, ("send_date",))
+    write(ordered, store, batch_id, ("send_date",))
 
 
 def delete_messages(names: DataFrame, tombstones: str, batch_id: int) -> None:

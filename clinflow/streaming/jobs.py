@@ -41,7 +41,7 @@ from clinflow.sinks.errors import (
     json_lines,
     write_text_shards,
 )
-from clinflow.sinks.files import list_files, remove_listed, write_batch
+from clinflow.sinks.files import Writer, list_files, remove_listed, write_batch
 from clinflow.sinks.messages import ingest_messages
 from clinflow.sinks.study_store import StudyStore
 from clinflow.sources.exports import export_lines, export_range, parse_messages
@@ -333,15 +333,20 @@ def start_ingest(
     rejects: str,
     checkpoint: str,
     trigger: dict = ERROR_TRIGGER,
+    write: Writer = write_batch,
 ) -> StreamingQuery:
-    """A stream of messages into a store, the rejected ones beside it."""
+    """A stream of messages into a store, the rejected ones beside it.
+
+    With ``append_committed`` as ``write``, one run's store and rejects are tables of whole batches,
+    to be read with ``read_committed``.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         folder = run_folder(batch.sparkSession, checkpoint)
         try:
-            rejected = ingest_messages(kept, f"{store}/{folder}", batch_id)
-            write_batch(rejected, f"{rejects}/{folder}", batch_id)
+            rejected = ingest_messages(kept, f"{store}/{folder}", batch_id, write=write)
+            write(rejected, f"{rejects}/{folder}", batch_id)
         finally:
             kept.unpersist()
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.operators.resources import current_resources
+from clinflow.sinks import commits
 from clinflow.sinks.commits import KEPT_STATES, CommitLog, append_committed, read_committed
 from clinflow.sinks.current_view import ROW, CurrentView
 from clinflow.sinks.files import list_files
@@ -52,10 +53,19 @@ def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
     log.commit(before, {"a": 1}, 0)
     with pytest.raises(RuntimeError):
         log.commit(before, {"b": 1}, 0)
-    for n in range(KEPT_STATES + 3):
-        log.commit(log.state(), {"a": 1}, n + 1)
+
+
+def test_the_log_is_read_from_the_last_whole_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "WHOLE_EVERY", 4)
+    log = CommitLog(spark, str(tmp_path / "t"))
+    state, expected = log.state(), {}
+    for n in range(3 * KEPT_STATES):
+        expected = {f: s for f, s in expected.items() if f != f"f{n - 3}"} | {f"f{n}": n}
+        state = log.commit(state, expected, n)
+        assert log.state() == state and state.batch == n
     log.clean()
-    assert len(list_files(spark, f"{log.path}/log")) == KEPT_STATES and log.state().folders == {"a": 1}
+    assert log.state() == state
+    assert KEPT_STATES <= len(list_files(spark, f"{log.path}/log")) < KEPT_STATES + 4
 
 
 def log_rows(spark, rows):
