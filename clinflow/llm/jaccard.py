@@ -269,7 +269,7 @@ def with_near(rows: DataFrame, method: PartEnum) -> DataFrame:
             x, y = near_pairs(cell, method)
             if len(x):
                 held.append(cell.take(np.union1d(x, y)))
-            if sum(t.num_rows for t in held) > 10_000:
+            if sum(t.num_rows for t in held) > 2000:
                 yield from pa.concat_tables(held).combine_chunks().to_batches()
                 held = []
         if held:

@@ -31,7 +31,7 @@ from clinflow.session import work_dir
 PART = "part int, file string, n_docs long, n_tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: Bytes of texts that a task encodes together, each different word once; a longer text is alone.
-CHUNK_BYTES = 48 * 1024 * 1024
+CHUNK_BYTES = 24 * 1024 * 1024
 #: Words that the tokenizer gets at a time.
 TOGETHER = 50_000
 #: Bytes of text to a part.
@@ -107,13 +107,14 @@ class Encoder:
         """Of some texts (null: empty) at a time: all ids in a row, the end after each text, and how
         many each text has with it."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
-        plain = pc.if_else(pc.match_substring_regex(texts, self.odd), "", texts) if len(odd) else texts
-        split = pc.split_pattern(plain, " ")
-        starts = np.asarray(split.offsets)[: len(texts) + 1]
+        cut = pc.match_substring_regex(texts, self.odd)
+        odd = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+        split = pc.split_pattern(pc.if_else(cut, "", texts) if len(odd) else texts, " ")
+        starts = np.asarray(split.offsets)[: len(texts) + 1].copy()
         coded = split.flatten().dictionary_encode()
+        del split
         # Entries of the table of pieces: the words, the texts' first words, pieces of odd texts, the end.
-        place = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        place = coded.indices.to_numpy(zero_copy_only=False).copy()
         firsts = coded.dictionary.take(pa.array(place[starts[:-1]])).to_pylist() if len(texts) else []
         pieces = {i: self.cut.split(texts[i].as_py()) for i in odd.tolist()}
         flat, sizes = self.words(coded.dictionary)
@@ -196,6 +197,7 @@ def write_part(folder: str, encoding: Encoding):
                 for coded, sizes in encoder.encode(pa.concat_arrays(rows.column("text").chunks)):
                     out.write(coded.tobytes())
                     lengths.append(sizes)
+                pa.default_memory_pool().release_unused()
         offsets = np.concatenate(([0], np.cumsum(np.concatenate(lengths)))).astype("<u8")
         put(files, f"{top}/{name}.off", offsets)
         put(files, f"{top}/{name}.doc", np.concatenate(docs).astype("<i8"))
