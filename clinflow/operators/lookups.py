@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinflow.operators.key_filter import key_filter, with_possible
+from clinflow.session import work_dir, written
+
 BROADCAST_BYTES = 32 * 1024 * 1024
 MEASURE_BYTES = 1024 * 1024 * 1024
 HOT_ROWS = 500_000
@@ -177,13 +180,23 @@ def lookup_join(
 
 
 def fetch_by_id(
-    ids: DataFrame, store: DataFrame, key: str = "name", **limits: int
+    ids: DataFrame,
+    store: DataFrame,
+    key: str = "name",
+    filter_bits: int | None = None,
+    **limits: int,
 ) -> DataFrame:
     """S3, L2: every id with its message. Misses are kept, with ``found`` false.
 
-    ``store`` holds one row per id.
+    ``store`` holds one row per id. With ``filter_bits``, for many ids against a store that is far
+    larger than they are, a filter of that many bits is made of the ids first, and only messages that
+    may be wanted take part in the join.
     """
     marked = store.withColumn("found", F.lit(True))
+    if filter_bits is not None:
+        words = written(key_filter(ids, [key], filter_bits), work_dir(ids.sparkSession, "filter"))
+        marked = with_possible(marked, words, [key], "_possible", filter_bits).filter("_possible")
+        marked = marked.drop("_possible")
     return lookup_join(ids, marked, [key], **limits).withColumn(
         "found", F.coalesce("found", F.lit(False))
     )

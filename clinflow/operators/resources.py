@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.functions.jsonx import once
-from clinflow.operators.lookups import lookup_join
+from clinflow.operators.key_filter import FILTER_BITS, key_filter, with_possible
+from clinflow.operators.lookups import BROADCAST_BYTES, is_small, lookup_join
+from clinflow.session import work_dir, written
 
 _FIELD = re.compile(r"[A-Za-z_][\w-]*(\.[A-Za-z_][\w-]*|\[\d+\])*")
 
@@ -58,13 +60,25 @@ def with_fields(resources: DataFrame, parameters: dict[str, str]) -> DataFrame:
     return parsed.drop("_doc")
 
 
-def current_messages(messages: DataFrame, tombstones: DataFrame) -> DataFrame:
+def current_messages(
+    messages: DataFrame,
+    tombstones: DataFrame,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    filter_bits: int = FILTER_BITS,
+) -> DataFrame:
     """Messages by name without the deleted ones.
 
     ``messages`` has one row per name and write; ``tombstones`` carry ``name`` and ``seq``, and one
     removes what was written before it. Few tombstones are broadcast, so that the store is not
-    shuffled for them.
+    shuffled for them. Of many a filter of fixed size is broadcast, and only messages that may have
+    one are shuffled. The store is read twice then, once for each kind.
     """
     newest = tombstones.groupBy("name").agg(F.max("seq").alias("_gone"))
-    found = lookup_join(messages, newest, ["name"])
-    return found.filter("_gone IS NULL OR seq > _gone").drop("_gone")
+    if is_small(newest, broadcast_bytes):
+        found = messages.join(F.broadcast(newest), ["name"], "left")
+        return found.filter("_gone IS NULL OR seq > _gone").drop("_gone").select(*messages.columns)
+    words = written(key_filter(tombstones, ["name"], filter_bits), work_dir(messages.sparkSession, "filter"))
+    marked = with_possible(messages, words, ["name"], "_possible", filter_bits)
+    named = marked.filter("_possible").drop("_possible")
+    left = lookup_join(named, newest, ["name"], small=False).filter("_gone IS NULL OR seq > _gone")
+    return left.select(*messages.columns).union(marked.filter("NOT _possible").select(*messages.columns))

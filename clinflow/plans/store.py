@@ -305,7 +305,7 @@ def parameter_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- lookups by id ---------------------------------------------------------------------------------
 
 
-def _parts_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _parts_by_line(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
     """Each line asks for its part; parts of the largest sizes are not in the store."""
     ids = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_shipdate", "concat('parts/', l_partkey) AS name"
@@ -315,7 +315,7 @@ def _parts_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter("p_size <= 40")
         .selectExpr("concat('parts/', p_partkey) AS name", "p_name AS data")
     )
-    return fetch_by_id(ids, store)
+    return fetch_by_id(ids, store, **limits)
 
 
 _FETCH_SQL = """
@@ -335,6 +335,16 @@ def fetched_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("l_orderkey", "l_linenumber", "name", "data")
 
 
+@query(
+    "S3 L2",
+    _FETCH_SQL + "SELECT l_orderkey, l_linenumber, name, data FROM fetched WHERE found",
+)
+def fetched_messages_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a filter of the wanted names before the join."""
+    found = _parts_by_line(spark, sf_dir, broadcast_bytes=0, filter_bits=1 << 18).filter("found")
+    return found.select("l_orderkey", "l_linenumber", "name", "data")
+
+
 @query(
     "S3 L2 E6",
     _FETCH_SQL
@@ -516,14 +526,28 @@ def created_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def message_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error messages are deleted; tombstones older than their message remove nothing."""
+    return _undeleted(spark, sf_dir).select("name", "data", "seq")
+
+
+def _undeleted(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
     store = message_store(spark, sf_dir)
     later = store.filter("store = 'error'").selectExpr("name", "event_id + 1 AS seq")
     earlier = store.filter("store = 'view'").selectExpr("name", "event_id - 1 AS seq")
     path = work_dir(spark, "tombstones")
     delete_messages(later, path, 0)
     delete_messages(earlier, path, 1)
-    live = current_messages(
+    return current_messages(
         store.selectExpr("name", "data", "event_id AS seq"),
         spark.read.parquet(path).select("name", "seq"),
+        **limits,
     )
+
+
+@query(
+    "W3",
+    f"{_WITH} SELECT name, data, event_id AS seq FROM messages WHERE store <> 'error'",
+)
+def message_delete_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As if the tombstones were too many to be broadcast: a filter of them is."""
+    live = _undeleted(spark, sf_dir, broadcast_bytes=0, filter_bits=1 << 18)
     return live.select("name", "data", "seq")
