@@ -90,7 +90,7 @@ class Mapping:
     @classmethod
     def from_table(cls, df: DataFrame, post: str | None = None) -> Mapping:
         """Rules of a table shaped like ``schemas.MAPPING_RULE``, a definition written by hand."""
-        rows = df.toLocalIterator()
+        rows = df.coalesce(1).toLocalIterator()  # a job per partition otherwise
         return cls([Rule(**{**r.asDict(), "is_array": bool(r["is_array"])}) for r in rows], post)
 
     def to_text(self) -> str:

@@ -28,13 +28,20 @@ def json_lines(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_text_shards(lines: DataFrame, path: str, batch_id: int, shards: int) -> None:
-    """One batch of error lines in ``shards`` files; a repeated batch replaces itself."""
-    held = lines.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length(lines.columns[0])), F.lit(0)).alias("size"),
-    ).first()
-    spread = lines.repartition(shard_count(held["rows"], held["size"], shards))
+def write_text_shards(
+    lines: DataFrame, path: str, batch_id: int, shards: int, held: tuple[int, int] | None = None
+) -> None:
+    """One batch of error lines in ``shards`` files; a repeated batch replaces itself.
+
+    ``held`` are their rows and about their bytes, if they are known; else both are counted.
+    """
+    if held is None:
+        found = lines.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(F.octet_length(lines.columns[0])), F.lit(0)).alias("size"),
+        ).first()
+        held = found["rows"], found["size"]
+    spread = lines.repartition(shard_count(*held, shards))
     spread.write.mode("overwrite").text(batch_path(path, batch_id))
 
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -30,7 +30,7 @@ from clinflow.operators.feed import (
 )
 from clinflow.operators.lookups import is_small
 from clinflow.operators.mapping import Mapping, bundle_stage, map_stage
-from clinflow.operators.metrics import distribution, observe_outcomes, timed
+from clinflow.operators.metrics import observe_outcomes, timed
 from clinflow.operators.outcomes import split_ok, to_error_rows
 from clinflow.operators.studies import read_studies
 from clinflow.session import spread, work_dir, written
@@ -113,9 +113,37 @@ def _start(
     )
 
 
-def _stage_counts(outcomes: DataFrame) -> dict[str, int]:
-    rows = outcomes.groupBy("failed_stage").count().collect()
-    return {r["failed_stage"] or "ok": r["count"] for r in rows}
+STAGES = (READ, MAPPING, WRITE)
+
+
+def _measures(outcomes: DataFrame) -> list[Column]:
+    """Rows per stage and the bytes of what failed there, and source times of good rows,
+    to be observed while the rows pass."""
+    stage = F.col("failed_stage")
+    value = F.octet_length(F.coalesce("value", F.lit(""))) + F.octet_length(F.coalesce("output", F.lit("")))
+    found = [F.count_if(stage.isNull()).alias("ok")]
+    for s in STAGES:
+        found.append(F.count_if(stage == s).alias(s))
+        found.append(F.coalesce(F.sum(F.when(stage == s, value)), F.lit(0)).alias(f"{s}_bytes"))
+    if "source_time" in outcomes.columns:
+        sent = F.when(stage.isNull(), F.unix_millis("source_time"))
+        found += [f(sent).alias(name) for f, name in ((F.count, "n"), (F.sum, "sum"), (F.min, "min"), (F.max, "max"))]
+    return found
+
+
+def _counts(seen: dict[str, int]) -> dict[str, int]:
+    return {s: seen[s] for s in ("ok", *STAGES) if seen[s]}
+
+
+def _commit_latency(seen: dict[str, int], finished: int) -> dict[str, int | None]:
+    """A2: milliseconds from each row's source time until its batch was written."""
+    n = seen["n"]
+    return {
+        "n": n,
+        "sum_ms": n * finished - seen["sum"] if n else None,
+        "min_ms": finished - seen["max"] if n else None,
+        "max_ms": finished - seen["min"] if n else None,
+    }
 
 
 def _posted(outcomes: DataFrame, client: Client, scratch: str) -> DataFrame:
@@ -137,12 +165,6 @@ def _posted(outcomes: DataFrame, client: Client, scratch: str) -> DataFrame:
     return written(kept, scratch)
 
 
-def _commit_latency(good: DataFrame, finished: int) -> dict[str, int | None]:
-    """A2: milliseconds from each row's source time until its batch was written."""
-    millis = F.lit(finished) - F.unix_millis("source_time")
-    return good.agg(*distribution(millis)).first().asDict()
-
-
 def _write_outcomes(
     outcomes: DataFrame, paths: FeedPaths, batch_id: int, shards: int, report: Reports
 ) -> None:
@@ -152,32 +174,34 @@ def _write_outcomes(
     kept = mapped
     metrics: dict[str, int | None] = {}
     try:
-        counts = timed(lambda: _stage_counts(mapped), partial(metrics.__setitem__, "transform_ms"))
+        if report.on_metrics is not None:  # else the rows are mapped while they are written
+            timed(mapped.count, partial(metrics.__setitem__, "transform_ms"))
         if report.client is not None:
             kept = _posted(mapped, report.client, replies)
-            counts = _stage_counts(kept)
-        timed(
-            lambda: _write_all(kept, counts, paths, batch_id, shards),
+        seen = timed(
+            lambda: _write_all(kept, paths, batch_id, shards),
             partial(metrics.__setitem__, "write_ms"),
         )
         if report.on_metrics is not None:
             if "source_time" in kept.columns:
-                good = kept.filter(F.col("failed_stage").isNull())
-                metrics |= _commit_latency(good, int(time.time() * 1000))
+                metrics |= _commit_latency(seen, int(time.time() * 1000))
             report.on_metrics(batch_id, metrics)
         if report.on_counts is not None:
-            report.on_counts(batch_id, counts)
+            report.on_counts(batch_id, _counts(seen))
         if report.client is not None:
             remove_listed(mapped.sparkSession, [replies])
     finally:
         mapped.unpersist()
 
 
-def _write_all(
-    kept: DataFrame, counts: dict[str, int], paths: FeedPaths, batch_id: int, shards: int
-) -> None:
+def _write_all(kept: DataFrame, paths: FeedPaths, batch_id: int, shards: int) -> dict[str, int]:
+    """All outputs of a batch, and what was observed while the first one was written."""
+    observation = Observation("outcomes")
+    observed = kept.observe(observation, *_measures(kept))
+    bundles = observed.filter(F.col("failed_stage").isNull()).select(F.col("output").alias("bundle"))
+    write_batch(bundles, paths.bundles, batch_id)
+    seen = observation.get
     good = kept.filter(F.col("failed_stage").isNull())
-    write_batch(good.select(F.col("output").alias("bundle")), paths.bundles, batch_id)
     # A later source time is a newer version; without one, a later batch is, and in a batch what
     # came in later.
     now = F.lit(int(time.time() * 1000)).cast("long")
@@ -189,24 +213,27 @@ def _write_all(
         place.cast("long").alias("seq"),
     )
     entries = checked_resources(versioned, "bundle", "version", "seq")
-    observed, seen = observe_outcomes(entries, "resources")
-    accepted, _ = split_ok(observed)
+    counted, written_entries = observe_outcomes(entries, "resources")
+    accepted, _ = split_ok(counted)
     write_batch(accepted.sortWithinPartitions("resource_type", "id"), paths.resources, batch_id)
-    _, refused = split_ok(entries)
-    any_refused = bool(counts.get("ok")) and seen.get["n_failed"] > 0
-    failed = {s: kept.filter(F.col("failed_stage") == s) for s in (READ, MAPPING, WRITE)}
+    n_refused = written_entries.get["n_failed"] if seen["ok"] else 0
+    failed = {s: kept.filter(F.col("failed_stage") == s) for s in STAGES}
     status = F.col("status") if "status" in kept.columns else None
-    unwritten = failed_bodies(failed[WRITE], status=status).unionByName(
-        failed_bodies(refused, "body")
-    )
+    unwritten = failed_bodies(failed[WRITE], status=status)
+    if n_refused:
+        unwritten = unwritten.unionByName(failed_bodies(split_ok(entries)[1], "body"))
     dead_letters = (
         (READ, paths.read_errors, failed[READ].select(F.coalesce("value", F.lit("")))),
         (MAPPING, paths.mapping_errors, json_lines(to_error_rows(failed[MAPPING]))),
         (WRITE, paths.write_errors, json_lines(unwritten)),
     )
     for stage, path, lines in dead_letters:
-        if counts.get(stage) or (stage == WRITE and any_refused):
-            write_text_shards(lines, path, batch_id, shards)
+        rows, size = seen[stage], seen[f"{stage}_bytes"]
+        if stage == WRITE and n_refused:
+            write_text_shards(lines, path, batch_id, shards)  # how large the refused are is unknown
+        elif rows:
+            write_text_shards(lines, path, batch_id, shards, (rows, size))
+    return seen
 
 
 def start_message_feed(
