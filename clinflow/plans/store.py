@@ -55,6 +55,7 @@ from clinflow.sources.exports import (
     parse_messages,
 )
 from clinflow.sources.notifications import parameters
+from clinflow.sources.stores import micros, read_store
 
 _WITH = f"WITH {MESSAGES_SQL}"
 _COLUMNS = ["store", "name", "data", "send_time"]
@@ -120,6 +121,52 @@ def send_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bounded.select(_COLUMNS)
 
 
+class EventStore:
+    """The events' files as a store with a client of its own, as a remote one has."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def bounds(self):
+        import pyarrow.compute as pc
+        import pyarrow.dataset as ds
+
+        ends = [pc.min_max(b.column("ts")) for b in ds.dataset(self.path).to_batches(columns=["ts"]) if b.num_rows]
+        times = [micros(e[side].as_py()) for e in ends for side in ("min", "max") if e[side].is_valid]
+        return (min(times), max(times) + 1) if times else None
+
+    def read(self, start, end, names):
+        import pyarrow as pa
+        import pyarrow.dataset as ds
+
+        at = ds.field("ts")
+        wanted = (at >= pa.scalar(start, pa.timestamp("us"))) & (at < pa.scalar(end, pa.timestamp("us")))
+        if names is not None:
+            wanted &= ds.field("event_type").isin(names)
+        columns = ["event_type", "event_id", "props", "ts"]
+        for batch in ds.dataset(self.path).to_batches(columns=columns, filter=wanted):
+            kind, number = batch.column("event_type"), batch.column("event_id")
+            named = [f"stores/{k}/messages/{n}" for k, n in zip(kind.to_pylist(), number.to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [kind, pa.array(named, pa.string()), batch.column("props"), batch.column("ts").cast(pa.timestamp("us"))],
+                names=_COLUMNS,
+            )
+
+
+@query(
+    "S7 S5 S9 U3",
+    f"""{_WITH} {_SELECT} WHERE send_time >= TIMESTAMP '2024-01-05 06:00:00'
+AND send_time < TIMESTAMP '2024-01-20 00:00:00' AND store IN ('click', 'view')""",
+)
+def client_store_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A span of a store that only its own client reads, a partition per day."""
+    path = f"{sf_dir}/events.parquet"
+    schema = "store string, name string, data string, send_time timestamp_ntz"
+    store = read_store(spark, "event_store", lambda: EventStore(path), schema)
+    chosen = read_stores(scan(store, "2024-01-05T06:00:00", "2024-01-20T00:00:00"), ["click", "view"])
+    return chosen.select(_COLUMNS)
+
+
 @query("S7", f"""{_WITH} {_SELECT} WHERE "value" > 20""")
 def send_time_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(message_store(spark, sf_dir), where="value > 20").select(_COLUMNS)
