@@ -11,11 +11,18 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import groupby
+from typing import TypeVar
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.llm.common import slices
+from clinflow.llm.token_files import Encoder, Encoding
+
+T = TypeVar("T")
+
 OPEN, MIDDLE, CLOSE = "<s>[INST] ", " [/INST] ", "</s>"
 CONTROL = re.compile(r"\\|</?s>|\[/?INST\]")
 TURN = re.compile(re.escape(OPEN) + "(.*?)" + re.escape(MIDDLE) + "(.*?)" + re.escape(CLOSE), re.DOTALL)
@@ -29,21 +36,37 @@ WINDOWS = (
 )
 
 
-def words(text: str) -> int:
-    return len(text.split())
+def word_counts(parts: list[str]) -> list[int]:
+    return [len(p.split()) for p in parts]
+
+
+class BpeCounts:
+    """Tokens of a public tokenizer, given by the path of its file on every machine."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+        self._encoder = None
+
+    def __getstate__(self) -> dict:
+        return {"path": self.path, "_encoder": None}
+
+    def __call__(self, parts: list[str]) -> list[int]:
+        if self._encoder is None:
+            self._encoder = Encoder(Encoding(self.path))
+        sizes = [n for _, n in self._encoder.encode(pa.array(parts, pa.string()))]
+        return (np.concatenate(sizes) - 1).tolist() if sizes else []
 
 
 @dataclass(frozen=True)
 class Budget:
-    """``tokens`` in a window, as ``measure`` counts them, plus ``per_turn`` for each turn's markers;
-    at most ``turns`` of history with ``history`` tokens. A turn that is longer than a window gets
-    one of its own, uncut."""
+    """``tokens`` in a window, as ``measure`` counts them in its turns with their markers; of these
+    ``history`` at most for the turns before, of which there are ``turns`` at most. A turn that is
+    longer than a window gets one of its own, uncut."""
 
     tokens: int = 512
     history: int = 128
     turns: int = 2
-    per_turn: int = 4
-    measure: Callable[[str], int] = words
+    measure: Callable[[list[str]], list[int]] = word_counts
 
 
 def escaped(text: str) -> str:
@@ -56,20 +79,25 @@ def unescaped(text: str) -> str:
 
 @dataclass
 class Turn:
+    """A turn of the template: its opening, its escaped text, and what the whole of it costs."""
+
     role: str | None
-    text: str
-    cost: int
+    head: str
+    body: str
+    cost: int = 0
+
+
+def turn_of(role: str | None, text: str | None) -> Turn:
+    return Turn(role, OPEN + (NO_ROLE if role is None else escaped(role)) + MIDDLE, escaped(text or ""))
 
 
 def window(conv_id: int | None, number: int, repeated: list[Turn], fresh: list[Turn]) -> dict:
     parts, mask, at = [], [], 0
     for i, turn in enumerate([*repeated, *fresh]):
-        head = OPEN + (NO_ROLE if turn.role is None else escaped(turn.role)) + MIDDLE
-        body = escaped(turn.text)
         if i >= len(repeated) and turn.role == "assistant":
-            mask.append({"start": at + len(head), "end": at + len(head) + len(body)})
-        parts += [head, body, CLOSE]
-        at += len(head) + len(body) + len(CLOSE)
+            mask.append({"start": at + len(turn.head), "end": at + len(turn.head) + len(turn.body)})
+        parts += [turn.head, turn.body, CLOSE]
+        at += len(turn.head) + len(turn.body) + len(CLOSE)
     return {
         "conv_id": conv_id,
         "window": number,
@@ -100,12 +128,28 @@ def windows(conv_id: int | None, turns: Iterator[Turn], budget: Budget) -> Itera
             history, fresh = past, []
         if i == 0:
             first = turn
+        while not fresh and history and sum(t.cost for t in (*system, *history, turn)) > budget.tokens:
+            history.pop(0)
         fresh.append(turn)
         total += turn.cost
     if fresh:
         yield window(conv_id, number, [*system, *history], fresh)
 
 
+def packed(rows: Iterator[T], size: Callable[[T], int], most: int = 1_000_000) -> Iterator[list[T]]:
+    """Rows, as many at a time as are together about ``most`` large."""
+    held: list[T] = []
+    total = 0
+    for row in rows:
+        held.append(row)
+        total += 100 + size(row)
+        if total >= most:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
 def format_windows(conversations: DataFrame, budget: Budget = Budget()) -> DataFrame:
     """Windows of all conversations: the columns of :data:`WINDOWS`.
 
@@ -115,15 +159,19 @@ def format_windows(conversations: DataFrame, budget: Budget = Budget()) -> DataF
     more of it than a window. Other columns are not read.
     """
 
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")))
+    def turns_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, Turn]]:
+        for batch in slices(batches):
+            turns = [turn_of(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("role", "text")))]
+            costs = budget.measure([t.head + t.body + CLOSE for t in turns])
+            for turn, cost in zip(turns, costs):
+                turn.cost = cost
+            yield from zip(batch.column("conv_id").to_pylist(), turns)
 
     def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for conv_id, rows in groupby(rows_of(batches), key=lambda r: r[0]):
-            turns = (Turn(role, text or "", budget.measure(text or "") + budget.per_turn) for _, role, text in rows)
-            for w in windows(conv_id, turns, budget):
-                yield pa.RecordBatch.from_pylist([w], schema=kinds)
+        grouped = groupby(turns_of(batches), key=lambda r: r[0])
+        found = (w for conv_id, rows in grouped for w in windows(conv_id, (t for _, t in rows), budget))
+        for some in packed(found, lambda w: len(w["formatted"])):
+            yield pa.RecordBatch.from_pylist(some, schema=kinds)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -154,21 +202,24 @@ def read_back(formatted: DataFrame) -> DataFrame:
         for batch in batches:
             yield from zip(*(batch.column(c).to_pylist() for c in columns))
 
+    def summed(conv_id: int | None, rows: Iterator[tuple]) -> tuple:
+        n_turns = loss_chars = chars = n = 0
+        turn_digest, loss_digest = hashlib.sha256(), hashlib.sha256()
+        for _, text, mask, n_repeated in rows:
+            turns, losses = read_window(text, mask, n_repeated)
+            for role, body in turns:
+                turn_digest.update(f"{role or ''}\n{body}\n".encode())
+            for body in losses:
+                loss_digest.update(body.encode())
+                loss_chars += len(body)
+            n_turns, chars, n = n_turns + len(turns), chars + len(text), n + 1
+        return conv_id, n_turns, turn_digest.hexdigest(), loss_chars, loss_digest.hexdigest(), chars, n
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for conv_id, rows in groupby(rows_of(batches), key=lambda r: r[0]):
-            n_turns = loss_chars = chars = n = 0
-            turn_digest, loss_digest = hashlib.sha256(), hashlib.sha256()
-            for _, text, mask, n_repeated in rows:
-                turns, losses = read_window(text, mask, n_repeated)
-                for role, body in turns:
-                    turn_digest.update(f"{role or ''}\n{body}\n".encode())
-                for body in losses:
-                    loss_digest.update(body.encode())
-                    loss_chars += len(body)
-                n_turns, chars, n = n_turns + len(turns), chars + len(text), n + 1
-            found = (conv_id, n_turns, turn_digest.hexdigest(), loss_chars, loss_digest.hexdigest(), chars, n)
-            kinds = [pa.string() if k.endswith("sha256") else pa.int64() for k in names]
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(found, kinds)], names=names)
+        found = (summed(*group) for group in groupby(rows_of(batches), key=lambda r: r[0]))
+        kinds = [pa.string() if k.endswith("sha256") else pa.int64() for k in names]
+        for some in packed(found, lambda r: 200):
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*some), kinds)], names=names)
 
     ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "window")
     return ordered.mapInArrow(

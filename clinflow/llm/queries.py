@@ -205,7 +205,8 @@ def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     rows = [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
     both = said.unionByName(spark.createDataFrame(rows, said.schema))
-    return chat.read_back(scratch(chat.format_windows(both), "windows"))
+    budget = chat.Budget(measure=chat.BpeCounts(vocabulary("byte_bpe_50k.json")))
+    return chat.read_back(scratch(chat.format_windows(both, budget), "windows"))
 
 
 def license_sql() -> str:

@@ -133,6 +133,22 @@ def test_windows_read_back(conversations, budget):
     assert chat.read_back(chat.format_windows(df.limit(0))).count() == 0
 
 
+def test_windows_hold_the_budget_in_tokens_of_a_tokenizer(spark):
+    """Texts without spaces, too, which are one word."""
+    said = ["日本語の文" * 130, "a short answer", "y" * 900, "and so on, " * 40] * 5
+    rows = [(1, i, ("user", "assistant")[i % 2], t) for i, t in enumerate(said)] + [(1, -1, "system", "be brief")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    path = vocabulary("byte_bpe_50k.json")
+    budget = chat.Budget(tokens=512, history=200, measure=chat.BpeCounts(path))
+    found = chat.format_windows(df, budget).collect()
+    sizes = [len(ids) - 1 for ids in encoded(w.formatted for w in found)]
+    assert len(found) > 1
+    for w, n in zip(found, sizes):
+        fresh = len(chat.TURN.findall(w.formatted)) - w.n_repeated
+        assert n <= w.n_tokens and (w.n_tokens <= 512 or fresh == 1)
+    assert any(w.n_tokens > 512 for w in found) and any(fresh <= 512 for fresh in sizes)
+
+
 def test_escaping_is_reversible():
     for text in filter(None, TRICKY):
         assert chat.unescaped(chat.escaped(text)) == text
