@@ -10,10 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,8 @@ FOLD = bytes(
     for c in range(256)
 )
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+#: Bytes of the automata that are sent to every executor at a time, or those of one.
+PASS_BYTES = 64 * 1024 * 1024
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
@@ -34,7 +38,7 @@ SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.Stru
 class Limits:
     """``window``: so many consecutive words of an item are a hit; a shorter item is a hit as a
     whole. ``max_percent``: a document with that share of hit words or more is contaminated.
-    ``shard_words``: an automaton holds so many words of items, and the last item's, at most."""
+    ``shard_words``: an automaton holds about so many words of items at most."""
 
     window: int = 13
     max_percent: int = 5
@@ -100,39 +104,83 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def shards(items: DataFrame, limits: Limits) -> Iterator[ItemAutomaton]:
-    """Automata over the items, built one at a time from as many rows as fit."""
-    held: list[tuple[str, list[bytes]]] = []
-    size = 0
-    for name, text in items.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        if words := words_of(text):
-            held.append((name or "", words))
-            size += len(words)
-        if size >= limits.shard_words:
-            yield ItemAutomaton(held, limits.window)
+def pieces(items: DataFrame, limits: Limits) -> DataFrame:
+    """``item``, ``words`` (joined by spaces) and their number ``size``: items, long ones cut into
+    pieces that overlap by a window less one word, so that each of its windows is in one piece."""
+    longest = max(limits.shard_words // 8, 2 * limits.window)
+    step = longest - limits.window + 1
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out = []
+            for name, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                words = words_of(text)
+                for at in range(0, max(len(words) - limits.window + 1, 1) if words else 0, step):
+                    some = words[at : at + longest]
+                    out.append((name or "", b" ".join(some).decode(), len(some)))
+            columns = zip(*out) if out else ((), (), ())
+            kinds = (pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["item", "words", "size"]
+            )
+
+    named = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    return named.mapInArrow(cut, "item string, words string, size long")
+
+
+def automata(items: DataFrame, limits: Limits) -> DataFrame:
+    """``shard`` and ``automaton``: the items dealt into shards of about ``limits.shard_words`` words
+    at most, each an automaton that the task which holds the shard has built."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("shard", "item", "words"))))
+        for shard, held in groupby(rows, key=lambda r: r[0]):
+            whole = ItemAutomaton([(name, words.encode().split(b" ")) for _, name, words in held], limits.window)
+            yield pa.RecordBatch.from_pydict(
+                {"shard": pa.array([shard], pa.int64()), "automaton": pa.array([cloudpickle.dumps(whole)], pa.binary())}
+            )
+
+    cut = scratch(pieces(items, limits), "pieces")
+    total = cut.agg(F.sum("size")).first()[0] or 0
+    n = max(1, -(-2 * total // limits.shard_words))
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("item", "words"), F.lit(n)).cast("long"))
+    ordered = dealt.repartition("shard").sortWithinPartitions("shard", "item", "words")
+    return scratch(ordered.select("shard", "item", "words").mapInArrow(build, "shard long, automaton binary"), "automata")
+
+
+def passes(shards: DataFrame) -> Iterator[list[int]]:
+    """The shards whose automata fit a broadcast together, in turn."""
+    held, size = [], 0
+    for r in shards.select("shard", F.octet_length("automaton").alias("size")).orderBy("shard").collect():
+        if held and size + r.size > PASS_BYTES:
+            yield held
             held, size = [], 0
+        held.append(r.shard)
+        size += r.size
     if held:
-        yield ItemAutomaton(held, limits.window)
+        yield held
 
 
-def scanned(df: DataFrame, shard: ItemAutomaton) -> DataFrame:
-    """Columns ``n_words``, ``spans`` and ``items`` with what one more shard finds."""
-    shared = sent(df, shard)
+def scanned(df: DataFrame, found: list[bytes]) -> DataFrame:
+    """Columns ``n_words``, ``spans`` and ``items`` with what some more automata find."""
+    shared = sent(df, found)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = received(shared)
+        shards = [cloudpickle.loads(a) for a in received(shared)]
         for batch in slices(batches):
             counts, spans, items = [], [], []
             before = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())
             for text, (old_spans, old_items) in zip(batch.column("text").to_pylist(), before):
                 words = words_of(text)
-                found, names = automaton.scan(words)
+                new, names = [], set(old_items)
+                for shard in shards:
+                    hits, named = shard.scan(words)
+                    new += hits
+                    names |= named
+                old = [(s["start"], s["end"]) for s in old_spans]
                 counts.append(len(words))
-                spans.append(
-                    merged(found + [(s["start"], s["end"]) for s in old_spans]) if found else
-                    [(s["start"], s["end"]) for s in old_spans]
-                )
-                items.append(sorted(names | set(old_items)))
+                spans.append(merged(new + old) if new else old)
+                items.append(sorted(names))
             kind = batch.schema.field("spans").type
             new = {
                 "n_words": pa.array(counts, pa.int64()),
@@ -153,8 +201,10 @@ def find_items(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), kee
     words, merged, end exclusive), ``items`` (ids as text, each once, sorted), ``n_hit`` and
     ``contaminated``. A null or empty text has no words and no hits; items without words, or a
     table without items, hit nothing. An item without an id is listed as empty text. Items with one
-    id count as one. However large the item table, a task holds one shard of it at a time per pass;
-    results of four passes are written before the next.
+    id, and repeated ones, count as one. Items of any number and length are cut and dealt into shards,
+    whose automata tasks build; as many as fit a broadcast are scanned with in one pass over the
+    documents, and the results of four passes are written before the next. Repeated documents are
+    scanned each, texts of any length whole.
     """
     df = docs.select(
         whole_row(docs, keep),
@@ -164,13 +214,13 @@ def find_items(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), kee
         F.lit(None).cast("array<string>").alias("items"),
     )
     df = df.withColumns({n: F.coalesce(n, F.array().cast(df.schema[n].dataType)) for n in ("spans", "items")})
-    none = True
-    for n, shard in enumerate(shards(items, limits), 1):
-        df, none = scanned(df, shard), False
-        if n % 4 == 0:
+    shards = automata(items, limits)
+    chosen = list(passes(shards)) or [[]]
+    for n, some in enumerate(chosen, 1):
+        held = shards.filter(F.col("shard").isin(some)).orderBy("shard").collect()
+        df = scanned(df, [bytes(r.automaton) for r in held])
+        if n % 4 == 0 and n < len(chosen):
             df = scratch(df, "spans")
-    if none:
-        df = scanned(df, ItemAutomaton([], limits.window))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     hit = F.col("n_hit")
     return df.withColumn("n_hit", n_hit).withColumn(

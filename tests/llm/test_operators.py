@@ -239,7 +239,7 @@ def items(odd_rows, spark):
     return rows, spark.createDataFrame(rows, "item_id long, text string")
 
 
-def test_contamination(odd_docs, odd_rows, items, no_docs, clashing):
+def test_contamination(odd_docs, odd_rows, items, no_docs, clashing, monkeypatch):
     rows, df = items
     expected = Counter()
     for r in odd_rows:
@@ -250,6 +250,8 @@ def test_contamination(odd_docs, odd_rows, items, no_docs, clashing):
     assert pick(decontaminate.find_items(odd_docs, df).select(*columns)) == expected
     shards = decontaminate.Limits(shard_words=10)
     assert pick(decontaminate.find_items(clashing, df, shards, keep=["doc_id"]).select(*columns)) == expected
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 1)
+    assert pick(decontaminate.find_items(odd_docs, df, shards).select(*columns)) == expected
     assert decontaminate.find_items(no_docs, df).count() == 0
     assert decontaminate.find_items(odd_docs, df.limit(0)).filter("n_hit > 0").count() == 0
     assert decontaminate.clean_rows(clashing, df).columns == clashing.columns
