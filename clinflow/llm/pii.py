@@ -11,8 +11,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -20,6 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.llm.common import received, scratch, sent, slices, whole_row
+from clinflow.llm.shingles import ODD, mixed, word_hashes
+
+#: Characters beside a slot that its words are looked for in.
+NEAR = 200
+#: The two sorts of patterns: two words before a slot, or one on each side.
+SIDES = ("before", "around")
+#: Bits of the filter of patterns.
+FILTER_BITS = 1 << 24
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -41,12 +49,11 @@ MENTIONS = "array<struct<start:int,end:int,seed:boolean,wide:boolean,kinds:array
 @dataclass(frozen=True)
 class Trust:
     """A pattern is trusted if so many different identifiers fill its slots, and these fill at least
-    the share ``confidence`` of all its slots. ``shard``: patterns that a task holds at once."""
+    the share ``confidence`` of all its slots."""
 
     support: int = 5
     confidence: float = 0.5
     rounds: int = 3
-    shard: int = 200_000
 
 
 def digits(s: str) -> str:
@@ -103,13 +110,19 @@ def maybe_spans(text: str) -> list[tuple[int, int, list[int]]]:
 
 
 def patterns_at(text: str, start: int, end: int) -> list[str]:
-    """The two words before a slot; the word before and the one after it. Only words in the same
-    text that are close by count."""
-    before = text[max(0, start - 200) : start].lower()
-    after = text[end : end + 100].lower()
-    left = before.split()[-2:] if before[-1:].isspace() else []
+    """The two words before a slot; the word before and the one after it. Only whole words in the
+    same text that are close by count, so that a pattern is found again wherever it stands."""
+    before = text[max(0, start - NEAR) : start].lower()
+    left = before.split()[-3:] if before[-1:].isspace() else []
+    if start > NEAR and not before[0].isspace() and len(left) < 3:
+        left = left[1:]  # the first may be cut
+    left = left[-2:]
+    after = text[end : end + NEAR].lower()
+    right = after.split(None, 1) if after[:1].isspace() else []
+    if len(right) == 1 and end + NEAR < len(text) and not after[-1].isspace():
+        right = []
     found = ["before " + " ".join(left)] if len(left) == 2 else []
-    if left and after[:1].isspace() and (right := after.split(None, 1)):
+    if left and right:
         found.append(f"around {left[-1]} {right[0]}")
     return found
 
@@ -160,36 +173,60 @@ def described(docs: DataFrame, keep: list[str] | None) -> DataFrame:
     return rows.mapInArrow(describe, schema)
 
 
-def slots(docs: DataFrame, patterns: DataFrame, trust: Trust) -> DataFrame:
-    """How many slots each pattern has in all texts, whatever fills them; around a slot, one word only."""
-    names = (r[0] for r in patterns.select("pattern").toLocalIterator())
-    total = None
-    while held := frozenset(islice(names, trust.shard)):
-        shared = sent(docs, held)
-
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            split = [p.split(" ") for p in received(shared)]
-            before = {(a, b) for k, a, b in split if k == "before"}
-            around = {(a, b) for k, a, b in split if k == "around"}
-            first = {a for a, _ in before | around}
-            for batch in slices(batches, 10_000):
-                found: Counter = Counter()
-                for text in batch.column("text").to_pylist():
-                    words = (text or "").lower().split()
-                    for i in [i for i, w in enumerate(words[:-2]) if w in first]:
-                        if (pair := (words[i], words[i + 1])) in before:
-                            found["before", *pair] += 1
-                        if (pair := (words[i], words[i + 2])) in around:
-                            found["around", *pair] += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([" ".join(p) for p in found], pa.string()), pa.array(found.values(), pa.int64())],
-                    names=["pattern", "slots"],
-                )
-
-        part = docs.select("text").mapInArrow(count, "pattern string, slots long")
-        part = scratch(part.groupBy("pattern").agg(F.sum("slots").alias("slots")), "slots")
-        total = part if total is None else total.union(part)
-    return total
+def pair_bits(first: np.ndarray, second: np.ndarray, kind: int) -> np.ndarray:
+    """Where the filter has the bit of a pattern's two words, given by their hashes."""
+    return mixed(first * ODD[0] + second * ODD[1] + np.uint64(kind)) % np.uint64(FILTER_BITS)
+
+
+def pattern_filter(patterns: DataFrame) -> np.ndarray:
+    """A bit per pattern, in an array of fixed size whatever their number."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            split = [p.split(" ") for p in batch.column("pattern").to_pylist()]
+            found = []
+            for kind, name in enumerate(SIDES):
+                pairs = [p[1:] for p in split if p[0] == name]
+                first, second = (word_hashes([p[i] for p in pairs]) for i in (0, 1))
+                found.append(pair_bits(first, second, kind))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64))], names=["bit"])
+
+    bits = patterns.select("pattern").mapInArrow(places, "bit long")
+    words = bits.groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit % 64 AS INT))")).alias("bits"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.collect():
+        out[r.word] = r.bits
+    return np.unpackbits(out.astype("<i8").view(np.uint8), bitorder="little").astype(bool)
+
+
+def slots(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """How many slots each pattern has in all texts, whatever fills them; around a slot, one word only.
+
+    Word pairs that are no pattern are dropped where they stand, by a filter of fixed size; the others
+    are added up per task and joined with the patterns, which drops what the filter let through.
+    """
+    shared = sent(docs, np.packbits(pattern_filter(patterns)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(received(shared)).astype(bool)
+        for batch in slices(batches):
+            split = [(t or "").lower().split() for t in batch.column("text").to_pylist()]
+            words = [w for ws in split for w in ws]
+            h = word_hashes(words)
+            doc = np.repeat(np.arange(len(split)), [len(ws) for ws in split])
+            inside = doc[2:] == doc[:-2]
+            found: Counter = Counter()
+            for kind, (name, step) in enumerate(zip(SIDES, (1, 2))):
+                second = h[step : len(h) - 2 + step]
+                for i in np.flatnonzero(inside & wanted[pair_bits(h[:-2], second, kind)]).tolist():
+                    found[f"{name} {words[i]} {words[i + step]}"] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["pattern", "slots"]
+            )
+
+    counted = docs.select("text").mapInArrow(count, "pattern string, slots long")
+    total = counted.groupBy("pattern").agg(F.sum("slots").alias("slots"))
+    return scratch(total.join(patterns.select("pattern"), "pattern"), "slots")
 
 
 def trusted_patterns(found: DataFrame, docs: DataFrame, trust: Trust) -> DataFrame | None:
@@ -208,9 +245,9 @@ def trusted_patterns(found: DataFrame, docs: DataFrame, trust: Trust) -> DataFra
     )
     counted = edges.groupBy("pattern").agg(F.count("*").alias("c")).filter(F.col("c") >= trust.support)
     patterns = scratch(counted, "patterns")
-    totals = slots(docs, patterns, trust)
-    if totals is None:
+    if patterns.isEmpty():
         return None
+    totals = slots(docs, patterns)
     wide = each.filter("wide").select(F.explode("patterns").alias("pattern")).filter("pattern LIKE 'around %'")
     wide = wide.groupBy("pattern").agg(F.count("*").alias("slots")).join(patterns, "pattern", "left_semi")
     totals = scratch(totals.unionByName(wide).groupBy("pattern").agg(F.sum("slots").alias("slots")), "totals")
@@ -239,8 +276,9 @@ def find_pii(docs: DataFrame, trust: Trust = Trust(), keep: list[str] | None = N
     """Every row with ``base`` and ``spans``, arrays of kind, start and end in code points.
 
     ``base`` is what the fixed formats find; ``spans`` holds that and what trusted patterns add, by
-    start, then kind. A null or empty text has none. Equal texts get equal spans, so repeated rows
-    do too. An empty table gives an empty one; columns are kept inside struct ``row``.
+    start, then kind. A null or empty text has none; texts of any length are read whole. Equal texts
+    get equal spans, so repeated rows do too. An empty table gives an empty one; columns are kept
+    inside struct ``row``.
     """
     found = scratch(described(docs, keep), "mentions")
     trusted = trusted_patterns(found, docs, trust)

@@ -195,6 +195,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)],
         F.sha2(span_list("base").cast("binary"), 256).alias("base_sha256"),
         span_list("spans").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_learnt"),
     )
 
 

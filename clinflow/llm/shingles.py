@@ -26,7 +26,7 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
+def word_hashes(words: list[bytes] | list[str]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 

@@ -313,12 +313,68 @@ def test_identifiers_of_several_words_fill_slots_too(spark):
         assert learnt == ([f"499 555 {2000 + i - 100}"] if 100 <= i < 105 else [])
 
 
-def test_many_patterns_are_counted_in_shards(spark):
-    rows = [(i, f"please call: my phone +1 (499) 555-{1000 + i} today, bye") for i in range(20)]
-    rows += [(100, "please call: my phone 499-555-2000 today")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    trust = pii.Trust(shard=1)
-    assert pii.find_pii(docs, trust).filter("size(spans) = 1").count() == 21
+@pytest.mark.parametrize("bits", [64, 1 << 24])
+def test_slots_are_counted_exactly_whatever_the_filter_lets_through(spark, monkeypatch, bits):
+    monkeypatch.setattr(pii, "FILTER_BITS", bits)
+    rows = [(i, "a b c a b d", "x") for i in range(5)] + [(9, "a b", "x"), (10, None, "x"), (11, "A  B\nc", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pattern string").repartition(3)
+    names = ["before a b", "around a c", "around b a", "before never seen"]
+    patterns = spark.createDataFrame([(n,) for n in names], "pattern string")
+    found = {r.pattern: r.slots for r in pii.slots(docs, patterns).collect()}
+    assert found == {"before a b": 11, "around a c": 6, "around b a": 5}
+
+
+def test_words_near_a_slot_are_whole_or_no_pattern():
+    long = "w" * 300
+    assert pii.patterns_at(f"one two 5 {long} x", 8, 9) == ["before one two"]
+    assert pii.patterns_at(f"one {long} 5 six", 305, 306) == []
+    assert pii.patterns_at(f"one {long} two 5 six", 309, 310) == ["around two six"]
+    assert pii.patterns_at("one two 5", 8, 9) == ["before one two"] and pii.patterns_at("5 x", 0, 1) == []
+
+
+def test_held_out_identifiers_in_several_forms_of_sentences(spark):
+    """Half of the identifiers have a fixed format, the others one that only their context tells."""
+    rng = np.random.default_rng(11)
+    n = lambda low, high: int(rng.integers(low, high))
+    seeds = {
+        0: lambda: f"p{n(0, 10**6)}@mail{n(0, 99)}.org",
+        1: lambda: ".".join(str(n(1, 255)) for _ in range(4)),
+        3: lambda: f"+{n(1, 99)} ({n(100, 999)}) {n(100, 999)}-{n(1000, 9999)}",
+    }
+    hidden = {
+        0: lambda: f"p{n(0, 10**6)}@intranet",
+        1: lambda: ".".join(str(n(1, 255)) for _ in range(3)) + f".{n(300, 999)}",
+        3: lambda: f"({n(100, 999)}) {n(100, 999)}-{n(1000, 9999)}",
+    }
+    forms = {
+        0: ("you can write to {} at any time", "her mail address is {} and mine too", "reply to: {} please"),
+        1: ("the server at {} did not answer", "blocked requests from host {} since noon"),
+        3: ("please call me on {} before six", "my number is {} as you know", "phone (office) {} or come by"),
+    }
+    decoys = ("order {} was shipped", "see section {} of the manual", "the part {} is missing", "invoice {} of last year")
+    filler = [f"word{i}" for i in range(200)]
+    pad = lambda: " ".join(rng.choice(filler, 12))
+    rows, held = [], {}
+    for i in range(1200):
+        kind = (0, 1, 3)[i % 3]
+        form = forms[kind][n(0, len(forms[kind]))]
+        if i % 4 == 3:
+            text = f"{pad()} {decoys[i // 4 % 4].format(hidden[(1, 3)[i % 2]]())} {pad()}"
+            held[i] = None
+        else:
+            value = (hidden if i % 2 else seeds)[kind]()
+            text = f"{pad()} {form.format(value)} {pad()}"
+            held[i] = value if i % 2 else None
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: (r.base, r.spans) for r in pii.find_pii(docs).select("row.doc_id", "base", "spans").collect()}
+    right = wrong = 0
+    for i, text in rows:
+        learnt = [text[s.start : s.end] for s in found[i][1] if s not in found[i][0]]
+        right += held[i] in learnt
+        wrong += sum(x != held[i] for x in learnt)
+    wanted = sum(v is not None for v in held.values())
+    assert right >= 0.9 * wanted and right >= 0.9 * (right + wrong)
 
 
 # -- similarity join -------------------------------------------------------------------------------
