@@ -215,26 +215,36 @@ def license_sql() -> str:
     plain = "coalesce(text, '')"
     for pattern, becomes in licenses.CUTS:
         plain = f"regexp_replace({plain}, '{pattern}', '{becomes.replace('$1', chr(92) + '1')}', 'g')"
-    known = ", ".join(f"({i}, '{s}')" for i, s in licenses.SENTENCES.items())
+    noticed = "trim(x)"
+    for pattern, becomes in licenses.NOTICES:
+        noticed = f"regexp_replace({noticed}, '{pattern}', '{becomes.replace('$1', chr(92) + '1')}')"
+    forms: dict[str, int] = {}
+    for i, sentence in licenses.SENTENCES.items():
+        forms.setdefault(licenses.plain_sentence(sentence), i)
+    known = ", ".join(f"({i}, '{s}')" for s, i in forms.items())
     rules = ", ".join(
-        f"('{name}', '{license}', ',{','.join(map(str, ids))},')"
+        f"('{name}', '{license}', '{licenses.listed(ids)}', '{licenses.pattern_of(ids)}')"
         for name, (license, ids) in licenses.RULES.items()
     )
     return f"""
 WITH known(id, sentence) AS (VALUES {known}),
-  rules(rule, license, ids) AS (VALUES {rules}),
+  rules(rule, license, ids, pattern) AS (VALUES {rules}),
   cut AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(lower({plain}), ' ?\\x01[ \\x01]*'),
-                               lambda s: trim(s) <> '') AS s
+    SELECT doc_id, list_transform(
+      list_filter(regexp_split_to_array(lower({plain}), ' ?\x01[ \x01]*'), lambda s: trim(s) <> ''),
+      lambda x: CASE WHEN contains(x, '{licenses.NOTICE}') THEN {noticed} ELSE trim(x) END) AS s
     FROM documents),
   placed AS (SELECT doc_id, unnest(s) AS sentence, unnest(range(len(s))) AS i FROM cut),
   hits AS (
-    SELECT doc_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY i) AS identifiers
-    FROM placed JOIN known ON trim(placed.sentence) = known.sentence GROUP BY doc_id),
-  matched AS (SELECT * FROM hits JOIN rules ON contains(',' || identifiers || ',', ids)),
+    SELECT doc_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY i) AS identifiers,
+           string_agg(',' || id || ',', '' ORDER BY i) AS sequence
+    FROM placed JOIN known USING (sentence) GROUP BY doc_id),
+  matched AS (SELECT * FROM hits JOIN rules ON sequence LIKE pattern),
   longest AS (
     SELECT * FROM matched m WHERE NOT EXISTS (
-      SELECT 1 FROM matched o WHERE o.doc_id = m.doc_id AND o.ids <> m.ids AND contains(o.ids, m.ids))),
+      SELECT 1 FROM matched o WHERE o.doc_id = m.doc_id AND o.ids <> m.ids AND o.ids LIKE m.pattern)
+    AND NOT (license = '{licenses.WEAK}' AND EXISTS (
+      SELECT 1 FROM matched o WHERE o.doc_id = m.doc_id AND o.license <> '{licenses.WEAK}'))),
   named AS (
     SELECT doc_id, string_agg(rule, ',' ORDER BY rule) AS rules,
            string_agg(DISTINCT license, ',' ORDER BY license) AS licenses

@@ -506,25 +506,46 @@ def quoted(number, width=60):
     return "\n".join([*lines, line + "."])
 
 
+MENTION = {name: f"mention_{i}" for i, name in enumerate(licenses.NAMES, licenses.FIRST_NAME)}
+TAG = {name: f"tag_{i}" for i, name in enumerate(licenses.TAGS, licenses.FIRST_TAG)}
+
+
 def test_licence_rules(spark, no_docs, clashing):
     mit = "\n\n".join(quoted(i) for i in (4, 5, 6, 7))
+    apache, gpl3 = MENTION["apache license version 2 0"], MENTION["gnu general public license version 3"]
+    bsd = quoted(28)[:-1] + ":\n1. " + quoted(29) + "\n2. " + quoted(30) + "\n3. " + quoted(31)
     texts = {
         1: (mit, "mit_text", "MIT"),
-        2: ("Some words here.\n" + quoted(8) + "\nOther words.", "apache_mention", "Apache-2.0"),
+        2: ("Some words here.\nLicensed under the Apache License, Version 2.0.\nOther words.", apache, "Apache-2.0"),
         3: (quoted(9) + " " + quoted(10) + "\nUnknown words between.\n" + quoted(13) + "\n" + quoted(14), "apache_header", "Apache-2.0"),
         4: (quoted(13) + "\n" + quoted(9), "apache_header_start", "Apache-2.0"),
-        5: ("// SPDX-License-Identifier: MIT\ncode\n# SPDX-License-Identifier: BSD-3-Clause", "bsd3_tag,mit_tag", "BSD-3-Clause,MIT"),
+        5: ("// SPDX-License-Identifier: MIT\ncode\n# SPDX-License-Identifier: BSD-3-Clause", f"{TAG['MIT']},{TAG['BSD-3-Clause']}", "BSD-3-Clause,MIT"),
         6: ("  ".join(quoted(i) for i in (28, 29, 30, 31)), "bsd3_text", "BSD-3-Clause"),
-        7: ("\n".join(quoted(i) for i in (28, 29, 30)) + " " + quoted(1), "bsd2_text,mit_mention", "BSD-2-Clause,MIT"),
+        7: ("\n".join(quoted(i) for i in (28, 29, 30)) + " Released under the MIT license.", f"bsd2_text,{MENTION['mit license']}", "BSD-2-Clause,MIT"),
         8: ("released under the mit license of words", "", ""),
         9: (None, "", ""),
         10: ("", "", ""),
-        11: ("This work is licensed under the GNU General Public License, version 3.", "gpl3_mention", "GPL-3.0"),
+        11: ("This work is licensed under the GNU General Public License, version 3.", gpl3, "GPL-3.0"),
+        12: ("This project is licensed under the MIT License.", MENTION["mit license"], "MIT"),
+        13: ("Code released under the MIT license, see LICENSE for details.", MENTION["mit license"], "MIT"),
+        14: ("x\n/* SPDX-License-Identifier: GPL-2.0-or-later */\ny", TAG["GPL-2.0-or-later"], "GPL-2.0"),
+        15: ("# SPDX-License-Identifier: AGPL-3.0-only", TAG["AGPL-3.0-only"], "AGPL-3.0"),
+        16: ("Licensed under the Mozilla Public License 2.0.", MENTION["mozilla public license 2 0"], "MPL-2.0"),
+        17: ("Copyright 2020 A. Author. All rights reserved.\n\n" + bsd, "bsd3_text", "BSD-3-Clause"),
+        18: ("All rights reserved.", "reserved", "All-rights-reserved"),
+        19: ("\n\n".join(quoted(i) for i in (4, 33, 5, 6, 20, 7)), "mit_text", "MIT"),
+        20: ("\n".join(quoted(i) for i in (28, 29, 30)) + " no end " * 20_000, "bsd2_text", "BSD-2-Clause"),
+        21: (quoted(51), "isc_text", "ISC"),
+        22: (quoted(55) + "\n" + quoted(57), "agpl3_header_start,lgpl21_header_start", "AGPL-3.0,LGPL-2.1"),
     }
     docs = spark.createDataFrame([(i, t) for i, (t, _, _) in texts.items()], "doc_id long, text string")
     found = licenses.license_rules(docs)
     for r in found.collect():
         assert (",".join(r.rules), ",".join(r.licenses)) == texts[r.row.doc_id][1:], r
-    assert {r.doc_id for r in licenses.permitted_rows(docs).collect()} == set(texts) - {11}
+    refused = {11, 14, 15, 16, 18, 22}
+    assert {r.doc_id for r in licenses.permitted_rows(docs).collect()} == set(texts) - refused
     assert licenses.license_rules(no_docs).count() == 0
-    assert licenses.permitted_rows(clashing).columns == clashing.columns
+    twice = docs.union(docs)
+    assert licenses.license_rules(twice).count() == 2 * len(texts)
+    kept = licenses.permitted_rows(clashing)
+    assert kept.columns == clashing.columns and kept.count() == clashing.count()
