@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.operators.lookups import entity_types
+from clinflow.operators.metrics import BINS, observed_stream, quantile, sum_bins
 from clinflow.operators.resources import current_resources
 from clinflow.plans.errors import WINDOWS_SQL
 from clinflow.plans.feed import FEED_MAPPING, FEED_SQL
@@ -38,6 +39,7 @@ from clinflow.streaming.jobs import (
     start_ingest,
     start_message_feed,
 )
+from clinflow.streaming.metrics_log import MetricsLog
 from clinflow.streaming.panes import PANE_TRIGGER, counted_panes, start_pane_sink, until_panes_closed
 from clinflow.streaming.windows import closed_error_windows, windows_to_the_end
 
@@ -370,3 +372,38 @@ def stream_delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = delivered_once(given, "name").writeStream.format("parquet").option("path", f"{base}/out")
     once.option("checkpointLocation", f"{base}/checkpoint").trigger(**_TO_END).start().awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+_BIN = "CASE WHEN ms > 0 THEN length(bin(ms)) ELSE 0 END"
+
+
+@query(
+    "A1 A2 U4",
+    f"""WITH sent AS (SELECT event_type, epoch_us(ts) // 1000 - epoch_us(TIMESTAMP '2024-01-01') // 1000 AS ms FROM events),
+binned AS (SELECT {_BIN} AS bin, count(*) AS n FROM sent GROUP BY ALL),
+ranked AS (SELECT bin, sum(n) OVER (ORDER BY bin) AS seen, sum(n) OVER () AS total FROM binned)
+SELECT count(*) FILTER (event_type <> 'error') AS n_ok, count(*) FILTER (event_type = 'error') AS n_failed,
+       count(ms) AS n, CAST(sum(ms) AS BIGINT) AS sum_ms, min(ms) AS min_ms, max(ms) AS max_ms,
+       (SELECT array_to_string(list_transform(range({BINS}), lambda i: coalesce(m[i], 0)), ',')
+        FROM (SELECT map_from_entries(list((bin, n))) AS m FROM binned)) AS bins,
+       (SELECT CAST(pow(2, min(bin)) AS BIGINT) - 1 FROM ranked WHERE seen >= ceil(total * 0.5)) AS median_ms
+FROM sent""",
+)
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters and latencies of a stream's batches, added up from the log of what was observed."""
+    base = work_dir(spark, "metrics")
+    log = MetricsLog(spark, f"{base}/log")
+    millis = F.unix_millis(F.col("ts").cast("timestamp")) - F.unix_millis(F.lit("2024-01-01").cast("timestamp"))
+    events = stream_table(spark, sf_dir, "events", _FILES)
+    stream = observed_stream(events, "events", F.col("event_type") != "error", millis)
+    spark.streams.addListener(log)
+    try:
+        sink = stream.writeStream.format("noop").option("checkpointLocation", f"{base}/checkpoint")
+        sink.trigger(**_TO_END).start().awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    sums = [F.sum(c).alias(c) for c in ("n_ok", "n_failed", "n", "sum_ms")]
+    total = log.read().agg(*sums, F.min("min_ms").alias("min_ms"), F.max("max_ms").alias("max_ms"), sum_bins(F.col("bins")).alias("b"))
+    text = F.array_join(F.col("b").cast("array<string>"), ",").alias("bins")
+    return total.select("n_ok", "n_failed", "n", "sum_ms", "min_ms", "max_ms", text, quantile(F.col("b"), 0.5).alias("median_ms"))
