@@ -16,7 +16,8 @@ from clinflow.llm.common import scratch, small_join, whole_row, words_of
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
-#: Low bits that hold the place of a window, beside the high bits of its hash.
+#: Low bits that hold the place of a window, beside the high bits of its hash. A text of 2^28 words
+#: can't come: as an array they would take twice the 2 GB that a row has room for.
 PLACE_BITS = 28
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -137,7 +138,7 @@ def host_rules(docs: DataFrame, host: Column | str = "source", rules: Rules = Ru
     ``base_failed``, the host's figures and ``kept``.
 
     The judged rows are written once, for the hosts are counted from them and joined back. A text
-    that is null or empty has no words and fails. Repeated rows are judged and counted each; an
+    that is null or empty has no words and fails; one of any length is read whole. Repeated rows are judged and counted each; an
     empty table gives an empty one; input columns of any name are safe inside ``row``.
     """
     host = F.col(host) if isinstance(host, str) else host
