@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import SparkSession
 
 from clinflow.operators.mapping import Mapping, MappingError
 
-_loaded: dict[str, Mapping] = {}
+_loaded: WeakKeyDictionary[SparkSession, dict[str, Mapping]] = WeakKeyDictionary()
 
 
 def load_mapping(
@@ -21,9 +23,10 @@ def load_mapping(
         return Mapping.from_text(text)
     if not path:
         raise MappingError("neither a text nor a path is given")
-    if force or path not in _loaded:
+    known = _loaded.setdefault(spark, {})
+    if force or path not in known:
         rows = spark.read.text(path, wholetext=True).limit(2).collect()
         if len(rows) != 1:
             raise MappingError(f"{len(rows) or 'no'} definitions at the path, one is needed")
-        _loaded[path] = Mapping.from_text(rows[0]["value"])
-    return _loaded[path]
+        known[path] = Mapping.from_text(rows[0]["value"])
+    return known[path]
