@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,6 @@ BUCKETS = 1 << 20
 STARTS = (4, 5, 6)
 #: Marks that don't belong to a word they stand beside.
 MARKS = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~…“”‘’«»¿¡"
-#: Words whose buckets a task remembers, and their length at most.
-REMEMBERED, LONGEST = 200_000, 100
 
 
 @dataclass(frozen=True)
@@ -46,22 +46,61 @@ class Settings:
     seed: int = 13
 
 
-class WordBuckets(dict):
-    """Buckets of a word's terms."""
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        core = word.strip(MARKS)
-        terms = [core, *(core[:n] + "…" for n in STARTS if len(core) > n)] if core else []
-        found = tuple(xxhash.xxh64_intdigest(t.encode()) % BUCKETS for t in terms)
-        if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
-
-
-def buckets_of(text: str | None, buckets: WordBuckets) -> set[int]:
-    return {b for w in set((text or "").lower().split()) for b in buckets[w]}
+def hashes(terms: pa.Array, mark: str = "") -> np.ndarray:
+    """The bucket of each term; ``mark`` tells beginnings from whole words."""
+    coded = terms.dictionary_encode()
+    each = (xxhash.xxh64_intdigest(t + mark) % BUCKETS for t in coded.dictionary.to_pylist())
+    found = np.fromiter(each, np.int64, len(coded.dictionary))
+    return found[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def buckets_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of each word's terms in a row, and how many it has; small words have fewer."""
+    core = pc.utf8_trim(words, characters=MARKS)
+    length = pc.utf8_length(core).to_numpy(zero_copy_only=False)
+    found = np.full((len(words), 1 + len(STARTS)), -1, np.int64)
+    found[:, 0] = np.where(length > 0, hashes(core), -1)
+    for i, n in enumerate(STARTS, 1):
+        found[:, i] = np.where(length > n, hashes(pc.utf8_slice_codeunits(core, 0, n), "…"), -1)
+    return found[found >= 0], (found >= 0).sum(1)
+
+
+def ragged(lists: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers in a row, and how many each list has."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+
+
+def taken(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of some of the lists in a row, and from which of them each comes."""
+    n = sizes[which]
+    starts = (np.cumsum(sizes) - sizes)[which]
+    row = np.repeat(np.arange(len(which)), n)
+    return flat[np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)], row
+
+
+def terms_of(texts: pa.Array, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Text and bucket of each different bucket of each text, by text, then bucket; with ``known``,
+    of those in it only, as places in it. Each different word of the texts is looked up once."""
+    lower = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    split = pc.ascii_split_whitespace(lower)
+    doc = np.repeat(np.arange(len(texts)), np.diff(np.asarray(split.offsets)[: len(texts) + 1]))
+    coded = split.flatten().dictionary_encode()
+    word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    flat, sizes = buckets_of(coded.dictionary)
+    if known is not None:
+        at = np.searchsorted(known, flat)
+        hit = (known[np.minimum(at, len(known) - 1)] == flat) if len(known) else np.zeros(len(flat), bool)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        flat, sizes = at[hit], np.bincount(owner[hit], minlength=len(sizes))
+        some = sizes[word] > 0
+        doc, word = doc[some], word[some]
+    wide = max(len(sizes), 1)
+    pairs = np.unique(doc * wide + word)
+    doc, word = pairs // wide, pairs % wide
+    found, row = taken(flat, sizes, word)
+    both = np.unique(doc[row] * BUCKETS + found)
+    return both // BUCKETS, both % BUCKETS
 
 
 def labelled(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
@@ -78,11 +117,12 @@ def counted(texts: DataFrame) -> DataFrame:
     """Per bucket, in how many texts of each label it occurs; bucket -1 is in every text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets, seen = WordBuckets(), np.zeros((BUCKETS + 1, 2), np.int64)
+        seen = np.zeros((BUCKETS + 1, 2), np.int64)
         for batch in slices(batches):
-            for text, toxic in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic"))):
-                some = np.fromiter((-1, *buckets_of(text, buckets)), np.int64)
-                seen[some, int(toxic > 0)] += 1
+            toxic = (batch.column("toxic").to_numpy() > 0).astype(np.int64)
+            doc, bucket = terms_of(batch.column("text"))
+            seen[:BUCKETS] += np.bincount(2 * bucket + toxic[doc], minlength=2 * BUCKETS).reshape(-1, 2)
+            seen[BUCKETS] += np.bincount(toxic, minlength=2)
         used = np.flatnonzero(seen.sum(1))
         if len(used):
             bucket = np.where(used == BUCKETS, -1, used)
@@ -112,15 +152,17 @@ def telling(counts: DataFrame, clean: int, toxic: int, settings: Settings) -> li
 @dataclass
 class Machine:
     """score = sigmoid(bias + sum of weights + half of (sum of factors)^2 - sum of squared factors),
-    over the inputs that a text has; ``place`` gives each input bucket's row."""
+    over the inputs that a text has; ``place`` has the input buckets in order, one per row."""
 
-    place: dict[int, int]
+    place: np.ndarray
     bias: float
     weight: np.ndarray
     factor: np.ndarray
 
-    def inputs(self, text: str | None, buckets: WordBuckets) -> list[int]:
-        return sorted({self.place[b] for b in buckets_of(text, buckets) & self.place.keys()})
+    def inputs(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The inputs of all texts in a row, and how many each has."""
+        doc, place = terms_of(texts, self.place)
+        return place, np.bincount(doc, minlength=len(texts))
 
     def raw(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Scores before the sigmoid, of texts whose inputs stand in a row."""
@@ -132,9 +174,7 @@ class Machine:
             out += (np.bincount(row, v, len(sizes)) ** 2 - np.bincount(row, v * v, len(sizes))) / 2
         return out
 
-    def score(self, inputs: list[list[int]]) -> np.ndarray:
-        sizes = np.array([len(x) for x in inputs], np.int64)
-        flat = np.array([i for x in inputs for i in x], np.int64)
+    def score(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return sigmoid(self.raw(flat, sizes))
 
 
@@ -151,17 +191,13 @@ def fit(machine: Machine, inputs: list[list[int]], toxic: np.ndarray, settings:
     share = float(np.clip(toxic.mean(), 1e-4, 1 - 1e-4)) if len(toxic) else 0.5
     machine.bias = float(np.log(share / (1 - share)))
     steps_w, steps_v, step_b = np.full(n, 1e-2), np.full((n, k), 1e-2), 1e-2
-    sizes = np.array([len(x) for x in inputs], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    all_flat = np.array([i for x in inputs for i in x], np.int64)
+    all_flat, sizes = ragged(inputs)
     for _ in range(settings.rounds if len(toxic) else 0):
         order = rng.permutation(len(toxic))
         for at in range(0, len(order), 64):
             some = order[at : at + 64]
-            m = sizes[some]
-            flat = all_flat[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(starts[some], m)]
-            row = np.repeat(np.arange(len(some)), m)
-            wrong = sigmoid(machine.raw(flat, m)) - toxic[some]
+            flat, row = taken(all_flat, sizes, some)
+            wrong = sigmoid(machine.raw(flat, sizes[some])) - toxic[some]
             step_b += wrong.sum() ** 2
             machine.bias -= settings.rate * wrong.sum() / np.sqrt(step_b)
             if not len(flat):
@@ -194,14 +230,16 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, settings: Settings
     total = counts.filter("bucket = -1").first()
     clean, toxic = (total["clean"], total["toxic"]) if total else (0, 0)
     best = telling(counts, clean, toxic, settings) if clean and toxic else []
-    machine = Machine({b: i for i, b in enumerate(best)}, 0.0, np.zeros(len(best)), np.zeros((len(best), settings.factors)))
+    machine = Machine(np.array(best, np.int64), 0.0, np.zeros(len(best)), np.zeros((len(best), settings.factors)))
     blank = sent(docs, machine)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        eyes, buckets = received(blank), WordBuckets()
+        eyes = received(blank)
         for batch in slices(batches):
-            inputs = [eyes.inputs(t, buckets) for t in batch.column("text").to_pylist()]
-            columns = [batch.column("place"), batch.column("toxic"), pa.array(inputs, pa.list_(pa.int32()))]
+            flat, sizes = eyes.inputs(batch.column("text"))
+            ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+            inputs = pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))
+            columns = [batch.column("place"), batch.column("toxic"), inputs]
             yield pa.RecordBatch.from_arrays(columns, names=["place", "toxic", "inputs"])
 
     def train_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,9 +278,9 @@ def score_texts(docs: DataFrame, machine: Machine, keep: list[str] | None = None
     schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL("score double").fields])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, buckets = received(broadcast), WordBuckets()
+        model = received(broadcast)
         for batch in slices(batches):
-            scores = model.score([model.inputs(t, buckets) for t in batch.column("text").to_pylist()])
+            scores = model.score(*model.inputs(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores)], names=schema.names)
 
     return rows.mapInArrow(score, schema)

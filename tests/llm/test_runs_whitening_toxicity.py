@@ -7,7 +7,9 @@ from collections import Counter
 import duckdb
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from clinflow.llm import periodic, toxicity, whitening
@@ -204,14 +206,33 @@ def test_pairs_teach_what_single_terms_do_not():
         x = [i for i in (0, 1) if rng.random() < 0.5]
         toxic.append(len(x) == 2)
         inputs.append(x + [i for i in range(2, 10) if rng.random() < 0.3])
-    machine = toxicity.Machine({i: i for i in range(10)}, 0.0, np.zeros(10), np.zeros((10, 4)))
+    machine = toxicity.Machine(np.arange(10), 0.0, np.zeros(10), np.zeros((10, 4)))
     toxicity.fit(machine, inputs[:2000], np.array(toxic[:2000]), toxicity.Settings())
-    scores = machine.score(inputs[2000:])
+    scores = machine.score(*toxicity.ragged(inputs[2000:]))
     assert ((scores >= 0.5) == np.array(toxic[2000:])).mean() > 0.99
-    both, one, other = (float(machine.score([x])[0]) for x in ([0, 1], [0], [1]))
+    both, one, other = (float(machine.score(*toxicity.ragged([x]))[0]) for x in ([0, 1], [0], [1]))
     assert both > 0.9 and one < 0.1 and other < 0.1
 
 
+def test_terms_of_texts():
+    def buckets(word):
+        core = word.strip(toxicity.MARKS)
+        terms = [core, *(core[:n] + "…" for n in toxicity.STARTS if len(core) > n)] if core else []
+        return {xxhash.xxh64_intdigest(t) % toxicity.BUCKETS for t in terms}
+
+    texts = ["Word, word!! (longer) LONGEST", None, "", " ... ", "longer\tword" * 2, "x" * 200, "Élan, éèêîô"]
+    doc, bucket = toxicity.terms_of(pa.array(texts))
+    for i, text in enumerate(texts):
+        expected = {b for w in (text or "").lower().split() for b in buckets(w)}
+        assert bucket[doc == i].tolist() == sorted(expected)
+    known = np.array(sorted(buckets("word") | buckets("never")))
+    doc, place = toxicity.terms_of(pa.array(texts), known)
+    found = {(i, int(known[p])) for i, p in zip(doc.tolist(), place.tolist())}
+    assert {(0, b) for b in buckets("word")} <= found and {i for i, _ in found} <= {0, 4}
+    assert not len(toxicity.terms_of(pa.array(texts), np.empty(0, np.int64))[0])
+    assert not len(toxicity.terms_of(pa.array([], pa.string()))[0])
+
+
 def toxic_rows(rng, n):
     words = [f"w{i}" for i in range(300)]
     rows, labels = [], []
@@ -240,7 +261,7 @@ def test_toxicity_of_rows_without_labels(spark, clashing, odd_rows, no_docs):
     empty = next(r.score for r in found if r.doc_id == 900)
     assert 0 < empty < 0.3 and next(r.score for r in found if r.doc_id is None) > 0.3
     again = toxicity.learn(docs.repartition(3), marks, F.col("doc_id") < 500)
-    assert again.place == machine.place and np.allclose(again.weight, machine.weight)
+    assert (again.place == machine.place).all() and np.allclose(again.weight, machine.weight)
     assert toxicity.score_texts(clashing, machine).count() == len(odd_rows)
     assert toxicity.score_texts(no_docs, machine).count() == 0
 
