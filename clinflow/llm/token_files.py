@@ -72,6 +72,7 @@ class Encoder:
         self.end = encoding.end
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if max(size, encoding.end + 1) <= 1 << 16 else "<u4")
+        self.known = pa.array([], pa.large_string()), np.empty(0, self.dtype), np.empty(0, np.int64)
         self.length = np.zeros(size, np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.length[i] = len(token)  # of a byte-level vocabulary, whose characters are bytes
@@ -86,7 +87,24 @@ class Encoder:
         return np.concatenate(flat), np.array(sizes, np.int64)
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The same for words, each with a space before it."""
+        """The same for different words, each with a space before it. Those that the texts before had
+        as well are not encoded again; of older ones nothing is kept."""
+        old_words, old_flat, old_sizes = self.known
+        at = pc.index_in(words, value_set=old_words)
+        fresh = at.is_null()
+        flat, sizes = self.spaced(words.filter(fresh))
+        place = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        is_new = fresh.to_numpy(zero_copy_only=False)
+        place[is_new] = len(old_words) + np.arange(int(is_new.sum()))
+        flat, sizes = np.concatenate((old_flat, flat)), np.concatenate((old_sizes, sizes))
+        n = sizes[place]
+        starts = (np.cumsum(sizes) - sizes)[place]
+        flat = flat[np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)]
+        self.known = words, flat, n
+        return flat, n
+
+    def spaced(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Words with a space before them, many in a row; the bytes of the tokens tell them apart."""
         flat, sizes = [np.empty(0, self.dtype)], [np.empty(0, np.int64)]
         for at in range(0, len(words), TOGETHER):
             some = [" " + w for w in words[at : at + TOGETHER].to_pylist()]
