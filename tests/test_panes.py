@@ -31,11 +31,12 @@ def test_each_pane_is_handed_on_once_and_forgotten(spark, tmp_path):
         .trigger(**FAST)
         .start()
     )
-    deadline = time.monotonic() + 60
+    deadline = time.monotonic() + 120
     while time.monotonic() < deadline and spark.read.schema("n_errors long").parquet(out).count() < 3:
         time.sleep(0.2)
     add(spark, folder, 1, [("2024-01-01 00:00:03", "a", "late")] * 2)
-    time.sleep(1)
+    while time.monotonic() < deadline and not any(p["numInputRows"] == 2 for p in query.recentProgress):
+        time.sleep(0.2)
     until_panes_closed(query, 60)
     found = spark.read.parquet(out).select(F.unix_seconds("window_start").alias("w"), "step", "pane", "n_errors").collect()
     base = min(r.w for r in found)
