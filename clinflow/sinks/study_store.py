@@ -9,6 +9,7 @@ adds a run to the buckets it touches, and readers see committed runs only.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,7 +50,11 @@ class StudyStore:
         before = self.log.state()
         if before.batch is not None and batch_id <= before.batch:
             return
-        run = f"{batch_id:012d}-{uuid.uuid4().hex}"
+        folders = self._write(instances, f"{batch_id:012d}-{uuid.uuid4().hex}")
+        self.log.commit(before, before.folders | folders, batch_id)
+
+    def _write(self, instances: DataFrame, run: str) -> dict[str, int]:
+        """Rows as one run per bucket, and how many each has."""
         rows = instances.select(*INSTANCE.fieldNames()).withColumns({"bucket": self.bucket(), "run": F.lit(run)})
         dealt = rows.repartition("bucket").sortWithinPartitions("bucket", *STUDY_KEY, "instance_id")
         (
@@ -62,8 +67,18 @@ class StudyStore:
         written = self.spark.read.schema(LAID_OUT).parquet(f"{self.log.data}/bucket=*/run={run}")
         part = F.element_at(F.split(F.col("_metadata.file_path"), "/bucket="), -1)
         sizes = written.groupBy(F.regexp_extract(part, r"^(\d+)/", 1).alias("b")).count().collect()
-        folders = {f"bucket={r.b}/run={run}": r["count"] for r in sizes}
-        self.log.commit(before, before.folders | folders, batch_id)
+        return {f"bucket={r.b}/run={run}": r["count"] for r in sizes}
+
+    def compact(self, runs: int = 8) -> None:
+        """Write the buckets that have so many runs, or more, anew as one run each; the files of other
+        buckets stay as they are."""
+        before = self.log.state()
+        held = Counter(f.split("/")[0] for f in before.folders)
+        old = [f for f in before.folders if held[f.split("/")[0]] >= max(runs, 2)]
+        if old:
+            folders = self._write(self.log.read(old, LAID_OUT), f"merged-{before.number:012d}-{uuid.uuid4().hex}")
+            kept = {f: n for f, n in before.folders.items() if f not in set(old)}
+            self.log.commit(before, kept | folders, None)
 
     def read(self) -> DataFrame:
         """All instances."""

@@ -65,3 +65,19 @@ def test_a_study_that_grows_and_a_batch_that_comes_twice(spark, tmp_path):
     studies, resolved = read_studies(paths, store, scratch=str(tmp_path / "w"))
     assert [r.study for r in studies.collect()] == ['[{"a":1},{"b":1}]']
     assert sorted(r.ok for r in resolved.collect()) == [False, False, True]
+
+
+def test_runs_of_a_bucket_become_one(spark, tmp_path):
+    store = StudyStore(spark, str(tmp_path / "s"), buckets=4)
+    for batch in range(3):
+        store.append(instances(spark, 40 if batch else 1), batch)
+    before = kept(store.read())
+    one = [f for f in store.log.state().folders if sum(g.split("/")[0] == f.split("/")[0] for g in store.log.state().folders) < 3]
+    store.compact(3)
+    folders = store.log.state().folders
+    assert kept(store.read()) == before and set(one) <= set(folders)
+    assert len(folders) == len(one) + 1
+    store.compact(2)
+    assert len(store.log.state().folders) == 4 and kept(store.read()) == before
+    store.append(instances(spark, 2), 3)
+    assert len(kept(store.read())) == len(before) + 6
