@@ -1,7 +1,8 @@
 """Resource log and current view.
 
 Writes only append. The current state of a resource is its newest version, picked by an aggregate
-that combines on the map side, so a resource with very many versions is no hot spot.
+that combines on the map side, so a resource with very many versions is no hot spot. The aggregate
+sorts bodies; where the state is read often, ``CurrentView`` keeps it up without that.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ from clinflow.plans.errors import WINDOWS_SQL
 from clinflow.plans.feed import FEED_MAPPING, FEED_SQL
 from clinflow.plans.inputs import (
     EXPORTED_SQL,
+    INSTANCES_SQL,
     MESSAGES_SQL,
     entity_type_table,
     event_notifications,
@@ -23,7 +24,7 @@ from clinflow.plans.inputs import (
     united_notifications,
 )
 from clinflow.plans.registry import query
-from clinflow.plans.studies import IMAGING_MAPPING, STUDIES_SQL
+from clinflow.plans.studies import IMAGING_MAPPING, STUDIES_SQL, paths_of_users, study_store
 from clinflow.schemas import ERROR_ROW, IO_ERROR_ROW
 from clinflow.session import stream_table, table, work_dir
 from clinflow.sinks.commits import append_committed, read_committed
@@ -105,6 +106,35 @@ def stream_imaging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_resources(log).select("resource_type", "body")
 
 
+@query(
+    "T8 S12 L3 W4 W5",
+    f"""WITH {INSTANCES_SQL},
+wanted AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS study_id FROM events),
+studies AS (
+  SELECT study_id, min(instance_id) AS first,
+         arg_min(metadata, struct_pack(i := instance_id, m := metadata)) AS first_metadata
+  FROM instances JOIN wanted USING (study_id) GROUP BY study_id)
+SELECT 'ImagingStudy' AS resource_type, '{{"first":"' || first || '","frames":['
+  || json_extract_string(first_metadata, '$."00201208".Value[0]')
+  || '],"resourceType":"ImagingStudy","uid":"' || study_id || '"}}' AS body
+FROM studies
+""",
+)
+def stream_imaging_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed over a store by key: a notification per event, of studies far apart."""
+    paths = FeedPaths.below(work_dir(spark, "imaging-stored"))
+    notified = paths_of_users(stream_table(spark, sf_dir, "events"))
+    start_imaging_feed(
+        notified.select(F.encode("path", "UTF-8").alias("value")),
+        study_store(spark, sf_dir),
+        IMAGING_MAPPING,
+        paths,
+        trigger=_TO_END,
+    ).awaitTermination()
+    log = spark.read.parquet(paths.resources)
+    return current_resources(log).select("resource_type", "body")
+
+
 @query("W6 W9 T2 T4", "SELECT props AS value FROM events WHERE event_type = 'error'")
 def stream_error_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "error-sink")

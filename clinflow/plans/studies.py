@@ -147,9 +147,9 @@ def study_store(spark: SparkSession, sf_dir: str) -> StudyStore:
     return store
 
 
-def _paths_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def paths_of_users(events: DataFrame) -> DataFrame:
     """A path per event: the study that has the user's number, all over the store."""
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         text_of(
             STORE_PATH, "/dicomWeb/studies/", F.col("user_id"), "/series/1/instances/", F.col("event_id")
         ).alias("path")
@@ -166,5 +166,5 @@ FROM instances JOIN wanted USING (study_id) GROUP BY study_id""",
 )
 def stored_study_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scattered studies from a store that is read by key."""
-    studies, _ = read_studies(_paths_of_users(spark, sf_dir), study_store(spark, sf_dir))
+    studies, _ = read_studies(paths_of_users(table(spark, sf_dir, "events")), study_store(spark, sf_dir))
     return studies.select("study_id", "study", "n_notifications")
