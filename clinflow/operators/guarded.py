@@ -8,6 +8,8 @@ they stay exact beside one.
 
 import traceback
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import Any
 
 import pandas as pd
 import pyarrow as pa
@@ -41,9 +43,17 @@ _RAW_ERROR = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class OfRow:
+    """A function of single rows that needs no frames: it gets the values of a row by name, and returns
+    those of the output columns in their order. A frame for each row costs more than most calls."""
+
+    call: Callable[[dict[str, Any]], tuple]
+
+
 def guarded_map(
     df: DataFrame,
-    make: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
+    make: Callable[[], Callable[[pd.DataFrame], pd.DataFrame] | OfRow],
     schema: T.StructType,
     step: str,
     resource: str | None = None,
@@ -58,7 +68,7 @@ def guarded_map(
     columns, the output columns, ``ok``, ``error`` and ``fatal`` — true when the exception is of
     none of the ``recoverable`` classes, subclasses not included. ``report_then_fail`` acts on it.
     With ``one_by_one`` the function gets single rows, each once per task: for calls that have an
-    effect and must not be repeated for the sake of other rows.
+    effect and must not be repeated for the sake of other rows. An ``OfRow`` always does.
     """
     names = [f.name for f in schema.fields]
     clash = set(names) & set(df.columns)
@@ -71,7 +81,10 @@ def guarded_map(
         fn = make()
         kinds = {f.name: to_arrow_type(f.dataType) for f in schema.fields}
         for batch in batches:
-            made = _guard(fn, batch.to_pandas(types_mapper=_EXACT.get), kinds, one_by_one)
+            if isinstance(fn, OfRow):
+                made = _guard_rows(fn, batch, kinds)
+            else:
+                made = _guard(fn, batch.to_pandas(types_mapper=_EXACT.get), kinds, one_by_one)
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=out_schema.names)
 
     mapped = df.mapInArrow(run, out_schema)
@@ -122,9 +135,31 @@ def _guard(
             else:
                 middle = (start + end) // 2
                 ranges += [(middle, end), (start, middle)]
-    columns = [pa.concat_arrays(column) for column in zip(*parts)]
-    causes = [pa.array([f and f[i] for f in failures], pa.string()) for i in range(3)]
-    return columns + causes
+    return [pa.concat_arrays(column) for column in zip(*parts)] + _causes(failures)
+
+
+def _guard_rows(fn: OfRow, batch: pa.RecordBatch, kinds: dict[str, pa.DataType]) -> list[pa.Array]:
+    """The same for a function of rows, each called once."""
+    none = (None,) * len(kinds)
+    values: list[tuple] = []
+    failures: list[tuple[str, str, str] | None] = []
+    for row in batch.to_pylist():
+        try:
+            out = fn.call(row)
+            if len(out) != len(kinds):
+                raise RuntimeError("one value per output column is expected")
+            values.append(tuple(pa.scalar(v, k) for v, k in zip(out, kinds.values())))
+            failures.append(None)
+        except Exception as e:  # noqa: BLE001 - the failure becomes a row
+            values.append(none)
+            failures.append((type(e).__name__, str(e), traceback.format_exc()))
+    columns = zip(*values) if values else [()] * len(kinds)
+    return [pa.array(c, kind) for c, kind in zip(columns, kinds.values())] + _causes(failures)
+
+
+def _causes(failures: list[tuple[str, str, str] | None]) -> list[pa.Array]:
+    """Class, message and trace of each row's failure."""
+    return [pa.array([f and f[i] for f in failures], pa.string()) for i in range(3)]
 
 
 def row_function(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinflow.operators.guarded import OfRow
 from clinflow.operators.lookups import entity_types
 from clinflow.operators.metrics import BINS, observed_stream, quantile, sum_bins
 from clinflow.operators.resources import current_resources
@@ -283,15 +286,17 @@ def _json_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).json(path)
 
 
+_ID = re.compile(r'"id":(\d+)')
+
+
 def _refusing_odd():
     """A client that refuses events with an odd number, as a store might."""
 
-    def send(batch):
-        odd = batch["output"].str.extract(r'"id":(\d+)', expand=False).astype(int) % 2 == 1
-        status = odd.map({True: 422, False: 200}).astype("int32")
-        return batch.assign(status=status, reply=odd.map({True: "refused", False: "stored"}))
+    def send(row):
+        odd = int(_ID.search(row["output"])[1]) % 2 == 1
+        return (422, "refused") if odd else (200, "stored")
 
-    return send
+    return OfRow(send)
 
 
 @query(

@@ -6,7 +6,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from clinflow.operators.guarded import guarded_map
+from clinflow.operators.guarded import OfRow, guarded_map
 from clinflow.operators.outcomes import checked, error_entry, split_ok, to_io_error_rows
 from clinflow.schemas import IO_ERROR_ROW
 from clinflow.sinks.bundles import (
@@ -195,6 +195,26 @@ def test_nothing_is_sent_twice(spark, rows, tmp_path):
     assert sorted((tmp_path / "sent").read_text().split()) == sorted(bodies)
 
 
+def test_bodies_are_sent_as_plain_rows_too(rows, tmp_path):
+    def make():
+        def send(row):
+            with open(tmp_path / "sent", "a") as file:
+                file.write(f"{row['output']}\n")
+            if row["output"] == "boom":
+                raise OSError("no connection")
+            return ("many", "r") if row["output"] == "odd" else (503 if "bad" in row["output"] else 201, "r")
+
+        return OfRow(send)
+
+    bodies = ["a", "bad", "boom", "odd", "b"]
+    sent = post_bundles(rows(bodies, "output string").coalesce(1), make, keep=()).collect()
+    got = {r.output: (r.ok, r.status, r.reply) for r in sent}
+    nothing = (False, None, None)
+    assert got == {"a": (True, 201, "r"), "b": (True, 201, "r"), "bad": (False, 503, "r"), "boom": nothing, "odd": nothing}
+    assert {r.output: r.error and r.error.error_message for r in sent}["boom"] == "no connection"
+    assert sorted((tmp_path / "sent").read_text().split()) == sorted(bodies)
+
+
 def test_check_bundles(rows):
     got = check_bundles(rows(["{}", "5", "{", None], "output string")).collect()
     assert [r.ok for r in got] == [True, True, False, False]
