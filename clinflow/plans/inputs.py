@@ -107,7 +107,7 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name"
     )
-    named = lookup_join(table(spark, sf_dir, "customer"), nation, ["c_nationkey"], "inner")
+    named = lookup_join(spread_table(spark, sf_dir, "customer"), nation, ["c_nationkey"], "inner")
     dob = F.date_add(F.lit("1930-01-01").cast("date"), (F.col("c_custkey") % 30000).cast("int"))
     payload = F.to_json(
         F.struct(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinflow.operators.guarded import OfRow
 from clinflow.operators.mapping import (
     Mapping,
     bundle_entries,
@@ -182,16 +184,17 @@ def failed_bundle_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failed_bodies(bad).select("dataElement", "message", "statusCode")
 
 
+VISITS = re.compile(r'"visits":(\d+)')
+
+
 def refusing_client():
     """A client that refuses patients seen in an odd-numbered nation, as a store might."""
 
-    def send(batch):
-        visits = batch["output"].str.extract(r'"visits":(\d+)', expand=False).astype(int)
-        status = (visits % 2 == 0).map({True: 200, False: 422}).astype("int32")
-        reply = status.map({200: "stored", 422: "refused"})
-        return batch.assign(status=status, reply=reply)[["status", "reply"]]
+    def send(row):
+        visits = int(VISITS.search(row["output"])[1])
+        return (200, "stored") if visits % 2 == 0 else (422, "refused")
 
-    return send
+    return OfRow(send)
 
 
 @query(

@@ -215,6 +215,14 @@ def test_bodies_are_sent_as_plain_rows_too(rows, tmp_path):
     assert sorted((tmp_path / "sent").read_text().split()) == sorted(bodies)
 
 
+def test_the_clients_of_the_queries_make_no_frame_per_body():
+    from clinflow.plans.mapping import refusing_client
+    from clinflow.plans.streams import _refusing_odd
+
+    assert refusing_client().call({"output": '{"visits":4}'}) == (200, "stored")
+    assert _refusing_odd().call({"output": '{"id":7}'}) == (422, "refused")
+
+
 def test_check_bundles(rows):
     got = check_bundles(rows(["{}", "5", "{", None], "output string")).collect()
     assert [r.ok for r in got] == [True, True, False, False]
