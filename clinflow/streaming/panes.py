@@ -8,7 +8,7 @@ timers as well, so nothing has to be counted again.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,56 +24,86 @@ from clinflow.streaming.windows import ERROR_WINDOW
 PANE_DELAY = 5000
 #: How often a query looks for panes to close.
 PANE_TRIGGER = {"processingTime": "1 second"}
+_COMMITTER = "mapreduce.fileoutputcommitter.algorithm.version"
+#: Keys of the state; the open panes are dealt to them by a hash.
+PANE_BUCKETS = 1024
 
 Rows = Iterator[pd.DataFrame]
 
 
-def _deadline(state: GroupState, delay: int) -> int:
-    return state.get[0] if state.exists else state.getCurrentProcessingTimeMs() + delay
-
-
-def _wait(state: GroupState, deadline: int) -> None:
+def _wait(state: GroupState, deadlines: Iterable[int]) -> None:
     """The timer has to be set after every call, or there is none."""
-    state.setTimeoutDuration(max(1, deadline - state.getCurrentProcessingTimeMs()))
+    state.setTimeoutDuration(max(1, min(deadlines) - state.getCurrentProcessingTimeMs()))
 
 
 def counting(delay: int) -> Callable[[tuple, Rows, GroupState], Rows]:
-    """Number of a pane's rows."""
+    """Numbers of rows of a bucket's panes. Rows that come for a pane whose time is over open another
+    one, so a bucket that gets rows all the time hands its panes on as well."""
 
     def run(key: tuple, batches: Rows, state: GroupState) -> Rows:
-        if state.hasTimedOut:
-            deadline, n = state.get
+        now = state.getCurrentProcessingTimeMs()
+        held = list(zip(*state.get)) if state.exists else []
+        due = [p for p in held if p[2] <= now]
+        if due:
+            yield pd.DataFrame(due, columns=["window_start", "step", "pane", "n_errors"])
+        panes = {(w, s): (deadline, n) for w, s, deadline, n in held if deadline > now}
+        for batch in batches:
+            sizes = batch.groupby(["window_start", "step"], dropna=False, sort=False).size()
+            for (w, s), n in sizes.items():
+                at = int(w), None if pd.isna(s) else s
+                deadline, before = panes.get(at, (now + delay, 0))
+                panes[at] = deadline, before + int(n)
+        if panes:
+            rows = [(w, s, deadline, n) for (w, s), (deadline, n) in panes.items()]
+            state.update(tuple(map(list, zip(*rows))))
+            _wait(state, (deadline for deadline, _ in panes.values()))
+        elif state.exists:
             state.remove()
-            yield pd.DataFrame([(*key, deadline, n)], columns=["window_start", "step", "pane", "n_errors"])
-            return
-        deadline, before = _deadline(state, delay), state.get[1] if state.exists else 0
-        state.update((deadline, before + sum(len(b) for b in batches)))
-        _wait(state, deadline)
 
     return run
 
 
 def holding(delay: int) -> Callable[[tuple, Rows, GroupState], Rows]:
-    """The lines of a pane themselves."""
+    """The lines of a bucket's panes themselves."""
 
     def run(key: tuple, batches: Rows, state: GroupState) -> Rows:
-        if state.hasTimedOut:
-            deadline, lines = state.get
-            state.remove()
-            yield pd.DataFrame({"window_start": key[0], "pane": deadline, "value": list(lines)})
-            return
-        deadline, held = _deadline(state, delay), list(state.get[1]) if state.exists else []
+        now = state.getCurrentProcessingTimeMs()
+        held = list(zip(*state.get)) if state.exists else []
+        for w, deadline, lines in held:
+            if deadline <= now:
+                yield pd.DataFrame({"window_start": w, "pane": deadline, "value": list(lines)})
+        panes = {w: (deadline, list(lines)) for w, deadline, lines in held if deadline > now}
         for batch in batches:
-            held.extend(batch["value"].tolist())
-        state.update((deadline, held))
-        _wait(state, deadline)
+            for w, value in zip(batch["window_start"].tolist(), batch["value"].tolist()):
+                if w not in panes:
+                    panes[w] = now + delay, []
+                panes[w][1].append(value)
+        if panes:
+            rows = [(w, deadline, lines) for w, (deadline, lines) in panes.items()]
+            state.update(tuple(map(list, zip(*rows))))
+            _wait(state, (deadline for deadline, _ in panes.values()))
+        elif state.exists:
+            state.remove()
 
     return run
 
 
 def _window(ts: str, width: str) -> Column:
-    """Start of a row's window; a row without a time has that of its arrival."""
-    return F.window(F.coalesce(F.col(ts).cast("timestamp"), F.current_timestamp()), width)["start"]
+    """Start of a row's window, in microseconds; a row without a time has that of its arrival."""
+    at = F.coalesce(F.col(ts).cast("timestamp"), F.current_timestamp())
+    return F.unix_micros(F.window(at, width)["start"])
+
+
+def _bucket(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(PANE_BUCKETS)).cast("int")
+
+
+def _panes(rows: DataFrame, run: Callable, schema: str, state: str) -> DataFrame:
+    """Panes by bucket, with the start of their window as a time again."""
+    closed = rows.groupBy("bucket").applyInPandasWithState(
+        run, f"window_start long, {schema}", state, "append", GroupStateTimeout.ProcessingTimeTimeout
+    )
+    return closed.withColumn("window_start", F.timestamp_micros("window_start"))
 
 
 def counted_panes(
@@ -81,15 +111,15 @@ def counted_panes(
 ) -> DataFrame:
     """``n_errors`` of each pane of a window and step. Panes of one window add up to it.
 
-    State is a number per open pane, whatever the rows.
+    State is a number per open pane, whatever the rows. The panes are dealt into buckets, as a call
+    and a timer for each would cost more than their rows.
     """
     keyed = stream.select(_window(ts, width).alias("window_start"), F.col(step).alias("step"))
-    return keyed.groupBy("window_start", "step").applyInPandasWithState(
+    return _panes(
+        keyed.withColumn("bucket", _bucket("window_start", "step")),
         counting(delay),
-        "window_start timestamp, step string, pane long, n_errors long",
-        "deadline long, n long",
-        "append",
-        GroupStateTimeout.ProcessingTimeTimeout,
+        "step string, pane long, n_errors long",
+        "windows array<long>, steps array<string>, deadlines array<long>, n array<long>",
     )
 
 
@@ -102,17 +132,16 @@ def held_panes(
 ) -> DataFrame:
     """The lines (``value``) of each pane, when it is handed on.
 
-    The lines of a window are dealt to ``shards`` panes, so that state is a shard of the few seconds
-    that a pane is open.
+    The lines of a window are dealt to ``shards`` panes, and the panes into buckets, so that state is
+    a bucket's share of the few seconds that a pane is open.
     """
     shard = F.pmod(F.xxhash64("value", ts), F.lit(shards)).alias("shard")
     keyed = lines.select(_window(ts, width).alias("window_start"), shard, F.coalesce("value", F.lit("")).alias("value"))
-    return keyed.groupBy("window_start", "shard").applyInPandasWithState(
+    return _panes(
+        keyed.withColumn("bucket", _bucket("window_start", "shard")).drop("shard"),
         holding(delay),
-        "window_start timestamp, pane long, value string",
-        "deadline long, lines array<string>",
-        "append",
-        GroupStateTimeout.ProcessingTimeTimeout,
+        "pane long, value string",
+        "windows array<long>, deadlines array<long>, lines array<array<string>>",
     )
 
 
@@ -132,7 +161,10 @@ def start_pane_sink(
     def run(batch: DataFrame, batch_id: int) -> None:
         utc = F.to_utc_timestamp("window_start", F.current_timezone())
         named = batch.select(F.date_format(utc, "yyyy-MM-dd'T'HH-mm-ss").alias("window"), "value")
-        named.write.mode("overwrite").partitionBy("window").text(batch_path(path, batch_id))
+        # One file for a window, unless it is large; tasks put their own files in place, as the
+        # driver would have to do it one by one.
+        whole = named.hint("rebalance", F.col("window")).write.mode("overwrite").option(_COMMITTER, "2")
+        whole.partitionBy("window").text(batch_path(path, batch_id))
 
     panes = held_panes(lines, ts, width, delay, shards)
     started = panes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
@@ -142,19 +174,25 @@ def start_pane_sink(
 def until_panes_closed(query: StreamingQuery, seconds: float = 600) -> None:
     """Wait until all input is read and no pane is open, then stop the query.
 
-    For input that ends; a feed simply goes on.
+    For input that ends; a feed simply goes on. A batch may take as long as it needs; it is an error
+    if batches do nothing for ``seconds`` while panes are open.
     """
-    end = time.monotonic() + seconds
+    end, seen, open_before = time.monotonic() + seconds, None, None
     try:
-        while time.monotonic() < end:
+        while True:
+            if query.exception() is not None:
+                raise query.exception()
             done = query.lastProgress
-            if done is not None and done["numInputRows"] == 0 and done["batchId"] > 0:
+            if done is not None and (done["batchId"], done["timestamp"]) != seen:
+                seen = done["batchId"], done["timestamp"]
                 states = done["stateOperators"]
-                if states and states[0]["numRowsTotal"] == 0:
+                still_open = states[0]["numRowsTotal"] if states else None
+                if done["numInputRows"] == 0 and done["batchId"] > 0 and still_open == 0:
                     return
-            if query.exception() is not None:
-                raise query.exception()
+                if done["numInputRows"] or still_open != open_before:
+                    end, open_before = time.monotonic() + seconds, still_open
+                elif time.monotonic() > end:
+                    raise TimeoutError("panes are still open")
             time.sleep(0.2)
-        raise TimeoutError("panes are still open")
     finally:
         query.stop()

@@ -2,9 +2,10 @@
 
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from clinflow.streaming.panes import counted_panes, start_pane_sink, until_panes_closed
+from clinflow.streaming.panes import counted_panes, counting, holding, start_pane_sink, until_panes_closed
 
 SCHEMA = "ts timestamp, step string, value string"
 FAST = {"processingTime": "200 milliseconds"}
@@ -55,3 +56,51 @@ def test_lines_lie_in_folders_of_their_windows_whatever_the_zone(spark, tmp_path
     found = spark.read.option("basePath", str(tmp_path / "out")).text(str(tmp_path / "out"))
     lines = sorted((r.window, r.value) for r in found.select(F.col("window").cast("string").alias("window"), "value").collect())
     assert lines == [("2024-01-01T00-00-00", "one"), ("2024-01-01T00-00-05", ""), ("2024-01-01T00-00-05", "two")]
+
+
+class State:
+    """A bucket's state with a clock of the test's own."""
+
+    def __init__(self):
+        self.now, self.kept, self.timer, self.hasTimedOut = 1000, None, None, False
+
+    exists = property(lambda self: self.kept is not None)
+    get = property(lambda self: self.kept)
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def update(self, value):
+        self.kept = value
+
+    def remove(self):
+        self.kept = None
+
+    def setTimeoutDuration(self, ms):
+        self.timer = ms
+
+
+def test_a_bucket_holds_many_panes_and_hands_them_on_beside_new_rows():
+    state, run = State(), counting(500)
+    rows = pd.DataFrame({"window_start": [0, 0, 5, 5], "step": ["a", "a", "a", None]})
+    assert list(run((1,), iter([rows]), state)) == [] and state.timer == 500
+    state.now = 1400  # another window, while the first panes are open
+    assert list(run((1,), iter([pd.DataFrame({"window_start": [9, 0], "step": ["a", "a"]})]), state)) == []
+    assert state.timer == 100
+    state.now = 1600  # rows come when the panes' time is over: these are handed on, and a new one opens
+    out = pd.concat(run((1,), iter([rows[:1]]), state))
+    assert sorted(zip(out["window_start"], out["step"].fillna(""), out["n_errors"])) == [(0, "a", 3), (5, "", 1), (5, "a", 1)]
+    state.now, state.hasTimedOut = 2200, True
+    out = pd.concat(run((1,), iter([]), state))
+    assert sorted(zip(out["window_start"], out["pane"], out["n_errors"])) == [(0, 2100, 1), (9, 1900, 1)]
+    assert not state.exists
+
+
+def test_lines_of_a_bucket_keep_to_their_windows():
+    state, run = State(), holding(500)
+    rows = pd.DataFrame({"window_start": [0, 5, 0], "value": ["x", "y", ""]})
+    assert list(run((1,), iter([rows]), state)) == []
+    state.now, state.hasTimedOut = 1500, True
+    out = pd.concat(run((1,), iter([]), state))
+    assert sorted(zip(out["window_start"], out["value"])) == [(0, ""), (0, "x"), (5, "y")]
+    assert not state.exists
