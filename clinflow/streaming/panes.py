@@ -17,14 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from clinflow.sinks.errors import MESSAGE_FEED_SHARDS
-from clinflow.sinks.files import batch_path
+from clinflow.sinks.files import write_folders
 from clinflow.streaming.windows import ERROR_WINDOW
 
 # Fixed value: how long after its first row a pane is handed on, in milliseconds.
 PANE_DELAY = 5000
 #: How often a query looks for panes to close.
 PANE_TRIGGER = {"processingTime": "1 second"}
-_COMMITTER = "mapreduce.fileoutputcommitter.algorithm.version"
 #: Keys of the state; the open panes are dealt to them by a hash.
 PANE_BUCKETS = 1024
 
@@ -160,11 +159,8 @@ def start_pane_sink(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         utc = F.to_utc_timestamp("window_start", F.current_timezone())
-        named = batch.select(F.date_format(utc, "yyyy-MM-dd'T'HH-mm-ss").alias("window"), "value")
-        # One file for a window, unless it is large; tasks put their own files in place, as the
-        # driver would have to do it one by one.
-        whole = named.hint("rebalance", F.col("window")).write.mode("overwrite").option(_COMMITTER, "2")
-        whole.partitionBy("window").text(batch_path(path, batch_id))
+        window = F.concat(F.lit("window="), F.date_format(utc, "yyyy-MM-dd'T'HH-mm-ss"))
+        write_folders(batch.select(window.alias("folder"), "value"), path, batch_id)
 
     panes = held_panes(lines, ts, width, delay, shards)
     started = panes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

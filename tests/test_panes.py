@@ -5,6 +5,7 @@ import time
 import pandas as pd
 from pyspark.sql import functions as F
 
+from clinflow.sinks.files import write_folders
 from clinflow.streaming.panes import counted_panes, counting, holding, start_pane_sink, until_panes_closed
 
 SCHEMA = "ts timestamp, step string, value string"
@@ -58,6 +59,15 @@ def test_lines_lie_in_folders_of_their_windows_whatever_the_zone(spark, tmp_path
     assert lines == [("2024-01-01T00-00-00", "one"), ("2024-01-01T00-00-05", ""), ("2024-01-01T00-00-05", "two")]
 
 
+def test_a_window_has_one_file_and_a_repeated_batch_replaces_it(spark, tmp_path):
+    lines = spark.range(0, 60, 1, 6).selectExpr("concat('window=', id % 3) AS folder", "concat('l', id) AS value")
+    for _ in range(2):
+        write_folders(lines, str(tmp_path / "out"), 4)
+    files = sorted(p.relative_to(tmp_path / "out").parent.as_posix() for p in tmp_path.glob("out/**/*.txt"))
+    assert files == [f"batch_id=4/window={i}" for i in range(3)]
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == sorted(f"l{i}" for i in range(60))
+
+
 class State:
     """A bucket's state with a clock of the test's own."""
 
