@@ -14,20 +14,26 @@ from clinflow.sinks.study_store import STUDY_KEY, StudyStore
 READ_STEP = "ReadStudyMetadata"
 
 
-def notified_studies(parsed: DataFrame) -> DataFrame:
+def path_counts(parsed: DataFrame) -> DataFrame:
+    """Paths per study, ``_n``; those that name none have a row without a key."""
+    return parsed.groupBy(*STUDY_KEY).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def notified_studies(counts: DataFrame) -> DataFrame:
     """One row per study that valid paths name, with the number of its notifications."""
-    valid = parsed.filter(F.col("study_id").isNotNull())
-    return valid.groupBy(*STUDY_KEY).agg(F.count(F.lit(1)).alias("n_notifications"))
+    return counts.filter(F.col("study_id").isNotNull()).withColumnRenamed("_n", "n_notifications")
 
 
-def resolve_paths(parsed: DataFrame, known: DataFrame, **limits: int) -> DataFrame:
+def resolve_paths(
+    parsed: DataFrame, known: DataFrame, counts: DataFrame | None = None, **limits: int
+) -> DataFrame:
     """Each notified path, and whether its study is known.
 
     Rejected rows keep the path as error resource. A path costs one row no matter how large its
-    study is.
+    study is. With ``counts``, the written :func:`path_counts`, no path is read to find heavy studies.
     """
     keys = known.select(*STUDY_KEY, F.lit(True).alias("_known"))
-    found = lookup_join(parsed, keys, STUDY_KEY, **limits)
+    found = lookup_join(parsed, keys, STUDY_KEY, counts=counts, **limits)
     message = F.when(F.col("study_id").isNull(), F.lit("Invalid DICOM web path")).otherwise(
         F.concat(F.lit("no metadata for study "), F.col("study_id"))
     )
@@ -43,8 +49,10 @@ def study_documents(
     A study is one array, in order of ``instance_id``, read once however many of its instances were
     notified; the row says how many were. Of a ``StudyStore`` the buckets of the wanted studies are
     read. Of a table the span of the wanted keys reaches the reader, so one that is sorted by study
-    is read between the first and the last of them.
+    is read between the first and the last of them. Heavy studies are not spread for the join: each
+    one's instances meet in a task after it anyway, by the same shuffle.
     """
+    limits = limits | {"hot_rows": None}
     if isinstance(instances, StudyStore):
         chosen = instances.of(wanted, **limits)
     else:
@@ -73,6 +81,7 @@ def read_studies(
     """
     base = work_dir(paths.sparkSession, "studies") if scratch is None else scratch
     parsed = with_web_path(paths)
-    wanted = written(notified_studies(parsed), f"{base}/wanted")
+    counts = written(path_counts(parsed), f"{base}/wanted")
+    wanted = notified_studies(counts)
     studies = written(study_documents(instances, wanted, **limits), f"{base}/studies")
-    return studies, resolve_paths(parsed, studies, **limits)
+    return studies, resolve_paths(parsed, studies, counts, **limits)

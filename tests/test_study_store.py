@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from clinflow.operators import lookups
 from clinflow.operators.studies import read_studies, study_documents
 from clinflow.sinks.study_store import INSTANCE, StudyStore
 
@@ -81,3 +82,22 @@ def test_runs_of_a_bucket_become_one(spark, tmp_path):
     assert len(store.log.state().folders) == 4 and kept(store.read()) == before
     store.append(instances(spark, 2), 3)
     assert len(kept(store.read())) == len(before) + 6
+
+
+def test_heavy_studies_are_told_by_the_counts_of_paths(spark, monkeypatch):
+    def sampled(*_):
+        raise AssertionError("the paths are read again")
+
+    monkeypatch.setattr(lookups, "sampled_counts", sampled)
+    store = "projects/p/locations/l/datasets/d/dicomStores/s"
+    path = f"concat('{store}/dicomWeb/studies/', id % 4, '/series/1/instances/', id)"
+    paths = spark.range(0, 40, 1, 3).selectExpr(f"if(id % 10 = 9, 'none', {path}) AS path")
+    known = spark.range(0, 6).selectExpr(
+        f"'{store}' AS dicom_store_path", "cast(id % 3 AS string) AS study_id", "cast(id AS string) AS instance_id", "'{}' AS metadata"
+    )
+    studies, resolved = read_studies(paths, known, broadcast_bytes=0, hot_rows=3)
+    assert sorted((r.study_id, r.n_notifications, r.study) for r in studies.collect()) == [
+        ("0", 10, "[{},{}]"), ("1", 8, "[{},{}]"), ("2", 10, "[{},{}]")
+    ]
+    causes = sorted(r.error.error_message if r.error else "" for r in resolved.collect())
+    assert causes == [""] * 28 + ["Invalid DICOM web path"] * 4 + ["no metadata for study 3"] * 8
