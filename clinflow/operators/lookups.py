@@ -89,16 +89,16 @@ def spread_join(
     right: DataFrame,
     on: list[str],
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
-    counts: DataFrame | None = None,
+    hot_rows: int | list[Row] = HOT_ROWS,
 ) -> DataFrame:
-    """Shuffled join with hot left keys spread; ``right`` holds one row per key.
+    """Shuffled join with hot left keys spread; ``right`` holds one row per key. ``hot_rows`` tells from
+    how many rows on a key is hot, or which keys are, if :func:`hot_keys` found them already.
 
     Without hot keys it is a plain join, so tables that are bucketed by the key need no shuffle.
     Else the part of a row is that of its input task: the same on a retry, and different for equal
     rows. Rows without a key match nothing, so they are spread as well.
     """
-    rows = hot_keys(left, on, hot_rows, counts)
+    rows = hot_keys(left, on, hot_rows) if isinstance(hot_rows, int) else hot_rows
     if not rows:
         return left.join(right, on, how)
     schema = T.StructType(
@@ -184,7 +184,8 @@ def lookup_join(
     wanted = wanted_keys(left if counts is None else counts, on)
     if wanted is not None:
         right = only_wanted(right, wanted, on)
-    return spread_join(left, right, on, how, hot_rows, counts)
+    hot = hot_rows if counts is None else hot_keys(left, on, hot_rows, counts)
+    return spread_join(left, right, on, how, hot)
 
 
 def fetch_by_id(

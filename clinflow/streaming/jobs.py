@@ -1,6 +1,7 @@
 """The feeds as streaming queries.
 
-Every micro-batch is worked out once and kept while its outputs are written. Each output goes to a
+Every micro-batch is worked out once and kept while its outputs are written: by the message feed, which
+takes a large table in batches, in the executors, by the imaging feed in files. Each output goes to a
 folder named after the run — a checkpoint has one, for good — and the batch, and replaces what an
 earlier attempt left there. So a batch that is repeated after a failure has no double effect, and a
 feed that starts anew with another checkpoint leaves the old output alone.
@@ -166,16 +167,28 @@ def _posted(outcomes: DataFrame, client: Client, scratch: str) -> DataFrame:
 
 
 def _write_outcomes(
-    outcomes: DataFrame, paths: FeedPaths, batch_id: int, shards: int, report: Reports
+    outcomes: DataFrame,
+    paths: FeedPaths,
+    batch_id: int,
+    shards: int,
+    report: Reports,
+    scratch: str | None = None,
 ) -> None:
-    """Bundles, resources and the three dead letters of one batch."""
+    """Bundles, resources and the three dead letters of one batch.
+
+    With ``scratch``, for batches of any size, the outcomes are kept in files there.
+    """
     replies = f"{paths.scratch}/replies-{batch_id}"
-    mapped = outcomes.persist(StorageLevel.MEMORY_AND_DISK)
-    kept = mapped
     metrics: dict[str, int | None] = {}
+    mapping = partial(metrics.__setitem__, "transform_ms")
+    if scratch is None:
+        mapped = outcomes.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        mapped = timed(lambda: written(outcomes, f"{scratch}/outcomes"), mapping)
+    kept = mapped
     try:
-        if report.on_metrics is not None:  # else the rows are mapped while they are written
-            timed(mapped.count, partial(metrics.__setitem__, "transform_ms"))
+        if scratch is None and report.on_metrics is not None:  # else they are mapped while written
+            timed(mapped.count, mapping)
         if report.client is not None:
             kept = _posted(mapped, report.client, replies)
         seen = timed(
@@ -316,19 +329,20 @@ def start_imaging_feed(
     """Binary notifications with a web path to one bundle per study.
 
     ``instances`` is a table, a function that reads it anew for each batch, or a ``StudyStore``, of
-    which a batch reads the buckets that its studies are in.
+    which a batch reads the buckets that its studies are in. As each batch searches them, a batch may
+    be large: its paths and outcomes are kept in files below ``paths.scratch`` while it lasts. Kept by
+    the executors they would fill the memory that the joins and sorts beside them need.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         text = payload_text(batch, "value").select(F.col("value").alias("path"))
-        notified = spread(text).persist(StorageLevel.MEMORY_AND_DISK)
         here = paths.of_run(batch.sparkSession)
         scratch = f"{here.scratch}/batch_id={batch_id}"
         try:
+            notified = written(spread(text), f"{scratch}/notified")
             outcomes = imaging_outcomes(notified, _now(instances), mapping, scratch=scratch)
-            _write_outcomes(outcomes, here, batch_id, shards, report)
+            _write_outcomes(outcomes, here, batch_id, shards, report, scratch)
         finally:
-            notified.unpersist()
             remove_listed(batch.sparkSession, [scratch])
 
     return _start(notifications, run, paths.checkpoint, trigger)

@@ -162,6 +162,42 @@ def test_imaging_feed(spark, rows, tmp_path):
     assert len(list((tmp_path / "out" / "read_errors").rglob("part-*.txt"))) == 1
 
 
+def test_an_imaging_batch_is_not_kept_in_the_executors(spark, rows, tmp_path):
+    """Large batches go through files, and those go with the batch."""
+    store = "p/a/l/b/d/c/s/d"
+    instances = rows(
+        [(store, f"s{i}", "1", '{"n":1}' if i % 2 else "{") for i in range(20)],
+        "dicom_store_path string, study_id string, instance_id string, metadata string",
+    )
+    paths = FeedPaths.below(str(tmp_path / "out"))
+    notify(tmp_path / "in", "a", *[f"{store}/dicomWeb/studies/s{i}/series/x/instances/1" for i in range(30)])
+    stream = text_files(spark, str(tmp_path / "in")).select(F.encode("value", "UTF-8").alias("value"))
+
+    def held():
+        return set(spark.sparkContext._jsc.getPersistentRDDs())
+
+    def files():
+        return {p.parent.name for p in (tmp_path / "out" / "scratch").rglob("*.parquet")}
+
+    before, during, metrics = held(), {}, {}
+
+    def look(batch_id, counts):
+        during[batch_id] = (held() - before, files(), counts)
+
+    start_imaging_feed(
+        stream, instances, Mapping([copy("", "n", "$.study[0].n")]), paths, trigger=TO_END,
+        report=Reports(look, metrics.__setitem__),
+    ).awaitTermination()
+    kept, written, counts = during[0]
+    assert kept == set() and written >= {"notified", "outcomes"}
+    assert counts == {"ok": 10, "mapping": 10, "read": 10}
+    assert set(metrics[0]) == {"transform_ms", "write_ms"}
+    assert files() == set()
+    assert spark.read.parquet(paths.bundles).count() == 10
+    assert spark.read.text(paths.mapping_errors).count() == 10
+    assert spark.read.text(paths.read_errors).count() == 10
+
+
 def test_error_sink_writes_new_rows_only(spark, tmp_path):
     for name in "ab":
         notify(tmp_path / "in", name, f"line {name}")
